@@ -1,0 +1,507 @@
+"""The operators against brute force on small tables and on edge cases."""
+
+import hashlib
+import math
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.llm import chat, decontam, jaccard, langid, licenses, lm, media, mixing, queries, recompress, warc
+from tidemark.llm.common import table
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+DOC = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def rows(df):
+    return [r.asDict() for r in df.collect()]
+
+
+def docs_of(spark, texts, **more):
+    made = [(i, t, more.get("lang"), more.get("source", "s"), len(t or "")) for i, t in enumerate(texts)]
+    return spark.createDataFrame(made, DOC)
+
+
+def odd_docs(spark):
+    """Nulls in any column, empty and long texts, repeated rows, clashing extra columns."""
+    long = " ".join(f"w{i % 977}" for i in range(30_000))
+    made = [
+        (1, None, None, None, None), (2, "", "en", "a", 0), (3, " \t\n", None, "a", 3), (None, "no id here but words", "en", None, 20),
+        (4, long, "en", "b", len(long)), (5, long, "fr", "b", len(long)), (6, "same row", "en", "c", 8), (6, "same row", "en", "c", 8),
+        (7, "é" * 50, "fr", "c", 50), (8, "x " * 400, "en", "c", 800), (9, "12345 !!", "en", "c", 8),
+    ]
+    df = spark.createDataFrame(made, DOC)
+    for name in ("n_words", "hits", "marks", "size", "kept", "score", "block", "_id", "key", "n"):
+        df = df.withColumn(name, F.lit("clash"))
+    return df
+
+
+# 1 substring dedup
+
+
+def brute_repeats(docs, window=13):
+    least = {}
+    split = [(d["doc_id"], WORD.findall(d["text"] or "")) for d in docs]
+    order = lambda i: (i is None, i or 0)
+    for i, words in split:
+        for k in range(len(words) - window + 1):
+            w = tuple(words[k : k + window])
+            least[w] = min(least.get(w, (True, math.inf)), order(i))
+    out = []
+    for i, words in split:
+        gone = set()
+        for k in range(len(words) - window + 1):
+            if least[tuple(words[k : k + window])] < order(i):
+                gone.update(range(k, k + window))
+        kept = [w for k, w in enumerate(words) if k not in gone]
+        out.append((i, len(words), len(gone), hashlib.sha256(" ".join(kept).encode()).hexdigest()))
+    return sorted(out, key=lambda x: (order(x[0]), x[1:]))
+
+
+def found_repeats(df, **how):
+    got = [(r["doc_id"], r["n_words"], r["n_removed"], r["kept_sha256"]) for r in recompress.remove_repeats(df, **how).collect()]
+    return sorted(got, key=lambda x: ((x[0] is None, x[0] or 0), x[1:]))
+
+
+def test_repeats_match_brute_force(spark, sf_dir):
+    df = table(spark, sf_dir, "documents")
+    want = brute_repeats(rows(df.select("doc_id", "text")))
+    assert sum(x[2] for x in want) > 100
+    assert found_repeats(df) == want
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_repeats_in_runs_and_small_alphabets(spark, seed):
+    rng = np.random.default_rng(seed)
+    made = []
+    for _ in range(60):
+        parts = []
+        for _ in range(rng.integers(1, 6)):
+            kind = rng.integers(0, 3)
+            parts += ["a"] * int(rng.integers(1, 40)) if kind == 0 else list(rng.choice(list("abc"), int(rng.integers(1, 30)))) if kind == 1 else ["x", "y"] * int(rng.integers(1, 20))
+        made.append(" ".join(parts))
+    df = docs_of(spark, made)
+    assert found_repeats(df) == brute_repeats(rows(df.select("doc_id", "text")))
+
+
+def test_equal_windows_have_equal_keys():
+    rng = np.random.default_rng(3)
+    core = rng.integers(1, 4, 13).astype(np.uint64)
+    seen = set()
+    for _ in range(200):
+        left, right = rng.integers(1, 4, int(rng.integers(0, 20))).astype(np.uint64), rng.integers(1, 4, int(rng.integers(0, 20))).astype(np.uint64)
+        words = np.concatenate([left, core, right])
+        start, key = recompress.window_keys(words, np.zeros(len(words), np.int64))
+        seen.add(int(key[list(start).index(len(left))]))
+    assert len(seen) == 1
+
+
+def test_repeats_of_odd_rows(spark):
+    df = odd_docs(spark)
+    assert found_repeats(df) == brute_repeats(rows(df.select("doc_id", "text")))
+    assert recompress.remove_repeats(df.where("false")).count() == 0
+    kept = {r["doc_id"]: r["kept_text"] for r in recompress.remove_repeats(df).collect()}
+    assert kept[1] is None and kept[3] == " \t\n" and kept[5] == ""
+
+
+# 2 chat formatting
+
+
+def brute_chat(turns):
+    said = defaultdict(list)
+    for t in turns:
+        said[t["conv_id"]].append(t)
+    out = {}
+    for conv, ts in said.items():
+        ts.sort(key=lambda t: t["turn"])
+        whole = "".join(f"{t['role'] or ''}\n{t['text'] or ''}\n" for t in ts)
+        loss = "".join(t["text"] or "" for t in ts if t["role"] == "assistant")
+        out[conv] = (len(ts), hashlib.sha256(whole.encode()).hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest())
+    return out
+
+
+def test_chat_round_trip(spark, sf_dir):
+    got = {r["conv_id"]: tuple(r)[1:5] for r in queries.op2_chat_formatting(spark, sf_dir).collect()}
+    said = "</s>[INST] ok [/INST]"
+    turns = rows(table(spark, sf_dir, "conversations")) + [{"conv_id": -7, "turn": i, "role": r, "text": said} for i, r in enumerate(("user", "assistant"))]
+    assert got == brute_chat(turns)
+
+
+def test_chat_odd_turns(spark):
+    made = [
+        (1, 0, None, None), (1, 1, "assistant", None), (1, 2, "assistant", "a\\b</s>\\[INST]"), (1, 3, "tool[/ROLE]", "[ROLE]x[/ROLE]"), (2, 0, "assistant", "é‍👩" * 3000),
+        (None, 0, "user", "x"), (3, 0, "user", ""), (3, 1, "assistant", "[ASST][/TURN]<s>"), (4, 0, "assistant", "a" * 50_000),
+    ]
+    df = spark.createDataFrame(made, "conv_id long, turn long, role string, text string").withColumn("input_ids", F.lit("clash"))
+    formatted = chat.format_turns(df)
+    got = {r["conv_id"]: tuple(r)[1:5] for r in chat.read_back(formatted).collect()}
+    assert got == brute_chat([dict(zip(("conv_id", "turn", "role", "text"), m, strict=True)) for m in made])
+    assert chat.read_back(chat.format_turns(df.where("false"))).count() == 0
+    c = chat.codec(chat.VOCABULARY)
+    whole = {r["conv_id"]: r for r in chat.conversations(formatted).collect()}
+    ids = np.array(whole[3]["input_ids"])
+    assert c.render(ids) == "<s>[INST][/INST][ASST]\\[ASST]\\[/TURN]\\<s></s>"
+    assert len(whole[3]["loss_mask"]) == len(ids)
+    assert c.decode(ids[np.frombuffer(whole[3]["loss_mask"], np.uint8).astype(bool)].tolist()) == "\\[ASST]\\[/TURN]\\<s>"
+
+
+# 3 LM scoring
+
+
+def brute_base(docs):
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    split = [(d["doc_id"], [*WORD.findall((d["text"] or "").translate(lower)), None]) for d in docs]
+    fold = lambda i: None if i is None else zlib.crc32(str(i).encode()) % 7
+    counts = Counter(t for i, ts in split if fold(i) not in (2, None) for t in ts)
+    n, v = sum(counts.values()), len(counts)
+    return [(i, fold(i) == 2, len(ts), sum(t in counts for t in ts), n, sum(math.log10((counts[t] + 1) / (n + v + 1)) for t in ts)) for i, ts in split]
+
+
+def test_lm_base_and_gain(spark):
+    df = table(spark, "/root/testdata/sf0.01", "documents")
+    got = {r["doc_id"]: r for r in lm.score_documents(df).collect()}
+    want = brute_base(rows(df.select("doc_id", "text")))
+    assert len(got) == len(want)
+    for i, held, n, known, total, base in want:
+        r = got[i]
+        assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (held, n, known, total)
+        assert math.isclose(r["base_score"], base, rel_tol=1e-9, abs_tol=1e-6)
+    held = [r for r in got.values() if r["held_out"]]
+    assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held) * 0.99
+
+
+def test_lm_is_normalised():
+    v = lm.Vocabulary(np.array([3, 9, int(lm.END)], np.uint64), np.array([5, 2, 4]), 13, 5, 1024)
+    m = lm.Model(v)
+    a1, a2, z = m.tables()
+    p = np.exp(a1[:, None, :] + a2[None, :, :] - z[:, :, None])
+    assert np.allclose(p.sum(axis=2), 1, atol=1e-4)
+    assert v.other_total == 2 and v.other_distinct == 2
+
+
+def test_lm_odd_rows(spark):
+    df = odd_docs(spark)
+    got = lm.score_documents(df).collect()
+    want = brute_base(rows(df.select("doc_id", "text")))
+    key = lambda x: (x[0] is None, x[0] or 0, x[2])
+    for r, w in zip(sorted((tuple(r) for r in got), key=key), sorted(want, key=key), strict=True):
+        assert r[:5] == w[:5] and math.isclose(r[5], w[5], rel_tol=1e-9, abs_tol=1e-6) and math.isfinite(r[6])
+    assert lm.score_documents(df.where("false")).count() == 0
+
+
+# 4 n-gram Jaccard join
+
+
+def brute_classes(docs, threshold=0.8, size=5):
+    sets = []
+    for d in docs:
+        w = WORD.findall(d["text"] or "")
+        sets.append({tuple(w[i : i + size]) for i in range(max(1, len(w) - size + 1))} if w else set())
+    n = len(sets)
+    links, root = [0] * n, list(range(n))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    where = defaultdict(list)
+    for i, s in enumerate(sets):
+        for x in s:
+            where[x].append(i)
+    seen = Counter()
+    for ids in where.values():
+        for a in range(len(ids)):
+            for b in range(a):
+                seen[ids[b], ids[a]] += 1
+    for (a, b), m in seen.items():
+        if m >= threshold * (len(sets[a]) + len(sets[b]) - m):
+            links[a] += 1
+            links[b] += 1
+            root[find(a)] = find(b)
+    least = {}
+    order = lambda i: (i is None, i or 0)
+    for i, d in enumerate(docs):
+        r = find(i)
+        least[r] = min(least.get(r, (True, math.inf)), order(d["doc_id"]))
+    name = lambda k: None if k[0] else k[1]
+    return sorted(((d["doc_id"], name(least[find(i)]), links[i]) for i, d in enumerate(docs)), key=str)
+
+
+def test_jaccard_matches_brute_force(spark, sf_dir):
+    df = table(spark, sf_dir, "documents")
+    want = brute_classes(rows(df.select("doc_id", "text")))
+    assert any(x[2] for x in want)
+    assert sorted((tuple(r) for r in jaccard.classes(df).collect()), key=str) == want
+
+
+def test_jaccard_large_group_in_small_blocks(spark):
+    rng = np.random.default_rng(1)
+    base = [f"w{i}" for i in range(120)]
+    made = []
+    for _ in range(70):
+        w = list(base)
+        for _ in range(int(rng.integers(0, 3))):
+            w[int(rng.integers(0, 120))] = f"z{rng.integers(0, 9)}"
+        made.append(" ".join(w))
+    made += ["short text", "short text", "", None, "one two three four five six"]
+    df = docs_of(spark, made)
+    assert sorted((tuple(r) for r in jaccard.classes(df, block=8).collect()), key=str) == brute_classes(rows(df.select("doc_id", "text")))
+
+
+def test_jaccard_odd_rows(spark):
+    df = odd_docs(spark)
+    assert sorted((tuple(r) for r in jaccard.classes(df).collect()), key=str) == brute_classes(rows(df.select("doc_id", "text")))
+    assert jaccard.classes(df.where("false")).count() == 0
+    assert jaccard.forest_depth() == 5 and jaccard.forest_depth(1, 6, 0.5, 0.999) == 1
+
+
+# 5 decontamination
+
+
+def brute_hits(docs, bench, size=10):
+    word = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    split = lambda t: word.findall((t or "").translate(lower))
+    wins = defaultdict(set)
+    for b in bench:
+        w = split(b["text"])
+        for i in range(max(1, len(w) - size + 1)) if w and b["item_id"] is not None else ():
+            wins[tuple(w[i : i + size])].add(b["item_id"])
+    lengths = sorted({len(w) for w in wins})
+    out = []
+    for d in docs:
+        w, hit, items = split(d["text"]), set(), set()
+        for n in lengths:
+            for i in range(len(w) - n + 1):
+                if found := wins.get(tuple(w[i : i + n])):
+                    hit.update(range(i, i + n))
+                    items |= found
+        out.append((d["doc_id"], len(w), len(hit), len(items), hashlib.sha256(",".join(sorted(map(str, items))).encode()).hexdigest(), bool(hit)))
+    return sorted(out, key=str)
+
+
+def test_decontamination_matches_brute_force(spark, sf_dir):
+    got = sorted((tuple(r) for r in queries.op5_decontamination(spark, sf_dir).collect()), key=str)
+    want = brute_hits(rows(table(spark, sf_dir, "documents")), rows(table(spark, sf_dir, "benchmark")))
+    assert got == want and any(x[5] for x in want)
+
+
+def test_decontamination_in_blocks_and_odd_rows(spark):
+    bench = spark.createDataFrame([(1, "Alpha beta gamma"), (2, "W1, w2 w3 w4 w5 w6 w7 w8 w9 w10 w11 w12"), (3, None), (None, "x"), (4, "!!"), (10, "same row"), (11, "x x")], "item_id long, text string")
+    df = odd_docs(spark).unionByName(docs_of(spark, ["ALPHA-beta, gamma w1 w2 w3 w4 w5 w6 w7 w8 w9 w10 w11"]), allowMissingColumns=True)
+    want = brute_hits(rows(df), rows(bench))
+    assert sorted((tuple(r) for r in decontam.contamination(df, bench).collect()), key=str) == want
+    blocks = decontam.scan(df.select("doc_id", "text"), bench, block_windows=1)
+    whole = decontam.scan(df.select("doc_id", "text"), bench)
+    assert sorted(map(str, blocks.collect())) == sorted(map(str, whole.collect()))
+    assert not any(r[5] for r in decontam.contamination(df, bench.where("false")).collect())
+    spans = decontam.with_spans(whole.where("doc_id = 0")).collect()[0]
+    assert [spans["text"][s["start"] : s["end"]] for s in spans["spans"]] == ["ALPHA-beta, gamma w1 w2 w3 w4 w5 w6 w7 w8 w9 w10 w11"]
+
+
+# 6 language ID
+
+
+def test_language_of_held_out_documents(spark):
+    df = table(spark, "/root/testdata/sf0.01", "documents")
+    got = {r["doc_id"]: r for r in queries.op6_language_id(spark, "/root/testdata/sf0.01").collect()}
+    right = total = 0
+    for d in rows(df):
+        r = got[d["doc_id"]]
+        assert r["held_out"] == (zlib.crc32(str(d["doc_id"]).encode()) % 5 == 0) and 0 <= r["score"] <= 1
+        if r["held_out"] and d["lang"]:
+            total += 1
+            right += r["lang_pred"] == d["lang"]
+    assert right / total > 0.95
+
+
+def test_language_odd_rows(spark):
+    df = odd_docs(spark)
+    got = langid.identify(df).collect()
+    assert len(got) == df.count()
+    assert {r["lang_pred"] for r in got if r["doc_id"] in (1, 2, 3, 9)} == {"und"}
+    assert langid.identify(df.where("false")).count() == 0
+    none = langid.identify(df.withColumn("lang", F.lit(None).cast("string"))).collect()
+    assert {r["lang_pred"] for r in none} == {"und"}
+
+
+# 7 licenses
+
+
+def brute_licenses(docs, templates):
+    split = lambda t: re.findall(r"[^\W_]+", (t or "").lower())
+    out = set()
+    for d in docs:
+        w = split(d["text"])
+        h = [tuple(w[i : i + 5]) for i in range(len(w) - 4)]
+        for name, body in templates.items():
+            b = split(body)
+            t = {tuple(b[i : i + 5]) for i in range(len(b) - 4)}
+            m = len(t)
+            for s in range(max(1, len(h) - m + 1)):
+                if len(t & set(h[s : s + m])) >= 0.8 * m:
+                    out.add((d["doc_id"], name))
+                    break
+    return out
+
+
+def test_licenses_match_brute_force(spark):
+    df = table(spark, "/root/testdata/sf0.01", "documents")
+    got = {(r["doc_id"], r["license"]) for r in queries.op7_license_scans(spark, "/root/testdata/sf0.01").collect()}
+    want = brute_licenses(rows(df.select("doc_id", "text")), licenses.TEMPLATES)
+    assert want and got == want
+
+
+def test_licenses_inside_long_texts_with_changes(spark):
+    rng = np.random.default_rng(2)
+    filler = lambda n: " ".join(f"f{rng.integers(0, 999)}" for _ in range(n))
+    made, want = [], set()
+    for i, name in enumerate(sorted(licenses.TEMPLATES)):
+        body = licenses.TEMPLATES[name].split()
+        if len(body) > 40:
+            body[len(body) // 2] = "changed"
+        made.append(f"{filler(int(rng.integers(0, 300)))} {' '.join(body).upper()}\n{filler(int(rng.integers(0, 300)))}")
+        want.add((i, name))
+    df = docs_of(spark, made)
+    got = {(r["doc_id"], r["license"]) for r in licenses.scan(df).collect()}
+    assert want <= got and got == brute_licenses(rows(df), licenses.TEMPLATES)
+    odd = odd_docs(spark)
+    assert licenses.scan(odd).count() == 0 and licenses.scan(odd.where("false")).count() == 0 and licenses.scan(odd, {}).count() == 0
+
+
+# 8 media columns
+
+
+def brute_media(docs):
+    out = []
+    for d in docs:
+        data = (d["text"] or "").encode()
+        padded = data + bytes(-len(data) % 64 if data else 64)
+        out.append((d["doc_id"], len(data), len(padded), hashlib.sha256(padded).hexdigest(), zlib.crc32(padded[-64:])))
+    return sorted(out, key=str)
+
+
+def test_media_round_trip(spark, sf_dir):
+    got = queries.op8_media_columns(spark, sf_dir).collect()
+    assert sorted((tuple(r)[:5] for r in got), key=str) == brute_media(rows(table(spark, sf_dir, "documents")))
+    assert all(r["media_bytes"] and r["feature"] != "unknown" for r in got)
+    odd = odd_docs(spark)
+    assert sorted((tuple(r)[:5] for r in media.media_digests(odd).collect()), key=str) == brute_media(rows(odd))
+    assert media.media_digests(odd.where("false")).count() == 0
+
+
+def test_sniffing_carves_and_rejects():
+    kinds = {}
+    for i in range(40):
+        blob = media.encode(bytes([i]) * 64)
+        found = media.sniff(blob)
+        assert len(found) == 1 and (found[0].start, found[0].size) == (0, len(blob))
+        assert media.decode_samples(blob, found[0]) == bytes([i]) * 64
+        kinds[found[0].kind] = blob
+    assert len(kinds) == 4
+    joined = b"junk BM GIF89a RIFF" + b"".join(kinds.values()) + b"PK\x03\x04 tail %PDF-"
+    assert sorted(f.kind for f in media.sniff(joined)) == sorted(kinds)
+    png = kinds["image/png"]
+    assert media.sniff(png[:40] + b"?" + png[41:]) == [] and media.sniff(png[:-1]) == []
+    gif = b"GIF89a\x01\x00\x01\x00\x80\x00\x00\x00\x00\x00\xff\xff\xff,\x00\x00\x00\x00\x01\x00\x01\x00\x00\x02\x02D\x01\x00;"
+    assert [f.kind for f in media.sniff(b"x" + gif)] == ["image/gif"]
+    import io
+    import zipfile
+
+    z = io.BytesIO()
+    with zipfile.ZipFile(z, "w") as f:
+        f.writestr("a", "b")
+    assert [(f.kind, f.start) for f in media.sniff(b"__" + z.getvalue())] == [("application/zip", 2)]
+
+
+# 9 mixing
+
+
+def brute_targets(sizes):
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    w = {s: (5, 2, 1)[i % 3] for i, s in enumerate(order)}
+    left, open_, out = 1.5 * sum(sizes.values()), set(order), {}
+    while open_:
+        level = left / sum(w[s] for s in open_)
+        full = [s for s in open_ if w[s] * level > 2 * sizes[s]]
+        if not full:
+            return out | {s: w[s] * level for s in open_}
+        for s in full:
+            out[s] = 2 * sizes[s]
+            left -= out[s]
+            open_.remove(s)
+    return out
+
+
+@pytest.mark.parametrize("where", ["sf", "odd"])
+def test_mix_meets_its_targets(spark, sf_dir, where):
+    df = table(spark, sf_dir, "documents") if where == "sf" else odd_docs(spark)
+    mixed = mixing.mix(df).withColumn("taken", mixing.taken_words())
+    got = rows(mixed.select("doc_id", "size", "source_size", "target", "taken"))
+    docs = rows(df.select("doc_id", "text", "source"))
+    sizes = Counter()
+    for d in docs:
+        sizes[d["source"]] += len(WORD.findall(d["text"] or ""))
+    want = brute_targets(sizes)
+    assert len(got) == len(docs)
+    by = defaultdict(lambda: [0, 0])
+    for r in got:
+        assert 0 <= r["taken"] <= 2 * r["size"]
+        by[round(r["target"], 6), r["source_size"]][0] += r["taken"]
+    for (target, size), (taken, _) in by.items():
+        same = [s for s in want if sizes[s] == size and math.isclose(want[s], target, abs_tol=1e-4)]
+        assert same and abs(taken - len(same) * target) <= len(same)
+    assert sorted(map(str, got)) == sorted(map(str, rows(mixing.mix(df).withColumn("taken", mixing.taken_words()).select("doc_id", "size", "source_size", "target", "taken"))))
+    assert mixing.mix(df.where("false")).count() == 0
+
+
+def test_splitting_tree_is_exact(spark):
+    quotas = {"a": 1000, "b": 37, None: 5, "c": 1}
+    got = rows(mixing.split_quotas(spark.createDataFrame(list(quotas.items()), "source string, quota long"), 3))
+    per_shard = Counter()
+    for s, q in quotas.items():
+        mine = sorted((r["first"], r["last"]) for r in got if r["source"] == s)
+        assert mine[0][0] == 0 and mine[-1][1] == q and all(a[1] == b[0] for a, b in zip(mine, mine[1:], strict=False))
+    for r in got:
+        per_shard[r["shard"]] += r["last"] - r["first"]
+    assert max(per_shard.values()) - min(per_shard.values()) <= 3 and len(per_shard) == 8
+
+
+# 10 WARC
+
+
+def test_warc_round_trip(spark, sf_dir, tmp_path):
+    same = "<p>" + "é" * 600
+    extra = [(10_000 + i, f"http://h/{i}", same) for i in range(5)] + [(20_000, None, None), (20_001, "u", ""), (20_002, "http://a b/", "short"), (20_003, "http://x", "short"), (None, "http://n", same)]
+    pages = table(spark, sf_dir, "pages").unionByName(spark.createDataFrame(extra, "page_id long, url string, html string")).withColumn("capture", F.lit("clash"))
+    got = sorted((tuple(r) for r in warc.warc_roundtrip(pages).collect()), key=str)
+    best = {}
+    made = [(r["page_id"], (r["html"] or "").encode()) for r in rows(pages)]
+    for i, data in made:
+        if len(data) >= 1000 and i is not None:
+            best[data] = max(best.get(data, -1), i)
+    want = []
+    for i, data in made:
+        back = len(data) >= 1000 and best[data] != i
+        want.append((i, len(data), hashlib.sha1(data).hexdigest(), "revisit" if back else "response", best[data] if back else None))
+    assert got == sorted(want, key=str)
+    warc.write_warc(pages, f"file://{tmp_path}/w")
+    captures = warc.resolve_revisits(warc.assemble(warc.read_warc(spark, f"file://{tmp_path}/w")))
+    held = {r["metadata"]["page_id"]: bytes(r["payload"]) for r in captures.collect()}
+    assert held["10000"] == same.encode() == held["10004"] and held[None] == same.encode()
+    import gzip
+
+    first = next(p for p in sorted((tmp_path / "w").iterdir()) if p.name.startswith("part-"))
+    assert gzip.decompress(first.read_bytes()).startswith(b"WARC/1.1\r\n")
+
+
+def test_warc_repeated_rows_and_none(spark):
+    twice = spark.createDataFrame([(1, "u", "x" * 2000)] * 2 + [(0, "u", "x" * 2000)], "page_id long, url string, html string")
+    got = sorted((r["page_id"], r["record_type"], r["refers_to"]) for r in warc.warc_roundtrip(twice).collect())
+    assert [g[:2] for g in got] == [(0, "revisit"), (1, "response"), (1, "response")] and got[0][2] == 1
+    assert warc.warc_roundtrip(twice.where("false")).count() == 0

@@ -4,13 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from . import chat, decontam, langid, media, mixing, warc
+from . import chat, decontam, jaccard, langid, licenses, lm, media, mixing, oracles, recompress, warc
 from .common import table
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = recompress.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
@@ -18,6 +23,14 @@ def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_turns(turns))
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(table(spark, sf_dir, "documents"))
+
+
+def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.classes(table(spark, sf_dir, "documents"))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -26,13 +39,16 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+def op7_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op8_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.media_digests(table(spark, sf_dir, "documents"))
 
 
 def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix(table(spark, sf_dir, "documents"))
-    return mixed.select("doc_id", "size", "source_size", "target", mixing.taken_words().alias("taken"))
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", mixing.taken_words().alias("taken"))
 
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,8 +56,9 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {k: f for k, f in globals().items() if k.startswith("op") and k[2].isdigit()}
+    found = {k: f for k, f in globals().items() if k.startswith("op") and k[2].isdigit()}
+    return {**found, "pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(oracles.SQL)
