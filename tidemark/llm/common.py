@@ -122,3 +122,11 @@ def hash_windows(words: np.ndarray, n: int, base: int) -> np.ndarray:
     for i in range(n):
         out = out * _U(base) + words[i : len(words) - n + 1 + i]
     return mix(out)
+
+
+def hash_runs(values: np.ndarray, first: np.ndarray, last: np.ndarray, base: int = 0x94D049BB133111EB) -> np.ndarray:
+    """Hash of values[first:last] for many ranges of 64-bit values, from prefix sums of a polynomial."""
+    up, down = _powers(1 << max(16, int(len(values)).bit_length()), base)
+    total = np.zeros(len(values) + 1, _U)
+    np.cumsum(mix(values) * up[: len(values)], out=total[1:])
+    return mix((total[last] - total[first]) * down[first] + (last - first).astype(_U))

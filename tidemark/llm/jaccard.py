@@ -86,25 +86,30 @@ def sketch(docs: DataFrame, depth: int, trees: int = TREES, size: int = SHINGLE)
     return rows.mapInArrow(run, f"doc_id {kind}, text_hash long, set_id binary, nodes array<long>")
 
 
-def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
-    """(node, root): the smallest node of each connected component, from edges (a, b); nodes on edges only.
+def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+    """(node, root): one root for each connected component, from edges (a, b); nodes on edges only.
 
-    Each round every node takes the smallest label around it and then its label's label, so chains shrink by halves.
-    The labels are written to the shared folder between rounds; only a change count reaches the driver.
+    Each round every node moves to the smallest node beside it, and on to where that one moves; then the edges are
+    drawn between the places that the nodes have moved to and those that fall together vanish, so that a group of near
+    copies is one node after the first round or two. Node ids are digests, hence in random order, and chains of falling
+    ids are short. Rounds are written to the shared folder; the driver only asks whether an edge is left.
     """
-    both = stage(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "edges")
-    labels = stage(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("a")).alias("root")), "labels")
+    left = stage(edges.select("a", "b").where("a <> b").distinct(), "edges")
+    labels = None
     for _ in range(rounds):
-        near = both.join(labels.select(F.col("node").alias("b"), "root"), "b").groupBy(F.col("a").alias("node")).agg(F.min("root").alias("near"))
-        moved = labels.join(near, "node").select("node", F.col("root").alias("old"), F.least("root", "near").alias("root"))
-        jump = moved.select(F.col("node").alias("root"), F.col("root").alias("next"))
-        now = stage(moved.join(jump, "root", "left").select("node", F.least("root", F.coalesce("next", "root")).alias("root"), (F.least("root", F.coalesce("next", "root")) != F.col("old")).alias("changed")), "labels")
-        labels = now.select("node", "root")
-        if now.where("changed").isEmpty():
-            break
-    else:
-        raise RuntimeError(f"labels still move after {rounds} rounds")
-    return labels
+        near = left.select("a", "b").union(left.select("b", "a")).groupBy(F.col("a").alias("node")).agg(F.min("b").alias("near"))
+        step = stage(near.select("node", F.least("node", "near").alias("to")), "steps")
+        moved = step.join(step.select(F.col("node").alias("to"), F.col("to").alias("on")), "to", "left").select("node", F.coalesce("on", "to").alias("root"))
+        if labels is None:
+            labels = moved
+        else:
+            labels = labels.join(moved.select(F.col("node").alias("root"), F.col("root").alias("on")), "root", "left").select("node", F.coalesce("on", "root").alias("root"))
+        labels = stage(labels, "labels")
+        a, b = moved.select(F.col("node").alias("a"), F.col("root").alias("_a")), moved.select(F.col("node").alias("b"), F.col("root").alias("_b"))
+        left = stage(left.join(a, "a").join(b, "b").select(F.col("_a").alias("a"), F.col("_b").alias("b")).where("a <> b").distinct(), "edges")
+        if left.isEmpty():
+            return labels
+    raise RuntimeError(f"edges are left after {rounds} rounds")
 
 
 def _compare(threshold: float, size: int):
@@ -123,7 +128,7 @@ def _compare(threshold: float, size: int):
         meet = np.zeros((n, n), np.float32)
         if len(doc):
             number = np.cumsum(np.append(True, number[1:] != number[:-1])) - 1
-            step = max(64, (1 << 22) // n)
+            step = min(int(number[-1]) + 1, max(64, (1 << 20) // n))
             for low in range(0, int(number[-1]) + 1, step):
                 a, b = np.searchsorted(number, (low, low + step))
                 x = np.zeros((n, step), np.float32)

@@ -11,6 +11,7 @@ shingles within the window and its margins.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -42,10 +43,15 @@ def words(text: Column) -> Column:
     return F.when(flat == "", F.array().cast("array<string>")).otherwise(F.split(flat, " "))
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value) with value evaluated a single time, however often use reads it inside lambdas."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def shingles(of: Column, size: int = SHINGLE) -> Column:
     """Hashes of all runs of `size` words, in order; none if there are fewer words."""
-    runs = F.transform(F.sequence(F.lit(1), F.size(of) - (size - 1)), lambda i: F.xxhash64(F.slice(of, i, size)))
-    return F.when(F.size(of) >= size, runs).otherwise(F.array().cast("array<bigint>"))
+    runs = lambda w: F.transform(F.sequence(F.lit(1), F.size(w) - (size - 1)), lambda i: F.xxhash64(F.slice(w, i, size)))
+    return once(of, lambda w: F.when(F.size(w) >= size, runs(w)).otherwise(F.array().cast("array<bigint>")))
 
 
 def stride(length: Column) -> Column:
@@ -78,7 +84,8 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, containment:
     if not every:
         return docs.select("doc_id").where("false").select("doc_id", F.lit("").alias("license"), F.lit(0.0).alias("containment"), F.lit(0).alias("first_shingle"), F.lit(0).cast("long").alias("n_windows"))
     literal = F.array(*map(F.lit, every))
-    texts = docs.select("doc_id", shingles(words(F.col("text"))).alias("h")).where(F.arrays_overlap("h", literal))
+    # the explode of a one-element array makes h a stored column, which later steps read in place of computing it again
+    texts = docs.select("doc_id", F.explode(F.array(shingles(words(F.col("text"))))).alias("h")).where(F.arrays_overlap("h", literal))
     numbers = F.sequence(F.lit(1), F.lit(bands))
     least = spark.createDataFrame([(r["license"], list(r["shingles"]), r["m"]) for r in known], "license string, shingles array<bigint>, m int").select(
         "license", "shingles", "m", F.transform(numbers, lambda j: F.array_min(F.transform("shingles", lambda x: F.xxhash64(x, j)))).alias("bands")
@@ -89,17 +96,14 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, containment:
 
     def hits(j: int) -> Column:
         """Starts of windows whose band j equals a template's, with the template's place in known."""
-        hashed = F.transform("h", lambda x: F.xxhash64(x, F.lit(j)))
-        window = F.transform(starts, lambda s: F.struct(s.alias("start"), F.array_min(F.slice(hashed, s, F.col("m"))).alias("least")))
-        return F.flatten(
-            F.transform(
-                F.sequence(F.lit(0), F.size("known") - 1),
-                lambda k: F.transform(F.filter(window, lambda w: w["least"] == F.element_at(F.element_at(F.col("known"), k + 1)["bands"], j)), lambda w: F.struct(w["start"].alias("start"), k.alias("k"))),
-            )
-        )
+        least_of = lambda hashed: F.transform(starts, lambda s: F.struct(s.alias("start"), F.array_min(F.slice(hashed, s, F.col("m"))).alias("least")))
+        equal = lambda window, k: F.filter(window, lambda w: w["least"] == F.element_at(F.element_at(F.col("known"), k + 1)["bands"], j))
+        places = F.sequence(F.lit(0), F.size("known") - 1)
+        of_all = lambda window: F.flatten(F.transform(places, lambda k: F.transform(equal(window, k), lambda w: F.struct(w["start"].alias("start"), k.alias("k")))))
+        return once(F.transform("h", lambda x: F.xxhash64(x, F.lit(j))), lambda hashed: once(least_of(hashed), of_all))
 
     found = F.array_distinct(reduce(F.array_union, [hits(j) for j in range(1, bands + 1)]))
-    candidates = per_band.withColumn("found", found).where(F.size("found") > 0).select("doc_id", "h", "m", "step", "known", F.explode("found").alias("c"))
+    candidates = per_band.select("doc_id", "h", "m", "step", "known", F.explode(found).alias("c"))
     template = F.element_at(F.col("known"), F.col("c.k") + 1)
     low = F.greatest(F.lit(1), F.col("c.start") - F.col("step"))
     region = F.slice("h", low, F.col("c.start") + F.col("m") + F.col("step") - low)

@@ -6,8 +6,9 @@ are hashes, so all tasks name alike and no round needs a shuffle. Which symbols
 stretch and little around it; each symbol carries the span of words that decides it. A symbol whose deciding span lies
 inside a window stands in every copy of the window, at the same place. Hence:
 
-* reveal: each window has a key, the leftmost symbol of the highest level that it decides - at worst a word. A window
-  can only repeat in another document if its key does. Only keys are shuffled, about one for three words.
+* reveal: each window has a key, the first symbols that it decides and that cover REACH words, on the highest level that
+  has such - at worst words. A window can only repeat in another document if its key does. Only keys are shuffled, and neighbouring
+  windows share them.
 * verify: windows with a key that several documents share are compared by 96-bit fingerprints of their words, the only
   step that shuffles windows.
 """
@@ -23,55 +24,56 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import hash_spans, hash_windows, mix, text_bytes, text_slices, word_bounds
+from .common import hash_runs, hash_spans, hash_windows, mix, text_bytes, text_slices, word_bounds
 
 WINDOW = 13
 ROUNDS = 4
+#: A window's key covers at least so many words.
+REACH = 4
 _U = np.uint64
 _ODD = (0xA24BAED4963EE407, 0x9FB21C651E98DF25, 0xD1B54A32D192ED03)
 _NO_ID = (1 << 63) - 1
+_LOW = _U((1 << 48) - 1)
 #: Bytes of keys that a task gathers before it deals them out.
 _GATHER = 24 << 20
 
 
-def _runs(name: np.ndarray, ds: np.ndarray, de: np.ndarray, row: np.ndarray, edge: tuple[np.ndarray, np.ndarray]):
+def _runs(name: np.ndarray, at: np.ndarray, ds: np.ndarray, de: np.ndarray, row: np.ndarray, edge: tuple[np.ndarray, np.ndarray]):
     """Name maximal runs of equal symbols. A run is decided by itself and its two neighbours."""
     n = len(name)
     fresh = np.empty(n, bool)
     fresh[0] = True
     fresh[1:] = (name[1:] != name[:-1]) | (row[1:] != row[:-1])
-    at = np.flatnonzero(fresh)
-    length = np.diff(np.append(at, n))
-    new_row = row[at]
-    new = np.where(length > 1, mix(name[at] * _U(_ODD[0]) + length.astype(_U)), name[at])
+    i = np.flatnonzero(fresh)
+    length = np.diff(np.append(i, n))
+    new_row = row[i]
+    new = np.where(length > 1, mix(name[i] * _U(_ODD[0]) + length.astype(_U)), name[i])
     first = np.append(True, new_row[1:] != new_row[:-1])
     last = np.append(first[1:], True)
-    new_ds = np.where(first, edge[0][new_row] - 1, ds[at - 1])
-    new_de = np.where(last, edge[1][new_row] + 1, de[np.minimum(at + length, n - 1)])
-    return new, new_ds, new_de, new_row
+    new_ds = np.where(first, edge[0][new_row] - 1, ds[i - 1])
+    new_de = np.where(last, edge[1][new_row] + 1, de[np.minimum(i + length, n - 1)])
+    return new, at[i], new_ds, new_de, new_row
 
 
-def _pairs(name: np.ndarray, ds: np.ndarray, de: np.ndarray, row: np.ndarray, edge: tuple[np.ndarray, np.ndarray], turn: int):
+def _pairs(name: np.ndarray, at: np.ndarray, ds: np.ndarray, de: np.ndarray, row: np.ndarray, edge: tuple[np.ndarray, np.ndarray], turn: int):
     """Name pairs (left, right). A pair decides itself; a lone symbol is decided together with the neighbour it missed."""
     n = len(name)
     left = (mix(name + _U(turn)) >> _U(63)).astype(bool)
     same = row[1:] == row[:-1]
     head = np.zeros(n, bool)
     head[:-1] = left[:-1] & ~left[1:] & same
-    tail = np.zeros(n, bool)
-    tail[1:] = head[:-1]
-    first, last = np.append(True, ~same), np.append(~same, True)
-    before = np.where(first, edge[0][row] - 1, ds[np.arange(n) - 1])
-    after = np.where(last, edge[1][row] + 1, de[np.minimum(np.arange(n) + 1, n - 1)])
-    new_ds = np.where(head | left, ds, before)
-    new_de = np.where(head | left, after, de)
-    nxt = name[np.minimum(np.arange(n) + 1, n - 1)]
-    new = np.where(head, mix(name * _U(_ODD[1]) + nxt * _U(_ODD[2]) + _U(turn)), name)
-    keep = ~tail
-    return new[keep], new_ds[keep], new_de[keep], row[keep]
-
-
-def window_keys(words: np.ndarray, row: np.ndarray, window: int = WINDOW, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
+    keep = np.ones(n, bool)
+    keep[1:] = ~head[:-1]
+    prev, nxt = np.arange(n) - 1, np.minimum(np.arange(n) + 1, n - 1)
+    before = np.where(np.append(True, ~same), edge[0][row] - 1, ds[prev])
+    after = np.where(np.append(~same, True), edge[1][row] + 1, de[nxt])
+    new_ds = np.where(left, ds, before)
+    new_de = np.where(left, after, de)
+    new = np.where(head, mix(name * _U(_ODD[1]) + name[nxt] * _U(_ODD[2]) + _U(turn)), name)
+    return new[keep], at[keep], new_ds[keep], new_de[keep], row[keep]
+
+
+def window_keys(words: np.ndarray, row: np.ndarray, window: int = WINDOW, rounds: int = ROUNDS, reach: int = REACH) -> tuple[np.ndarray, np.ndarray]:
     """(start, key) of every window of words that lies in one row; equal windows have equal keys, whatever surrounds them."""
     n = len(words)
     if n < window:
@@ -79,8 +81,8 @@ def window_keys(words: np.ndarray, row: np.ndarray, window: int = WINDOW, rounds
     edge_row, begin = np.unique(row, return_index=True)
     edge = (np.zeros(int(edge_row[-1]) + 1, np.int64), np.zeros(int(edge_row[-1]) + 1, np.int64))
     edge[0][edge_row], edge[1][edge_row] = begin, np.append(begin[1:], n)
-    at = np.arange(n, dtype=np.int64)
-    levels = [(words, at, at + 1, row)]
+    place = np.arange(n, dtype=np.int64)
+    levels = [(words, place, place, place + 1, row)]
     levels.append(_runs(*levels[-1], edge))
     for turn in range(rounds):
         levels.append(_pairs(*levels[-1], edge, turn + 1))
@@ -88,14 +90,14 @@ def window_keys(words: np.ndarray, row: np.ndarray, window: int = WINDOW, rounds
     key = np.zeros(len(start), _U)
     todo = np.arange(len(start))
     for level in range(len(levels) - 1, -1, -1):
-        name, ds, de, _ = levels[level]
+        name, at, ds, de, _ = levels[level]
         i = start[todo]
-        below = np.cumsum(np.bincount(ds + 1, minlength=n + 2))  # how many deciding spans begin before word i - 1 + 1
-        t = below[i]
-        ok = t < len(name)
-        t = np.minimum(t, len(name) - 1)
-        ok &= de[t] <= i + window
-        key[todo[ok]] = mix(name[t[ok]] + _U(level))
+        # ds and de never fall, so the symbols that a window decides are those from t0 to t1; the first that reach will do
+        t0 = np.cumsum(np.bincount(ds + 1, minlength=n + 2))[i]
+        t1 = np.cumsum(np.bincount(de, minlength=n + 2))[i + window]
+        last = np.append(np.searchsorted(np.append(at[1:], n), at + (reach if level else 1)) + 1, n + 2)[np.minimum(t0, len(at))]
+        ok = last <= t1
+        key[todo[ok]] = mix(hash_runs(name, t0[ok], last[ok]) + _U(level))
         todo = todo[~ok]
         if not len(todo):
             break
@@ -122,13 +124,19 @@ def _unpack(data: bytes, kind, n: int) -> np.ndarray:
 
 
 _PART = "part int, n int, low binary, high binary, ids binary"
+_PART_TYPE = pa.schema([("part", pa.int32()), ("n", pa.int32()), ("low", pa.binary()), ("high", pa.binary()), ("ids", pa.binary())])
 
 
-def _deal(low: np.ndarray, high: np.ndarray, ids: np.ndarray, parts: int) -> Iterator[pa.RecordBatch]:
-    """A row for each part: the marks that fall to it, in order of document id, ids as differences."""
-    part = (low >> _U(48)).astype(np.int64) % parts
+def _deal(low: np.ndarray, high: np.ndarray, ids: np.ndarray, parts: int, part: np.ndarray | None = None, cut_bits: bool = False) -> Iterator[pa.RecordBatch]:
+    """A row for each part (by default of the marks' upper bits): its marks in order of document id, ids as differences.
+
+    With cut_bits the marks only serve to select, and 48 bits of them beside their part are enough.
+    """
+    part = (low >> _U(48)).astype(np.int64) % parts if part is None else part
     order = np.lexsort((ids, part))
-    low, high, ids = low[order], high[order], ids[order]
+    low, high, ids = low[order], high[order] if len(high) else high, ids[order]
+    if cut_bits:
+        low = low & _LOW
     cut = np.searchsorted(part[order], np.arange(parts + 1))
     for p in range(parts):
         a, b = int(cut[p]), int(cut[p + 1])
@@ -136,33 +144,37 @@ def _deal(low: np.ndarray, high: np.ndarray, ids: np.ndarray, parts: int) -> Ite
             step = ids[a:b].copy()
             step[1:] = np.diff(ids[a:b])
             yield pa.RecordBatch.from_arrays(
-                [pa.array([p], pa.int32()), pa.array([b - a], pa.int32()), *(pa.array([x], pa.binary()) for x in (low[a:b].tobytes(), high[a:b].tobytes(), _pack(step)))],
+                [pa.array([p], pa.int32()), pa.array([b - a], pa.int32()), *(pa.array([x], pa.binary()) for x in (_pack(low[a:b]), high[a:b].tobytes(), _pack(step)))],
                 ["part", "n", "low", "high", "ids"],
             )
 
 
-def _gathered(made: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]], parts: int) -> Iterator[pa.RecordBatch]:
+def _gathered(made: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]], parts: int, cut_bits: bool = False) -> Iterator[pa.RecordBatch]:
     held, size = [], 0
     for x in made:
         held.append(x)
         size += sum(a.nbytes for a in x)
         if size >= _GATHER:
-            yield from _deal(*map(np.concatenate, zip(*held, strict=True)), parts)
+            yield from _deal(*map(np.concatenate, zip(*held, strict=True)), parts, cut_bits=cut_bits)
             held, size = [], 0
     if size:
-        yield from _deal(*map(np.concatenate, zip(*held, strict=True)), parts)
+        yield from _deal(*map(np.concatenate, zip(*held, strict=True)), parts, cut_bits=cut_bits)
+
+
+def _collect(group: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    low, high, ids = [], [], []
+    for n, a, b, c in zip(*(group.column(x).to_pylist() for x in ("n", "low", "high", "ids")), strict=True):
+        low.append(_unpack(a, _U, n))
+        high.append(np.frombuffer(b, np.uint32) if b else np.zeros(n, np.uint32))
+        ids.append(np.cumsum(_unpack(c, np.int64, n)))
+    return tuple(map(np.concatenate, (low, high, ids)))
 
 
-def _meet(beyond_first: bool):
-    """A part's marks to rows (document id, marks): those that several documents have, or a smaller document has."""
+def _meet(beyond_first: bool, parts: int):
+    """Of a part's marks those that several documents have, or a smaller document has, dealt out again by document."""
 
     def run(group: pa.Table) -> pa.Table:
-        low, high, ids = [], [], []
-        for n, a, b, c in zip(*(group.column(x).to_pylist() for x in ("n", "low", "high", "ids")), strict=True):
-            low.append(np.frombuffer(a, _U))
-            high.append(np.frombuffer(b, np.uint32) if b else np.zeros(n, np.uint32))
-            ids.append(np.cumsum(_unpack(c, np.int64, n)))
-        low, high, ids = map(np.concatenate, (low, high, ids))
+        low, high, ids = _collect(group)
         order = np.lexsort((high, low)) if high.any() else np.argsort(low, kind="stable")
         low, high, ids = low[order], high[order], ids[order]
         at = np.flatnonzero(np.append(True, (low[1:] != low[:-1]) | (high[1:] != high[:-1])))
@@ -177,16 +189,26 @@ def _meet(beyond_first: bool):
         low, ids = low[order], ids[order]
         fresh = np.append(True, (low[1:] != low[:-1]) | (ids[1:] != ids[:-1]))[: len(ids)]
         low, ids = low[fresh], ids[fresh]
-        at = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))[: len(ids)]
-        off = pa.array(np.append(at, len(ids)).astype(np.int32))
-        return pa.Table.from_arrays([pa.array(ids[at]), pa.ListArray.from_arrays(off, pa.array(low.view(np.int64)))], ["_id", "marks"])
+        by_id = (mix(ids.view(_U)) >> _U(40)).astype(np.int64) % parts
+        made = [pa.Table.from_batches([b]) for b in _deal(low, np.zeros(0, np.uint32), ids, parts, by_id)]
+        return pa.concat_tables(made) if made else pa.Table.from_batches([], _PART_TYPE)
 
     return run
 
 
-def _pooled(marks: DataFrame, beyond_first: bool) -> DataFrame:
-    met = marks.groupBy("part").applyInArrow(_meet(beyond_first), "_id long, marks array<long>")
-    return met.groupBy("_id").agg(F.flatten(F.collect_list("marks")).alias("marks"))
+def _lists(group: pa.Table) -> pa.Table:
+    """A part's marks as rows (document id, its marks)."""
+    low, _, ids = _collect(group)
+    order = np.argsort(ids, kind="stable")
+    low, ids = low[order], ids[order]
+    at = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
+    off = pa.array(np.append(at, len(ids)).astype(np.int32))
+    return pa.Table.from_arrays([pa.array(ids[at]), pa.ListArray.from_arrays(off, pa.array(low.view(np.int64)))], ["_id", "marks"])
+
+
+def _pooled(marks: DataFrame, beyond_first: bool, parts: int) -> DataFrame:
+    met = marks.groupBy("part").applyInArrow(_meet(beyond_first, parts), _PART)
+    return met.groupBy("part").applyInArrow(_lists, "_id long, marks array<long>")
 
 
 def _member(row: np.ndarray, value: np.ndarray, lists: pa.Array) -> np.ndarray:
@@ -232,15 +254,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS,
                         fresh = np.append(True, (key[1:] != key[:-1]) | (owner[1:] != owner[:-1]))
                         yield key[fresh], np.zeros(0, np.uint32), _ids(part)[owner[fresh]]
 
-        held, size = [], 0
-        for x in made():
-            held.append(x)
-            size += x[0].nbytes * 2
-            if size >= _GATHER:
-                yield from _keys(held, parts)
-                held, size = [], 0
-        if held:
-            yield from _keys(held, parts)
+        yield from _gathered(made(), parts, cut_bits=True)
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def made():
@@ -250,15 +264,15 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS,
                     start, key = window_keys(words, row, window, rounds)
                     if not len(start):
                         continue
-                    hit = start[_member(row[start], key, part.column("marks"))]
+                    hit = start[_member(row[start], key & _LOW, part.column("marks"))]
                     low, high = hash_windows(words, window, _ODD[0])[hit], hash_windows(words, window, _ODD[1])[hit]
                     yield low, (high >> _U(32)).astype(np.uint32), _ids(part)[row[hit]]
 
         yield from _gathered(made(), parts)
 
-    shared = _pooled(rows.select("_id", "text").mapInArrow(reveal, _PART), False)
+    shared = _pooled(rows.select("_id", "text").mapInArrow(reveal, _PART), False, parts)
     candidates = rows.join(shared.hint("shuffle_hash"), "_id")
-    repeats = _pooled(candidates.mapInArrow(verify, _PART), True)
+    repeats = _pooled(candidates.mapInArrow(verify, _PART), True, parts)
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -291,9 +305,3 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS,
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*names).schema)
     return rows.join(repeats.hint("shuffle_hash"), "_id", "left").mapInArrow(remove, f"{fields}, n_words long, n_removed long, kept_sha256 string, kept_text string")
-
-
-def _keys(held: list, parts: int) -> Iterator[pa.RecordBatch]:
-    low, ids = np.concatenate([x[0] for x in held]), np.concatenate([x[2] for x in held])
-    for batch in _deal(low, np.zeros(len(low), np.uint32), ids, parts):
-        yield batch.set_column(3, "high", pa.array([b""], pa.binary()))
