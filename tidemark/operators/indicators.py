@@ -10,19 +10,22 @@ from __future__ import annotations
 import math
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tidemark.functions.core import asof_join, ratio
 from tidemark.sources.calendar import is_trading_day
 
-LINE = Window.partitionBy("company_id").orderBy("trade_date")
 AVERAGES = (20, 50, 100, 200)
 RETURNS = (1, 5, 20, 60, 120, 252)
 
 
-def _last(n: int):
-    return LINE.rowsBetween(-(n - 1), 0)
+def _line() -> WindowSpec:
+    return Window.partitionBy("company_id").orderBy("trade_date")
+
+
+def _last(n: int) -> WindowSpec:
+    return _line().rowsBetween(-(n - 1), 0)
 
 
 def full(agg: Column, of: Column, n: int) -> Column:
@@ -35,7 +38,7 @@ def mean(c: str, n: int) -> Column:
 
 
 def change(c: str, n: int) -> Column:
-    return ratio(c, F.lag(c, n).over(LINE)) - 1
+    return ratio(c, F.lag(c, n).over(_line())) - 1
 
 
 def clean_prices(prices: DataFrame) -> DataFrame:
