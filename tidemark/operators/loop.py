@@ -59,13 +59,14 @@ def decide_holds(rows: DataFrame, hold_days: int = HOLD_DAYS) -> DataFrame:
         raise ValueError("hold_days must be at least 1")
     until = F.date_add("trade_date", hold_days)
     score, close, price, day = (F.col(c) for c in ("score", "close", "sell_target_price", "sell_target_date"))
+    decision = lambda action, reason: F.struct(F.lit(action).alias("action"), F.lit(reason).alias("reason"))
     case = (
-        F.when(score.isNull(), F.struct(F.lit("pending").alias("action"), F.lit("missing_score").alias("reason")))
-        .when(score < 50, F.struct(F.lit("hold"), F.lit("red_score")))
-        .when(price.isNotNull() & close.isNull(), F.struct(F.lit("pending"), F.lit("missing_close_price")))
-        .when(close >= price, F.struct(F.lit("sell"), F.lit("target_achieved")))
-        .when(day.isNotNull() & (until >= day), F.struct(F.lit("sell"), F.lit("time_to_target_reached")))
-        .otherwise(F.struct(F.lit("hold"), F.lit("initial_hold")))
+        F.when(score.isNull(), decision("pending", "missing_score"))
+        .when(score < 50, decision("hold", "red_score"))
+        .when(price.isNotNull() & close.isNull(), decision("pending", "missing_close_price"))
+        .when(close >= price, decision("sell", "target_achieved"))
+        .when(day.isNotNull() & (until >= day), decision("sell", "time_to_target_reached"))
+        .otherwise(decision("hold", "initial_hold"))
     )
     green = score.isNotNull() & (score >= 50)
     return rows.withColumn("_c", case).select(

@@ -137,7 +137,7 @@ def _usable(f: str) -> str:
 
 def _score(f: str) -> str:
     p = f"percent_rank() OVER (PARTITION BY trade_date, coalesce({_usable(f)}, FALSE) ORDER BY {f})"
-    return f"CASE WHEN {_usable(f)} THEN {r(('1 - ' if f in LOW_IS_GOOD else '') + p, 6, '').removesuffix(' AS ')} END AS {f}_score"
+    return f"CASE WHEN {_usable(f)} THEN floor(({'1 - ' if f in LOW_IS_GOOD else ''}{p}) * 1e6 + 0.5) / 1e6 END AS {f}_score"
 
 
 piece("scores", ("feats",), f"SELECT company_id, trade_date, statement_scope, {', '.join(_score(f) for f in FEATURES)} FROM feats")
