@@ -167,7 +167,7 @@ piece("stats", ("deciled",), f"SELECT trade_date, decile, count(*) AS observatio
 
 _label = "CASE WHEN score IS NULL THEN 'needs_data' WHEN score < 50 THEN 'red' ELSE 'green' END"
 piece("scored", ("ranked",), "SELECT *, overall_score * 100 AS score FROM ranked")
-piece("prior", ("ranked",), "SELECT company_id, CAST(trade_date - INTERVAL 14 DAY AS DATE) AS trade_date, CAST(trade_date - INTERVAL 12 DAY AS DATE) AS hold_until FROM ranked WHERE overall_score >= 0.5")
+piece("prior", ("ranked",), "SELECT company_id, CAST(trade_date - INTERVAL 14 DAY AS DATE) AS trade_date, CAST(trade_date - INTERVAL 12 DAY AS DATE) AS hold_until FROM ranked WHERE overall_score >= 0.5 AND company_id % 3 = 0")
 piece("holds", ("scored", "prior"), f"""
 SELECT company_id, trade_date, score, {_label} AS red_green, u,
        CASE WHEN score >= 50 THEN CAST(trade_date + INTERVAL 2 DAY AS DATE) END AS hold_until, CASE WHEN score >= 50 THEN u END AS sell_target_date,
