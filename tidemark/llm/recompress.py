@@ -207,6 +207,8 @@ def _lists(group: pa.Table) -> pa.Table:
 
 
 def _pooled(marks: DataFrame, beyond_first: bool, parts: int) -> DataFrame:
+    """Rows (document id, its marks) of the marks that meet; they are a fraction of all, so half as many parts hold them."""
+    parts = (parts + 1) // 2
     met = marks.groupBy("part").applyInArrow(_meet(beyond_first, parts), _PART)
     return met.groupBy("part").applyInArrow(_lists, "_id long, marks array<long>")
 
