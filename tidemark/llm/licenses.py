@@ -39,8 +39,7 @@ TEMPLATES = {
 
 def words(text: Column) -> Column:
     """Lower-cased words of letters and digits; null and wordless texts have none."""
-    flat = F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+", " "))
-    return F.when(flat == "", F.array().cast("array<string>")).otherwise(F.split(flat, " "))
+    return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
 
 
 def once(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -91,16 +90,24 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, containment:
         "license", "shingles", "m", F.transform(numbers, lambda j: F.array_min(F.transform("shingles", lambda x: F.xxhash64(x, j)))).alias("bands")
     )
     classes = least.groupBy("m").agg(F.collect_list(F.struct("license", "shingles", "bands")).alias("known"))
-    per_band = texts.select("doc_id", "h", F.explode(F.array(*map(F.lit, lengths))).alias("m")).join(F.broadcast(classes), "m").withColumn("step", stride(F.col("m")))
-    starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("h") - F.col("m") + F.col("step")), F.col("step"))
+    # a window's minhash can only be a template's if the window holds that very shingle, so the other windows are not hashed
+    places = F.filter(F.transform("h", lambda x, i: F.when(x.isin(every), i + 1)), lambda i: i.isNotNull())
+    placed = texts.select("doc_id", "h", F.explode(F.array(places)).alias("places"))
+    per_band = placed.select("doc_id", "h", "places", F.explode(F.array(*map(F.lit, lengths))).alias("m")).join(F.broadcast(classes), "m").withColumn("step", stride(F.col("m")))
+    last = F.greatest(F.lit(0), F.floor((F.size("h") - F.col("m") - 1) / F.col("step")).cast("int") + 1)
+    around = lambda p: F.sequence(
+        F.least(last, F.greatest(F.lit(0), F.ceil((p - F.col("m")) / F.col("step")).cast("int"))), F.least(last, F.floor((p - 1) / F.col("step")).cast("int")), F.lit(1)
+    )
+    starts = F.transform(F.array_distinct(F.flatten(F.transform("places", around))), lambda g: g * F.col("step") + 1)
+    per_band = per_band.select("*", F.explode(F.array(starts)).alias("starts"))
 
     def hits(j: int) -> Column:
         """Starts of windows whose band j equals a template's, with the template's place in known."""
-        least_of = lambda hashed: F.transform(starts, lambda s: F.struct(s.alias("start"), F.array_min(F.slice(hashed, s, F.col("m"))).alias("least")))
+        least_of = F.transform("starts", lambda s: F.struct(s.alias("start"), F.array_min(F.transform(F.slice("h", s, F.col("m")), lambda x: F.xxhash64(x, F.lit(j)))).alias("least")))
         equal = lambda window, k: F.filter(window, lambda w: w["least"] == F.element_at(F.element_at(F.col("known"), k + 1)["bands"], j))
-        places = F.sequence(F.lit(0), F.size("known") - 1)
-        of_all = lambda window: F.flatten(F.transform(places, lambda k: F.transform(equal(window, k), lambda w: F.struct(w["start"].alias("start"), k.alias("k")))))
-        return once(F.transform("h", lambda x: F.xxhash64(x, F.lit(j))), lambda hashed: once(least_of(hashed), of_all))
+        numbered = F.sequence(F.lit(0), F.size("known") - 1)
+        of_all = lambda window: F.flatten(F.transform(numbered, lambda k: F.transform(equal(window, k), lambda w: F.struct(w["start"].alias("start"), k.alias("k")))))
+        return once(least_of, of_all)
 
     found = F.array_distinct(reduce(F.array_union, [hits(j) for j in range(1, bands + 1)]))
     candidates = per_band.select("doc_id", "h", "m", "step", "known", F.explode(found).alias("c"))
