@@ -270,7 +270,7 @@ LEFT JOIN canon p ON p.company_id = c.company_id AND p.statement_scope = c.state
     q["outcomes"] = (("outs",), f"SELECT company_id, trade_date, horizon, {r('expected_return', 8)}, {r('actual_return', 8)}, {r('deviation', 8)}, status FROM outs")
     q["refinement"] = (("refined",), f"SELECT company_id, trade_date, {', '.join(r(c, 6) for c in _overall)}, {r('overall_score', 6)} FROM refined")
     q["overrides"] = (("over",), f"SELECT company_id, trade_date, source, {r('original_score', 4)}, {r('adjusted_score', 4)}, {r('score_adjustment', 4)}, significance_status, applied FROM over")
-    q["overlay"] = (("scored", "news_signals"), f"SELECT company_id, trade_date, {r('score', 3)}, {_label} AS red_green FROM (SELECT s.company_id, s.trade_date, CASE WHEN d.delta IS NULL THEN s.score WHEN s.score IS NOT NULL THEN greatest(0.0, least(100.0, s.score + d.delta)) END AS score FROM scored s LEFT JOIN (SELECT company_id, sum(score_adjustment) AS delta FROM news_signals WHERE score_adjustment IS NOT NULL AND trade_date <= DATE '1998-12-31' GROUP BY 1) d USING (company_id))")
+    q["overlay"] = (("scored", "news_signals"), f"SELECT company_id, trade_date, {r('score', 4)}, {_label} AS red_green FROM (SELECT s.company_id, s.trade_date, CASE WHEN d.delta IS NULL THEN s.score WHEN s.score IS NOT NULL THEN greatest(0.0, least(100.0, s.score + d.delta)) END AS score FROM scored s LEFT JOIN (SELECT company_id, sum(score_adjustment) AS delta FROM news_signals WHERE score_adjustment IS NOT NULL AND trade_date <= DATE '1998-12-31' GROUP BY 1) d USING (company_id))")
     key = "raw_filing_id, company_id, statement_scope, submission_type, fiscal_start, period_end"
     pnl = {"revenue": "d_revenue", "profit_before_tax": "d_profit_before_tax", "net_income": "d_net_income", "eps": "NULL", "ebit": "d_profit_before_tax + d_finance_costs", "ebitda": "d_profit_before_tax + d_finance_costs + d_depreciation"}
     q["quarterly_pnl"] = (("based",), f"SELECT {key}, {', '.join(r(f"CASE WHEN pnl_context = 'ytd' THEN {e} ELSE {c} END", 4, c) for c, e in pnl.items())}, CASE WHEN pnl_context = 'ytd' THEN base_id END AS base_filing_id FROM based")

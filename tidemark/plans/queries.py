@@ -266,7 +266,7 @@ def overrides(spark, d):
 def overlay(spark, d):
     """Scores after all applied signals, taken as if every one with an adjustment were applied."""
     done = load(spark, d, "news_signals").select("company_id", "trade_date", "score_adjustment", F.col("score_adjustment").isNotNull().alias("applied"))
-    return rounded(loop.apply_overlay(_ranked(spark, d), done, as_of="1998-12-31", score_scale=100.0).select("company_id", "trade_date", "score", "red_green"), 3)
+    return rounded(loop.apply_overlay(_ranked(spark, d), done, as_of="1998-12-31", score_scale=100.0).select("company_id", "trade_date", "score", "red_green"), 4)
 
 
 def _cumulative(spark, d):
