@@ -423,13 +423,22 @@ def shareholding_extract(spark, d):
     return shareholding.snapshots(filings.parse_facts(shareholding.sample_documents(load(spark, d, "shareholding_snapshots"))))
 
 
+def _versions(rows):
+    return audit.point_in_time_versions(rows.where("period_type = 'quarterly' AND statement_scope = 'Consolidated'").select(
+        "company_id", "period_end", F.col("filing_date").alias("effective_at"), F.col("source_reference").alias("filing_id"), F.md5(F.concat_ws("|", "submission_type", F.col("period_end").cast("string"))).alias("content_hash")
+    ))
+
+
 @query
 def pit_versions(spark, d):
-    """Which filing of each period was the one to use when another filing came."""
-    rows = load(spark, d, "statements").where("period_type = 'quarterly' AND statement_scope = 'Consolidated' AND company_id <= 20").select(
-        "company_id", "period_end", F.col("filing_date").alias("effective_at"), F.col("source_reference").alias("filing_id"), F.md5(F.concat_ws("|", "submission_type", F.col("period_end").cast("string"))).alias("content_hash")
-    )
-    return audit.point_in_time_versions(rows)
+    """Which filing of each period was the one to use when another filing came; of ids up to 20 only, as its SQL has it."""
+    return _versions(load(spark, d, "statements").where("company_id <= 20"))
+
+
+@query
+def pit_versions_all(spark, d):
+    """pit_versions of all companies."""
+    return _versions(load(spark, d, "statements"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
