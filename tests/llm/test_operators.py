@@ -193,6 +193,17 @@ def test_lm_odd_rows(spark):
     assert lm.score_documents(df.where("false")).count() == 0
 
 
+def test_lm_trains_on_all_texts_at_any_size(spark):
+    rng = np.random.default_rng(3)
+    df = docs_of(spark, [" ".join(f"w{x}" for x in rng.integers(0, 40, 30)) for _ in range(200)])
+    counts = lm.count_tokens(df)
+    v, large = lm.vocabulary(counts), lm.vocabulary(counts)
+    large.total = 10**9  # as if of a large corpus
+    whole = lm.fit(df, large)
+    assert np.array_equal(lm.fit(df, v).flat, whole.flat)
+    assert whole.trained == v.total == lm.fit(df, large, rounds=1, held=100).trained
+
+
 # 4 n-gram Jaccard join
 
 

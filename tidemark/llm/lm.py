@@ -22,9 +22,8 @@ CLASSES = 1024
 DIMENSIONS = 32
 #: Words whose counts are broadcast (12 bytes each); the counts of all others reach the texts by a join.
 FREQUENT = 1 << 18
-#: The network is trained on one training text in this many, or on about FIT_TOKENS tokens if that is more.
-FIT_ONE_IN = 20
-FIT_TOKENS = 2_000_000
+#: Tokens that a task holds at once while it trains on a shard.
+HELD = 1 << 20
 ROUNDS, BATCH, NOISE, NOISE_PER_TOKEN, RATE = 3, 512, 256, 16, 0.15
 PIECES = 64
 _U = np.uint64
@@ -144,7 +143,7 @@ def contexts(ids: np.ndarray, end: int, fresh: np.ndarray) -> tuple[np.ndarray,
 
 class Model:
     def __init__(self, v: Vocabulary, dimensions: int = DIMENSIONS, seed: int = 5):
-        rng, k = np.random.default_rng(seed), v.size
+        rng, k, self.trained = np.random.default_rng(seed), v.size, 0
         self.shapes = [(k, dimensions), (k, dimensions), (dimensions, dimensions), (dimensions, dimensions), (k,)]
         eye = np.eye(dimensions)
         self.set(np.concatenate([x.ravel() for x in (rng.normal(0, 0.1, self.shapes[0]), rng.normal(0, 0.1, self.shapes[1]), eye, eye * 0.6, np.log(v.prior))]).astype(np.float32))
@@ -156,13 +155,24 @@ class Model:
             self.parts.append(self.flat[at : at + n].reshape(shape))
             at += n
 
-    def train(self, ids: np.ndarray, one: np.ndarray, two: np.ndarray, prior: np.ndarray, rate: float, seed: int) -> None:
-        """One pass of noise-contrastive estimation, Adagrad steps; all tokens of a batch share its noise words."""
+    def train(self, ids: np.ndarray, one: np.ndarray, two: np.ndarray, prior: np.ndarray, rate: float, rng: np.random.Generator, squares: list[np.ndarray]) -> None:
+        """One pass of noise-contrastive estimation, Adagrad steps; all tokens of a batch share its noise words.
+
+        squares, from fresh_squares(), go on from call to call. A step touches only the rows of words that the batch or its noise names.
+        """
         r, q, c1, c2, b = self.parts
-        rng = np.random.default_rng(seed)
-        squares = [np.full(p.shape, 1e-2, np.float32) for p in self.parts]
         edges = np.cumsum(prior)
         log_kq = np.log(NOISE_PER_TOKEN * prior).astype(np.float32)
+
+        def step(k: int, words: np.ndarray, g: np.ndarray, scale: float) -> None:
+            order = np.argsort(words, kind="stable")
+            words = words[order]
+            first = np.flatnonzero(np.append(True, words[1:] != words[:-1]))
+            at, g = words[first], np.add.reduceat(g[order], first, axis=0) / size
+            s = squares[k][at] + g * g
+            squares[k][at] = s
+            self.parts[k][at] += np.float32(rate * scale) * g / np.sqrt(s)
+
         order = rng.permutation(len(ids))
         for at in range(0, len(order), BATCH):
             i = order[at : at + BATCH]
@@ -171,20 +181,25 @@ class Model:
             r1, r2, qw, qn = r[w1], r[w2], q[w], q[noise]
             h = r1 @ c1 + r2 @ c2
             good = 1 / (1 + np.exp(np.clip((h * qw).sum(1) + b[w] - log_kq[w], -30, 30)))
-            bad = -(NOISE_PER_TOKEN / NOISE) / (1 + np.exp(np.clip(log_kq[noise] - h @ qn.T - b[noise], -30, 30)))
+            bad = h @ qn.T
+            np.subtract(log_kq[noise] - b[noise], bad, out=bad)
+            np.exp(np.clip(bad, -30, 30, out=bad), out=bad)
+            bad += 1
+            np.divide(np.float32(-NOISE_PER_TOKEN / NOISE), bad, out=bad)
             dh = good[:, None] * qw + bad @ qn
-            grads = [np.zeros_like(p) for p in self.parts]
-            np.add.at(grads[1], w, good[:, None] * h)
-            np.add.at(grads[1], noise, bad.T @ h)
-            np.add.at(grads[4], w, good)
-            np.add.at(grads[4], noise, bad.sum(0))
-            np.add.at(grads[0], w1, dh @ c1.T)
-            np.add.at(grads[0], w2, dh @ c2.T)
-            grads[2][:], grads[3][:] = r1.T @ dh, r2.T @ dh
-            for p, g, s, scale in zip(self.parts, grads, squares, (1.0, 1.0, 0.1, 0.1, 0.3), strict=True):
-                g /= len(i) ** 0.5
-                s += g * g
-                p += (rate * scale) * g / np.sqrt(s)
+            size = np.float32(len(i) ** 0.5)
+            words, contexts_at = np.concatenate([w, noise]), np.concatenate([w1, w2])
+            to_q, to_r = np.concatenate([good[:, None] * h, bad.T @ h]), np.concatenate([dh @ c1.T, dh @ c2.T])
+            to_c1, to_c2 = r1.T @ dh / size, r2.T @ dh / size
+            step(0, contexts_at, to_r, 1.0)
+            step(1, words, to_q, 1.0)
+            step(4, words, np.concatenate([good, bad.sum(0)]), 0.3)
+            for k, g in ((2, to_c1), (3, to_c2)):
+                squares[k] += g * g
+                self.parts[k] += np.float32(rate * 0.1) * g / np.sqrt(squares[k])
+
+    def fresh_squares(self) -> list[np.ndarray]:
+        return [np.full(p.shape, 1e-2, np.float32) for p in self.parts]
 
     def tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """a1[w1, w] + a2[w2, w] - z[w1, w2] is the log probability of w after w2, w1; all by matrix products."""
@@ -195,13 +210,16 @@ class Model:
         return a1, a2, z.astype(np.float32)
 
 
-def fit(texts: DataFrame, v: Vocabulary, rounds: int = ROUNDS) -> Model:
-    """Train on a sample of texts (doc_id, text) that grows with them: shards train alike and their mean goes on, in rounds."""
+def fit(texts: DataFrame, v: Vocabulary, rounds: int = ROUNDS, held: int = HELD) -> Model:
+    """Train on all texts (doc_id, text): shards train alike and their mean goes on, in rounds.
+
+    The texts' classes are dealt to the shards once; a task reads a shard's as a stream and holds about `held` tokens of it.
+    The model's attribute trained says how many tokens each round saw.
+    """
     model = Model(v)
     if not v.total or v.size < 2:
         return model
     spark = texts.sparkSession
-    share = min(1.0, max(1 / FIT_ONE_IN, FIT_TOKENS / v.total))
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
     shared = spark.sparkContext.broadcast(v)
 
@@ -214,34 +232,60 @@ def fit(texts: DataFrame, v: Vocabulary, rounds: int = ROUNDS) -> Model:
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([ids[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary())], ["doc_id", "ids"])
 
     kind = dict(texts.dtypes)["doc_id"]
-    picked = texts.select("doc_id", "text").where(F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1_000_000)) < int(1_000_000 * share))
-    sample = stage(picked.mapInArrow(classes, f"doc_id {kind}, ids binary").withColumn("shard", F.pmod(F.xxhash64("doc_id", F.lit(12)), F.lit(shards)).cast("int")), "sample")
+    shard = F.pmod(F.xxhash64("doc_id", F.lit(12)), F.lit(shards)).cast("int")
+    dealt = texts.select("doc_id", "text").mapInArrow(classes, f"doc_id {kind}, ids binary").withColumn("shard", shard)
+    sample = stage(dealt.repartition(shards, "shard").sortWithinPartitions("shard", "doc_id", "ids"), "sample").select("shard", "ids")
     edges = np.linspace(0, len(model.flat), PIECES + 1).astype(int)
 
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[np.ndarray]]]:
+        """(shard, classes of some of its texts): texts of one shard lie side by side."""
+        of, lists, n = None, [], 0
+        for batch in batches:
+            for s, x in zip(batch.column("shard").to_pylist(), batch.column("ids").to_pylist(), strict=True):
+                if lists and (s != of or n >= held):
+                    yield of, lists
+                    lists, n = [], 0
+                of = s
+                lists.append(np.frombuffer(x, np.uint16))
+                n += len(lists[-1])
+        if lists:
+            yield of, lists
+
     def trainer(turn: int, now):
-        def train(group: pa.Table) -> pa.Table:
-            lists = [np.frombuffer(x, np.uint16) for x in group.column("ids").to_pylist()]
-            ids = np.concatenate(lists).astype(np.int64)
-            fresh = np.concatenate([[0], np.cumsum([len(x) for x in lists])[:-1]]).astype(np.int64)
-            m = Model(shared.value)
-            m.set(now.value)
-            m.train(ids, *contexts(ids, shared.value.end, fresh), shared.value.prior, RATE / (1 + turn), 100 * turn + group.column("shard")[0].as_py())
-            return pa.Table.from_arrays(
-                [pa.array(np.arange(PIECES), pa.int32()), pa.array([len(ids)] * PIECES, pa.int64()), pa.array([m.flat[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)], pa.binary())],
+        def out(m: Model, n: int) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array(np.arange(PIECES), pa.int32()), pa.array([n] * PIECES, pa.int64()), pa.array([m.flat[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)], pa.binary())],
                 ["piece", "n", "weights"],
             )
 
+        def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            of, n = None, 0
+            for s, lists in pieces(batches):
+                if s != of:
+                    if n:
+                        yield out(m, n)
+                    m, of, n = Model(shared.value), s, 0
+                    m.set(now.value)
+                    rng, squares = np.random.default_rng(100 * turn + s), m.fresh_squares()
+                ids = np.concatenate(lists).astype(np.int64)
+                fresh = np.concatenate([[0], np.cumsum([len(x) for x in lists])[:-1]]).astype(np.int64)
+                m.train(ids, *contexts(ids, shared.value.end, fresh), shared.value.prior, RATE / (1 + turn), rng, squares)
+                n += len(ids)
+            if n:
+                yield out(m, n)
+
         return train
 
     def mean(group: pa.Table) -> pa.Table:
         n = group.column("n").to_numpy().astype(float)
         w = np.stack([np.frombuffer(x, np.float32) for x in group.column("weights").to_pylist()])
-        return pa.Table.from_arrays([pa.array([group.column("piece")[0].as_py()], pa.int32()), pa.array([((n / n.sum()) @ w).astype(np.float32).tobytes()], pa.binary())], ["piece", "weights"])
+        return pa.Table.from_arrays([pa.array([group.column("piece")[0].as_py()], pa.int32()), pa.array([int(n.sum())], pa.int64()), pa.array([((n / n.sum()) @ w).astype(np.float32).tobytes()], pa.binary())], ["piece", "n", "weights"])
 
     for turn in range(rounds):
         now = spark.sparkContext.broadcast(model.flat)
-        rows = sample.groupBy("shard").applyInArrow(trainer(turn, now), "piece int, n long, weights binary").groupBy("piece").applyInArrow(mean, "piece int, weights binary").collect()
+        rows = sample.mapInArrow(trainer(turn, now), "piece int, n long, weights binary").groupBy("piece").applyInArrow(mean, "piece int, n long, weights binary").collect()
         if rows:
+            model.trained = rows[0]["n"]
             model.set(np.concatenate([np.frombuffer(r["weights"], np.float32) for r in sorted(rows, key=lambda r: r["piece"])]))
     return model
 
