@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.core import asof_join, clamp, col, red_green, weighted_mean
@@ -87,6 +87,21 @@ def hold_stage(scored: DataFrame, prices: DataFrame, prior_holds: DataFrame, hol
     return decide_holds(targets, hold_days)
 
 
+def decision_history(scored: DataFrame, hold_days: int = HOLD_DAYS) -> DataFrame:
+    """The decisions that hold_stage has stored once it ran date by date from an empty store: prior_holds of scored's dates.
+
+    A green row takes its target date over from the decision before, so it is where the first of its run of green rows
+    held until; that first one has none. Other decisions hold nothing and end the run. No decision has a target price.
+    """
+    days = Window.partitionBy("company_id").orderBy("trade_date")
+    green, until = F.coalesce(F.col("score") >= 50, F.lit(False)), F.date_add("trade_date", hold_days)
+    runs = scored.select("company_id", "trade_date", green.alias("_g"), F.when(green, until).alias("hold_until"), F.sum(F.when(green, 0).otherwise(1)).over(days).alias("_run"))
+    first = F.min("hold_until").over(Window.partitionBy("company_id", "_run"))
+    return runs.withColumn("_first", first).select(
+        "company_id", "trade_date", F.lit(None).cast("double").alias("sell_target_price"), F.when(F.col("hold_until") > F.col("_first"), F.col("_first")).alias("sell_target_date"), "hold_until"
+    )
+
+
 def outcome(expected: str | Column, actual: str | Column) -> dict[str, Column]:
     """deviation = expected - actual; verified only with both."""
     both = col(expected).isNotNull() & col(actual).isNotNull()

@@ -188,6 +188,14 @@ def pit_features(spark, d):
     return rounded(_features(spark, d).select(*keep), 6)
 
 
+@query
+def pit_features_all(spark, d):
+    """pit_features with every column of the feature row: market values, all technical indicators, all multiples."""
+    t, metrics = _ttm(spark, d), _metrics(spark, d)
+    technical = indicators.technical_indicators(_prices(spark, d))
+    return ranking.features(metrics, technical, t, fundamentals.ratios(t), market.valuations(metrics, t))
+
+
 @query
 def pit_leakage(spark, d):
     return ranking.leaks(_features(spark, d)).agg(F.count("*").alias("leaks"))
@@ -237,6 +245,13 @@ def _loop(spark, d):
     return loop.run_loop(ranked, _prices(spark, d), returns, load(spark, d, "news_signals"), stats, prior, _no_overrides(spark), score_scale=100.0)
 
 
+def _loop_all(spark, d):
+    """The loop run over all dates of all companies from an empty store."""
+    ranked, returns, stats, _ = _loop_inputs(spark, d)
+    prior = loop.decision_history(loop.apply_overlay(ranked, _no_overrides(spark), score_scale=100.0))
+    return loop.run_loop(ranked, _prices(spark, d), returns, load(spark, d, "news_signals"), stats, prior, _no_overrides(spark), score_scale=100.0)
+
+
 @query
 def red_green_counts(spark, d):
     return loop.label_counts(_loop(spark, d).scored)
@@ -247,16 +262,34 @@ def hold_decisions(spark, d):
     return rounded(_loop(spark, d).holds.select("company_id", "trade_date", "action", "red_green", "reason", "hold_until", "sell_target_date"), 4)
 
 
+@query
+def hold_decisions_all(spark, d):
+    """hold_decisions after the earlier decisions of all companies."""
+    return rounded(_loop_all(spark, d).holds.select("company_id", "trade_date", "action", "red_green", "reason", "hold_until", "sell_target_date"), 4)
+
+
 @query
 def outcomes(spark, d):
     return rounded(_loop(spark, d).outcomes, 8)
 
 
+@query
+def outcomes_all(spark, d):
+    """outcomes after the earlier decisions of all companies."""
+    return rounded(_loop_all(spark, d).outcomes, 8)
+
+
 @query
 def refinement(spark, d):
     return rounded(_loop(spark, d).refined.select("company_id", "trade_date", *loop.WEIGHTS, "overall_score"), 6)
 
 
+@query
+def refinement_all(spark, d):
+    """refinement after the earlier decisions of all companies."""
+    return rounded(_loop_all(spark, d).refined.select("company_id", "trade_date", *loop.WEIGHTS, "overall_score"), 6)
+
+
 @query
 def overrides(spark, d):
     return rounded(_loop(spark, d).overrides, 4)
@@ -342,6 +375,15 @@ def verification_compare(spark, d):
     return verify.compare_runs(*_runs_of(spark, d))
 
 
+@query
+def verification_compare_all(spark, d):
+    """Each day's check against the same day of the month before, over all dates; the name is the newer day."""
+    wanted = verify.active_prices(_prices(spark, d), load(spark, d, "companies"))
+    checks = verify.coverage(wanted, _metrics(spark, d).where("market_cap IS NOT NULL"), "x")
+    named = lambda month: checks.withColumn("check_name", F.concat(F.date_format(month, "yyyy-MM"), F.date_format("trade_date", "-dd")))
+    return verify.compare_runs(named(F.add_months(F.trunc("trade_date", "month"), 1)), named(F.col("trade_date")))
+
+
 @query
 def verification_summary(spark, d):
     checks = verify.coverage(verify.active_prices(_prices(spark, d), load(spark, d, "companies")), _metrics(spark, d).where("market_cap IS NOT NULL"), "m").unionByName(verify.field_availability(_valuations(spark, d)))
@@ -397,16 +439,25 @@ def normalize_prices(spark, d):
     return price_files.normalize(raw).where(F.col("series") == "EQ").select("symbol", "close", "high", "low", "volume", F.col("date").alias("trade_day"))
 
 
-@query
-def price_upsert(spark, d):
-    """Prices of known symbols of the traded series, replacing what is stored for the day."""
-    stored = _prices(spark, d).select("company_id", "trade_date", "close").where(F.col("trade_date") >= "1998-01-01")
+def _stored_day(spark, d, stored):
     companies = load(spark, d, "companies")
     incoming = stored.where("trade_date = DATE'1998-01-05'").join(companies, F.col("company_id") == F.col("id")).select("symbol", "series", (F.col("close") + 1).alias("close"))
     unknown = spark.createDataFrame([("NOBODY", "EQ", 1.0)], "symbol string, series string, close double")
     return rounded(price_files.store_day(stored, incoming.unionByName(unknown), companies, "1998-01-05", ("EQ",)), 2)
 
 
+@query
+def price_upsert(spark, d):
+    """Prices of known symbols of the traded series, replacing what is stored for the day; since 1998 only, as its SQL has it."""
+    return _stored_day(spark, d, _prices(spark, d).select("company_id", "trade_date", "close").where(F.col("trade_date") >= "1998-01-01"))
+
+
+@query
+def price_upsert_all(spark, d):
+    """price_upsert into the whole price table."""
+    return _stored_day(spark, d, _prices(spark, d).select("company_id", "trade_date", "close"))
+
+
 @query
 def xbrl_statements(spark, d):
     """Statements out of generated filings, one document per company and quarter."""
