@@ -341,6 +341,15 @@ def test_language_odd_rows(spark):
     assert {r["lang_pred"] for r in none} == {"und"}
 
 
+def test_rare_language_is_learned_from_a_bounded_sample(spark):
+    made = [(i, f"the house number {i} stands in the street", "en", "s", 0) for i in range(4000)]
+    made += [(10_000 + i, f"zxq vwk jjy qqx {i} kvz", "xx", "s", 0) for i in range(12)]
+    langs, matrix = langid.fit(spark.createDataFrame(made, DOC), fit_rows=40)
+    assert langs == ["en", "xx"] and (matrix.max(axis=0) > matrix.min(axis=0)).all()
+    asked = docs_of(spark, ["zxq vwk kvz", "the street"])
+    assert [r["lang_pred"] for r in langid.predict(asked, langs, matrix).orderBy("doc_id").collect()] == ["xx", "en"]
+
+
 # 7 licenses
 
 

@@ -16,8 +16,12 @@ ORDERS = (2, 3)
 #: Hash buckets; halved while buckets x languages would pass MODEL_CELLS, so the broadcast model stays under 64 MB.
 BUCKETS = 1 << 16
 MODEL_CELLS = 1 << 24
-#: The classifier is fitted on about this many labelled rows, picked by a hash of doc_id; all rows if there are fewer.
+#: The classifier is fitted on at most about this many labelled rows. Each language has an equal share of them: all its
+#: rows if it has no more, else about that many, picked by a hash of doc_id.
 FIT_ROWS = 40_000
+#: The share of a language is never below this, so that it is learned however many languages there are.
+LEAST_ROWS = 100
+HASHES = 1 << 40
 SMOOTHING = 0.1
 UNKNOWN = "und"
 
@@ -51,17 +55,21 @@ def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS, buckets: int = BUCKETS) -
     """(languages, log-probability matrix buckets x languages) from rows (doc_id, text, lang).
 
     Tasks return bucket counts per language, summed by Spark; the driver only sees the languages x buckets sums. Rows
-    with null text or null lang are left out. No labelled rows: no languages.
+    with null text or null lang are left out, and languages of which no row has an n-gram. No labelled rows: no languages.
     """
     rows = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text", "lang")
     sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    langs, total = sorted(sizes), sum(sizes.values())
+    langs = sorted(sizes)
     if not langs:
         return [], np.zeros((buckets, 0), np.float32)
     while buckets * len(langs) > MODEL_CELLS and buckets > 256:
         buckets //= 2
-    if total > fit_rows:
-        rows = rows.where(F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1_000_000)) < int(1_000_000 * fit_rows / total))
+    quota = max(LEAST_ROWS, fit_rows / len(langs))
+    large = [(lang, int(HASHES * quota / n)) for lang, n in sizes.items() if n > quota]
+    if large:
+        shares = rows.sparkSession.createDataFrame(large, "lang string, below long")
+        drawn = F.pmod(F.xxhash64("doc_id", "text", F.lit(7)), F.lit(HASHES)) < F.coalesce("below", F.lit(HASHES))
+        rows = rows.join(F.broadcast(shares), "lang", "left").where(drawn).select("doc_id", "text", "lang")
     number = {lang: i for i, lang in enumerate(langs)}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -77,7 +85,9 @@ def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS, buckets: int = BUCKETS) -
     cells = rows.mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
     counts = np.zeros(len(langs) * buckets)
     counts[cells["cell"].to_numpy(np.int64)] = cells["n"].to_numpy(float)
-    counts = counts.reshape(len(langs), buckets).T + SMOOTHING
+    counts = counts.reshape(len(langs), buckets).T
+    seen = counts.any(axis=0)
+    langs, counts = [lang for lang, ok in zip(langs, seen, strict=True) if ok], counts[:, seen] + SMOOTHING
     return langs, np.log(counts / counts.sum(axis=0)).astype(np.float32)
 
 
