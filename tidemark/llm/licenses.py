@@ -4,7 +4,7 @@ A text is lower-cased, cut to words at anything but letters and digits, and hash
 template length, windows of just that many shingles slide over the text by a quarter of their length, so some window
 misses at most an eighth of an occurrence at either end. A band is one minhash: a window's is its least hash under one of
 BANDS functions. A window at Jaccard similarity s to a template shares some band with it with chance 1 - (1 - s) ** BANDS.
-The worst placed occurrence of the least allowed containment has s of 0.55 or more, so that chance is over 0.999997; an
+The worst placed occurrence of the least allowed containment has s of 0.675 / 1.325, 0.509, or more, so that chance is over 0.99998; an
 occurrence of a one-shingle template is found for sure. Candidates are confirmed by the exact share of the template's
 shingles within the window and its margins.
 """
