@@ -1,7 +1,8 @@
 """Chat formatting on token ids: encode the segments apart, splice reserved ids, mask by prefix sums of lengths.
 
 Control strings have ids of their own above the vocabulary, and texts are encoded without special tokens, so no text
-can forge a turn. Control strings inside texts are escaped all the same, so that the rendered string is as safe.
+can forge a turn. Inside texts control strings are broken up by an escape, so that the rendered string holds only the
+template's own, even for a tokenizer that turns control strings into reserved ids.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: The template's control strings. A turn of role user is [INST] text [/INST], an assistant's text ends
@@ -24,16 +25,16 @@ CONTROL = ("<s>", "</s>", "[INST]", "[/INST]", "[ROLE]", "[/ROLE]", "[ASST]", "[
 VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 #: Fixed value: the byte-pair split pattern that the vocabulary was made with.
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: A run without a break is encoded in pieces of so many characters, since merging takes more than linear time.
-RUN = 2000
 _ESCAPED = re.compile("|".join(re.escape(x) for x in ("\\", *CONTROL)))
 _UNESCAPE = re.compile(r"\\(.)", re.S)
-_LONG = re.compile(rf"(\S{{{RUN}}}|\s{{{RUN}}})")
 
 
 def escape(text: str) -> str:
-    """A backslash goes before each backslash and each control string."""
-    return _ESCAPED.sub(lambda m: "\\" + m[0], text)
+    """A backslash is doubled; a control string gets one after its first character, which breaks it up.
+
+    Control strings start with a character that none has further on, so they never overlap and no new one can arise.
+    """
+    return _ESCAPED.sub(lambda m: m[0][0] + "\\" + m[0][1:], text)
 
 
 def unescape(text: str) -> str:
@@ -41,19 +42,16 @@ def unescape(text: str) -> str:
 
 
 class Codec:
-    def __init__(self, path: str):
+    def __init__(self, vocabulary: bytes):
         import tiktoken
 
-        with open(path, "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, vocabulary.splitlines())}
         self.plain = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.first = max(ranks.values()) + 1
         self.ids = {c: self.first + i for i, c in enumerate(CONTROL)}
 
     def encode(self, text: str) -> list[int]:
-        if len(text) < RUN:
-            return self.plain.encode_ordinary(text)
-        return [t for piece in _LONG.split(text) if piece for t in self.plain.encode_ordinary(piece)]
+        return self.plain.encode_ordinary(text)
 
     def decode(self, ids: list[int]) -> str:
         """Text of a segment without reserved ids."""
@@ -76,9 +74,18 @@ class Codec:
             yield ids[at:].tolist()
 
 
+def read_vocabulary(spark: SparkSession, path: str = VOCABULARY) -> bytes:
+    """The vocabulary file, read by Spark from wherever path is; it goes to the tasks as a broadcast, so it is refused beyond 64 MB."""
+    found = spark.read.format("binaryFile").load(path if "://" in path else f"file://{os.path.abspath(path)}").select("length", F.when(F.col("length") < 64 << 20, F.col("content")).alias("content")).first()
+    if found is None or found["content"] is None:
+        raise ValueError(f"no vocabulary of under 64 MB at {path}")
+    return bytes(found["content"])
+
+
 @lru_cache(2)
-def codec(path: str) -> Codec:
-    return Codec(os.fspath(path))
+def codec(vocabulary: bytes) -> Codec:
+    """One codec per process and vocabulary."""
+    return Codec(vocabulary)
 
 
 def format_turn(c: Codec, role: str, text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -122,12 +129,13 @@ def format_turns(turns: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """Rows (conv_id, turn, role, text) to conv_id, turn, input_ids, loss_mask, one row per turn.
 
     Null text and null role are empty strings. Map-only: a conversation of any length is spread over the tasks, and its
-    formatted sequence is <s> and then its turns' ids in order of turn (see conversations()). The file at vocabulary must
-    be on every executor.
+    formatted sequence is <s> and then its turns' ids in order of turn (see conversations()). A text is encoded whole,
+    however long. The file at vocabulary is read once, by Spark, and broadcast.
     """
+    shared = turns.sparkSession.sparkContext.broadcast(read_vocabulary(turns.sparkSession, vocabulary))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = codec(vocabulary)
+        c = codec(shared.value)
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
@@ -197,12 +205,13 @@ def read_back(formatted: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     Turns with equal numbers are ordered by their ids; null conv_id is a conversation of its own.
     """
     kind = dict(formatted.dtypes)["conv_id"]
-    return _stream(formatted, lambda: _Digest(codec(vocabulary)), f"conv_id {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+    shared = formatted.sparkSession.sparkContext.broadcast(read_vocabulary(formatted.sparkSession, vocabulary))
+    return _stream(formatted, lambda: _Digest(codec(shared.value)), f"conv_id {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
 
 
 def conversations(formatted: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """Training rows: conv_id, input_ids (with the leading <s>), loss_mask. A row holds a whole conversation."""
-    start = codec(vocabulary).ids["<s>"]
+    start = codec(read_vocabulary(formatted.sparkSession, vocabulary)).ids["<s>"]
     turns = F.sort_array(F.collect_list(F.struct("turn", "input_ids", F.hex("loss_mask").alias("mask"))))
     return formatted.groupBy("conv_id").agg(turns.alias("t")).select(
         "conv_id",
