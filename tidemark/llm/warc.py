@@ -13,14 +13,17 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import shared_dir
+from .common import stage, staged_dir
 
 #: Equal payloads shorter than this are stored again rather than referred to.
 MIN_REVISIT_BYTES = 1000
-RECORDS_PER_FILE = 2000
+#: A file holds about so many units of UNIT_BYTES; a capture counts as one for each unit of its stored bytes, so a file
+#: has at most 512 MB and one capture more.
+UNITS_PER_FILE = 2000
+UNIT_BYTES = 1 << 18
 _DATE = "2024-01-01T00:00:00Z"
 
 
@@ -76,12 +79,21 @@ def _capture(page_id: str | None, url: str | None, payload: bytes, capture: int,
 
 
 def _write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held, size = [], 0
     for batch in batches:
         cols = [batch.column(c) for c in ("page_id", "url", "html", "capture", "refers_to", "refers_uri")]
         for at in range(0, batch.num_rows, 256):
             rows = zip(*(c.slice(at, 256).to_pylist() for c in cols), strict=True)
-            out = [_capture(p, u, (h or "").encode(), c, r, ru) for p, u, h, c, r, ru in rows]
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["record"])
+            for p, u, h, c, r, ru in rows:
+                made = _capture(p, u, (h or "").encode(), c, r, ru)
+                # an empty row is an empty gzip member in the file, and counts there as a unit
+                held += [made, *[b""] * (len(made) // UNIT_BYTES)]
+                size += len(made)
+                if size > 4 << 20:
+                    yield pa.RecordBatch.from_arrays([pa.array(held, pa.binary())], ["record"])
+                    held, size = [], 0
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(held, pa.binary())], ["record"])
 
 
 def with_revisits(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:
@@ -118,14 +130,14 @@ def with_revisits(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataF
     )
 
 
-def write_warc(pages: DataFrame, path: str, min_bytes: int = MIN_REVISIT_BYTES, records_per_file: int = RECORDS_PER_FILE) -> None:
+def write_warc(pages: DataFrame, path: str, min_bytes: int = MIN_REVISIT_BYTES, units_per_file: int = UNITS_PER_FILE) -> None:
     """Write a capture for each row of pages (page_id, url, html; other columns are ignored) to .gz files under path.
 
-    Null html is an empty payload; null url leaves the target out; null page_id leaves the field out. An empty table
+    Files are bounded in bytes and not in records, since a page may be of any length. Null html is an empty payload; null url leaves the target out; null page_id leaves the field out. An empty table
     writes an archive without records. Repeated rows are captures of their own.
     """
     rows = with_revisits(pages, min_bytes).mapInArrow(_write, "record binary")
-    rows.select(F.col("record").cast("string").alias("value")).write.option("lineSep", _EMPTY_MEMBER).option("encoding", "ISO-8859-1").option("maxRecordsPerFile", records_per_file).text(path)
+    rows.select(F.col("record").cast("string").alias("value")).write.option("lineSep", _EMPTY_MEMBER).option("encoding", "ISO-8859-1").option("maxRecordsPerFile", units_per_file).text(path)
 
 
 def _headers(head: bytes) -> dict[str, str]:
@@ -205,53 +217,55 @@ def read_warc(spark: SparkSession, path: str, payload: bool = True) -> DataFrame
 def assemble(records: DataFrame) -> DataFrame:
     """Tie the records of each transaction by their concurrent-to ids: one nested row per capture.
 
-    Columns: capture_id (the response's or revisit's record id), response, request and metadata (structs, null where
-    the archive has none). One shuffle on the id; a transaction is a handful of records, and of several records of a
-    kind under one id one stays, so no group grows.
+    Columns: capture_id (the response's or revisit's record id), responses, requests and metadata, arrays of structs in
+    order of record id and of their columns. An archive may hold several records of a kind under one id, or none: all are kept, an
+    absent kind is an empty array. One shuffle on the id.
     """
     kind = F.col("warc_type")
-    cols = ["record_id", "warc_type", "refers_to", "target_uri", "warc_date", "declared_digest", "payload", "payload_bytes", "payload_digest"]
-    main = F.struct(*cols)
+    main = F.struct("record_id", "warc_type", "refers_to", "target_uri", "warc_date", "declared_digest", "payload_bytes", "payload_digest", "payload")
+    tie = F.when(kind.isin("response", "revisit"), F.col("record_id")).otherwise(F.coalesce("concurrent_to", "record_id"))
+
+    def every(of: Column, when: Column) -> Column:
+        return F.sort_array(F.collect_list(F.when(when, of)))
+
     return (
         records.where(kind.isin("request", "response", "revisit", "metadata"))
-        .groupBy(F.when(kind.isin("response", "revisit"), F.col("record_id")).otherwise(F.coalesce("concurrent_to", "record_id")).alias("capture_id"))
+        .groupBy(tie.alias("capture_id"))
         .agg(
-            F.first(F.when(kind.isin("response", "revisit"), main), ignorenulls=True).alias("response"),
-            F.first(F.when(kind == "request", F.struct("record_id", "target_uri", "warc_date")), ignorenulls=True).alias("request"),
-            F.first(F.when(kind == "metadata", F.struct("record_id", "page_id")), ignorenulls=True).alias("metadata"),
+            every(main, kind.isin("response", "revisit")).alias("responses"),
+            every(F.struct("record_id", "target_uri", "warc_date"), kind == "request").alias("requests"),
+            every(F.struct("record_id", "page_id"), kind == "metadata").alias("metadata"),
         )
     )
 
 
 def resolve_revisits(captures: DataFrame) -> DataFrame:
-    """Give each revisit the payload columns of the response that it refers to, and that capture's page id."""
-    held = captures.where("response.warc_type = 'response'").select(
-        F.col("capture_id").alias("_target"),
-        F.col("metadata.page_id").alias("_page"),
-        *(F.col(f"response.{c}").alias(f"_{c}") for c in ("payload", "payload_bytes", "payload_digest")),
-    )
-    joined = captures.join(held, F.col("response.refers_to") == F.col("_target"), "left")
-    return joined.select(
-        "capture_id",
-        "request",
-        "response",
-        "metadata",
-        F.col("_page").alias("refers_to_page"),
-        *(F.coalesce(F.col(f"response.{c}"), F.col(f"_{c}")).alias(c) for c in ("payload", "payload_bytes", "payload_digest")),
+    """One row per response or revisit of captures, a revisit with the payload and page id of the response that it refers to.
+
+    Columns: capture_id, page_id and refers_to_page (of the first metadata record that has one), response, requests,
+    metadata, payload, payload_bytes, payload_digest. Of several responses under the id that is referred to, the first
+    counts. Captures without a response or revisit have no row here.
+    """
+    page = F.element_at(F.concat(F.filter("metadata", lambda m: m["page_id"].isNotNull())["page_id"], F.array(F.lit(None).cast("string"))), 1)
+    rows = captures.withColumn("page_id", page)
+    first = F.get(F.filter("responses", lambda r: r["warc_type"] == "response"), F.lit(0))
+    columns = ("payload", "payload_bytes", "payload_digest")
+    held = rows.select(F.col("capture_id").alias("_target"), F.col("page_id").alias("_page"), first.alias("_first")).where("_first is not null")
+    each = rows.select("capture_id", "page_id", "requests", "metadata", F.explode("responses").alias("response"))
+    return each.join(held, F.col("response.refers_to") == F.col("_target"), "left").select(
+        "capture_id", "page_id", F.col("_page").alias("refers_to_page"), "response", "requests", "metadata", *(F.coalesce(F.col(f"response.{c}"), F.col(f"_first.{c}")).alias(c) for c in columns)
     )
 
 
 def warc_roundtrip(pages: DataFrame, path: str | None = None) -> DataFrame:
     """Write pages as WARC, read the archives back, and describe each capture."""
-    from .common import stage
-
     spark = pages.sparkSession
-    path = path or f"{shared_dir(spark)}/warc/{uuid.uuid4().hex}"
+    path = path or f"{staged_dir(spark)}/warc-{uuid.uuid4().hex}"
     write_warc(pages, path)
     captures = stage(assemble(read_warc(spark, path, payload=False)), "captures")
     kind = dict(pages.dtypes)["page_id"]
     return resolve_revisits(captures).select(
-        F.col("metadata.page_id").cast(kind).alias("page_id"),
+        F.col("page_id").cast(kind).alias("page_id"),
         "payload_bytes",
         "payload_digest",
         F.col("response.warc_type").alias("record_type"),
