@@ -48,6 +48,8 @@ _HIT_TYPE = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))
 def scan(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, block_windows: int = BLOCK_WINDOWS) -> DataFrame:
     """docs with n_words, hits (maximal runs [first, last] of hit word numbers) and items (ids whose windows occur).
 
+    Columns of docs with these names are replaced.
+
     benchmark has item_id and text; an item without words (null, empty) and one with a null id have no windows. The
     benchmark is streamed to the driver in order of nothing in particular and cut in blocks of at most block_windows
     windows; each block is an automaton of its own and one map-only pass, so a benchmark of any size works and what is
@@ -73,9 +75,19 @@ def scan(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, block_window
     return one_pass(out, block, none_yet) if block or none_yet else out
 
 
+#: The last patterns that this process has met and their automaton, so that its tasks share one.
+_CACHE: dict = {}
+
+
+def _machine(patterns: dict[str, list]):
+    if _CACHE.get("of") is not patterns:
+        _CACHE.update(of=patterns, machine=automaton(patterns) if patterns else None)
+    return _CACHE["machine"]
+
+
 def _scanner(patterns, names: list[str], fresh: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine = automaton(patterns.value) if patterns.value else None
+        machine = _machine(patterns.value)
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)

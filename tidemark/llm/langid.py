@@ -13,9 +13,10 @@ from .common import text_slices
 
 #: Lengths of the character n-grams.
 ORDERS = (2, 3)
-#: Hash buckets; halved while buckets x languages would pass MODEL_CELLS, so the broadcast model stays under 64 MB.
+#: Hash buckets, alike for any number of languages. The broadcast model has 4 bytes for each bucket and language; beyond
+#: MODEL_CELLS (256 MB, 1024 languages at this many buckets) fit() raises and asks for fewer buckets.
 BUCKETS = 1 << 16
-MODEL_CELLS = 1 << 24
+MODEL_CELLS = 1 << 26
 #: The classifier is fitted on at most about this many labelled rows. Each language has an equal share of them: all its
 #: rows if it has no more, else about that many, picked by a hash of doc_id.
 FIT_ROWS = 40_000
@@ -62,8 +63,8 @@ def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS, buckets: int = BUCKETS) -
     langs = sorted(sizes)
     if not langs:
         return [], np.zeros((buckets, 0), np.float32)
-    while buckets * len(langs) > MODEL_CELLS and buckets > 256:
-        buckets //= 2
+    if buckets * len(langs) > MODEL_CELLS:
+        raise ValueError(f"{buckets} buckets for {len(langs)} languages pass {MODEL_CELLS} cells; give fewer buckets")
     quota = max(LEAST_ROWS, fit_rows / len(langs))
     large = [(lang, int(HASHES * quota / n)) for lang, n in sizes.items() if n > quota]
     if large:
@@ -92,10 +93,10 @@ def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS, buckets: int = BUCKETS) -
 
 
 def predict(docs: DataFrame, langs: list[str], matrix: np.ndarray) -> DataFrame:
-    """docs with lang_pred and score (posterior of lang_pred under equal priors).
+    """docs with lang_pred and score (posterior of lang_pred under equal priors); columns of these names are replaced.
 
-    A text that is null, empty or without a letter gets UNKNOWN and score 0, as do all texts if no language was learned.
-    Only the text is looked at. Map-only; the matrix is broadcast, at most 64 MB.
+    Of languages that score alike the first by code point is named. A text that is null, empty or without a letter gets UNKNOWN and score 0, as do all texts if no language was learned.
+    Only the text is looked at. Map-only; the matrix is broadcast, at most 256 MB.
     """
     names = [c for c in docs.columns if c not in ("lang_pred", "score")]
     model = docs.sparkSession.sparkContext.broadcast((langs, matrix))
