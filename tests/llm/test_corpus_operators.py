@@ -141,13 +141,31 @@ def test_chat_odd_turns(spark):
     got = {r["conv_id"]: tuple(r)[1:5] for r in chat.read_back(formatted).collect()}
     assert got == brute_chat([dict(zip(("conv_id", "turn", "role", "text"), m, strict=True)) for m in made])
     assert chat.read_back(chat.format_turns(df.where("false"))).count() == 0
-    c = chat.codec(chat.VOCABULARY)
+    vocabulary = chat.read_vocabulary(spark)
+    c = chat.codec(vocabulary)
     whole = {r["conv_id"]: r for r in chat.conversations(formatted).collect()}
     ids = np.array(whole[3]["input_ids"])
-    assert c.render(ids) == "<s>[INST][/INST][ASST]\\[ASST]\\[/TURN]\\<s></s>"
+    assert c.render(ids) == "<s>[INST][/INST][ASST][\\ASST][\\/TURN]<\\s></s>"
     assert len(whole[3]["loss_mask"]) == len(ids)
-    assert c.decode(ids[np.frombuffer(whole[3]["loss_mask"], np.uint8).astype(bool)].tolist()) == "\\[ASST]\\[/TURN]\\<s>"
-
+    assert c.decode(ids[np.frombuffer(whole[3]["loss_mask"], np.uint8).astype(bool)].tolist()) == "[\\ASST][\\/TURN]<\\s>"
+    # the rendered string, tokenized again with control strings as reserved tokens, has the template's own and no others
+    import tiktoken
+
+    special = tiktoken.Encoding("special", pat_str=chat.PATTERN, mergeable_ranks=c.plain._mergeable_ranks, special_tokens=c.ids)
+    for row in whole.values():
+        ids = np.array(row["input_ids"])
+        assert [t for t in special.encode(c.render(ids), allowed_special="all") if t >= c.first] == [t for t in ids if t >= c.first]
+    # formatted_chars is the length of what the template makes of the turns
+    sizes = {r["conv_id"]: r["formatted_chars"] for r in chat.read_back(formatted).collect()}
+    assert sizes == {k: len(c.render(np.array(r["input_ids"]))) for k, r in whole.items()}
+    control = sum(len(x) for x in ("<s>", "[INST]", "[/INST]", "[ASST]", "</s>"))
+    assert sizes[3] == control + len("[ASST][/TURN]<s>") + 3
+
+
+def test_chat_ids_do_not_depend_on_length(spark):
+    c = chat.codec(chat.read_vocabulary(spark))
+    for text in ("see " + "ab" * 1500 + " end", "x" * 2001, " " * 5000 + "y"):
+        assert c.encode(text) == c.plain.encode_ordinary(text)
 
 # 3 LM scoring
 
@@ -512,7 +530,7 @@ def test_warc_round_trip(spark, sf_dir, tmp_path):
     assert got == sorted(want, key=str)
     warc.write_warc(pages, f"file://{tmp_path}/w")
     captures = warc.resolve_revisits(warc.assemble(warc.read_warc(spark, f"file://{tmp_path}/w")))
-    held = {r["metadata"]["page_id"]: bytes(r["payload"]) for r in captures.collect()}
+    held = {r["page_id"]: bytes(r["payload"]) for r in captures.collect()}
     assert held["10000"] == same.encode() == held["10004"] and held[None] == same.encode()
     import gzip
 
@@ -520,6 +538,25 @@ def test_warc_round_trip(spark, sf_dir, tmp_path):
     assert gzip.decompress(first.read_bytes()).startswith(b"WARC/1.1\r\n")
 
 
+def test_warc_keeps_every_record_under_an_id(spark):
+    record = lambda i, kind, to, page: (i, kind, to, None, "u", None, None, page, b"p" if kind == "response" else None, 1, "d")
+    made = [record("<a>", "response", None, None), record("<a>", "response", None, None), record("<m1>", "metadata", "<a>", None), record("<m2>", "metadata", "<a>", "7"), record("<q>", "request", "<z>", None)]
+    got = {r["capture_id"]: r for r in warc.assemble(spark.createDataFrame(made, warc.RECORD_SCHEMA)).collect()}
+    assert [len(got["<a>"][k]) for k in ("responses", "requests", "metadata")] == [2, 0, 2] and len(got["<z>"]["requests"]) == 1
+    flat = warc.resolve_revisits(warc.assemble(spark.createDataFrame(made, warc.RECORD_SCHEMA))).collect()
+    assert [(r["capture_id"], r["page_id"]) for r in flat] == [("<a>", "7")] * 2
+
+
+def test_warc_files_are_bounded_by_bytes(spark, tmp_path):
+    rng = np.random.default_rng(0)
+    large = ["".join(map(chr, rng.integers(33, 120, 3_000_000))) for _ in range(3)]
+    pages = spark.createDataFrame([(i, "u", t) for i, t in enumerate([*large, "small", "x" * 9_000_000])], "page_id long, url string, html string").coalesce(1)
+    warc.write_warc(pages, f"file://{tmp_path}/w", units_per_file=8)
+    assert len([p for p in (tmp_path / "w").iterdir() if p.name.startswith("part-") and p.stat().st_size > 1000]) >= 3
+    got = {r["page_id"]: bytes(r["payload"]).decode() for r in warc.resolve_revisits(warc.assemble(warc.read_warc(spark, f"file://{tmp_path}/w"))).collect()}
+    assert got == {str(i): t for i, t in enumerate([*large, "small", "x" * 9_000_000])}
+
+
 def test_warc_repeated_rows_and_none(spark):
     twice = spark.createDataFrame([(1, "u", "x" * 2000)] * 2 + [(0, "u", "x" * 2000)], "page_id long, url string, html string")
     got = sorted((r["page_id"], r["record_type"], r["refers_to"]) for r in warc.warc_roundtrip(twice).collect())
