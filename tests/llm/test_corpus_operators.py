@@ -476,10 +476,10 @@ def brute_targets(sizes):
     return out
 
 
-@pytest.mark.parametrize("where", ["sf", "odd"])
-def test_mix_meets_its_targets(spark, sf_dir, where):
+@pytest.mark.parametrize(("where", "blocks", "parts"), [("sf", 256, 256), ("sf", 2, 3), ("sf", 1, 1), ("odd", 256, 256)])
+def test_mix_meets_its_targets(spark, sf_dir, where, blocks, parts):
     df = table(spark, sf_dir, "documents") if where == "sf" else odd_docs(spark)
-    mixed = mixing.mix(df).withColumn("taken", mixing.taken_words())
+    mixed = mixing.mix(df, blocks, parts).withColumn("taken", mixing.taken_words())
     got = rows(mixed.select("doc_id", "size", "source_size", "target", "taken"))
     docs = rows(df.select("doc_id", "text", "source"))
     sizes = Counter()
@@ -494,10 +494,36 @@ def test_mix_meets_its_targets(spark, sf_dir, where):
     for (target, size), (taken, _) in by.items():
         same = [s for s in want if sizes[s] == size and math.isclose(want[s], target, abs_tol=1e-4)]
         assert same and abs(taken - len(same) * target) <= len(same)
-    assert sorted(map(str, got)) == sorted(map(str, rows(mixing.mix(df).withColumn("taken", mixing.taken_words()).select("doc_id", "size", "source_size", "target", "taken"))))
+    assert sorted(map(str, got)) == sorted(map(str, rows(mixing.mix(df, blocks, parts).withColumn("taken", mixing.taken_words()).select("doc_id", "size", "source_size", "target", "taken"))))
     assert mixing.mix(df.where("false")).count() == 0
 
 
+def brute_tree(quotas, levels):
+    """The left node's tickets are the smaller half by hash, level by level; shard -> source -> draws."""
+    digest = lambda *x: int(hashlib.md5(":".join("" if p is None else str(p) for p in x).encode()).hexdigest()[:8], 16)
+    nodes = {1: dict(quotas)}
+    for _ in range(levels):
+        below = defaultdict(Counter)
+        for node, of in nodes.items():
+            tickets = sorted((digest(node, s, i), s is None, s or "", i) for s, q in of.items() for i in range(1, q + 1))
+            for k, (_, none, s, _) in enumerate(tickets):
+                below[node * 2 + (k >= (len(tickets) + node % 2) // 2)][None if none else s] += 1
+        nodes = below
+    return {node - (1 << levels): dict(of) for node, of in nodes.items()}
+
+
+def test_shards_of_the_tree_reach_documents_and_files(spark, sf_dir, tmp_path):
+    df = table(spark, sf_dir, "documents")
+    mixed = mixing.mix(df, blocks=16, parts=4)
+    got = rows(mixed.select("doc_id", "source", "draws", mixing.shard_words().alias("s")))
+    for r in got:
+        assert r["s"] == ",".join(f"{d['shard']}:{d['words']}" for d in r["draws"])
+    mixing.write_mix(mixed, df, f"file://{tmp_path}/mix")
+    written = Counter((r["doc_id"], r["shard"], r["words"]) for r in spark.read.parquet(f"file://{tmp_path}/mix").select("doc_id", "shard", "words").collect())
+    assert written == Counter((r["doc_id"], d["shard"], d["words"]) for r in got for d in r["draws"])
+    assert len({s for _, s, _ in written}) == 8
+
+
 def test_splitting_tree_is_exact(spark):
     quotas = {"a": 1000, "b": 37, None: 5, "c": 1}
     got = rows(mixing.split_quotas(spark.createDataFrame(list(quotas.items()), "source string, quota long"), 3))
@@ -505,6 +531,10 @@ def test_splitting_tree_is_exact(spark):
     for s, q in quotas.items():
         mine = sorted((r["first"], r["last"]) for r in got if r["source"] == s)
         assert mine[0][0] == 0 and mine[-1][1] == q and all(a[1] == b[0] for a, b in zip(mine, mine[1:], strict=False))
+    by_shard = defaultdict(dict)
+    for r in got:
+        by_shard[r["shard"]][r["source"]] = r["last"] - r["first"]
+    assert by_shard == brute_tree(quotas, 3)
     for r in got:
         per_shard[r["shard"]] += r["last"] - r["first"]
     assert max(per_shard.values()) - min(per_shard.values()) <= 3 and len(per_shard) == 8

@@ -27,12 +27,25 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM docs LEFT JOIN hit USING (r) LEFT JOIN named USING (r)
 """
 
+
+
+def _halved(level: int) -> str:
+    """The tickets of a level's nodes, ranked by hash; the smaller half goes to the left node of the next level."""
+    h = f"('0x' || md5(node || ':' || coalesce(source, '') || ':' || i)[1:8])::BIGINT"
+    return f"""
+t{level} AS (SELECT node, source, unnest(range(1, quota + 1)) AS i FROM q{level}),
+r{level} AS (
+  SELECT node, source, count(*) OVER (PARTITION BY node) AS total, row_number() OVER (PARTITION BY node ORDER BY {h}, source COLLATE C ASC NULLS LAST, i) AS rn
+  FROM t{level}),
+q{level + 1} AS (SELECT node * 2 + CASE WHEN rn <= (total + node % 2) // 2 THEN 0 ELSE 1 END AS node, source, count(*) AS quota FROM r{level} GROUP BY 1, 2),"""
+
+
 OP9 = r"""
 WITH light AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
          coalesce(doc_id::VARCHAR, md5(text), '') AS name
   FROM documents),
-dealt AS (SELECT *, (('0x' || md5(name)[1:8])::BIGINT % 256)::INTEGER AS block FROM light),
+dealt AS (SELECT *, (('0x' || md5(name)[1:8])::BIGINT % 256)::INTEGER AS block, (('0x' || md5(name)[9:16])::BIGINT % 256)::INTEGER AS part FROM light),
 blocks AS (SELECT source, block, sum(size)::BIGINT AS words FROM dealt GROUP BY ALL),
 sizes AS (SELECT source, sum(words)::BIGINT AS source_size FROM blocks GROUP BY ALL),
 weighed AS (
@@ -43,17 +56,28 @@ levels AS (
   FROM weighed
   WINDOW before AS (ORDER BY cap::DOUBLE / weight, source COLLATE C ASC NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 targets AS (SELECT source, source_size, least(cap::DOUBLE, weight * max(level) OVER ()) AS target FROM levels),
-ranked AS (
-  SELECT b.source, b.block, b.words, source_size, target,
-         coalesce(sum(words) OVER (PARTITION BY b.source ORDER BY ('0x' || md5(coalesce(b.source, '') || ':' || b.block)[1:8])::BIGINT, b.block ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS ahead
+ordered AS (
+  SELECT b.source, b.block, words, source_size, target, ('0x' || md5(coalesce(b.source, '') || ':' || b.block)[1:8])::BIGINT AS hashed, count(*) OVER (PARTITION BY b.source) AS n_blocks
   FROM blocks b JOIN targets t ON b.source IS NOT DISTINCT FROM t.source),
+ranked AS (
+  SELECT *, row_number() OVER line - 1 AS rank, coalesce(sum(words) OVER (line ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS ahead
+  FROM ordered WINDOW line AS (PARTITION BY source ORDER BY hashed, block)),
+drawn AS (
+  SELECT source, block, pass, pass * n_blocks + rank AS draw
+  FROM ranked, (SELECT unnest([0, 1]) AS pass) WHERE words > 0 AND round(target)::BIGINT - pass * source_size - ahead > 0),
+q0 AS (SELECT 1 AS node, source, max(draw) + 1 AS quota FROM drawn GROUP BY source),""" + "".join(_halved(i) for i in range(3)) + r"""
+shards AS (SELECT source, node - 8 AS shard, sum(quota) OVER (PARTITION BY source ORDER BY node) AS upto, quota FROM q3),
+sent AS (SELECT d.source, d.block, d.pass, s.shard FROM drawn d JOIN shards s ON d.source IS NOT DISTINCT FROM s.source AND d.draw >= s.upto - s.quota AND d.draw < s.upto),
+by_block AS (SELECT source, block, max(shard) FILTER (pass = 0) AS s0, max(shard) FILTER (pass = 1) AS s1 FROM sent GROUP BY ALL),
 placed AS (
-  SELECT d.*, source_size, target, words, round(target)::BIGINT - r.ahead AS room,
-         coalesce(sum(size) OVER (PARTITION BY d.source, d.block ORDER BY ('0x' || md5('doc:' || name)[1:8])::BIGINT, name, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before_doc
-  FROM dealt d JOIN ranked r ON d.source IS NOT DISTINCT FROM r.source AND d.block = r.block)
-SELECT doc_id, size, source_size, target,
-       (greatest(0, least(size, room - before_doc)) + greatest(0, least(size, room - source_size - before_doc)))::BIGINT AS taken
-FROM placed
+  SELECT d.*, source_size, target, round(target)::BIGINT AS room, s0, s1,
+         coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY r.hashed, d.block, d.part, ('0x' || md5('doc:' || name)[1:8])::BIGINT, name, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before_doc
+  FROM dealt d JOIN ranked r ON d.source IS NOT DISTINCT FROM r.source AND d.block = r.block
+  LEFT JOIN by_block b ON d.source IS NOT DISTINCT FROM b.source AND d.block = b.block),
+halves AS (SELECT *, greatest(0, least(size, room - before_doc)) AS t0, greatest(0, least(size, room - source_size - before_doc)) AS t1 FROM placed)
+SELECT doc_id, size, source_size, target, (t0 + t1)::BIGINT AS taken,
+       concat_ws(',', CASE WHEN t0 > 0 THEN s0 || ':' || t0 END, CASE WHEN t1 > 0 THEN s1 || ':' || t1 END) AS shards
+FROM halves
 """
 
 SQL = {"op5_decontamination": OP5, "op9_source_mixing": OP9}

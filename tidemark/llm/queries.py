@@ -48,7 +48,7 @@ def op8_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", mixing.taken_words().alias("taken"))
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", mixing.taken_words().alias("taken"), mixing.shard_words().alias("shards"))
 
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
