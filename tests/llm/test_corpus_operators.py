@@ -261,8 +261,8 @@ def brute_classes(docs, threshold=0.8, size=5):
     return sorted(((d["doc_id"], name(least[find(i)]), links[i]) for i, d in enumerate(docs)), key=str)
 
 
-def test_jaccard_matches_brute_force(spark, sf_dir):
-    df = table(spark, sf_dir, "documents")
+def test_jaccard_matches_brute_force(spark):
+    df = table(spark, "/root/testdata/sf0.01", "documents")
     want = brute_classes(rows(df.select("doc_id", "text")))
     assert any(x[2] for x in want)
     assert sorted((tuple(r) for r in jaccard.classes(df).collect()), key=str) == want
@@ -286,7 +286,53 @@ def test_jaccard_odd_rows(spark):
     df = odd_docs(spark)
     assert sorted((tuple(r) for r in jaccard.classes(df).collect()), key=str) == brute_classes(rows(df.select("doc_id", "text")))
     assert jaccard.classes(df.where("false")).count() == 0
-    assert jaccard.forest_depth() == 5 and jaccard.forest_depth(1, 6, 0.5, 0.999) == 1
+    assert jaccard.least_depth() == 5 and jaccard.least_depth(1, 6, 0.5, 0.999) == 1
+
+
+def test_jaccard_links_at_the_threshold_are_found(spark):
+    """Pairs planted at similarities from 0.8 on: the recall is that of the target and the prefixes shorten until then."""
+    rng = np.random.default_rng(7)
+    made = []
+    for i in range(400):
+        n = int(rng.integers(60, 200))
+        w = [f"p{i}w{k}" for k in range(n)]
+        x = list(w)
+        for _ in range(int(rng.integers(1, max(2, n // 45)))):
+            x[int(rng.integers(0, n))] = "changed"
+        made += [" ".join(w), " ".join(x)]
+    df = docs_of(spark, made)
+    want = brute_classes(rows(df.select("doc_id", "text")))
+    linked = {x[0] for x in want if x[2]}
+    levels = []
+    got = [tuple(r) for r in jaccard.classes(df, levels=levels).collect()]
+    assert len(linked) > 300 and len(linked & {x[0] for x in got if x[2]}) >= 0.99 * len(linked)
+    assert levels[0][0] == jaccard.DEPTH and all(a[0] == b[0] + 1 for a, b in zip(levels, levels[1:], strict=False))
+    assert levels[-1][1] >= jaccard.RECALL or levels[-1][0] == jaccard.least_depth()
+
+
+def test_jaccard_chain_is_compared_along_its_length(spark):
+    """Each text of a chain is similar to its neighbours alone: one class, and links of a few."""
+    words = [f"c{k}" for k in range(900)]
+    made = [" ".join(words[i * 8 : i * 8 + 120]) for i in range(95)]
+    df = docs_of(spark, made)
+    got = sorted((tuple(r) for r in jaccard.classes(df, block=4).collect()), key=str)
+    assert got == brute_classes(rows(df.select("doc_id", "text"))) and {x[1] for x in got} == {0}
+
+
+def test_sorted_tries_know_the_longest_shared_prefix(spark):
+    rng = np.random.default_rng(2)
+    signs = [rng.integers(0, 2, jaccard.TREES * jaccard.DEPTH).astype(">u2").tobytes() for _ in range(60)]
+    sets = spark.createDataFrame(list(enumerate(signs)), "num long, signs binary").repartition(1)
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    got = {(r["num"], r["tree"]): r["deep"] for r in jaccard.sorted_matches(sets, 3).collect()}
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    width = jaccard.DEPTH * jaccard.WIDTH
+    for t in range(jaccard.TREES):
+        mine = [s[t * width : (t + 1) * width] for s in signs]
+        for i, a in enumerate(mine):
+            deep = max(next((k for k in range(jaccard.DEPTH) if a[2 * k : 2 * k + 2] != b[2 * k : 2 * k + 2]), jaccard.DEPTH) for j, b in enumerate(mine) if j != i)
+            edge = (t, a, i) in (min((0, b, j) for j, b in enumerate(mine)), max((jaccard.TREES - 1, b, j) for j, b in enumerate(mine)))
+            assert edge or got.get((i, t), 0) == (deep if deep >= 3 else 0)
 
 
 # 5 decontamination

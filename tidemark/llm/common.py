@@ -63,6 +63,12 @@ def drop(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def drop_table(df: DataFrame | None) -> None:
+    """Delete a table that stage() has written and that nothing reads any more."""
+    for folder in {f.rpartition("/")[0] for f in df.inputFiles()} if df is not None else ():
+        drop(df.sparkSession, folder)
+
+
 def drop_staged(spark: SparkSession) -> None:
     """Delete what this application has staged; results that were not written elsewhere are lost."""
     drop(spark, staged_dir(spark))

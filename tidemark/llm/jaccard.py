@@ -1,9 +1,13 @@
 """N-gram Jaccard self-join: a MinHash LSH forest proposes, exact shingle sets decide.
 
-Texts with equal shingle sets are one class from the start. Each of the forest's trees is a prefix trie over a short
-sequence of minhashes; two sets meet in a tree if they share a prefix. The prefix is shortened, level by level from the
-full depth, until the chance that two sets at the threshold meet in some tree reaches the target recall. Sets that meet
-form candidate groups; within a group, sets are compared exactly, block against block.
+Texts with equal shingle sets are one set from the start. A set has a signature of DEPTH minhashes in each of TREES trees.
+The signatures of a tree, sorted, are its prefix trie: sets under one node are a run, and the prefix that a set shares
+with its neighbours in the order is the longest that it shares with any. Sets that share a prefix of at least d are
+candidates; they are compared exactly, block against block, where blocks are runs of the trie's order too.
+
+The prefixes start at full length and shorten step by step. After each step the recall is estimated from the links
+themselves: a link of similarity s meets at depth d with a known chance p, so it stands for 1 / p links. The steps end when
+that estimate reaches the target, or at the depth where even links at the threshold are met with that chance.
 """
 
 from __future__ import annotations
@@ -16,20 +20,27 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import hash_spans, hash_windows, mix, stage, text_bytes, text_slices, word_bounds
+from .common import drop_table, hash_spans, hash_windows, mix, stage, text_bytes, text_slices, word_bounds
 
 SHINGLE = 5
 THRESHOLD = 0.8
-TREES, DEPTH, RECALL = 24, 6, 0.9999
-#: Sets in one side of a comparison; a candidate group of any size is cut in blocks of about this many.
+TREES, DEPTH, RECALL = 24, 8, 0.9999
+#: Sets in one side of a comparison.
 BLOCK = 96
+#: Bytes of a minhash in a signature.
+WIDTH = 2
 _U = np.uint64
 _BASE = 0xC2B2AE3D27D4EB4F
 
 
-def forest_depth(trees: int = TREES, depth: int = DEPTH, threshold: float = THRESHOLD, recall: float = RECALL) -> int:
-    """The longest prefix at which sets of Jaccard `threshold` meet in one of the trees with chance `recall`; at least 1."""
-    while depth > 1 and 1 - (1 - threshold**depth) ** trees < recall:
+def meeting_chance(s, depth: int, trees: int = TREES):
+    """The chance that sets of similarity s share a prefix of `depth` minhashes in one of the trees."""
+    return 1 - (1 - s**depth) ** trees
+
+
+def least_depth(trees: int = TREES, depth: int = DEPTH, threshold: float = THRESHOLD, recall: float = RECALL) -> int:
+    """The longest prefix at which sets of Jaccard `threshold` meet with chance `recall`; at least 1."""
+    while depth > 1 and meeting_chance(threshold, depth, trees) < recall:
         depth -= 1
     return depth
 
@@ -56,7 +67,7 @@ def shingles(batch: pa.RecordBatch, size: int = SHINGLE) -> tuple[np.ndarray, np
 
 
 def sketch(docs: DataFrame, depth: int, trees: int = TREES, size: int = SHINGLE) -> DataFrame:
-    """doc_id, text_hash, set_id (a digest of the shingle set, null without words) and nodes (its place in each tree)."""
+    """doc_id, text_hash, set_id (a digest of the shingle set, null without words) and signs (its signatures, tree by tree)."""
     rng = np.random.default_rng(19)
     odd = rng.integers(0, 1 << 63, trees * depth, dtype=np.int64).astype(_U) * _U(2) + _U(1)
     kind = dict(docs.dtypes)["doc_id"]
@@ -68,22 +79,58 @@ def sketch(docs: DataFrame, depth: int, trees: int = TREES, size: int = SHINGLE)
                 found, owner = shingles(part, size)
                 some, at = np.unique(owner, return_index=True)
                 ids: list[bytes | None] = [None] * n
-                nodes = np.zeros((n, trees), np.int64)
+                signs: list[bytes | None] = [None] * n
                 if len(some):
                     a, b = np.add.reduceat(mix(found), at), np.add.reduceat(mix(found ^ _U(_BASE)), at)
                     count = np.diff(np.append(at, len(found)))
+                    least = np.empty((len(some), trees * depth), ">u2")
+                    for k in range(trees * depth):
+                        least[:, k] = mix(np.minimum.reduceat(found * odd[k], at)) >> _U(48)
                     for i, row in enumerate(some):
                         ids[row] = hashlib.blake2b(a[i].tobytes() + b[i].tobytes() + count[i].tobytes(), digest_size=16).digest()
-                    for t in range(trees):
-                        node = np.full(len(some), t + 1, _U)
-                        for j in range(depth):
-                            node = mix(node) + np.minimum.reduceat(found * odd[t * depth + j], at)
-                        nodes[some, t] = mix(node).view(np.int64)
-                lists = pa.ListArray.from_arrays(pa.array(np.arange(0, (n + 1) * trees, trees, dtype=np.int32)), pa.array(nodes.ravel()))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("text_hash"), pa.array(ids, pa.binary()), lists], ["doc_id", "text_hash", "set_id", "nodes"])
+                        signs[row] = least[i].tobytes()
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("text_hash"), pa.array(ids, pa.binary()), pa.array(signs, pa.binary())], ["doc_id", "text_hash", "set_id", "signs"])
 
     rows = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
-    return rows.mapInArrow(run, f"doc_id {kind}, text_hash long, set_id binary, nodes array<long>")
+    return rows.mapInArrow(run, f"doc_id {kind}, text_hash long, set_id binary, signs binary")
+
+
+def sorted_matches(sets: DataFrame, least: int, depth: int = DEPTH, trees: int = TREES) -> DataFrame:
+    """(num, tree, sign, deep) of sets (num, signs) that share a prefix of `least` minhashes or more with another set.
+
+    deep is the length of the longest prefix that the set shares in the tree. Each tree is sorted as a whole, by ranges of
+    (tree, signature, number), so a prefix that very many sets share is spread over as many tasks as it needs; every row looks at
+    its two neighbours only. A row at the edge of a range counts as matched, whether or not its neighbour beyond matches.
+    """
+    width = depth * WIDTH
+    numbers = F.sequence(F.lit(0), F.lit(trees - 1))
+    each = sets.select("num", F.posexplode(F.transform(numbers, lambda t: F.substring("signs", t * width + 1, F.lit(width)))).alias("tree", "sign"))
+    line = each.repartitionByRange("tree", "sign", "num").sortWithinPartitions("tree", "sign", "num")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, before = None, depth  # the last row, which still waits for its right neighbour, and its match to the left
+
+        def out(rows: pa.Table, deep: np.ndarray) -> pa.RecordBatch:
+            hit = deep >= least
+            kept = rows.filter(pa.array(hit)).combine_chunks()
+            return pa.RecordBatch.from_arrays([*(kept.column(c).combine_chunks() for c in ("num", "tree", "sign")), pa.array(deep[hit], pa.int32())], ["num", "tree", "sign", "deep"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = pa.Table.from_batches([batch])
+            if held is not None:
+                rows = pa.concat_tables([held, rows]).combine_chunks()
+            sign = np.frombuffer(b"".join(rows.column("sign").to_pylist()), ">u2").reshape(-1, depth)
+            tree = rows.column("tree").to_numpy()
+            shared = np.where(tree[1:] == tree[:-1], np.cumprod(sign[1:] == sign[:-1], axis=1, dtype=np.int64).sum(axis=1), 0)
+            left = np.concatenate([[before], shared])
+            yield out(rows.slice(0, len(rows) - 1), np.maximum(left[:-1], shared))
+            held, before = rows.slice(len(rows) - 1), int(left[-1])
+        if held is not None:
+            yield out(held, np.array([depth]))
+
+    return line.mapInArrow(run, "num long, tree int, sign binary, deep int")
 
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
@@ -97,6 +144,7 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     left = stage(edges.select("a", "b").where("a <> b").distinct(), "edges")
     labels = None
     for _ in range(rounds):
+        old = (left, labels)
         near = left.select("a", "b").union(left.select("b", "a")).groupBy(F.col("a").alias("node")).agg(F.min("b").alias("near"))
         step = stage(near.select("node", F.least("node", "near").alias("to")), "steps")
         moved = step.join(step.select(F.col("node").alias("to"), F.col("to").alias("on")), "to", "left").select("node", F.coalesce("on", "to").alias("root"))
@@ -107,15 +155,18 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         labels = stage(labels, "labels")
         a, b = moved.select(F.col("node").alias("a"), F.col("root").alias("_a")), moved.select(F.col("node").alias("b"), F.col("root").alias("_b"))
         left = stage(left.join(a, "a").join(b, "b").select(F.col("_a").alias("a"), F.col("_b").alias("b")).where("a <> b").distinct(), "edges")
+        for written in (*old, step):
+            drop_table(written)
         if left.isEmpty():
             return labels
     raise RuntimeError(f"edges are left after {rounds} rounds")
 
 
-def _compare(threshold: float, size: int):
-    """Stream groups (cluster, i, j) of sets; per group and set: links, and a link to the smallest set it is tied to."""
+def _compare(threshold: float, size: int, depth: int, trees: int):
+    """Stream groups (i, j) of sets; per group and set: links, a link to the smallest set it is tied to, and how many links
+    of sets it has and stands for."""
 
-    def group(ids: list[bytes], sides: np.ndarray, members: np.ndarray, texts: list[str], same: bool) -> Iterator[tuple]:
+    def group(ids: list[bytes], sides: np.ndarray, roots: np.ndarray, members: np.ndarray, texts: list[str], same: bool) -> Iterator[tuple]:
         found, owner = shingles(pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"]), size)
         n = len(ids)
         sizes = np.bincount(owner, minlength=n)
@@ -135,7 +186,7 @@ def _compare(threshold: float, size: int):
                 x[doc[a:b], number[a:b] - low] = 1
                 meet += x @ x.T
         union = sizes[:, None] + sizes[None, :] - meet
-        linked = (meet >= threshold * union - 1e-6) & (union > 0)
+        linked = (meet >= threshold * union - 1e-6) & (union > 0) & (roots[:, None] == roots[None, :])
         np.fill_diagonal(linked, False)
         if not same:
             linked &= sides[:, None] != sides[None, :]
@@ -148,8 +199,9 @@ def _compare(threshold: float, size: int):
                 break
             root = new
         links = linked.astype(np.int64) @ members
+        stands_for = np.where(linked, 1 / meeting_chance(np.clip(meet / np.maximum(union, 1), threshold, 1).astype(float), depth, trees), 0).sum(axis=1)
         for i in np.flatnonzero(links):
-            yield ids[i], int(links[i]), ids[root[i]]
+            yield ids[i], int(links[i]), ids[root[i]], int(linked[i].sum()), float(stands_for[i])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held, out = None, {}, []
@@ -157,19 +209,21 @@ def _compare(threshold: float, size: int):
         def close() -> None:
             if len(held) > 1:
                 ids = sorted(held)
-                out.extend(group(ids, np.array([held[x][0] for x in ids]), np.array([held[x][1] for x in ids], np.int64), [held[x][2] for x in ids], key[1] == key[2]))
+                side, root, members, texts = zip(*(held[x] for x in ids), strict=True)
+                out.extend(group(ids, np.array(side), np.array(root), np.array(members, np.int64), list(texts), key[0] == key[1]))
 
         def made() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.binary(), pa.int64(), pa.binary()), strict=True)], ["set_id", "links", "tied"])
+            types = (pa.binary(), pa.int64(), pa.binary(), pa.int64(), pa.float64())
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], ["set_id", "links", "tied", "met", "stands_for"])
 
         for batch in batches:
-            cols = [batch.column(c).to_pylist() for c in ("cluster", "i", "j", "set_id", "block", "members")]
+            cols = [batch.column(c).to_pylist() for c in ("i", "j", "set_id", "block", "root", "members")]
             texts = batch.column("text")
-            for k, (cluster, i, j, set_id, block, members) in enumerate(zip(*cols, strict=True)):
-                if (cluster, i, j) != key:
+            for k, (i, j, set_id, block, root, members) in enumerate(zip(*cols, strict=True)):
+                if (i, j) != key:
                     close()
-                    key, held = (cluster, i, j), {}
-                held.setdefault(set_id, (block, members, texts[k].as_py()))
+                    key, held = (i, j), {}
+                held.setdefault(set_id, (block, root, members, texts[k].as_py()))
             if len(out) > 4096:
                 yield made()
                 out = []
@@ -180,46 +234,66 @@ def _compare(threshold: float, size: int):
     return run
 
 
-def classes(docs: DataFrame, threshold: float = THRESHOLD, trees: int = TREES, depth: int = DEPTH, recall: float = RECALL, block: int = BLOCK, size: int = SHINGLE) -> DataFrame:
+def _links_at(level: int, matches: DataFrame, candidates: DataFrame, threshold: float, trees: int, block: int, size: int) -> DataFrame:
+    """Exact links of the candidates that share a prefix of `level` minhashes: set_id, links, tied, met, stands_for."""
+    nodes = matches.where(F.col("deep") >= level).select("num", F.xxhash64("tree", F.substring("sign", 1, level * WIDTH)).alias("node"))
+    hubs = nodes.groupBy("node").agg(F.min("num").alias("hub"), F.count("*").alias("n")).where("n > 1").select("node", "hub")
+    star = nodes.join(hubs, "node").where("num > hub").select(F.col("num").alias("a"), F.col("hub").alias("b")).distinct()
+    groups = components(star).withColumnRenamed("node", "num")
+    # groups side by side, and within a group in the order of the first tree; a block is a run of that order
+    line = candidates.select("num", "set_id", "sign").join(groups, "num").repartitionByRange("root", "sign", "set_id").sortWithinPartitions("root", "sign", "set_id")
+    placed = stage(line.select("num", "set_id", "root", F.floor(F.monotonically_increasing_id() / block).alias("block")), "blocks")
+    alone = placed.groupBy(F.col("block").alias("i")).agg(F.count("*").alias("n")).where("n > 1").select("i", F.col("i").alias("j"))
+    met = nodes.join(placed.select("num", "block"), "num").select("node", "block").distinct().groupBy("node").agg(F.sort_array(F.collect_list("block")).alias("blocks")).where("size(blocks) > 1")
+    later = F.transform("blocks", lambda x, k: F.transform(F.slice("blocks", k + 2, F.size("blocks")), lambda y: F.struct(x.alias("i"), y.alias("j"))))
+    across = met.select(F.explode(later).alias("x")).select(F.explode("x").alias("x")).select("x.i", "x.j").distinct()
+    pairs = alone.unionByName(across)
+    dealt = pairs.select("i", "j", F.col("i").alias("block")).unionByName(pairs.where("i < j").select("i", "j", F.col("j").alias("block")))
+    rows = dealt.join(placed.select("set_id", "root", "block"), "block").join(candidates.select("set_id", "members", "text"), "set_id").select("i", "j", "set_id", "block", "root", "members", "text")
+    streamed = rows.repartition("i", "j").sortWithinPartitions("i", "j")
+    return stage(streamed.mapInArrow(_compare(threshold, size, level, trees), "set_id binary, links long, tied binary, met long, stands_for double"), "compared")
+
+
+def classes(
+    docs: DataFrame, threshold: float = THRESHOLD, trees: int = TREES, depth: int = DEPTH, recall: float = RECALL, block: int = BLOCK, size: int = SHINGLE, levels: list | None = None
+) -> DataFrame:
     """Per row of docs: doc_id, class_id, n_links.
 
     Texts are linked if the Jaccard similarity of their sets of `size`-word shingles is at least threshold. class_id is the
     smallest doc_id that links lead to; n_links is the number of other rows that this row is linked to itself. Texts
     without words (null, empty) are linked to nothing and are their own class. A null doc_id is larger than any other; a
-    class that has no other id has a null class_id. Rows that share an id count apart.
+    class that has no other id has a null class_id. Rows that share an id count apart. levels, if given, gets (depth, estimated recall) of
+    each step.
 
-    Groups: equal sets are counted before the shuffle and appear once from then on. A trie node only passes on its
-    smallest set and its size. Candidate groups are cut in hashed blocks of about `block` sets and each pair of blocks is
-    a small task group, so a group of near copies of any size is spread over the tasks; what comes out of a pair of
-    blocks is a row per set, not a row per pair.
+    Groups: equal sets are counted before the shuffle and appear once from then on. Only sets that share a prefix of the
+    least depth leave the sorted tries, and their texts are fetched once. Candidates are cut in blocks of `block` sets,
+    runs in the order of a trie, and only blocks that share a node are compared, so a long chain of near copies is compared along its
+    length; what comes out of a comparison is a row per set, not a row per pair. Counting the links of n sets that are all
+    similar to each other does take n * n / (2 * block * block) comparisons of blocks, spread over the tasks.
     """
-    shortened = forest_depth(trees, depth, threshold, recall)
-    sketches = stage(sketch(docs, shortened, trees, size), "sketches")
+    least = least_depth(trees, depth, threshold, recall)
+    sketches = stage(sketch(docs, depth, trees, size), "sketches")
     worded = sketches.where("set_id is not null")
     first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
-    sets = stage(worded.groupBy("set_id").agg(F.min(first).alias("first"), F.count("*").alias("members"), F.first("nodes").alias("nodes")), "sets")
-    places = sets.select("set_id", F.explode("nodes").alias("node"))
-    hubs = places.groupBy("node").agg(F.min("set_id").alias("hub"), F.count("*").alias("n")).where("n > 1").select("node", "hub")
-    star = places.join(hubs, "node").where("set_id > hub").select(F.col("set_id").alias("a"), F.col("hub").alias("b")).distinct()
-    groups = components(star)
-    blocks = groups.groupBy("root").agg(F.ceil(F.count("*") / F.lit(block)).cast("int").alias("blocks"))
-    mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    placed = (
-        groups.join(blocks, "root")
-        .select(F.col("root").alias("cluster"), F.col("node").alias("set_id"), mine.alias("block"), "blocks")
-        .join(sets.select("set_id", "first", "members"), "set_id")
-        .select("cluster", "set_id", "block", "blocks", "members", F.col("first.doc_id").alias("doc_id"), F.col("first.text_hash").alias("text_hash"))
-    )
+    sets = worded.groupBy("set_id").agg(F.min(first).alias("first"), F.count("*").alias("members"), F.first("signs").alias("signs"))
+    sets = stage(sets.withColumn("num", F.xxhash64("set_id")), "sets")
+    matches = stage(sorted_matches(sets.select("num", "signs"), least, depth, trees), "matches")
     key = [F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_id"), "text_hash"]
-    texts = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").select(*key, "text")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    pairs = (
-        texts.join(placed.select("cluster", "set_id", "block", "blocks", "members", *key).hint("shuffle_hash"), ["_id", "text_hash"])
-        .select("cluster", "set_id", "block", "members", "text", other)
-        .select("cluster", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "set_id", "block", "members", "text")
+    met = sets.join(matches.select("num").distinct(), "num").select(
+        "num", "set_id", "members", F.substring("signs", 1, depth * WIDTH).alias("sign"), F.coalesce(F.col("first.doc_id").cast("string"), F.lit("")).alias("_id"), F.col("first.text_hash").alias("text_hash")
     )
-    streamed = pairs.repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
-    compared = stage(streamed.mapInArrow(_compare(threshold, size), "set_id binary, links long, tied binary"), "compared")
+    met = stage(met, "met")
+    texts = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").select(*key, "text")
+    found = texts.join(met.hint("shuffle_hash"), ["_id", "text_hash"]).groupBy("set_id").agg(F.first("num").alias("num"), F.first("members").alias("members"), F.first("sign").alias("sign"), F.first("text").alias("text"))
+    candidates = stage(found, "candidates")
+    for level in range(depth, least - 1, -1):
+        compared = _links_at(level, matches, candidates, threshold, trees, block, size)
+        seen = compared.agg(F.sum("met").alias("met"), F.sum("stands_for").alias("all")).first()
+        reached = seen["met"] / seen["all"] if seen["met"] else 1.0
+        if levels is not None:
+            levels.append((level, reached))
+        if seen["met"] and reached >= recall:
+            break
     tied = components(compared.where("set_id > tied").select(F.col("set_id").alias("a"), F.col("tied").alias("b")))
     links = compared.groupBy("set_id").agg(F.sum("links").alias("links"))
     rooted = sets.join(tied.withColumnRenamed("node", "set_id"), "set_id", "left").join(links, "set_id", "left").select("set_id", "first", "members", F.coalesce("root", "set_id").alias("root"), F.coalesce("links", F.lit(0)).alias("links"))
