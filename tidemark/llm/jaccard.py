@@ -162,96 +162,162 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     raise RuntimeError(f"edges are left after {rounds} rounds")
 
 
-def _compare(threshold: float, size: int, depth: int, trees: int):
-    """Stream groups (i, j) of sets; per group and set: links, a link to the smallest set it is tied to, and how many links
-    of sets it has and stands for."""
+_PACK = "block long, nums array<long>, set_ids binary, members binary, signs binary, sizes binary, shingles binary, counts binary, owners binary"
+_PACK_TYPES = [pa.int64(), pa.list_(pa.int64()), *[pa.binary()] * 7]
 
-    def group(ids: list[bytes], sides: np.ndarray, roots: np.ndarray, members: np.ndarray, texts: list[str], same: bool) -> Iterator[tuple]:
+
+def _packed(size: int):
+    """One row per block of sets, which come sorted by block: the distinct shingles, sorted, and which sets hold each."""
+
+    def pack(block: int, rows: list[tuple]) -> tuple:
+        nums, ids, members, signs, texts = zip(*rows, strict=True)
         found, owner = shingles(pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"]), size)
-        n = len(ids)
-        sizes = np.bincount(owner, minlength=n)
         order = np.argsort(found, kind="stable")
-        value, doc = found[order], owner[order]
-        fresh = np.append(True, value[1:] != value[:-1])[: len(value)]
-        number = np.cumsum(fresh) - 1
-        shared = np.bincount(number)[number] > 1
-        doc, number = doc[shared], number[shared]
-        meet = np.zeros((n, n), np.float32)
-        if len(doc):
-            number = np.cumsum(np.append(True, number[1:] != number[:-1])) - 1
-            step = min(int(number[-1]) + 1, max(64, (1 << 20) // n))
-            for low in range(0, int(number[-1]) + 1, step):
-                a, b = np.searchsorted(number, (low, low + step))
-                x = np.zeros((n, step), np.float32)
-                x[doc[a:b], number[a:b] - low] = 1
-                meet += x @ x.T
-        union = sizes[:, None] + sizes[None, :] - meet
-        linked = (meet >= threshold * union - 1e-6) & (union > 0) & (roots[:, None] == roots[None, :])
-        np.fill_diagonal(linked, False)
-        if not same:
-            linked &= sides[:, None] != sides[None, :]
-        root = np.arange(n)
-        while True:  # smallest index in reach; groups are small
-            near = np.where(linked, root[None, :], n).min(axis=1, initial=n)
-            new = np.minimum(root, near)
-            new = new[new]
-            if (new == root).all():
-                break
-            root = new
-        links = linked.astype(np.int64) @ members
-        stands_for = np.where(linked, 1 / meeting_chance(np.clip(meet / np.maximum(union, 1), threshold, 1).astype(float), depth, trees), 0).sum(axis=1)
-        for i in np.flatnonzero(links):
-            yield ids[i], int(links[i]), ids[root[i]], int(linked[i].sum()), float(stands_for[i])
+        values, counts = np.unique(found[order], return_counts=True)
+        sizes = np.bincount(owner, minlength=len(rows))
+        return (
+            block, list(nums), b"".join(ids), np.array(members, np.int64).tobytes(), b"".join(signs), sizes.astype(np.int64).tobytes(),
+            values.tobytes(), counts.astype(np.uint32).tobytes(), owner[order].astype(np.uint32).tobytes(),
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held, out = None, {}, []
-
-        def close() -> None:
-            if len(held) > 1:
-                ids = sorted(held)
-                side, root, members, texts = zip(*(held[x] for x in ids), strict=True)
-                out.extend(group(ids, np.array(side), np.array(root), np.array(members, np.int64), list(texts), key[0] == key[1]))
+        of, held = None, []
 
         def made() -> pa.RecordBatch:
-            types = (pa.binary(), pa.int64(), pa.binary(), pa.int64(), pa.float64())
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], ["set_id", "links", "tied", "met", "stands_for"])
+            return pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip(pack(of, held), _PACK_TYPES, strict=True)], [x.split()[0] for x in _PACK.split(", ")])
 
         for batch in batches:
-            cols = [batch.column(c).to_pylist() for c in ("i", "j", "set_id", "block", "root", "members")]
-            texts = batch.column("text")
-            for k, (i, j, set_id, block, root, members) in enumerate(zip(*cols, strict=True)):
-                if (i, j) != key:
-                    close()
-                    key, held = (i, j), {}
-                held.setdefault(set_id, (block, root, members, texts[k].as_py()))
-            if len(out) > 4096:
-                yield made()
-                out = []
-        close()
-        if out:
+            for block, *row in zip(*(batch.column(c).to_pylist() for c in ("block", "num", "set_id", "members", "signs", "text")), strict=True):
+                if held and block != of:
+                    yield made()
+                    held = []
+                of = block
+                held.append(tuple(row))
+        if held:
             yield made()
 
     return run
 
 
-def _links_at(level: int, matches: DataFrame, candidates: DataFrame, threshold: float, trees: int, block: int, size: int) -> DataFrame:
-    """Exact links of the candidates that share a prefix of `level` minhashes: set_id, links, tied, met, stands_for."""
-    nodes = matches.where(F.col("deep") >= level).select("num", F.xxhash64("tree", F.substring("sign", 1, level * WIDTH)).alias("node"))
-    hubs = nodes.groupBy("node").agg(F.min("num").alias("hub"), F.count("*").alias("n")).where("n > 1").select("node", "hub")
-    star = nodes.join(hubs, "node").where("num > hub").select(F.col("num").alias("a"), F.col("hub").alias("b")).distinct()
-    groups = components(star).withColumnRenamed("node", "num")
-    # groups side by side, and within a group in the order of the first tree; a block is a run of that order
-    line = candidates.select("num", "set_id", "sign").join(groups, "num").repartitionByRange("root", "sign", "set_id").sortWithinPartitions("root", "sign", "set_id")
-    placed = stage(line.select("num", "set_id", "root", F.floor(F.monotonically_increasing_id() / block).alias("block")), "blocks")
-    alone = placed.groupBy(F.col("block").alias("i")).agg(F.count("*").alias("n")).where("n > 1").select("i", F.col("i").alias("j"))
-    met = nodes.join(placed.select("num", "block"), "num").select("node", "block").distinct().groupBy("node").agg(F.sort_array(F.collect_list("block")).alias("blocks")).where("size(blocks) > 1")
+class _Block:
+    """A side of a comparison, read from a pack."""
+
+    def __init__(self, row: dict, depth: int, trees: int):
+        self.ids = [row["set_ids"][k : k + 16] for k in range(0, len(row["set_ids"]), 16)]
+        self.members, self.sizes = np.frombuffer(row["members"], np.int64), np.frombuffer(row["sizes"], np.int64)
+        self.signs = np.frombuffer(row["signs"], ">u2").reshape(len(self.ids), trees, depth)
+        self.values, counts = np.frombuffer(row["shingles"], _U), np.frombuffer(row["counts"], np.uint32)
+        self.at, self.owners = np.repeat(np.arange(len(counts)), counts), np.frombuffer(row["owners"], np.uint32)
+
+    def columns(self, which: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """(set, place in which) of each entry whose shingle is one of which, in order of place."""
+        place = np.full(len(self.values), -1)
+        place[which] = np.arange(n)
+        at = place[self.at]
+        return self.owners[at >= 0], at[at >= 0]
+
+
+def _met_at(a: _Block, b: _Block, level: int, depth: int) -> np.ndarray:
+    """Which sets of a and b share a prefix of just `level` minhashes at the longest, over all trees."""
+    deep = np.zeros((len(a.ids), len(b.ids)), np.int8)
+    for t in range(a.signs.shape[1]):
+        same = np.ones(deep.shape, bool)
+        for k in range(min(depth, level + 1)):
+            same &= a.signs[:, t, k][:, None] == b.signs[:, t, k][None, :]
+            if k >= level - 1:
+                np.maximum(deep, same * np.int8(k + 1), out=deep)
+    return deep == level
+
+
+def _shared(a: _Block, b: _Block) -> np.ndarray:
+    """How many shingles each set of a shares with each set of b, by products of 0-1 matrices."""
+    _, of_a, of_b = np.intersect1d(a.values, b.values, assume_unique=True, return_indices=True)
+    n, meet = len(of_a), np.zeros((len(a.ids), len(b.ids)), np.float32)
+    (rows_a, at_a), (rows_b, at_b) = a.columns(of_a, n), b.columns(of_b, n)
+    step = max(64, (1 << 20) // max(len(a.ids), len(b.ids)))
+    for low in range(0, n, step):
+        x, y = np.zeros((len(a.ids), step), np.float32), np.zeros((len(b.ids), step), np.float32)
+        for m, rows, at in ((x, rows_a, at_a), (y, rows_b, at_b)):
+            i, j = np.searchsorted(at, (low, low + step))
+            m[rows[i:j], at[i:j] - low] = 1
+        meet += x @ y.T
+    return meet
+
+
+def _compare(threshold: float, level: int, depth: int, least: int, trees: int):
+    """Stream pairs of packs; per task and set: links, the smallest set that the task has tied it to, how many links of
+    sets it has, and how many those stand for at each depth."""
+    names = ["set_id", "links", "tied", "met", *[f"all_{d}" for d in range(least, depth + 1)]]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tied: dict[bytes, bytes] = {}
+        sums: dict[bytes, np.ndarray] = {}
+
+        def root(x: bytes) -> bytes:
+            while (up := tied.setdefault(x, x)) != x:
+                tied[x] = tied[up]
+                x = up
+            return x
+
+        def out() -> pa.RecordBatch:
+            ids = list(sums)
+            of = np.stack([sums[x] for x in ids])
+            counted = [pa.array(ids, pa.binary()), pa.array(of[:, 0].astype(np.int64)), pa.array([root(x) for x in ids], pa.binary()), pa.array(of[:, 1].astype(np.int64))]
+            return pa.RecordBatch.from_arrays([*counted, *(pa.array(of[:, k]) for k in range(2, of.shape[1]))], names)
+
+        for batch in batches:
+            for k in range(batch.num_rows):
+                row = {c: batch.column(c)[k].as_py() for c in batch.schema.names}
+                same = row["i"] == row["j"]
+                a = _Block({c[2:]: v for c, v in row.items() if c.startswith("a_")}, depth, trees)
+                b = a if same else _Block({c[2:]: v for c, v in row.items() if c.startswith("b_")}, depth, trees)
+                met = _met_at(a, b, level, depth)
+                if same:
+                    np.fill_diagonal(met, False)
+                if not met.any():
+                    continue
+                meet = _shared(a, b)
+                union = a.sizes[:, None] + b.sizes[None, :] - meet
+                linked = met & (meet >= threshold * union - 1e-6)
+                s = np.clip(meet / union, threshold, 1).astype(float)
+                stands = [np.where(linked, 1 / meeting_chance(s, d, trees), 0) for d in range(least, depth + 1)]
+                for side, other, axis in ((a, b, 1),) if same else ((a, b, 1), (b, a, 0)):
+                    counted = np.stack([(linked @ other.members if axis else a.members @ linked), linked.sum(axis=axis), *(w.sum(axis=axis) for w in stands)], axis=1).astype(float)
+                    for i in np.flatnonzero(counted[:, 1]):
+                        x = side.ids[i]
+                        sums[x] = sums[x] + counted[i] if x in sums else counted[i]
+                for i, j in _spanning(linked):
+                    x, y = root(a.ids[i]), root(b.ids[j])
+                    tied[max(x, y)] = min(x, y)
+            if len(sums) > 100_000:
+                yield out()
+                sums, tied = {}, {}
+        if sums:
+            yield out()
+
+    return run, "set_id binary, links long, tied binary, met long, " + ", ".join(f"{c} double" for c in names[4:])
+
+
+def _spanning(linked: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Links that tie together all that linked ties together: each row's first link, and each column's."""
+    for axis in (1, 0):
+        some = np.flatnonzero(linked.any(axis=axis))
+        for k, first in zip(some, linked.argmax(axis=axis)[some], strict=True):
+            yield (int(k), int(first)) if axis else (int(first), int(k))
+
+
+def _nodes(matches: DataFrame, level: int) -> DataFrame:
+    """(num, node) of the matched sets' trie nodes at a depth."""
+    return matches.where(F.col("deep") >= level).select("num", F.xxhash64("tree", F.substring("sign", 1, level * WIDTH)).alias("node"))
+
+
+def _block_pairs(nodes: DataFrame, placed: DataFrame) -> DataFrame:
+    """Blocks (i, j), i <= j, of which some sets share a node; a node passes on its distinct blocks and not its sets."""
+    held = nodes.join(placed, "num").groupBy("node", "block").agg(F.count("*").alias("n"))
+    inside = held.where("n > 1").select(F.col("block").alias("i"), F.col("block").alias("j"))
+    met = held.groupBy("node").agg(F.sort_array(F.collect_list("block")).alias("blocks")).where("size(blocks) > 1").select("blocks").distinct()
     later = F.transform("blocks", lambda x, k: F.transform(F.slice("blocks", k + 2, F.size("blocks")), lambda y: F.struct(x.alias("i"), y.alias("j"))))
-    across = met.select(F.explode(later).alias("x")).select(F.explode("x").alias("x")).select("x.i", "x.j").distinct()
-    pairs = alone.unionByName(across)
-    dealt = pairs.select("i", "j", F.col("i").alias("block")).unionByName(pairs.where("i < j").select("i", "j", F.col("j").alias("block")))
-    rows = dealt.join(placed.select("set_id", "root", "block"), "block").join(candidates.select("set_id", "members", "text"), "set_id").select("i", "j", "set_id", "block", "root", "members", "text")
-    streamed = rows.repartition("i", "j").sortWithinPartitions("i", "j")
-    return stage(streamed.mapInArrow(_compare(threshold, size, level, trees), "set_id binary, links long, tied binary, met long, stands_for double"), "compared")
+    return inside.unionByName(met.select(F.explode(later).alias("x")).select(F.explode("x").alias("x")).select("x.i", "x.j")).distinct()
 
 
 def classes(
@@ -262,14 +328,16 @@ def classes(
     Texts are linked if the Jaccard similarity of their sets of `size`-word shingles is at least threshold. class_id is the
     smallest doc_id that links lead to; n_links is the number of other rows that this row is linked to itself. Texts
     without words (null, empty) are linked to nothing and are their own class. A null doc_id is larger than any other; a
-    class that has no other id has a null class_id. Rows that share an id count apart. levels, if given, gets (depth, estimated recall) of
-    each step.
-
-    Groups: equal sets are counted before the shuffle and appear once from then on. Only sets that share a prefix of the
-    least depth leave the sorted tries, and their texts are fetched once. Candidates are cut in blocks of `block` sets,
-    runs in the order of a trie, and only blocks that share a node are compared, so a long chain of near copies is compared along its
-    length; what comes out of a comparison is a row per set, not a row per pair. Counting the links of n sets that are all
-    similar to each other does take n * n / (2 * block * block) comparisons of blocks, spread over the tasks.
+    class that has no other id has a null class_id. Rows that share an id count apart. levels, if given, gets (depth,
+    estimated recall) of each step.
+
+    Equal sets are counted before the shuffle and appear once from then on. Only sets that share a prefix of the least
+    depth leave the sorted tries, and their texts are fetched once. They are cut in blocks of `block` sets, runs in the
+    order of their group and of a trie, and a block is one row from then on: its sets' shingles, each once. A step
+    compares only blocks that share a node of its depth, so a long chain of near copies is compared along its length, and
+    of those only the sets whose longest shared prefix is of that depth; each task adds up what it finds by set. Counting
+    the links of n sets that are all similar to each other does take n * n / (2 * block * block) rows and matrix
+    products, spread over the tasks.
     """
     least = least_depth(trees, depth, threshold, recall)
     sketches = stage(sketch(docs, depth, trees, size), "sketches")
@@ -278,17 +346,25 @@ def classes(
     sets = worded.groupBy("set_id").agg(F.min(first).alias("first"), F.count("*").alias("members"), F.first("signs").alias("signs"))
     sets = stage(sets.withColumn("num", F.xxhash64("set_id")), "sets")
     matches = stage(sorted_matches(sets.select("num", "signs"), least, depth, trees), "matches")
+    nodes = _nodes(matches, least)
+    hubs = nodes.groupBy("node").agg(F.min("num").alias("hub"), F.count("*").alias("n")).where("n > 1").select("node", "hub")
+    star = nodes.join(hubs, "node").where("num > hub").select(F.col("num").alias("a"), F.col("hub").alias("b")).distinct()
+    groups = components(star).withColumnRenamed("node", "num")
     key = [F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_id"), "text_hash"]
-    met = sets.join(matches.select("num").distinct(), "num").select(
-        "num", "set_id", "members", F.substring("signs", 1, depth * WIDTH).alias("sign"), F.coalesce(F.col("first.doc_id").cast("string"), F.lit("")).alias("_id"), F.col("first.text_hash").alias("text_hash")
-    )
-    met = stage(met, "met")
+    met = sets.join(groups, "num").select("num", "set_id", "members", "signs", "root", F.coalesce(F.col("first.doc_id").cast("string"), F.lit("")).alias("_id"), F.col("first.text_hash").alias("text_hash"))
+    line = stage(met.withColumn("sign", F.substring("signs", 1, depth * WIDTH)).repartitionByRange("root", "sign", "set_id").sortWithinPartitions("root", "sign", "set_id").withColumn("block", F.floor(F.monotonically_increasing_id() / block)), "line")
     texts = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").select(*key, "text")
-    found = texts.join(met.hint("shuffle_hash"), ["_id", "text_hash"]).groupBy("set_id").agg(F.first("num").alias("num"), F.first("members").alias("members"), F.first("sign").alias("sign"), F.first("text").alias("text"))
-    candidates = stage(found, "candidates")
+    found = texts.join(line.drop("root", "sign").hint("shuffle_hash"), ["_id", "text_hash"]).select("block", "num", "set_id", "members", "signs", "text").dropDuplicates(["set_id"])
+    packs = stage(found.repartition("block").sortWithinPartitions("block", "set_id").mapInArrow(_packed(size), _PACK), "packs")
+    placed = line.select("num", "block")
+    sides = [packs.select(*(F.col(c).alias(f"{side}_{c}") for c in packs.columns if c != "nums")) for side in "ab"]
+    compared = None
     for level in range(depth, least - 1, -1):
-        compared = _links_at(level, matches, candidates, threshold, trees, block, size)
-        seen = compared.agg(F.sum("met").alias("met"), F.sum("stands_for").alias("all")).first()
+        run, schema = _compare(threshold, level, depth, least, trees)
+        pairs = _block_pairs(_nodes(matches, level), placed).join(sides[0], F.col("i") == F.col("a_block")).join(sides[1], F.col("j") == F.col("b_block"))
+        links = stage(pairs.mapInArrow(run, schema), "compared")
+        compared = links if compared is None else compared.unionByName(links)
+        seen = compared.agg(F.sum("met").alias("met"), F.sum(f"all_{level}").alias("all")).first()
         reached = seen["met"] / seen["all"] if seen["met"] else 1.0
         if levels is not None:
             levels.append((level, reached))
