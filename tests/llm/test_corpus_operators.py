@@ -100,6 +100,14 @@ def test_equal_windows_have_equal_keys():
     assert len(seen) == 1
 
 
+def test_marks_of_a_frequent_passage_are_combined_before_the_shuffle():
+    low, ids = np.repeat(np.array([5 << 50, 9 << 50], np.uint64), (1000, 1)), np.append(np.arange(1000), 3)
+    packets = [b.to_pylist()[0] for b in recompress._gathered(iter([(low, np.zeros(0, np.uint32), ids)]), 4, False)]
+    assert sum(p["n"] for p in packets if p["to"] < 0) == 3 and sum(p["n"] for p in packets if p["to"] >= 0) == 1000
+    packets = [b.to_pylist()[0] for b in recompress._gathered(iter([(low, np.zeros(0, np.uint32), ids)]), 4, True)]
+    assert sum(p["n"] for p in packets if p["to"] < 0) == 2 and sum(p["n"] for p in packets if p["to"] >= 0) == 999
+
+
 def test_repeats_of_odd_rows(spark):
     df = odd_docs(spark)
     assert found_repeats(df) == brute_repeats(rows(df.select("doc_id", "text")))

@@ -7,8 +7,8 @@ stretch and little around it; each symbol carries the span of words that decides
 inside a window stands in every copy of the window, at the same place. Hence:
 
 * reveal: each window has a key, the first symbols that it decides and that cover REACH words, on the highest level that
-  has such - at worst words. A window can only repeat in another document if its key does. Only keys are shuffled, and neighbouring
-  windows share them.
+  has such - at worst words. A window can only repeat in another document if its key does. Only keys are shuffled, and
+  neighbouring windows share them.
 * verify: windows with a key that several documents share are compared by 96-bit fingerprints of their words, the only
   step that shuffles windows.
 """
@@ -123,16 +123,17 @@ def _unpack(data: bytes, kind, n: int) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(-1, n).T).view(kind).ravel()
 
 
-_PART = "part int, n int, low binary, high binary, ids binary"
-_PART_TYPE = pa.schema([("part", pa.int32()), ("n", pa.int32()), ("low", pa.binary()), ("high", pa.binary()), ("ids", pa.binary())])
+#: Packets of marks. to is -1 for marks that still have to meet their like in part, else the part of documents to go on to.
+_PART = "part int, to int, n int, low binary, high binary, ids binary"
+_PART_NAMES = [x.split()[0] for x in _PART.split(", ")]
+_PART_TYPES = [pa.int32()] * 3 + [pa.binary()] * 3
 
 
-def _deal(low: np.ndarray, high: np.ndarray, ids: np.ndarray, parts: int, part: np.ndarray | None = None, cut_bits: bool = False) -> Iterator[pa.RecordBatch]:
-    """A row for each part (by default of the marks' upper bits): its marks in order of document id, ids as differences.
+def _deal(low: np.ndarray, high: np.ndarray, ids: np.ndarray, parts: int, part: np.ndarray, met: bool, cut_bits: bool = False) -> Iterator[pa.RecordBatch]:
+    """A packet for each part: its marks in order of document id, ids as differences.
 
     With cut_bits the marks only serve to select, and 48 bits of them beside their part are enough.
     """
-    part = (low >> _U(48)).astype(np.int64) % parts if part is None else part
     order = np.lexsort((ids, part))
     low, high, ids = low[order], high[order] if len(high) else high, ids[order]
     if cut_bits:
@@ -143,74 +144,121 @@ def _deal(low: np.ndarray, high: np.ndarray, ids: np.ndarray, parts: int, part:
         if a < b:
             step = ids[a:b].copy()
             step[1:] = np.diff(ids[a:b])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([p], pa.int32()), pa.array([b - a], pa.int32()), *(pa.array([x], pa.binary()) for x in (_pack(low[a:b]), high[a:b].tobytes(), _pack(step)))],
-                ["part", "n", "low", "high", "ids"],
-            )
+            row = (p, p if met else -1, b - a, _pack(low[a:b]), high[a:b].tobytes(), _pack(step))
+            yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, _PART_TYPES, strict=True)], _PART_NAMES)
 
 
-def _gathered(made: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]], parts: int, cut_bits: bool = False) -> Iterator[pa.RecordBatch]:
+def _by_document(low: np.ndarray, ids: np.ndarray, parts: int) -> Iterator[pa.RecordBatch]:
+    """Met marks, each once per document, dealt out by document."""
+    order = np.lexsort((low, ids))
+    low, ids = low[order], ids[order]
+    fresh = np.append(True, (low[1:] != low[:-1]) | (ids[1:] != ids[:-1]))[: len(ids)]
+    low, ids = low[fresh], ids[fresh]
+    yield from _deal(low, np.zeros(0, np.uint32), ids, parts, (mix(ids.view(_U)) >> _U(40)).astype(np.int64) % parts, True)
+
+
+def _grouped(low: np.ndarray, high: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The marks in order of mark and then id, the place of each mark's first, and how many it has."""
+    order = np.lexsort((ids, high, low)) if len(high) and high.any() else np.lexsort((ids, low))
+    low, high, ids = low[order], high[order] if len(high) else high, ids[order]
+    other = low[1:] != low[:-1]
+    if len(high):
+        other |= high[1:] != high[:-1]
+    at = np.flatnonzero(np.append(True, other)[: len(low)])
+    return low, high, ids, at, np.diff(np.append(at, len(ids)))
+
+
+def _gathered(made: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]], parts: int, beyond_first: bool, cut_bits: bool = False) -> Iterator[pa.RecordBatch]:
+    """Packets of what a task makes, in bounded gatherings; within each, marks are combined.
+
+    A mark that several documents of the gathering have is decided here for all of them but the smallest (or, if any
+    sharing counts, for all): those go to their documents' part. Of the mark itself only its smallest document, and the
+    largest if any sharing counts, goes on to meet those of other tasks. So a mark that every document has meets as many
+    rows as there are gatherings, and not documents.
+    """
+
+    def out(low: np.ndarray, high: np.ndarray, ids: np.ndarray) -> Iterator[pa.RecordBatch]:
+        part = lambda x: (x >> _U(48)).astype(np.int64) % parts
+        low, high, ids, at, size = _grouped(low, high, ids)
+        least, most = ids[at], ids[at + size - 1]
+        hit = ids > np.repeat(least, size) if beyond_first else np.repeat(most > least, size)
+        send = at if beyond_first else np.unique(np.concatenate([at, (at + size - 1)[most > least]]))
+        some = high[send] if len(high) else high
+        yield from _deal(low[send], some, ids[send], parts, part(low[send]), False, cut_bits)
+        if hit.any():
+            yield from _by_document(low[hit] & _LOW if cut_bits else low[hit], ids[hit], parts)
+
     held, size = [], 0
     for x in made:
         held.append(x)
         size += sum(a.nbytes for a in x)
         if size >= _GATHER:
-            yield from _deal(*map(np.concatenate, zip(*held, strict=True)), parts, cut_bits=cut_bits)
+            yield from out(*map(np.concatenate, zip(*held, strict=True)))
             held, size = [], 0
     if size:
-        yield from _deal(*map(np.concatenate, zip(*held, strict=True)), parts, cut_bits=cut_bits)
+        yield from out(*map(np.concatenate, zip(*held, strict=True)))
 
 
-def _collect(group: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _unpacked(packets: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     low, high, ids = [], [], []
-    for n, a, b, c in zip(*(group.column(x).to_pylist() for x in ("n", "low", "high", "ids")), strict=True):
+    for n, a, b, c in packets:
         low.append(_unpack(a, _U, n))
         high.append(np.frombuffer(b, np.uint32) if b else np.zeros(n, np.uint32))
         ids.append(np.cumsum(_unpack(c, np.int64, n)))
     return tuple(map(np.concatenate, (low, high, ids)))
 
 
-def _meet(beyond_first: bool, parts: int):
-    """Of a part's marks those that several documents have, or a smaller document has, dealt out again by document."""
-
-    def run(group: pa.Table) -> pa.Table:
-        low, high, ids = _collect(group)
-        order = np.lexsort((high, low)) if high.any() else np.argsort(low, kind="stable")
-        low, high, ids = low[order], high[order], ids[order]
-        at = np.flatnonzero(np.append(True, (low[1:] != low[:-1]) | (high[1:] != high[:-1])))
-        least = np.minimum.reduceat(ids, at)
-        size = np.diff(np.append(at, len(ids)))
-        if beyond_first:
-            hit = ids > np.repeat(least, size)
-        else:
-            hit = np.repeat(np.maximum.reduceat(ids, at) > least, size)
-        low, ids = low[hit], ids[hit]
-        order = np.lexsort((low, ids))
-        low, ids = low[order], ids[order]
-        fresh = np.append(True, (low[1:] != low[:-1]) | (ids[1:] != ids[:-1]))[: len(ids)]
-        low, ids = low[fresh], ids[fresh]
-        by_id = (mix(ids.view(_U)) >> _U(40)).astype(np.int64) % parts
-        made = [pa.Table.from_batches([b]) for b in _deal(low, np.zeros(0, np.uint32), ids, parts, by_id)]
-        return pa.concat_tables(made) if made else pa.Table.from_batches([], _PART_TYPE)
-
-    return run
+def _meeting(beyond_first: bool, parts: int):
+    """Stream packets sorted by part; of a part's marks those that several documents have, or a smaller document has, are
+    dealt out by document, gathered over a task's parts. What is met already passes through."""
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of, held, found, size = None, [], [], 0
+
+        def close() -> None:
+            low, high, ids, at, n = _grouped(*_unpacked(held))
+            hit = ids > np.repeat(ids[at], n) if beyond_first else np.repeat(ids[at + n - 1] > ids[at], n)
+            if hit.any():
+                found.append((low[hit], ids[hit]))
+
+        for batch in batches:
+            for part, to, *packet in zip(*(batch.column(c).to_pylist() for c in _PART_NAMES), strict=True):
+                if to >= 0:
+                    row = (part, to, *packet)
+                    yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, _PART_TYPES, strict=True)], _PART_NAMES)
+                    continue
+                if held and part != of:
+                    close()
+                    held = []
+                    if (size := sum(x.nbytes for pair in found for x in pair)) >= _GATHER:
+                        yield from _by_document(*map(np.concatenate, zip(*found, strict=True)), parts)
+                        found = []
+                of = part
+                held.append(tuple(packet))
+        if held:
+            close()
+        if found:
+            yield from _by_document(*map(np.concatenate, zip(*found, strict=True)), parts)
+
+    return meet
 
 
 def _lists(group: pa.Table) -> pa.Table:
     """A part's marks as rows (document id, its marks)."""
-    low, _, ids = _collect(group)
-    order = np.argsort(ids, kind="stable")
+    low, _, ids = _unpacked(list(zip(*(group.column(x).to_pylist() for x in ("n", "low", "high", "ids")), strict=True)))
+    order = np.lexsort((low, ids))
     low, ids = low[order], ids[order]
+    fresh = np.append(True, (low[1:] != low[:-1]) | (ids[1:] != ids[:-1]))
+    low, ids = low[fresh], ids[fresh]
     at = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
     off = pa.array(np.append(at, len(ids)).astype(np.int32))
     return pa.Table.from_arrays([pa.array(ids[at]), pa.ListArray.from_arrays(off, pa.array(low.view(np.int64)))], ["_id", "marks"])
 
 
 def _pooled(marks: DataFrame, beyond_first: bool, parts: int) -> DataFrame:
-    """Rows (document id, its marks) of the marks that meet; they are a fraction of all, so half as many parts hold them."""
-    parts = (parts + 1) // 2
-    met = marks.groupBy("part").applyInArrow(_meet(beyond_first, parts), _PART)
-    return met.groupBy("part").applyInArrow(_lists, "_id long, marks array<long>")
+    """Rows (document id, its marks) of the marks that meet."""
+    met = marks.repartition("part").sortWithinPartitions("part").mapInArrow(_meeting(beyond_first, parts), _PART)
+    return met.groupBy("to").applyInArrow(_lists, "_id long, marks array<long>")
 
 
 def _member(row: np.ndarray, value: np.ndarray, lists: pa.Array) -> np.ndarray:
@@ -234,9 +282,12 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS,
     Null text has no words and stays null. A null doc_id counts as the largest id. Rows that share an id don't take from
     each other, and all lose to smaller ids. Columns of docs with the names of the new ones are replaced.
 
+    doc_id must be a whole number or a string of one; others raise.
+
     Shuffles: keys (7 bytes or so for a third of the words), windows under shared keys, and the documents once by id, both
-    joins with the documents using that one exchange. parts (default: twice the shuffle partitions) splits the keys by
-    hash, so a part's size does not depend on how frequent a passage is beyond its own occurrences.
+    joins with the documents using that one exchange. parts (default: twice the shuffle partitions) splits keys and
+    windows by hash. A task combines what it has gathered before that, so of a passage that all documents hold a part
+    gets two rows from each gathering of a task, some 24 MB of keys.
     """
     spark = docs.sparkSession
     parts = parts or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -256,7 +307,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS,
                         fresh = np.append(True, (key[1:] != key[:-1]) | (owner[1:] != owner[:-1]))
                         yield key[fresh], np.zeros(0, np.uint32), _ids(part)[owner[fresh]]
 
-        yield from _gathered(made(), parts, cut_bits=True)
+        yield from _gathered(made(), parts, False, cut_bits=True)
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def made():
@@ -270,7 +321,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS,
                     low, high = hash_windows(words, window, _ODD[0])[hit], hash_windows(words, window, _ODD[1])[hit]
                     yield low, (high >> _U(32)).astype(np.uint32), _ids(part)[row[hit]]
 
-        yield from _gathered(made(), parts)
+        yield from _gathered(made(), parts, True)
 
     shared = _pooled(rows.select("_id", "text").mapInArrow(reveal, _PART), False, parts)
     candidates = rows.join(shared.hint("shuffle_hash"), "_id")
