@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import drop_table, hash_spans, hash_windows, mix, stage, text_bytes, text_slices, word_bounds
@@ -25,8 +25,8 @@ from .common import drop_table, hash_spans, hash_windows, mix, stage, text_bytes
 SHINGLE = 5
 THRESHOLD = 0.8
 TREES, DEPTH, RECALL = 24, 8, 0.9999
-#: Sets in one side of a comparison.
-BLOCK = 96
+#: A side of a comparison is a block of sets that weigh so much together; a set weighs 1 for each UNIT shingles begun.
+BLOCK, UNIT = 256, 512
 #: Bytes of a minhash in a signature.
 WIDTH = 2
 _U = np.uint64
@@ -67,7 +67,7 @@ def shingles(batch: pa.RecordBatch, size: int = SHINGLE) -> tuple[np.ndarray, np
 
 
 def sketch(docs: DataFrame, depth: int, trees: int = TREES, size: int = SHINGLE) -> DataFrame:
-    """doc_id, text_hash, set_id (a digest of the shingle set, null without words) and signs (its signatures, tree by tree)."""
+    """doc_id, text_hash, set_id (a digest of the shingle set, null without words), its size, and signs (its signatures, tree by tree)."""
     rng = np.random.default_rng(19)
     odd = rng.integers(0, 1 << 63, trees * depth, dtype=np.int64).astype(_U) * _U(2) + _U(1)
     kind = dict(docs.dtypes)["doc_id"]
@@ -80,6 +80,7 @@ def sketch(docs: DataFrame, depth: int, trees: int = TREES, size: int = SHINGLE)
                 some, at = np.unique(owner, return_index=True)
                 ids: list[bytes | None] = [None] * n
                 signs: list[bytes | None] = [None] * n
+                sizes = np.bincount(owner, minlength=n)
                 if len(some):
                     a, b = np.add.reduceat(mix(found), at), np.add.reduceat(mix(found ^ _U(_BASE)), at)
                     count = np.diff(np.append(at, len(found)))
@@ -89,10 +90,10 @@ def sketch(docs: DataFrame, depth: int, trees: int = TREES, size: int = SHINGLE)
                     for i, row in enumerate(some):
                         ids[row] = hashlib.blake2b(a[i].tobytes() + b[i].tobytes() + count[i].tobytes(), digest_size=16).digest()
                         signs[row] = least[i].tobytes()
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("text_hash"), pa.array(ids, pa.binary()), pa.array(signs, pa.binary())], ["doc_id", "text_hash", "set_id", "signs"])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("text_hash"), pa.array(ids, pa.binary()), pa.array(sizes, pa.int64()), pa.array(signs, pa.binary())], ["doc_id", "text_hash", "set_id", "size", "signs"])
 
     rows = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
-    return rows.mapInArrow(run, f"doc_id {kind}, text_hash long, set_id binary, signs binary")
+    return rows.mapInArrow(run, f"doc_id {kind}, text_hash long, set_id binary, size long, signs binary")
 
 
 def sorted_matches(sets: DataFrame, least: int, depth: int = DEPTH, trees: int = TREES) -> DataFrame:
@@ -209,6 +210,13 @@ class _Block:
         self.values, counts = np.frombuffer(row["shingles"], _U), np.frombuffer(row["counts"], np.uint32)
         self.at, self.owners = np.repeat(np.arange(len(counts)), counts), np.frombuffer(row["owners"], np.uint32)
 
+    def prefixes(self, n: int) -> np.ndarray:
+        """A hash of the first n minhashes of each set, tree by tree."""
+        out = np.zeros(self.signs.shape[:2], _U)
+        for k in range(n):
+            out = mix(out + self.signs[:, :, k].astype(_U) + _U(k + 1))
+        return np.ascontiguousarray(out.T)
+
     def columns(self, which: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
         """(set, place in which) of each entry whose shingle is one of which, in order of place."""
         place = np.full(len(self.values), -1)
@@ -219,14 +227,15 @@ class _Block:
 
 def _met_at(a: _Block, b: _Block, level: int, depth: int) -> np.ndarray:
     """Which sets of a and b share a prefix of just `level` minhashes at the longest, over all trees."""
-    deep = np.zeros((len(a.ids), len(b.ids)), np.int8)
-    for t in range(a.signs.shape[1]):
-        same = np.ones(deep.shape, bool)
-        for k in range(min(depth, level + 1)):
-            same &= a.signs[:, t, k][:, None] == b.signs[:, t, k][None, :]
-            if k >= level - 1:
-                np.maximum(deep, same * np.int8(k + 1), out=deep)
-    return deep == level
+    met = []
+    for n in (level, level + 1):
+        share = np.zeros((len(a.ids), len(b.ids)), bool)
+        if n <= depth:
+            x, y = a.prefixes(n), b.prefixes(n)
+            for t in range(x.shape[0]):
+                share |= x[t][:, None] == y[t][None, :]
+        met.append(share)
+    return met[0] & ~met[1]
 
 
 def _shared(a: _Block, b: _Block) -> np.ndarray:
@@ -312,12 +321,37 @@ def _nodes(matches: DataFrame, level: int) -> DataFrame:
 
 
 def _block_pairs(nodes: DataFrame, placed: DataFrame) -> DataFrame:
-    """Blocks (i, j), i <= j, of which some sets share a node; a node passes on its distinct blocks and not its sets."""
+    """Blocks (i, j), i <= j, of which some sets share a node.
+
+    A node passes on its distinct blocks and not its sets; the blocks beyond each of them are united before they become
+    pairs, so a pair comes out once, however many nodes tell of it.
+    """
     held = nodes.join(placed, "num").groupBy("node", "block").agg(F.count("*").alias("n"))
-    inside = held.where("n > 1").select(F.col("block").alias("i"), F.col("block").alias("j"))
+    inside = held.where("n > 1").select(F.col("block").alias("i")).distinct().select("i", F.col("i").alias("j"))
     met = held.groupBy("node").agg(F.sort_array(F.collect_list("block")).alias("blocks")).where("size(blocks) > 1").select("blocks").distinct()
-    later = F.transform("blocks", lambda x, k: F.transform(F.slice("blocks", k + 2, F.size("blocks")), lambda y: F.struct(x.alias("i"), y.alias("j"))))
-    return inside.unionByName(met.select(F.explode(later).alias("x")).select(F.explode("x").alias("x")).select("x.i", "x.j")).distinct()
+    later = F.transform("blocks", lambda x, k: F.struct(x.alias("i"), F.slice("blocks", k + 2, F.size("blocks")).alias("later")))
+    across = met.select(F.explode(later).alias("x")).where("size(x.later) > 0").groupBy("x.i").agg(F.array_distinct(F.flatten(F.collect_set("x.later"))).alias("later"))
+    return inside.unionByName(across.select("i", F.explode("later").alias("j")))
+
+
+def _running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The weight of the sets before each, within the task."""
+    total = 0
+    for batch in batches:
+        weight = np.maximum(1, -(-batch.column("size").to_numpy() // UNIT))
+        upto = total + np.cumsum(weight)
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(upto - weight), pa.array(upto)], [*batch.schema.names, "before", "upto"])
+        total = int(upto[-1]) if len(upto) else total
+
+
+def _in_blocks(met: DataFrame, block: int) -> DataFrame:
+    """met (num, root, sign, set_id, size) with block: runs of about equal weight in the order of group and signature."""
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in met.schema)
+    line = met.repartitionByRange("root", "sign", "set_id").sortWithinPartitions("root", "sign", "set_id").mapInArrow(_running, f"{fields}, before long, upto long")
+    line = stage(line.withColumn("task", F.spark_partition_id()), "line")
+    ahead = F.coalesce(F.sum("all").over(Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # a row per task
+    starts = line.groupBy("task").agg(F.max("upto").alias("all")).select("task", ahead.alias("ahead"))
+    return line.join(F.broadcast(starts), "task").withColumn("block", F.floor((F.col("ahead") + F.col("before")) / block)).drop("task", "ahead", "before", "upto")
 
 
 def classes(
@@ -332,18 +366,18 @@ def classes(
     estimated recall) of each step.
 
     Equal sets are counted before the shuffle and appear once from then on. Only sets that share a prefix of the least
-    depth leave the sorted tries, and their texts are fetched once. They are cut in blocks of `block` sets, runs in the
-    order of their group and of a trie, and a block is one row from then on: its sets' shingles, each once. A step
+    depth leave the sorted tries, and their texts are fetched once. They are cut in blocks that weigh `block`, runs in
+    the order of their group and of a trie, and a block is one row from then on: its sets' shingles, each once. A step
     compares only blocks that share a node of its depth, so a long chain of near copies is compared along its length, and
     of those only the sets whose longest shared prefix is of that depth; each task adds up what it finds by set. Counting
-    the links of n sets that are all similar to each other does take n * n / (2 * block * block) rows and matrix
+    the links of n short sets that are all similar to each other does take n * n / (2 * block * block) rows and matrix
     products, spread over the tasks.
     """
     least = least_depth(trees, depth, threshold, recall)
     sketches = stage(sketch(docs, depth, trees, size), "sketches")
     worded = sketches.where("set_id is not null")
     first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
-    sets = worded.groupBy("set_id").agg(F.min(first).alias("first"), F.count("*").alias("members"), F.first("signs").alias("signs"))
+    sets = worded.groupBy("set_id").agg(F.min(first).alias("first"), F.count("*").alias("members"), F.first("size").alias("size"), F.first("signs").alias("signs"))
     sets = stage(sets.withColumn("num", F.xxhash64("set_id")), "sets")
     matches = stage(sorted_matches(sets.select("num", "signs"), least, depth, trees), "matches")
     nodes = _nodes(matches, least)
@@ -351,10 +385,10 @@ def classes(
     star = nodes.join(hubs, "node").where("num > hub").select(F.col("num").alias("a"), F.col("hub").alias("b")).distinct()
     groups = components(star).withColumnRenamed("node", "num")
     key = [F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_id"), "text_hash"]
-    met = sets.join(groups, "num").select("num", "set_id", "members", "signs", "root", F.coalesce(F.col("first.doc_id").cast("string"), F.lit("")).alias("_id"), F.col("first.text_hash").alias("text_hash"))
-    line = stage(met.withColumn("sign", F.substring("signs", 1, depth * WIDTH)).repartitionByRange("root", "sign", "set_id").sortWithinPartitions("root", "sign", "set_id").withColumn("block", F.floor(F.monotonically_increasing_id() / block)), "line")
+    met = sets.join(groups, "num").select("num", "set_id", "members", "size", "signs", "root", F.coalesce(F.col("first.doc_id").cast("string"), F.lit("")).alias("_id"), F.col("first.text_hash").alias("text_hash"))
+    line = _in_blocks(met.withColumn("sign", F.substring("signs", 1, depth * WIDTH)), block)
     texts = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").select(*key, "text")
-    found = texts.join(line.drop("root", "sign").hint("shuffle_hash"), ["_id", "text_hash"]).select("block", "num", "set_id", "members", "signs", "text").dropDuplicates(["set_id"])
+    found = texts.join(line.drop("root", "sign", "size").hint("shuffle_hash"), ["_id", "text_hash"]).select("block", "num", "set_id", "members", "signs", "text").dropDuplicates(["set_id"])
     packs = stage(found.repartition("block").sortWithinPartitions("block", "set_id").mapInArrow(_packed(size), _PACK), "packs")
     placed = line.select("num", "block")
     sides = [packs.select(*(F.col(c).alias(f"{side}_{c}") for c in packs.columns if c != "nums")) for side in "ab"]
