@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -227,7 +228,40 @@ def test_lm_trains_on_all_texts_at_any_size(spark):
     large.total = 10**9  # as if of a large corpus
     whole = lm.fit(df, large)
     assert np.array_equal(lm.fit(df, v).flat, whole.flat)
-    assert whole.trained == v.total == lm.fit(df, large, rounds=1, held=100).trained
+    assert whole.trained == v.total == lm.fit(df, large, rounds=1, held=100).trained == lm.fit(df, v, rounds=1, shard_visits=100).trained
+
+
+def brute_triples(docs, v):
+    place = {int(w): int(c) for w, c in zip(v.words, v.place, strict=True)}
+    seen = Counter()
+    for d in docs:
+        batch = pa.RecordBatch.from_arrays([pa.array([d["text"] or ""])], ["text"])
+        ids = [place.get(int(w), v.other) for w in lm.tokens(batch)[0]]
+        for two, one, here in zip([v.end, v.end, *ids], [v.end, *ids], ids, strict=False):
+            seen[(two * v.size + one) * v.size + here] += 1
+    return seen
+
+
+def test_lm_triples_and_scores_match_brute_force(spark, sf_dir):
+    df = table(spark, sf_dir, "documents")
+    counts = lm.count_tokens(df)
+    v = lm.vocabulary(counts, classes=200)
+    assert {r["triple"]: r["n"] for r in lm.count_triples(df, v).collect()} == brute_triples(rows(df), v)
+    model = lm.fit(df, v, rounds=1)
+    got = {r["doc_id"]: r["score"] for r in lm.score(df.select("doc_id", "text", F.lit(False).alias("held_out")), counts, v, model).collect()}
+    r, q, c1, c2, b = (x.astype(float) for x in model.parts)
+    n_of = {x["word"] % (1 << 64): x["n"] for x in counts.collect()}
+    place = {int(w): int(c) for w, c in zip(v.words, v.place, strict=True)}
+    for d in rows(df)[:40]:
+        words = [int(w) for w in lm.tokens(pa.RecordBatch.from_arrays([pa.array([d["text"] or ""])], ["text"]))[0]]
+        ids, want, history = [place.get(w, v.other) for w in words], 0.0, [v.end, v.end]
+        for w, here in zip(words, ids, strict=True):
+            logits = (r[history[-1]] @ c1 + r[history[-2]] @ c2) @ q.T + b
+            want += (logits[here] - np.log(np.exp(logits - logits.max()).sum()) - logits.max()) / np.log(10)
+            if here == v.other:
+                want += math.log10((n_of.get(w, 0) + 1) / (v.other_total + v.other_distinct + 1))
+            history.append(here)
+        assert math.isclose(got[d["doc_id"]], want, rel_tol=1e-3)
 
 
 # 4 n-gram Jaccard join

@@ -3,6 +3,9 @@
 The model predicts one of CLASSES classes - the most frequent words, the end token, and one class for all other words -
 from the two words before, and a word of the other class by its count. Counts cover all training texts. Since a context
 is two classes, every normaliser is an entry of one matrix product, so scores are exactly normalised and looked up.
+
+All training text counts: since the model sees of a token its class and the two before, Spark adds up the text to counts
+of such triples, and training runs over the triples with their counts as weights.
 """
 
 from __future__ import annotations
@@ -22,8 +25,10 @@ CLASSES = 1024
 DIMENSIONS = 32
 #: Words whose counts are broadcast (12 bytes each); the counts of all others reach the texts by a join.
 FREQUENT = 1 << 18
-#: Tokens that a task holds at once while it trains on a shard.
-HELD = 1 << 20
+#: Visits that a task holds at once while it trains on a shard; a visit of a triple stands for at most VISIT of its occurrences.
+HELD, VISIT = 1 << 20, 16
+#: A shard has about so many visits, however many there are in all.
+SHARD = 500_000
 ROUNDS, BATCH, NOISE, NOISE_PER_TOKEN, RATE = 3, 512, 256, 16, 0.15
 PIECES = 64
 _U = np.uint64
@@ -155,8 +160,8 @@ class Model:
             self.parts.append(self.flat[at : at + n].reshape(shape))
             at += n
 
-    def train(self, ids: np.ndarray, one: np.ndarray, two: np.ndarray, prior: np.ndarray, rate: float, rng: np.random.Generator, squares: list[np.ndarray]) -> None:
-        """One pass of noise-contrastive estimation, Adagrad steps; all tokens of a batch share its noise words.
+    def train(self, ids: np.ndarray, one: np.ndarray, two: np.ndarray, weight: np.ndarray, prior: np.ndarray, rate: float, rng: np.random.Generator, squares: list[np.ndarray]) -> None:
+        """One pass of noise-contrastive estimation over weighted triples, Adagrad steps; a batch shares its noise words.
 
         squares, from fresh_squares(), go on from call to call. A step touches only the rows of words that the batch or its noise names.
         """
@@ -181,13 +186,15 @@ class Model:
             r1, r2, qw, qn = r[w1], r[w2], q[w], q[noise]
             h = r1 @ c1 + r2 @ c2
             good = 1 / (1 + np.exp(np.clip((h * qw).sum(1) + b[w] - log_kq[w], -30, 30)))
+            times = weight[i].astype(np.float32)
+            good *= times
             bad = h @ qn.T
             np.subtract(log_kq[noise] - b[noise], bad, out=bad)
             np.exp(np.clip(bad, -30, 30, out=bad), out=bad)
             bad += 1
-            np.divide(np.float32(-NOISE_PER_TOKEN / NOISE), bad, out=bad)
+            np.divide((np.float32(-NOISE_PER_TOKEN / NOISE) * times)[:, None], bad, out=bad)
             dh = good[:, None] * qw + bad @ qn
-            size = np.float32(len(i) ** 0.5)
+            size = np.sqrt(times.sum())
             words, contexts_at = np.concatenate([w, noise]), np.concatenate([w1, w2])
             to_q, to_r = np.concatenate([good[:, None] * h, bad.T @ h]), np.concatenate([dh @ c1.T, dh @ c2.T])
             to_c1, to_c2 = r1.T @ dh / size, r2.T @ dh / size
@@ -210,67 +217,96 @@ class Model:
         return a1, a2, z.astype(np.float32)
 
 
-def fit(texts: DataFrame, v: Vocabulary, rounds: int = ROUNDS, held: int = HELD) -> Model:
+def count_triples(texts: DataFrame, v: Vocabulary) -> DataFrame:
+    """triple, n: how often each triple of classes (two back, one back, here) occurs in texts, packed to one number."""
+    shared = texts.sparkSession.sparkContext.broadcast(v)
+
+    def triples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def out() -> pa.RecordBatch:
+            found, at = np.unique(np.concatenate([x for x, _ in held]), return_inverse=True)
+            n = np.bincount(at, weights=np.concatenate([n for _, n in held])).astype(np.int64)
+            return pa.RecordBatch.from_arrays([pa.array(found), pa.array(n)], ["triple", "n"])
+
+        for batch in batches:
+            for part in text_slices(batch):
+                words, row = tokens(part)
+                ids = shared.value.look_up(words)[0].astype(np.int64)
+                one, two = contexts(ids, shared.value.end, np.searchsorted(row, np.arange(part.num_rows)))
+                held.append(np.unique((two * shared.value.size + one) * shared.value.size + ids, return_counts=True))
+                size += len(held[-1][0])
+                if size > 1 << 20:
+                    yield out()
+                    held, size = [], 0
+        if held:
+            yield out()
+
+    return texts.select("text").mapInArrow(triples, "triple long, n long").groupBy("triple").agg(F.sum("n").alias("n"))
+
+
+def fit(texts: DataFrame, v: Vocabulary, rounds: int = ROUNDS, held: int = HELD, shard_visits: int = SHARD) -> Model:
     """Train on all texts (doc_id, text): shards train alike and their mean goes on, in rounds.
 
-    The texts' classes are dealt to the shards once; a task reads a shard's as a stream and holds about `held` tokens of it.
-    The model's attribute trained says how many tokens each round saw.
+    The visits of a triple are spread over the shards, of which there are as many as the visits ask for; a task reads a
+    shard as a stream in a fixed order and holds about `held` visits of it. The model's attribute trained says how many
+    tokens each round saw.
     """
     model = Model(v)
     if not v.total or v.size < 2:
         return model
     spark = texts.sparkSession
-    shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
     shared = spark.sparkContext.broadcast(v)
-
-    def classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in text_slices(batch):
-                words, row = tokens(part)
-                ids = shared.value.look_up(words)[0].astype(np.uint16)
-                cut = np.searchsorted(row, np.arange(part.num_rows + 1))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([ids[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary())], ["doc_id", "ids"])
-
-    kind = dict(texts.dtypes)["doc_id"]
-    shard = F.pmod(F.xxhash64("doc_id", F.lit(12)), F.lit(shards)).cast("int")
-    dealt = texts.select("doc_id", "text").mapInArrow(classes, f"doc_id {kind}, ids binary").withColumn("shard", shard)
-    sample = stage(dealt.repartition(shards, "shard").sortWithinPartitions("shard", "doc_id", "ids"), "sample").select("shard", "ids")
+    counted = stage(count_triples(texts, v), "triples")
+    visits = F.ceil(F.col("n") / VISIT)
+    shards = max(1, -(-int(counted.agg(F.sum(visits)).first()[0] or 0) // shard_visits))
+    # a triple goes to as many shards as it has visits, its occurrences dealt evenly, from a hashed shard on
+    of = F.least(visits, F.lit(shards)).cast("long")
+    share = F.floor(F.col("n") / F.col("of")) + F.when(F.col("k") < F.col("n") % F.col("of"), 1).otherwise(0)
+    dealt = counted.withColumn("of", of).withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("of") - 1)))
+    dealt = dealt.select(F.pmod(F.xxhash64("triple") + F.col("k"), F.lit(shards)).cast("int").alias("shard"), "triple", share.cast("long").alias("n"))
+    sample = stage(dealt.repartition(shards, "shard").sortWithinPartitions("shard", F.xxhash64("triple", F.lit(3)), "triple"), "shards")
     edges = np.linspace(0, len(model.flat), PIECES + 1).astype(int)
 
-    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[np.ndarray]]]:
-        """(shard, classes of some of its texts): texts of one shard lie side by side."""
-        of, lists, n = None, [], 0
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(shard, triples, weights) of some visits of a shard; the triples of one shard lie side by side."""
+        of, kept, size = None, [], 0
+
+        def made() -> tuple[int, np.ndarray, np.ndarray]:
+            return of, np.concatenate([x for x, _ in kept]), np.concatenate([w for _, w in kept])
+
         for batch in batches:
-            for s, x in zip(batch.column("shard").to_pylist(), batch.column("ids").to_pylist(), strict=True):
-                if lists and (s != of or n >= held):
-                    yield of, lists
-                    lists, n = [], 0
-                of = s
-                lists.append(np.frombuffer(x, np.uint16))
-                n += len(lists[-1])
-        if lists:
-            yield of, lists
+            shard, triple, n = (batch.column(c).to_numpy() for c in ("shard", "triple", "n"))
+            for at in range(0, len(shard), 1 << 14):
+                for s in np.unique(shard[at : at + (1 << 14)]):
+                    mine = np.flatnonzero(shard[at : at + (1 << 14)] == s) + at
+                    if kept and (s != of or size >= held):
+                        yield made()
+                        kept, size = [], 0
+                    times = -(-n[mine] // VISIT)
+                    kept.append((np.repeat(triple[mine], times), np.repeat(n[mine] / times, times)))
+                    of, size = int(s), size + int(times.sum())
+        if kept:
+            yield made()
 
     def trainer(turn: int, now):
-        def out(m: Model, n: int) -> pa.RecordBatch:
+        def out(m: Model, n: float) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(PIECES), pa.int32()), pa.array([n] * PIECES, pa.int64()), pa.array([m.flat[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)], pa.binary())],
+                [pa.array(np.arange(PIECES), pa.int32()), pa.array([round(n)] * PIECES, pa.int64()), pa.array([m.flat[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)], pa.binary())],
                 ["piece", "n", "weights"],
             )
 
         def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            of, n = None, 0
-            for s, lists in pieces(batches):
+            of, n, k = None, 0.0, shared.value.size
+            for s, triple, weight in pieces(batches):
                 if s != of:
                     if n:
                         yield out(m, n)
-                    m, of, n = Model(shared.value), s, 0
+                    m, of, n = Model(shared.value), s, 0.0
                     m.set(now.value)
                     rng, squares = np.random.default_rng(100 * turn + s), m.fresh_squares()
-                ids = np.concatenate(lists).astype(np.int64)
-                fresh = np.concatenate([[0], np.cumsum([len(x) for x in lists])[:-1]]).astype(np.int64)
-                m.train(ids, *contexts(ids, shared.value.end, fresh), shared.value.prior, RATE / (1 + turn), rng, squares)
-                n += len(ids)
+                m.train(triple % k, triple // k % k, triple // (k * k), weight, shared.value.prior, RATE / (1 + turn), rng, squares)
+                n += weight.sum()
             if n:
                 yield out(m, n)
 
