@@ -1,42 +1,68 @@
 """License scans on DataFrame functions only: MinHash bands over overlapping windows, then exact shingle containment.
 
-A text is lower-cased, cut to words at anything but letters and digits, and hashed to shingles of five words. For each
-template length, windows of just that many shingles slide over the text by a quarter of their length, so some window
-misses at most an eighth of an occurrence at either end. A band is one minhash: a window's is its least hash under one of
-BANDS functions. A window at Jaccard similarity s to a template shares some band with it with chance 1 - (1 - s) ** BANDS.
-The worst placed occurrence of the least allowed containment has s of 0.675 / 1.325, 0.509, or more, so that chance is over 0.99998; an
-occurrence of a one-shingle template is found for sure. Candidates are confirmed by the exact share of the template's
-shingles within the window and its margins.
+A text is lower-cased, cut to words at anything but letters and digits, and hashed to shingles of five words. Windows of
+4, 16 and 64 shingles slide over it by 4, 4 and 16; of a window each band keeps one minhash, the least of its shingles
+under one of BANDS permutations (an exclusive or with a constant, since shingles are hashes already). A template has a
+window at every offset, of the largest length that is at most half its own, or 64; one of under eight shingles is retrieved by single shingles.
+
+A text window of similarity s to a template's shares some band with it with chance 1 - (1 - s) ** BANDS. An occurrence
+that holds 80 % of a template of 32 shingles or more has a window that holds as much on average, and so one of s of
+0.8 / 1.2 or more: the chance is 0.99985 for that window alone. Shorter templates can only lose shingles at their ends
+or be cut once, so some window is whole and found for sure. What the bands retrieve is confirmed by the exact share of the template's shingles within the
+stretch of text that the windows align it to.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import stage
+
 SHINGLE = 5
 CONTAINMENT = 0.8
-BANDS = 16
+BANDS = 8
+#: Window lengths in shingles, from the shortest; each is four of the one before, in steps of a chunk.
+WINDOWS = (4, 16, 64)
+#: The bands' table is broadcast up to so many rows (about 60 bytes each), and joined by a shuffle beyond.
+BROADCAST_ROWS = 1_000_000
 
-#: Texts of common licenses and notices, as their publishers word them.
+#: Short licenses and notices as their publishers word them. Longer ones are in the folder license_texts.
 TEMPLATES = {
     "mit-notice": "Released under the MIT License.",
     "apache-2.0-notice": "Licensed under the Apache License, Version 2.0.",
     "gpl-3.0-notice": "This work is licensed under the GNU General Public License, version 3.",
     "cc-by-nc-4.0-notice": "Licensed under CC BY-NC 4.0.",
-    "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:",
-    "isc": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
-    "apache-2.0": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.",
+    "cc-by-4.0-notice": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+    "cc-by-sa-4.0-notice": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "cc-by-nd-4.0-notice": "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+    "cc-by-nc-4.0": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+    "cc-by-nc-sa-4.0-notice": "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+    "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+    "isc": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.",
+    "apache-2.0-header": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.",
     "bsd": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
-    "gpl-3.0-or-later": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
-    "mpl-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
+    "bsd-2-clause": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.",
+    "bsd-3-clause-endorsement": "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+    "zlib": "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: 1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required. 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software. 3. This notice may not be removed or altered from any source distribution.",
+    "gpl-2.0-or-later-header": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+    "gpl-3.0-or-later-header": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "lgpl-2.1-or-later-header": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+    "agpl-3.0-or-later-header": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "mpl-2.0-header": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
     "unlicense": "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
 }
 
 
+def known_templates() -> dict[str, str]:
+    """TEMPLATES and the whole texts of longer licenses, by name."""
+    folder = Path(__file__).parent / "license_texts"
+    return TEMPLATES | {p.stem.lower(): p.read_text(encoding="utf-8") for p in sorted(folder.glob("*.txt"))}
+
+
 def words(text: Column) -> Column:
     """Lower-cased words of letters and digits; null and wordless texts have none."""
     return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
@@ -53,67 +79,127 @@ def shingles(of: Column, size: int = SHINGLE) -> Column:
     return once(of, lambda w: F.when(F.size(w) >= size, runs(w)).otherwise(F.array().cast("array<bigint>")))
 
 
-def stride(length: Column) -> Column:
-    return F.greatest(F.lit(1), F.floor(length / 4)).cast("int")
+def template_table(spark: SparkSession, templates: dict[str, str] | DataFrame | None = None) -> DataFrame:
+    """license, h (its shingles in order), shingles (each once), m (how many), w (the length of its windows).
+
+    templates: rows (license, body) of any number, a dictionary, or the known ones. Those of under five words have no
+    shingles and are refused.
+    """
+    if isinstance(templates, DataFrame):
+        rows = templates.select("license", "body")
+    else:
+        rows = spark.createDataFrame(list((known_templates() if templates is None else templates).items()), "license string, body string")
+    found = rows.select("license", shingles(words(F.col("body"))).alias("h")).withColumn("shingles", F.array_distinct("h")).withColumn("m", F.size("shingles"))
+    lengths = F.when(F.col("m") < 8, 1)
+    for w in reversed(WINDOWS):
+        lengths = lengths.when(F.col("m") >= 2 * w, w)
+    return found.select("license", "h", "shingles", F.when(F.col("m") > 0, F.col("m")).otherwise(F.raise_error(F.lit("a template needs five words"))).cast("int").alias("m"), lengths.otherwise(WINDOWS[0]).alias("w"))
+
+
+def _salt(band: int) -> int:
+    """A band's permutation; the upper bits differ from band to band, so that bands order shingles apart."""
+    return ((band * 8191 + 4099) * 0x9E3779B97F4A7C15 + (band << 61) + (1 << 63)) % (1 << 64) - (1 << 63)
+
+
+def _permuted(band: int) -> Callable[[Column], Column]:
+    return lambda x: x.bitwiseXOR(F.lit(_salt(band)))
+
+
+def _fours(start: Callable[[Column, int], Column]) -> Callable[[Column], Column]:
+    """The least of four values that follow a place; those beyond the end are null and left out."""
+    return lambda i: F.least(*(start(i, k) for k in range(4)))
+
+
+def _key(least: Column, w: int, band: int) -> Column:
+    """Minhashes of different lengths and bands never meet."""
+    return least.bitwiseXOR(F.lit((w * 1_000_003 + band * 7919) * 0x2545F4914F6CDD1D % (1 << 63)))
+
+
+def band_table(templates: DataFrame, bands: int = BANDS) -> DataFrame:
+    """key, license, m, w, offset: the minhashes of all template windows, once for each stretch of w offsets."""
+    own = F.size("h") - F.col("w") + 1
+    offsets = F.sequence(F.lit(0), F.greatest(F.lit(0), own - 1))
+    rows = templates.select("license", "h", "m", "w", F.explode(offsets).alias("offset")).withColumn("window", F.slice("h", F.col("offset") + 1, F.col("w")))
+    parts = []
+    for w in (1, *WINDOWS):
+        for band in range(bands if w > 1 else 1):
+            least = F.array_min(F.transform("window", _permuted(band)))
+            parts.append(F.when(F.col("w") == w, _key(least, w, band)))
+    keys = rows.select("license", "m", "w", "offset", F.explode(F.array_compact(F.array(*parts))).alias("key"))
+    return keys.groupBy("key", "license", "m", "w", F.floor(F.col("offset") / F.col("w")).alias("stretch")).agg(F.min("offset").alias("offset")).drop("stretch")
+
+
+def _of_band(h: Column, chunks: Column, band: int) -> Column:
+    """A band's keys: windows of 4, of 16 and of 64 shingles, each the least of four of the length before."""
+    permuted = _permuted(band)
+    fours = F.transform(chunks, _fours(lambda i, k: permuted(F.get(h, i * 4 + k))))
+
+    def longer(of: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.size(of) - 1), _fours(lambda i, k: F.get(of, i + k)))
+
+    def keyed(of: Column, w: int) -> Column:
+        return F.transform(of, lambda x: _key(x, w, band))
+
+    def from_sixteens(of4: Column, of16: Column) -> Column:
+        every = F.filter(of16, lambda x, i: i % 4 == 0)
+        return F.concat(keyed(of4, 4), keyed(of16, 16), keyed(once(every, longer), 64))
+
+    return once(fours, lambda of4: once(longer(of4), lambda of16: from_sixteens(of4, of16)))
+
+
+def window_keys(h: Column, bands: int = BANDS) -> Column:
+    """The keys of all windows of a text: its shingles; then, band by band, windows of 4 by 4, of 16 by 4, of 64 by 16.
+
+    At the text's end windows are shorter, down to a single chunk, so short texts have windows too.
+    """
+    n = F.size(h)
+    chunks = F.when(n > 0, F.sequence(F.lit(0), F.ceil(n / 4).cast("int") - 1)).otherwise(F.array().cast("array<int>"))
+    parts = [F.transform(h, lambda x: _key(x.bitwiseXOR(F.lit(_salt(0))), 1, 0))]
+    for band in range(bands):
+        parts.append(_of_band(h, chunks, band))
+    return F.concat(*parts)
 
 
-def template_table(spark: SparkSession, templates: dict[str, str] | None = None) -> DataFrame:
-    """license, shingles, m (how many): a handful of rows. Templates of under five words have no shingles and are refused."""
-    rows = spark.createDataFrame(list((TEMPLATES if templates is None else templates).items()), "license string, body string")
-    found = rows.select("license", F.array_distinct(shingles(words(F.col("body")))).alias("shingles")).withColumn("m", F.size("shingles"))
-    return found.select("license", "shingles", F.when(F.col("m") > 0, F.col("m")).otherwise(F.raise_error(F.lit("a template needs five words"))).cast("int").alias("m"))
+def _start(place: Column, n: Column) -> Column:
+    """Where the window begins whose key lies at a place of window_keys() of a text of n shingles."""
+    chunks = F.ceil(n / 4).cast("int")
+    long = F.ceil(chunks / 4).cast("int")
+    k = (place - n) % (2 * chunks + long)
+    return F.when(place < n, place).when(k < chunks, k * 4).when(k < 2 * chunks, (k - chunks) * 4).otherwise((k - 2 * chunks) * 16)
 
 
-def scan(docs: DataFrame, templates: dict[str, str] | None = None, containment: float = CONTAINMENT, bands: int = BANDS) -> DataFrame:
+def scan(docs: DataFrame, templates: dict[str, str] | DataFrame | None = None, containment: float = CONTAINMENT, bands: int = BANDS) -> DataFrame:
     """Licenses found in docs (doc_id, text): doc_id, license, containment, first_shingle, n_windows.
 
-    One row per doc_id and license; containment is the largest share of the template's shingles that a window with its
-    margins holds, first_shingle the number of the first confirmed window's first shingle (from 0), n_windows how many
-    windows confirm it. Documents without a license have no row; null and empty texts have none; rows that share an id
-    are reported together.
+    One row per doc_id and license; containment is the largest share of the template's shingles that a stretch of the text
+    holds to which windows align it, first_shingle where the first such stretch that has enough begins (from 0), n_windows
+    how many band hits led there. A stretch is as long as the template, with margins of half of it at most. Documents
+    without a license have no row; null and empty texts have none; rows that share an id are reported together.
 
-    Texts that hold none of the templates' shingles can't contain 80 % of any, so they leave first; nothing else is
-    filtered. The templates are constants of this module or the caller's dictionary, hence their tables are literals and
-    broadcasts of a known, small size; texts are never shuffled, only confirmed windows are, by document.
+    The bands' table is broadcast up to a checked size and joined by a shuffle beyond. Candidates are counted by document, license and alignment before they
+    are shuffled, and are a written table; texts meet them by doc_id, whatever way Spark finds best for its size.
     """
     spark = docs.sparkSession
-    known = template_table(spark, templates).collect()
-    every = sorted({x for r in known for x in r["shingles"]})
-    lengths = sorted({r["m"] for r in known})
-    if not every:
-        return docs.select("doc_id").where("false").select("doc_id", F.lit("").alias("license"), F.lit(0.0).alias("containment"), F.lit(0).alias("first_shingle"), F.lit(0).cast("long").alias("n_windows"))
-    literal = F.array(*map(F.lit, every))
+    known = template_table(spark, templates)
+    table = stage(band_table(known, bands), "bands")
+    if table.count() <= BROADCAST_ROWS:
+        table = F.broadcast(table)
     # the explode of a one-element array makes h a stored column, which later steps read in place of computing it again
-    texts = docs.select("doc_id", F.explode(F.array(shingles(words(F.col("text"))))).alias("h")).where(F.arrays_overlap("h", literal))
-    numbers = F.sequence(F.lit(1), F.lit(bands))
-    least = spark.createDataFrame([(r["license"], list(r["shingles"]), r["m"]) for r in known], "license string, shingles array<bigint>, m int").select(
-        "license", "shingles", "m", F.transform(numbers, lambda j: F.array_min(F.transform("shingles", lambda x: F.xxhash64(x, j)))).alias("bands")
-    )
-    classes = least.groupBy("m").agg(F.collect_list(F.struct("license", "shingles", "bands")).alias("known"))
-    # a window's minhash can only be a template's if the window holds that very shingle, so the other windows are not hashed
-    places = F.filter(F.transform("h", lambda x, i: F.when(x.isin(every), i + 1)), lambda i: i.isNotNull())
-    placed = texts.select("doc_id", "h", F.explode(F.array(places)).alias("places"))
-    per_band = placed.select("doc_id", "h", "places", F.explode(F.array(*map(F.lit, lengths))).alias("m")).join(F.broadcast(classes), "m").withColumn("step", stride(F.col("m")))
-    last = F.greatest(F.lit(0), F.floor((F.size("h") - F.col("m") - 1) / F.col("step")).cast("int") + 1)
-    around = lambda p: F.sequence(
-        F.least(last, F.greatest(F.lit(0), F.ceil((p - F.col("m")) / F.col("step")).cast("int"))), F.least(last, F.floor((p - 1) / F.col("step")).cast("int")), F.lit(1)
-    )
-    starts = F.transform(F.array_distinct(F.flatten(F.transform("places", around))), lambda g: g * F.col("step") + 1)
-    per_band = per_band.select("*", F.explode(F.array(starts)).alias("starts"))
-
-    def hits(j: int) -> Column:
-        """Starts of windows whose band j equals a template's, with the template's place in known."""
-        least_of = F.transform("starts", lambda s: F.struct(s.alias("start"), F.array_min(F.transform(F.slice("h", s, F.col("m")), lambda x: F.xxhash64(x, F.lit(j)))).alias("least")))
-        equal = lambda window, k: F.filter(window, lambda w: w["least"] == F.element_at(F.element_at(F.col("known"), k + 1)["bands"], j))
-        numbered = F.sequence(F.lit(0), F.size("known") - 1)
-        of_all = lambda window: F.flatten(F.transform(numbered, lambda k: F.transform(equal(window, k), lambda w: F.struct(w["start"].alias("start"), k.alias("k")))))
-        return once(least_of, of_all)
-
-    found = F.array_distinct(reduce(F.array_union, [hits(j) for j in range(1, bands + 1)]))
-    candidates = per_band.select("doc_id", "h", "m", "step", "known", F.explode(found).alias("c"))
-    template = F.element_at(F.col("known"), F.col("c.k") + 1)
-    low = F.greatest(F.lit(1), F.col("c.start") - F.col("step"))
-    region = F.slice("h", low, F.col("c.start") + F.col("m") + F.col("step") - low)
-    share = F.size(F.array_intersect(template["shingles"], region)) / F.col("m")
-    confirmed = candidates.select("doc_id", template["license"].alias("license"), share.alias("containment"), (F.col("c.start") - 1).alias("start")).where(F.col("containment") >= containment)
-    return confirmed.groupBy("doc_id", "license").agg(F.max("containment").alias("containment"), F.min("start").cast("int").alias("first_shingle"), F.count("*").alias("n_windows"))
+    texts = docs.select("doc_id", F.explode(F.array(shingles(words(F.col("text"))))).alias("h")).where(F.size("h") > 0)
+    keys = texts.select("doc_id", F.size("h").alias("n"), F.posexplode(window_keys(F.col("h"), bands)).alias("place", "key"))
+    met = keys.join(table, "key")
+    step = F.greatest(F.lit(1), F.floor(F.col("m") / 4)).cast("int")
+    bucket = F.floor((_start(F.col("place"), F.col("n")) - F.col("offset")) / step).cast("int")
+    candidates = met.groupBy("doc_id", "license", "m", "w", bucket.alias("bucket")).agg(F.count("*").alias("hits"))
+    lists = candidates.groupBy(F.col("doc_id").alias("_id")).agg(F.collect_list(F.struct("license", "m", "w", "bucket", "hits")).alias("found"))
+    lists = stage(lists, "candidates")
+    again = docs.select("doc_id", "text").join(lists, F.col("doc_id").eqNullSafe(F.col("_id"))).select("doc_id", F.explode(F.array(shingles(words(F.col("text"))))).alias("h"), "found")
+    each = again.select("doc_id", "h", F.explode("found").alias("c")).join(known.select("license", "shingles"), F.col("c.license") == F.col("license"))
+    step = F.greatest(F.lit(1), F.floor(F.col("c.m") / 4)).cast("int")
+    margin = F.least(step + F.col("c.w"), step * 2)
+    low = F.greatest(F.lit(0), F.col("c.bucket") * step - margin)
+    high = (F.col("c.bucket") + 1) * step + F.col("c.m") + margin
+    region = F.slice("h", low + 1, F.greatest(F.lit(1), high - low))
+    share = F.size(F.array_intersect("shingles", region)) / F.col("c.m")
+    confirmed = each.select("doc_id", "license", share.alias("containment"), low.alias("start"), F.col("c.hits").alias("hits")).where(F.col("containment") >= containment)
+    return confirmed.groupBy("doc_id", "license").agg(F.max("containment").alias("containment"), F.min("start").cast("int").alias("first_shingle"), F.sum("hits").alias("n_windows"))
