@@ -1,15 +1,16 @@
 """License scans on DataFrame functions only: MinHash bands over overlapping windows, then exact shingle containment.
 
 A text is lower-cased, cut to words at anything but letters and digits, and hashed to shingles of five words. Windows of
-4, 16 and 64 shingles slide over it by 4, 4 and 16; of a window each band keeps one minhash, the least of its shingles
-under one of BANDS permutations (an exclusive or with a constant, since shingles are hashes already). A template has a
-window at every offset, of the largest length that is at most half its own, or 64; one of under eight shingles is retrieved by single shingles.
+16 and 64 shingles slide over it by half their length; of a window each band keeps one minhash, the least of its shingles
+under one of BANDS permutations (an exclusive or with a constant, since shingles are hashes already). Windows of 4 shingles
+have one band. A template has a window at every offset, of the largest length that is at most a half of its own, up to 64;
+one of under eight shingles is retrieved by single shingles.
 
 A text window of similarity s to a template's shares some band with it with chance 1 - (1 - s) ** BANDS. An occurrence
 that holds 80 % of a template of 32 shingles or more has a window that holds as much on average, and so one of s of
-0.8 / 1.2 or more: the chance is 0.99985 for that window alone. Shorter templates can only lose shingles at their ends
-or be cut once, so some window is whole and found for sure. What the bands retrieve is confirmed by the exact share of the template's shingles within the
-stretch of text that the windows align it to.
+0.8 / 1.2 or more: the chance is 0.9986 for that window alone. A template of fewer can only lose shingles near its ends,
+since any change inside costs five, so some window of four is whole and found for sure. What the bands retrieve is
+confirmed by the exact share of the template's shingles within the stretch of text that the windows align it to.
 """
 
 from __future__ import annotations
@@ -24,8 +25,8 @@ from .common import stage
 
 SHINGLE = 5
 CONTAINMENT = 0.8
-BANDS = 8
-#: Window lengths in shingles, from the shortest; each is four of the one before, in steps of a chunk.
+BANDS = 6
+#: Window lengths in shingles; each is four of the one before.
 WINDOWS = (4, 16, 64)
 #: The bands' table is broadcast up to so many rows (about 60 bytes each), and joined by a shuffle beyond.
 BROADCAST_ROWS = 1_000_000
@@ -80,7 +81,7 @@ def shingles(of: Column, size: int = SHINGLE) -> Column:
 
 
 def template_table(spark: SparkSession, templates: dict[str, str] | DataFrame | None = None) -> DataFrame:
-    """license, h (its shingles in order), shingles (each once), m (how many), w (the length of its windows).
+    """license, h (its shingles in order), shingles (each once), m (how many), w (the length of its windows: 1, 4, 16 or 64).
 
     templates: rows (license, body) of any number, a dictionary, or the known ones. Those of under five words have no
     shingles and are refused.
@@ -110,62 +111,44 @@ def _fours(start: Callable[[Column, int], Column]) -> Callable[[Column], Column]
     return lambda i: F.least(*(start(i, k) for k in range(4)))
 
 
-def _key(least: Column, w: int, band: int) -> Column:
-    """Minhashes of different lengths and bands never meet."""
-    return least.bitwiseXOR(F.lit((w * 1_000_003 + band * 7919) * 0x2545F4914F6CDD1D % (1 << 63)))
-
-
 def band_table(templates: DataFrame, bands: int = BANDS) -> DataFrame:
     """key, license, m, w, offset: the minhashes of all template windows, once for each stretch of w offsets."""
-    own = F.size("h") - F.col("w") + 1
-    offsets = F.sequence(F.lit(0), F.greatest(F.lit(0), own - 1))
+    offsets = F.sequence(F.lit(0), F.greatest(F.lit(0), F.size("h") - F.col("w")))
     rows = templates.select("license", "h", "m", "w", F.explode(offsets).alias("offset")).withColumn("window", F.slice("h", F.col("offset") + 1, F.col("w")))
-    parts = []
-    for w in (1, *WINDOWS):
-        for band in range(bands if w > 1 else 1):
-            least = F.array_min(F.transform("window", _permuted(band)))
-            parts.append(F.when(F.col("w") == w, _key(least, w, band)))
-    keys = rows.select("license", "m", "w", "offset", F.explode(F.array_compact(F.array(*parts))).alias("key"))
-    return keys.groupBy("key", "license", "m", "w", F.floor(F.col("offset") / F.col("w")).alias("stretch")).agg(F.min("offset").alias("offset")).drop("stretch")
+    least = [F.array_min(F.transform("window", _permuted(band))) for band in range(bands)]
+    keys = F.when(F.col("w") == 1, F.col("window")).when(F.col("w") == WINDOWS[0], F.array(least[0])).otherwise(F.array(*least))
+    found = rows.select("license", "m", "w", "offset", F.explode(keys).alias("key"))
+    return found.groupBy("key", "license", "m", "w", F.floor(F.col("offset") / F.col("w")).alias("stretch")).agg(F.min("offset").alias("offset")).drop("stretch")
 
 
-def _of_band(h: Column, chunks: Column, band: int) -> Column:
-    """A band's keys: windows of 4, of 16 and of 64 shingles, each the least of four of the length before."""
-    permuted = _permuted(band)
-    fours = F.transform(chunks, _fours(lambda i, k: permuted(F.get(h, i * 4 + k))))
-
-    def longer(of: Column) -> Column:
-        return F.transform(F.sequence(F.lit(0), F.size(of) - 1), _fours(lambda i, k: F.get(of, i + k)))
+def _of_band(h: Column, band: int) -> Column:
+    """A band's keys: windows of 16 shingles and of 64, and for the first band those of 4 before them.
 
-    def keyed(of: Column, w: int) -> Column:
-        return F.transform(of, lambda x: _key(x, w, band))
+    Each is the least of four of the length before. At the text's end windows are shorter, so short texts have some too.
+    """
+    permuted = _permuted(band)
+    fours = F.transform(F.sequence(F.lit(0), F.size(h) - 1, F.lit(4)), _fours(lambda i, k: permuted(F.get(h, i + k))))
 
-    def from_sixteens(of4: Column, of16: Column) -> Column:
-        every = F.filter(of16, lambda x, i: i % 4 == 0)
-        return F.concat(keyed(of4, 4), keyed(of16, 16), keyed(once(every, longer), 64))
+    def all_lengths(of4: Column) -> Column:
+        sixteens = F.transform(F.sequence(F.lit(0), F.size(of4) - 1, F.lit(2)), _fours(lambda i, k: F.get(of4, i + k)))
+        sixtyfours = lambda of16: F.transform(F.sequence(F.lit(0), F.size(of16) - 1, F.lit(4)), _fours(lambda i, k: F.get(of16, i + 2 * k)))
+        longer = once(sixteens, lambda of16: F.concat(of16, sixtyfours(of16)))
+        return F.concat(of4, longer) if band == 0 else longer
 
-    return once(fours, lambda of4: once(longer(of4), lambda of16: from_sixteens(of4, of16)))
+    return once(fours, all_lengths)
 
 
 def window_keys(h: Column, bands: int = BANDS) -> Column:
-    """The keys of all windows of a text: its shingles; then, band by band, windows of 4 by 4, of 16 by 4, of 64 by 16.
-
-    At the text's end windows are shorter, down to a single chunk, so short texts have windows too.
-    """
-    n = F.size(h)
-    chunks = F.when(n > 0, F.sequence(F.lit(0), F.ceil(n / 4).cast("int") - 1)).otherwise(F.array().cast("array<int>"))
-    parts = [F.transform(h, lambda x: _key(x.bitwiseXOR(F.lit(_salt(0))), 1, 0))]
-    for band in range(bands):
-        parts.append(_of_band(h, chunks, band))
-    return F.concat(*parts)
+    """The keys of all windows of a text that has shingles: the shingles themselves, then those of each band."""
+    return F.concat(h, *(_of_band(h, band) for band in range(bands)))
 
 
 def _start(place: Column, n: Column) -> Column:
     """Where the window begins whose key lies at a place of window_keys() of a text of n shingles."""
-    chunks = F.ceil(n / 4).cast("int")
-    long = F.ceil(chunks / 4).cast("int")
-    k = (place - n) % (2 * chunks + long)
-    return F.when(place < n, place).when(k < chunks, k * 4).when(k < 2 * chunks, (k - chunks) * 4).otherwise((k - 2 * chunks) * 16)
+    fours = F.ceil(n / 4).cast("int")
+    sixteens = F.ceil(fours / 2).cast("int")
+    k = (place - n - fours) % (sixteens + F.ceil(sixteens / 4).cast("int"))
+    return F.when(place < n, place).when(place < n + fours, (place - n) * 4).when(k < sixteens, k * 8).otherwise((k - sixteens) * 32)
 
 
 def scan(docs: DataFrame, templates: dict[str, str] | DataFrame | None = None, containment: float = CONTAINMENT, bands: int = BANDS) -> DataFrame:
