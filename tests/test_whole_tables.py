@@ -1,4 +1,4 @@
-"""Queries over whole tables, where the query with SQL keeps a part, against brute force."""
+"""Queries over whole tables against brute force."""
 
 import datetime as dt
 from collections import defaultdict
@@ -24,7 +24,7 @@ def test_versions_of_all_companies(spark):
                 if len({content for _, content in same}) == 1:
                     ids = [i for i, _ in same if i is not None]
                     want.append((company, target, period, of, target if target in ids else min(ids, default=None), last))
-    got = [tuple(r) for r in QUERIES["pit_versions_all"](spark, SMALL).select("company_id", "target_id", "target_period", "period_end", "version_id", "effective_at").collect()]
+    got = [tuple(r) for r in QUERIES["pit_versions"](spark, SMALL).select("company_id", "target_id", "target_period", "period_end", "version_id", "effective_at").collect()]
     assert len(filings) > 20 and {r[0] for r in got} == set(filings)
     assert sorted(got, key=str) == sorted(set(want), key=str)
 
@@ -33,7 +33,7 @@ def test_day_upserted_into_the_whole_price_table(spark, sf_dir):
     traded = {r.id for r in load(spark, sf_dir, "companies").where("series = 'EQ'").collect()}
     day = dt.date(1998, 1, 5)
     want = {(r.company_id, r.trade_date): r.close + (r.trade_date == day and r.company_id in traded) for r in load(spark, sf_dir, "daily_prices").collect()}
-    got = {(r.company_id, r.trade_date): r.close for r in QUERIES["price_upsert_all"](spark, sf_dir).collect()}
+    got = {(r.company_id, r.trade_date): r.close for r in QUERIES["price_upsert"](spark, sf_dir).collect()}
     assert min(d for _, d in got) < dt.date(1998, 1, 1)
     assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-6 for k in want)
 

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.core import half_up, valid, weighted_mean
+from tidemark.functions.core import valid, weighted_mean
 from tidemark.operators.market import HORIZONS, known_ttm
 
 TECHNICAL = (
@@ -54,39 +54,39 @@ def check_no_leaks(feature_rows: DataFrame) -> DataFrame:
     return feature_rows
 
 
-def feature_scores(feature_rows: DataFrame, digits: int = 6) -> DataFrame:
+def feature_scores(feature_rows: DataFrame) -> DataFrame:
     """Percentile rank in [0, 1] of each feature among the valid values of its date, turned round where low is good.
 
-    The features are stacked to (date, feature, value) so that one window ranks them all, and spread again: two shuffles
-    in place of a window and a join for each feature. A date's values of one feature meet in one task, which is the
+    The features are stacked to (date, feature, value), invalid ones as nulls, so that one window ranks them all, and
+    spread again: the feature rows are read once, with two shuffles in place of a window and a join for each feature. Rows
+    are unique by company, date and scope. A date's values of one feature meet in one task, which is the
     number of companies.
     """
     floor = {**{f: F.col(f) > 0 for f in POSITIVE}, **{f: F.col(f) >= 0 for f in NOT_NEGATIVE}}
     usable = [F.when(valid(f) & floor.get(f, F.lit(True)), F.col(f)).alias(f) for f in FEATURES]
     long = feature_rows.select("company_id", "trade_date", "statement_scope", *usable).unpivot(["company_id", "trade_date", "statement_scope"], list(FEATURES), "feature", "value")
-    by = Window.partitionBy("trade_date", "feature").orderBy("value")
-    ranked = long.where("value IS NOT NULL").withColumn("_p", F.percent_rank().over(by))
-    score = half_up(F.when(F.col("feature").isin(*LOW_IS_GOOD), 1 - F.col("_p")).otherwise(F.col("_p")), digits)
-    wide = ranked.groupBy("company_id", "trade_date", "statement_scope").agg(*[F.max(F.when(F.col("feature") == f, score)).alias(f"{f}_score") for f in FEATURES])
-    return feature_rows.select("company_id", "trade_date", "statement_scope").join(wide, ["company_id", "trade_date", "statement_scope"], "left")
+    by = Window.partitionBy("trade_date", "feature", F.col("value").isNotNull()).orderBy("value")
+    ranked = long.withColumn("_p", F.when(F.col("value").isNotNull(), F.percent_rank().over(by)))
+    score = F.when(F.col("feature").isin(*LOW_IS_GOOD), 1 - F.col("_p")).otherwise(F.col("_p"))
+    return ranked.groupBy("company_id", "trade_date", "statement_scope").agg(*[F.max(F.when(F.col("feature") == f, score)).alias(f"{f}_score") for f in FEATURES])
 
 
-def rankings(scores: DataFrame, digits: int = 6) -> DataFrame:
+def rankings(scores: DataFrame) -> DataFrame:
     """Category and overall scores, rank and percentile by date; rows without an overall score stay, unranked.
 
     A category needs two of its features, the overall score three of the four categories; weights are renormalised over
-    what is there.
+    what is there. Nothing is rounded here, so that close scores rank apart.
     """
     rows = scores.select(
         "company_id", "trade_date", "statement_scope",
-        *[half_up(weighted_mean({f"{f}_score": w for f, w in fs.items()}, 2), digits).alias(f"{c}_score") for c, (_, fs) in CATEGORIES.items()],
+        *[weighted_mean({f"{f}_score": w for f, w in fs.items()}, 2).alias(f"{c}_score") for c, (_, fs) in CATEGORIES.items()],
         reduce(lambda a, b: a + b, [F.col(f"{f}_score").isNotNull().cast("int") for f in FEATURES]).alias("valid_feature_count"),
     )
     rows = rows.withColumn("valid_category_count", reduce(lambda a, b: a + b, [F.col(f"{c}_score").isNotNull().cast("int") for c in CATEGORIES]))
-    rows = rows.withColumn("overall_score", half_up(weighted_mean({f"{c}_score": w for c, (w, _) in CATEGORIES.items()}, 3), digits))
+    rows = rows.withColumn("overall_score", weighted_mean({f"{c}_score": w for c, (w, _) in CATEGORIES.items()}, 3))
     scored = F.col("overall_score").isNotNull()
     by = Window.partitionBy("trade_date", scored).orderBy(F.col("overall_score").desc_nulls_last())
-    return rows.withColumn("overall_rank", F.when(scored, F.rank().over(by))).withColumn("overall_percentile", F.when(scored, half_up(1 - F.percent_rank().over(by), digits)))
+    return rows.withColumn("overall_rank", F.when(scored, F.rank().over(by))).withColumn("overall_percentile", F.when(scored, 1 - F.percent_rank().over(by)))
 
 
 def deciles(ranked: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from tidemark.operators.ranking import CATEGORIES, FEATURES, LOW_IS_GOOD, NOT_NEGATIVE, POSITIVE, RATIOS, RETURNS
 from tidemark.plans.fixtures import FIXTURES, duck
 from tidemark.sources.calendar import HOLIDAYS, SPECIAL_SESSIONS
+from tidemark.sources.shareholding import MEMBERS
 
 
 def r(x: str, digits: int, name: str | None = None) -> str:
@@ -106,14 +107,16 @@ _RATIO_NAMES = ["ebitda_margin", "ebit_margin", "net_profit_margin", "ocf_margin
 piece("metrics", ("daily_prices", "share_capital"), """
 SELECT p.company_id, p.trade_date, p.close, p.volume, s.shares_outstanding, s.effective_date AS share_data_date, p.close * s.shares_outstanding AS market_cap,
        CASE WHEN s.shares_outstanding IS NULL THEN 'PRICE_ONLY' ELSE 'CLOSE_X_HISTORICAL_SHARES' END AS calculation_method
-FROM daily_prices p LEFT JOIN LATERAL (
-  SELECT shares_outstanding, effective_date FROM share_capital c
-  WHERE c.company_id = p.company_id AND c.filing_date <= p.trade_date AND share_type = 'EQUITY' AND shares_outstanding IS NOT NULL
-  ORDER BY filing_date DESC, effective_date DESC LIMIT 1) s ON TRUE""")
+FROM daily_prices p ASOF LEFT JOIN (
+  SELECT company_id, filing_date, effective_date, shares_outstanding FROM share_capital WHERE share_type = 'EQUITY' AND shares_outstanding IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY company_id, filing_date ORDER BY effective_date DESC) = 1) s ON s.company_id = p.company_id AND p.trade_date >= s.filing_date""")
 piece("known", ("metrics", "ttm"), """
-SELECT m.company_id, m.trade_date, m.close, m.volume, m.market_cap, t.* EXCLUDE (company_id) FROM metrics m LEFT JOIN LATERAL (
-  SELECT * FROM ttm t WHERE t.company_id = m.company_id AND statement_scope = 'Consolidated' AND latest_filing_date <= m.trade_date
-  ORDER BY period_end DESC, latest_filing_date DESC LIMIT 1) t ON TRUE""")
+SELECT m.company_id, m.trade_date, m.close, m.volume, m.market_cap, t.* EXCLUDE (company_id) FROM metrics m
+ASOF LEFT JOIN (
+  SELECT company_id, latest_filing_date AS filed, max(struct_pack(e := period_end, f := latest_filing_date)) OVER (PARTITION BY company_id ORDER BY latest_filing_date) AS best
+  FROM ttm WHERE statement_scope = 'Consolidated' AND latest_filing_date IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY company_id, latest_filing_date ORDER BY period_end DESC) = 1) b ON b.company_id = m.company_id AND m.trade_date >= b.filed
+LEFT JOIN (SELECT * FROM ttm WHERE statement_scope = 'Consolidated') t ON t.company_id = m.company_id AND t.period_end = b.best.e AND t.latest_filing_date = b.best.f""")
 piece("vals", ("known",), f"""
 SELECT company_id, trade_date AS valuation_date, 'Consolidated' AS statement_scope, market_cap, ev AS enterprise_value, period_end AS ttm_period_end, latest_filing_date AS ttm_filing_date,
        {div('market_cap', 'net_income_ttm')} AS pe, {div('market_cap', 'revenue_ttm')} AS price_to_sales, {div('market_cap', 'free_cash_flow_ttm')} AS price_to_fcf,
@@ -137,7 +140,7 @@ def _usable(f: str) -> str:
 
 def _score(f: str) -> str:
     p = f"percent_rank() OVER (PARTITION BY trade_date, coalesce({_usable(f)}, FALSE) ORDER BY {f})"
-    return f"CASE WHEN {_usable(f)} THEN floor(({'1 - ' if f in LOW_IS_GOOD else ''}{p}) * 1e6 + 0.5) / 1e6 END AS {f}_score"
+    return f"CASE WHEN {_usable(f)} THEN {'1 - ' if f in LOW_IS_GOOD else ''}{p} END AS {f}_score"
 
 
 piece("scores", ("feats",), f"SELECT company_id, trade_date, statement_scope, {', '.join(_score(f) for f in FEATURES)} FROM feats")
@@ -152,11 +155,11 @@ def _mean(weights: dict[str, float], least: int) -> str:
 
 _overall = {f"{c}_score": w for c, (w, _) in CATEGORIES.items()}
 piece("cats", ("scores",), f"""
-SELECT company_id, trade_date, statement_scope, {', '.join(r(_mean({f'{f}_score': w for f, w in fs.items()}, 2), 6, f'{c}_score') for c, (_, fs) in CATEGORIES.items())},
+SELECT company_id, trade_date, statement_scope, {', '.join(f'{_mean({f"{f}_score": w for f, w in fs.items()}, 2)} AS {c}_score' for c, (_, fs) in CATEGORIES.items())},
        {' + '.join(f'({f}_score IS NOT NULL)::INT' for f in FEATURES)} AS valid_feature_count FROM scores""")
 piece("ranked", ("cats",), f"""
-SELECT *, CASE WHEN overall_score IS NOT NULL THEN CAST(rank() OVER w AS INT) END AS overall_rank, CASE WHEN overall_score IS NOT NULL THEN floor((1 - percent_rank() OVER w) * 1e6 + 0.5) / 1e6 END AS overall_percentile
-FROM (SELECT *, {' + '.join(f'({c} IS NOT NULL)::INT' for c in _overall)} AS valid_category_count, {r(_mean(_overall, 3), 6, 'overall_score')} FROM cats)
+SELECT *, CASE WHEN overall_score IS NOT NULL THEN CAST(rank() OVER w AS INT) END AS overall_rank, CASE WHEN overall_score IS NOT NULL THEN 1 - percent_rank() OVER w END AS overall_percentile
+FROM (SELECT *, {' + '.join(f'({c} IS NOT NULL)::INT' for c in _overall)} AS valid_category_count, {_mean(_overall, 3)} AS overall_score FROM cats)
 WINDOW w AS (PARTITION BY trade_date, overall_score IS NOT NULL ORDER BY overall_score DESC NULLS LAST)""")
 piece("ahead", ("daily_prices",), f"""
 SELECT company_id, trade_date, close, close_5d, close_20d, close_60d, {', '.join(f'CASE WHEN close > 0 AND close_{n}d > 0 THEN close_{n}d / close - 1 END AS forward_{n}d_return' for n in (5, 20, 60))}
@@ -167,13 +170,13 @@ piece("stats", ("deciled",), f"SELECT trade_date, decile, count(*) AS observatio
 
 _label = "CASE WHEN score IS NULL THEN 'needs_data' WHEN score < 50 THEN 'red' ELSE 'green' END"
 piece("scored", ("ranked",), "SELECT *, overall_score * 100 AS score FROM ranked")
-piece("prior", ("ranked",), "SELECT company_id, CAST(trade_date - INTERVAL 14 DAY AS DATE) AS trade_date, CAST(trade_date - INTERVAL 12 DAY AS DATE) AS hold_until FROM ranked WHERE overall_score >= 0.5 AND company_id % 3 = 0")
+piece("prior", ("ranked",), "SELECT company_id, CAST(trade_date - INTERVAL 14 DAY AS DATE) AS trade_date, CAST(trade_date - INTERVAL 12 DAY AS DATE) AS hold_until FROM ranked WHERE overall_score >= 0.6")
 piece("holds", ("scored", "prior"), f"""
 SELECT company_id, trade_date, score, {_label} AS red_green, u,
        CASE WHEN score >= 50 THEN CAST(trade_date + INTERVAL 2 DAY AS DATE) END AS hold_until, CASE WHEN score >= 50 THEN u END AS sell_target_date,
        CASE WHEN score IS NULL THEN 'pending' WHEN score < 50 THEN 'hold' WHEN u IS NOT NULL AND trade_date + INTERVAL 2 DAY >= u THEN 'sell' ELSE 'hold' END AS action,
        CASE WHEN score IS NULL THEN 'missing_score' WHEN score < 50 THEN 'red_score' WHEN u IS NOT NULL AND trade_date + INTERVAL 2 DAY >= u THEN 'time_to_target_reached' ELSE 'initial_hold' END AS reason
-FROM (SELECT s.company_id, s.trade_date, s.score, p.hold_until AS u FROM scored s LEFT JOIN LATERAL (SELECT hold_until FROM prior p WHERE p.company_id = s.company_id AND p.trade_date < s.trade_date ORDER BY p.trade_date DESC LIMIT 1) p ON TRUE)""")
+FROM (SELECT s.company_id, s.trade_date, s.score, p.hold_until AS u FROM scored s ASOF LEFT JOIN prior p ON p.company_id = s.company_id AND s.trade_date > p.trade_date)""")
 _decile = "CASE WHEN overall_percentile IS NOT NULL THEN greatest(1, 10 - CAST(floor(overall_percentile * 10) AS INT)) WHEN overall_rank IS NOT NULL THEN least(10, greatest(1, CAST(ceil(overall_rank / 10.0) AS INT))) END"
 piece("outs", ("holds", "stats", "ahead"), f"""
 SELECT h.company_id, h.trade_date, 5 AS horizon, s.avg_5d AS expected_return, a.forward_5d_return AS actual_return, s.avg_5d - a.forward_5d_return AS deviation,
@@ -222,6 +225,37 @@ def with_pieces(needs: tuple[str, ...], sql: str) -> str:
     return "WITH " + ",\n".join(f"{n} AS ({PIECES[n][1]})" for n in seen) + f"\n{sql}"
 
 
+_held = ("promoter_shares", "domestic_institutions_shares", "foreign_institutions_shares", "mutual_funds_shares", "insurance_companies_shares", "governments_shares", "non_institutions_shares")
+
+
+def _cents(x: str) -> str:
+    return f"floor(({x}) * 100 + 0.5) / 100"
+
+
+_XBRL_QUARTER = {"revenue": "revenue", "profit_before_tax": "profit_before_tax", "net_income": "net_income", "depreciation": "CASE WHEN raw_filing_id % 5 > 0 THEN revenue * 0.08::DOUBLE END", "finance_costs": "revenue * 0.02::DOUBLE", "eps": "revenue * 0.001::DOUBLE", "operating_cash_flow": "revenue * 0.18::DOUBLE", "capital_expenditure": "revenue * 0.05::DOUBLE"}
+_XBRL_YEAR = {"revenue": "ytd_revenue", "profit_before_tax": "ytd_profit_before_tax", "net_income": "NULL::DOUBLE", "depreciation": "NULL::DOUBLE", "finance_costs": "ytd_finance_costs", "eps": "NULL::DOUBLE", "operating_cash_flow": "ytd_operating_cash_flow", "capital_expenditure": "ytd_capital_expenditure"}
+
+
+def _xbrl_rows(period_type: str, which: str, of: dict[str, str], flows: bool, context: str, start: str) -> str:
+    value = {k: _cents(v) if flows or k not in ("operating_cash_flow", "capital_expenditure") else "NULL::DOUBLE" for k, v in of.items()}
+    if flows and of is _XBRL_QUARTER:
+        value["capital_expenditure"] = "abs(floor((revenue * -0.05::DOUBLE) * 100 + 0.5) / 100)"
+    ytd = ", ".join(f"CASE WHEN fq IN (2, 3) THEN {_cents(_XBRL_YEAR[k])} END AS ytd_{k}" for k in ("revenue", "profit_before_tax", "net_income", "finance_costs", "depreciation", "operating_cash_flow", "capital_expenditure"))
+    return f"""SELECT raw_filing_id AS filing_id, company_id, period_end, '{period_type}' AS period_type, {', '.join(f'{v} AS {k}' for k, v in value.items())},
+{_cents('revenue * 6')} AS total_assets, {_cents('revenue * 3')} AS total_equity, {_cents('revenue * 0.5::DOUBLE')} AS cash_and_equivalents, {ytd}, '{context}' AS pnl_context, {start} AS fiscal_start, NULL::VARCHAR AS error,
+CASE WHEN raw_filing_id % 6 > 0 THEN CASE WHEN raw_filing_id % 3 > 0 THEN {_cents('revenue')} ELSE 0 END + CASE WHEN raw_filing_id % 2 > 0 THEN {_cents('revenue * 2')} ELSE 0 END END AS total_debt
+FROM cumulative_statements WHERE raw_filing_id % 97 <> 0 AND {which}"""
+
+
+piece("xbrl", ("cumulative_statements",), f"""
+SELECT *, profit_before_tax + finance_costs AS ebit, profit_before_tax + finance_costs + depreciation AS ebitda, operating_cash_flow - capital_expenditure AS free_cash_flow FROM (
+{_xbrl_rows('quarterly', "pnl_context = 'quarter'", _XBRL_QUARTER, True, 'quarter', "CAST(date_trunc('quarter', period_end) AS DATE)")}
+UNION ALL BY NAME {_xbrl_rows('quarterly', "pnl_context <> 'quarter' AND fq IN (2, 3)", _XBRL_YEAR, False, 'ytd', 'fiscal_start')}
+UNION ALL BY NAME {_xbrl_rows('annual', 'fq = 4', _XBRL_YEAR, True, 'ytd', 'fiscal_start')}
+UNION ALL BY NAME SELECT raw_filing_id AS filing_id, company_id, period_end, CASE WHEN raw_filing_id % 97 = 0 THEN 'ParseError: no element found: line 1, column 12' ELSE 'NO_TARGET_PERIOD_CONTEXT' END AS error
+FROM cumulative_statements WHERE raw_filing_id % 97 = 0 OR (pnl_context <> 'quarter' AND fq = 1))""")
+
+
 def _oracles() -> dict[str, str]:
     q: dict[str, tuple[tuple[str, ...], str]] = {}
     prices = ("daily_prices",)
@@ -306,8 +340,13 @@ FROM ({side.format('1998-03-01', '1998-03-27')}) o FULL OUTER JOIN ({side.format
     q["archive_names"] = (prices, "SELECT day, CASE WHEN day < DATE '2024-07-08' THEN 'cm' || upper(strftime(day, '%d%b%Y')) || 'bhav.csv.zip' ELSE 'BhavCopy_CM_0_0_0_' || strftime(day, '%Y%m%d') || '_F_0000.csv.zip' END AS archive FROM (SELECT DISTINCT CAST(trade_date + INTERVAL 10000 DAY AS DATE) AS day FROM daily_prices)")
     q["decile_and_horizon"] = ((), "SELECT n, CASE WHEN n % 3 = 0 THEN greatest(1, 10 - CAST(floor(n / 130::DOUBLE * 10) AS INT)) WHEN n % 5 <> 0 THEN least(10, greatest(1, CAST(ceil(n / 10::DOUBLE) AS INT))) END AS decile, CASE WHEN n <= 5 THEN 5 WHEN n <= 20 THEN 20 ELSE 60 END AS bucket, CASE WHEN n % 7 = 0 THEN 'needs_data' WHEN n < 50 THEN 'red' ELSE 'green' END AS label FROM (SELECT unnest(range(0, 130)) AS n)")
     q["normalize_prices"] = (("daily_prices", "companies"), "SELECT symbol, close, CASE WHEN company_id % 5 <> 0 THEN high END AS high, CASE WHEN company_id % 7 <> 0 THEN low END AS low, volume, CAST(trade_date AS VARCHAR) AS trade_day FROM daily_prices JOIN companies ON company_id = id WHERE series = 'EQ'")
-    q["price_upsert"] = (("daily_prices", "companies"), f"SELECT company_id, trade_date, {r("CASE WHEN trade_date = DATE '1998-01-05' AND series = 'EQ' THEN close + 1 ELSE close END", 2, 'close')} FROM daily_prices JOIN companies ON company_id = id WHERE trade_date >= DATE '1998-01-01'")
-    q["pit_versions"] = (("statements",), """, f AS (SELECT company_id, period_end, filing_date AS effective_at, source_reference AS filing_id, md5(concat_ws('|', submission_type, CAST(period_end AS VARCHAR))) AS h FROM statements WHERE period_type = 'quarterly' AND statement_scope = 'Consolidated' AND company_id <= 20 AND filing_date IS NOT NULL),
+    numbers = [f"{'ytd_' if y else ''}{k}" for y, ks in ((0, (*_XBRL_QUARTER, "total_assets", "total_equity", "cash_and_equivalents", "total_debt", "ebit", "ebitda", "free_cash_flow")), (1, [k for k in _XBRL_YEAR if k != "eps"])) for k in ks]
+    q["xbrl_statements"] = (("xbrl",), f"SELECT filing_id, company_id, period_end, period_type, pnl_context, fiscal_start, error, {', '.join(r(c, 2) for c in numbers)} FROM xbrl")
+    q["shareholding_extract"] = (("shareholding_snapshots",), f"""SELECT (company_id * 100000 + date_diff('day', DATE '1990-01-01', effective_date))::BIGINT AS filing_id, company_id, effective_date AS period_end,
+total_shares::BIGINT AS total_shares, {', '.join(f'{c}::BIGINT AS {c}' if c in _held else f'NULL::BIGINT AS {c}' for c in MEMBERS.values() if c != 'government_shares')}, governments_shares::BIGINT AS government_shares
+FROM shareholding_snapshots""")
+    q["price_upsert"] = (("daily_prices", "companies"), f"SELECT company_id, trade_date, {r("CASE WHEN trade_date = DATE '1998-01-05' AND series = 'EQ' THEN close + 1 ELSE close END", 2, 'close')} FROM daily_prices JOIN companies ON company_id = id")
+    q["pit_versions"] = (("statements",), """, f AS (SELECT company_id, period_end, filing_date AS effective_at, source_reference AS filing_id, md5(concat_ws('|', submission_type, CAST(period_end AS VARCHAR))) AS h FROM statements WHERE period_type = 'quarterly' AND statement_scope = 'Consolidated' AND filing_date IS NOT NULL),
 per AS (SELECT company_id, period_end, effective_at, min(filing_id) AS smallest, list(filing_id) AS ids, count(DISTINCT h) AS contents FROM f GROUP BY 1, 2, 3),
 best AS (SELECT t.company_id, t.filing_id AS target_id, t.period_end AS target_period, t.effective_at AS as_of, p.period_end, max(p.effective_at) AS effective_at FROM f t JOIN per p ON p.company_id = t.company_id AND p.effective_at <= t.effective_at GROUP BY 1, 2, 3, 4, 5)
 SELECT b.company_id, target_id, target_period, b.period_end, CASE WHEN list_contains(ids, target_id) THEN target_id ELSE smallest END AS version_id, b.effective_at

@@ -231,8 +231,8 @@ def decile_backtest(spark, d):
 def _loop_inputs(spark, d):
     ranked, returns = _ranked(spark, d), market.forward_returns(_prices(spark, d))
     stats = ranking.decile_backtest(ranked, returns, by_date=True)
-    # the rankings stand in for earlier decisions: of a third of the companies, when they are green two weeks later
-    prior = ranked.where("overall_score >= 0.5 AND company_id % 3 = 0").select("company_id", F.date_add("trade_date", -14).alias("trade_date"), F.lit(None).cast("double").alias("sell_target_price"), F.lit(None).cast("date").alias("sell_target_date"), F.date_add("trade_date", -12).alias("hold_until"))
+    # the rankings stand in for earlier decisions: of companies that are well in the green two weeks later
+    prior = ranked.where("overall_score >= 0.6").select("company_id", F.date_add("trade_date", -14).alias("trade_date"), F.lit(None).cast("double").alias("sell_target_price"), F.lit(None).cast("date").alias("sell_target_date"), F.date_add("trade_date", -12).alias("hold_until"))
     return ranked, returns, stats, prior
 
 
@@ -448,13 +448,7 @@ def _stored_day(spark, d, stored):
 
 @query
 def price_upsert(spark, d):
-    """Prices of known symbols of the traded series, replacing what is stored for the day; since 1998 only, as its SQL has it."""
-    return _stored_day(spark, d, _prices(spark, d).select("company_id", "trade_date", "close").where(F.col("trade_date") >= "1998-01-01"))
-
-
-@query
-def price_upsert_all(spark, d):
-    """price_upsert into the whole price table."""
+    """Prices of known symbols of the traded series, replacing what is stored for the day."""
     return _stored_day(spark, d, _prices(spark, d).select("company_id", "trade_date", "close"))
 
 
@@ -482,13 +476,7 @@ def _versions(rows):
 
 @query
 def pit_versions(spark, d):
-    """Which filing of each period was the one to use when another filing came; of ids up to 20 only, as its SQL has it."""
-    return _versions(load(spark, d, "statements").where("company_id <= 20"))
-
-
-@query
-def pit_versions_all(spark, d):
-    """pit_versions of all companies."""
+    """Which filing of each period was the one to use when another filing came."""
     return _versions(load(spark, d, "statements"))
 
 

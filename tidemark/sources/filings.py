@@ -89,7 +89,8 @@ def artifact_name(stem: Column, content: Column) -> Column:
 def statements(facts: DataFrame) -> DataFrame:
     """Up to two statements per filing, quarterly and annual, or a row with an error.
 
-    Only contexts without dimensions that end (or stand) at the period end count. By their days: quarter 75-105, the
+    A context's days are its end less its start. pnl_context is quarter for 75-105 days, and in March for 160-200 days that
+    start on or after October 1; else ytd. Only contexts without dimensions that end (or stand) at the period end count. By their days: quarter 75-105, the
     shortest; year to date 160-200 or 250-300, the longest; annual 330-370, the shortest. In March a context of 160-300
     days that starts after last April 1 stands in for a missing quarter, and the year-to-date context for any other. Of a
     concept's facts in a context the first that is a number counts. The balance date's context is the one with most
@@ -98,7 +99,7 @@ def statements(facts: DataFrame) -> DataFrame:
     good = facts.where("error IS NULL AND NOT dimensioned AND (end_date = period_end OR instant = period_end)")
     numbers = good.withColumn("number", F.col("value").try_cast("double")).where("number IS NOT NULL")
     per = numbers.groupBy("filing_id", "company_id", "period_end", "context", "concept").agg(F.min_by("number", "pos").alias("number"), F.min("pos").alias("pos"), F.first("start_date").alias("start_date"), F.first("instant").alias("instant"))
-    days = F.datediff("period_end", "start_date") + 1
+    days = F.datediff("period_end", "start_date")
     balance = F.col("instant").isNotNull() & F.col("concept").isin(*BALANCE.values())
     ctx = (
         per.groupBy("filing_id", "company_id", "period_end", "context")
@@ -120,7 +121,8 @@ def statements(facts: DataFrame) -> DataFrame:
     pick = lambda of, names: F.coalesce(*[F.try_element_at(F.col(of), F.lit(n)) for n in names])
     value = {k: pick("s.c.v", names) for k, names in CONCEPTS.items()}
     flows = (F.col("s.period_type") == "annual") | F.col("s.c.days").between(75, 105)
-    half = (F.month("period_end") == 3) & F.col("s.c.days").between(160, 200) & (F.month("s.c.start_date") >= 10)
+    october = F.make_date(F.year("period_end") - 1, F.lit(10), F.lit(1))
+    half = (F.month("period_end") == 3) & F.col("s.c.days").between(160, 200) & (F.col("s.c.start_date") >= october)
     out = rows.select(
         "filing_id", "company_id", "period_end", F.col("s.period_type").alias("period_type"),
         *[value[k].alias(k) for k in ("revenue", "profit_before_tax", "net_income", "depreciation", "finance_costs", "eps")],
@@ -128,7 +130,7 @@ def statements(facts: DataFrame) -> DataFrame:
         F.when(flows, F.abs(value["capital_expenditure"])).alias("capital_expenditure"),
         *[pick("b.v", (n,)).alias(k) for k, n in BALANCE.items()],
         *[pick("y.v", CONCEPTS[k]).alias(f"ytd_{k}") for k in ("revenue", "profit_before_tax", "net_income", "finance_costs", "depreciation", "operating_cash_flow", "capital_expenditure")],
-        F.when((F.col("s.period_type") == "annual") | F.col("s.c.days").between(75, 105) | half, "quarter").otherwise("ytd").alias("pnl_context"),
+        F.when(F.col("s.c.days").between(75, 105) | half, "quarter").otherwise("ytd").alias("pnl_context"),
         F.col("s.c.start_date").alias("fiscal_start"), F.lit(None).cast("string").alias("error"),
     )
     both = F.col("debt_current").isNull() & F.col("debt_noncurrent").isNull()
@@ -154,17 +156,32 @@ def filing_date(broadcast: Column, cached: Column) -> Column:
 
 
 def sample_documents(cumulative: DataFrame) -> DataFrame:
-    """XBRL documents that state the rows of cumulative: a quarter context, a year-to-date context and a balance."""
-    ctx = lambda i, a: F.concat(F.lit(f'<context id="{i}"><period><startDate>'), a.cast("string"), F.lit("</startDate><endDate>"), F.col("period_end").cast("string"), F.lit("</endDate></period></context>"))
-    fact = lambda n, c, v: F.coalesce(F.concat(F.lit(f'<{n} contextRef="{c}" decimals="2">'), F.round(v, 2).cast("decimal(24,2)").cast("string"), F.lit(f"</{n}>")), F.lit(""))
+    """XBRL documents that state the rows of cumulative.
+
+    Contexts: the quarter, the year to date (the whole year in March), the same quarter of one segment, whose figures do
+    not count, and the balance date. Facts that can't be read as numbers stand before those that can.
+    """
+    scenario = "<scenario><explicitMember dimension='x:SegmentAxis'>x:OneMember</explicitMember></scenario>"
+    ctx = lambda i, a, more="": F.concat(F.lit(f'<context id="{i}"><period><startDate>'), a.cast("string"), F.lit("</startDate><endDate>"), F.col("period_end").cast("string"), F.lit(f"</endDate></period>{more}</context>"))
+    cents = lambda v: (F.floor(v * 100 + 0.5) / 100).cast("decimal(24,2)").cast("string")
+    fact = lambda n, c, v: F.coalesce(F.concat(F.lit(f'<{n} contextRef="{c}" decimals="2">'), cents(v), F.lit(f"</{n}>")), F.lit(""))
+    facts = lambda c, of: F.concat(*[fact(n, c, v) for n, v in of.items()])
     start = F.add_months(F.trunc("period_end", "month"), -2)
+    r, quarter, later = F.col("revenue"), F.col("pnl_context") == "quarter", F.col("fq") > 1
+    of_quarter = {
+        "RevenueFromOperations": r, "ProfitBeforeTax": F.col("profit_before_tax"), "ProfitLossForPeriod": F.col("net_income"), "FinanceCosts": r * 0.02, "DepreciationDepletionAndAmortisationExpense": F.when(F.col("raw_filing_id") % 5 > 0, r * 0.08),
+        "BasicEarningsPerShareAfterExtraordinaryItems": r * 0.001, "CashFlowsFromUsedInOperatingActivities": r * 0.18, "PurchaseOfPropertyPlantAndEquipmentClassifiedAsInvestingActivities": r * -0.05,
+    }
+    of_year = {
+        "Income": F.col("ytd_revenue"), "ProfitBeforeTax": F.col("ytd_profit_before_tax"), "FinanceCosts": F.col("ytd_finance_costs"), "CashFlowsFromUsedInOperatingActivities": F.col("ytd_operating_cash_flow"),
+        "PurchaseOfPropertyPlantAndEquipmentClassifiedAsInvestingActivities": F.col("ytd_capital_expenditure"),
+    }
+    of_balance = {"Assets": r * 6, "Equity": r * 3, "BorrowingsCurrent": F.when(F.col("raw_filing_id") % 3 > 0, r), "BorrowingsNoncurrent": F.when(F.col("raw_filing_id") % 2 > 0, r * 2), "CashAndCashEquivalents": r * 0.5}
     parts = [
-        F.lit("<xbrl>"), F.when(F.col("pnl_context") == "quarter", ctx("Q", start)).otherwise(""), F.when(F.col("fq") > 1, ctx("Y", F.col("fiscal_start"))).otherwise(""),
+        F.lit("<xbrl>"), ctx("D", start, scenario), F.when(quarter, ctx("Q", start)).otherwise(""), F.when(later, ctx("Y", F.col("fiscal_start"))).otherwise(""),
         F.concat(F.lit('<context id="B"><period><instant>'), F.col("period_end").cast("string"), F.lit("</instant></period></context>")),
-        F.when(F.col("pnl_context") == "quarter", F.concat(fact("RevenueFromOperations", "Q", F.col("revenue")), fact("ProfitBeforeTax", "Q", F.col("profit_before_tax")), fact("ProfitLossForPeriod", "Q", F.col("net_income")))).otherwise(""),
-        F.when(F.col("fq") > 1, F.concat(fact("Income", "Y", F.col("ytd_revenue")), fact("ProfitBeforeTax", "Y", F.col("ytd_profit_before_tax")), fact("FinanceCosts", "Y", F.col("ytd_finance_costs")), fact("CashFlowsFromUsedInOperatingActivities", "Y", F.col("ytd_operating_cash_flow")))).otherwise(""),
-        F.when(F.col("fq") > 1, F.concat(F.lit('<FinanceCosts contextRef="Y">n/a</FinanceCosts>'))).otherwise(""),
-        fact("Assets", "B", F.col("revenue") * 6), F.lit("</xbrl>"),
+        fact("RevenueFromOperations", "D", r * 9), F.when(quarter, F.concat(F.lit('<ProfitBeforeTax contextRef="Q">n/a</ProfitBeforeTax>'), facts("Q", of_quarter))).otherwise(""),
+        F.when(later, facts("Y", of_year)).otherwise(""), facts("B", of_balance), F.lit("</xbrl>"),
     ]
     broken = F.col("raw_filing_id") % 97 == 0
     return cumulative.select(F.col("raw_filing_id").alias("filing_id"), "company_id", "period_end", F.when(broken, "<xbrl><open>").otherwise(F.concat(*parts)).alias("content"))
