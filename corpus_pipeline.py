@@ -52,8 +52,8 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """How many words the mix takes of each document: doc_id, size, source_size, target, taken."""
-    return mixing.mix(docs).select("doc_id", "size", "source_size", "target", mixing.taken_words().alias("taken"))
+    """What the mix takes of each document: doc_id, size, source_size, target, taken words, and the shards that get them."""
+    return mixing.mix(docs).select("doc_id", "size", "source_size", "target", mixing.taken_words().alias("taken"), mixing.shard_words().alias("shards"))
 
 
 STAGES = [
@@ -64,8 +64,8 @@ STAGES = [
     ("source_mixing", source_mixing),
 ]
 
-#: Language ID, similarity joins and window repeats can't be stated in SQL that runs on whole tables; tests compare each
-#: stage with a brute-force version instead.
+#: Language ID, similarity joins and window repeats can't be stated in SQL that runs on whole tables; tests compare the
+#: stages with brute-force versions instead.
 ORACLE_SQL = None
 
 
