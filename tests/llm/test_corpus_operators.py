@@ -520,7 +520,17 @@ def brute_media(docs):
 def test_media_round_trip(spark, sf_dir):
     got = queries.op8_media_columns(spark, sf_dir).collect()
     assert sorted((tuple(r)[:5] for r in got), key=str) == brute_media(rows(table(spark, sf_dir, "documents")))
-    assert all(r["media_bytes"] and r["feature"] != "unknown" for r in got)
+    stored = {}
+    for d in rows(table(spark, sf_dir, "documents")):
+        data = (d["text"] or "").encode()
+        payload = data + bytes(-len(data) % 64 if data else 64)
+        stored[d["doc_id"]] = media.encode(payload), media.declared_type(payload)
+    for r in got:
+        blob, declared = stored[r["doc_id"]]
+        kind = {b"RI": "audio/wav", b".s": "audio/basic", b"BM": "image/bmp", b"\x89P": "image/png"}[blob[:2]]
+        assert (r["media_bytes"], r["media_sha256"], r["kind"], r["mislabelled"], r["n_embedded"]) == (len(blob), hashlib.sha256(blob).hexdigest(), kind, kind != declared, 0)
+        assert r["feature"].startswith(kind)
+    assert {r["mislabelled"] for r in got} == {True, False}
     odd = odd_docs(spark)
     assert sorted((tuple(r)[:5] for r in media.media_digests(odd).collect()), key=str) == brute_media(rows(odd))
     assert media.media_digests(odd.where("false")).count() == 0
@@ -548,6 +558,12 @@ def test_sniffing_carves_and_rejects():
     with zipfile.ZipFile(z, "w") as f:
         f.writestr("a", "b")
     assert [(f.kind, f.start) for f in media.sniff(b"__" + z.getvalue())] == [("application/zip", 2)]
+    with zipfile.ZipFile(z, "w") as f:
+        for i, (kind, blob) in enumerate(sorted(kinds.items())):
+            f.writestr(f"{i}.wrong", blob)
+    found = media.sniff(z.getvalue())
+    assert [f.kind for f in found] == ["application/zip", *sorted(kinds)]
+    assert all(z.getvalue()[f.start : f.start + f.size] == kinds[f.kind] for f in found[1:])
 
 
 # 9 mixing

@@ -16,6 +16,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 #: Payloads are padded with zero bytes to a positive multiple of this; it is also the pixel width of stored images.
 UNIT = 64
@@ -176,15 +177,19 @@ def _automaton():
     return found
 
 
+#: Kinds that hold other files as they are. What lies in the samples of any other kind is data and not a file.
+CONTAINERS = ("application/zip", "application/pdf")
+
+
 def sniff(blob: bytes) -> list[Found]:
-    """All confirmed media in blob, outermost first; what lies inside another's confirmed span is left to its owner."""
+    """All confirmed media in blob in order of their start, those inside containers too."""
     out: list[Found] = []
     covered = 0
     for end, magic in _automaton().iter(blob.decode("latin-1")):
         at = end + 1 - len(magic)
         if at >= covered and (found := FORMATS[magic](blob, at)):
             out.append(found)
-            covered = found.start + found.size
+            covered = end + 1 if found.kind in CONTAINERS else found.start + found.size
     return out
 
 
@@ -228,12 +233,21 @@ def encode(payload: bytes) -> bytes:
     return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", head) + chunk(b"IDAT", zlib.compress(rows.tobytes(), 1)) + chunk(b"IEND", b"")
 
 
+#: Extensions of the kinds that encode() writes, and the types that they declare.
+EXTENSIONS = {"wav": "audio/wav", "au": "audio/basic", "bmp": "image/bmp", "png": "image/png"}
+
+
+def declared_type(payload: bytes) -> str:
+    """The type that a file's name declares. Names are given without a look at the format, so most are wrong."""
+    return EXTENSIONS[list(EXTENSIONS)[payload[0] % 4]]
+
+
 #: Rows that one step turns into media at a time.
 ROWS = 64
 
 
 def to_media(df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """Columns key, n_bytes, declared (a guess from the name that is often wrong) and media (the stored file).
+    """Columns key, n_bytes, declared (by the file's name, often wrongly) and media (the stored file).
 
     Null text is empty; an empty text is one unit of zero bytes. Map-only; rows are independent.
     """
@@ -242,13 +256,14 @@ def to_media(df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFram
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS):
-                keys, sizes, media = batch.column(0).slice(at, ROWS), [], []
+                keys, sizes, media, declared = batch.column(0).slice(at, ROWS), [], [], []
                 for t in batch.column(1).slice(at, ROWS).to_pylist():
                     data = (t or "").encode()
                     sizes.append(len(data))
-                    media.append(encode(data + bytes(-len(data) % UNIT if data else UNIT)))
-                declared = pa.array(["application/octet-stream"] * len(sizes))
-                yield pa.RecordBatch.from_arrays([keys, pa.array(sizes, pa.int64()), declared, pa.array(media, pa.binary())], [key, "n_bytes", "declared", "media"])
+                    payload = data + bytes(-len(data) % UNIT if data else UNIT)
+                    media.append(encode(payload))
+                    declared.append(declared_type(payload))
+                yield pa.RecordBatch.from_arrays([keys, pa.array(sizes, pa.int64()), pa.array(declared, pa.string()), pa.array(media, pa.binary())], [key, "n_bytes", "declared", "media"])
 
     schema = f"`{key}` {kind.simpleString()}, n_bytes long, declared string, media binary"
     return df.select(df[key], df[text]).mapInArrow(run, schema)
@@ -258,7 +273,7 @@ def inspect_media(df: DataFrame, key: str = "doc_id", carry: tuple[str, ...] = (
     """Sniff the media column: the corrected type, sizes and digests of file and samples, and what the file embeds.
 
     Columns: key, carry, kind (null if nothing is confirmed at the first byte), shape, mislabelled, embedded (array of
-    kind, start, size for media confirmed beyond the outer file), payload_bytes, payload_sha256, tail_crc32 (of the last
+    kind, start, size for media confirmed beyond the outer file's start, inside it if it is a container), payload_bytes, payload_sha256, tail_crc32 (of the last
     UNIT sample bytes), media_bytes, media_sha256, feature. Null media: nulls.
     """
     types = dict(df.dtypes)
@@ -303,5 +318,5 @@ def inspect_media(df: DataFrame, key: str = "doc_id", carry: tuple[str, ...] = (
 
 
 def media_digests(docs: DataFrame) -> DataFrame:
-    """Every text of docs through to_media and back through inspect_media."""
-    return inspect_media(to_media(docs)).select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature")
+    """Every text of docs through to_media and back through inspect_media: its digests, and the type as corrected."""
+    return inspect_media(to_media(docs)).select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "kind", "mislabelled", F.size("embedded").alias("n_embedded"))
