@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -75,11 +74,16 @@ class Codec:
 
 
 def read_vocabulary(spark: SparkSession, path: str = VOCABULARY) -> bytes:
-    """The vocabulary file, read by Spark from wherever path is; it goes to the tasks as a broadcast, so it is refused beyond 64 MB."""
-    found = spark.read.format("binaryFile").load(path if "://" in path else f"file://{os.path.abspath(path)}").select("length", F.when(F.col("length") < 64 << 20, F.col("content")).alias("content")).first()
-    if found is None or found["content"] is None:
-        raise ValueError(f"no vocabulary of under 64 MB at {path}")
-    return bytes(found["content"])
+    """The vocabulary file: a path of the driver's own, or a URL that Spark reads. It is broadcast, so 64 MB are the most."""
+    if "://" in path:
+        found = spark.read.format("binaryFile").load(path).where(F.col("length") <= 64 << 20).select("content").first()
+        content = bytes(found["content"]) if found else None
+    else:
+        with open(path, "rb") as f:
+            content = f.read((64 << 20) + 1)
+    if content is None or len(content) > 64 << 20:
+        raise ValueError(f"no vocabulary of at most 64 MB at {path}")
+    return content
 
 
 @lru_cache(2)
@@ -130,7 +134,7 @@ def format_turns(turns: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
 
     Null text and null role are empty strings. Map-only: a conversation of any length is spread over the tasks, and its
     formatted sequence is <s> and then its turns' ids in order of turn (see conversations()). A text is encoded whole,
-    however long. The file at vocabulary is read once, by Spark, and broadcast.
+    however long. The file at vocabulary is read once and broadcast.
     """
     shared = turns.sparkSession.sparkContext.broadcast(read_vocabulary(turns.sparkSession, vocabulary))
 
