@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 from tidemark.functions import core
-from tidemark.operators import fundamentals, indicators, loop, verify
+from tidemark.operators import fundamentals, indicators, loop, quarters, verify
 from tidemark.sources import calendar, price_files
 
 D = dt.date
@@ -80,3 +80,52 @@ def test_calendar_and_archives(spark):
     assert len(set(kinds)) == 3
     names = spark.createDataFrame([(D(2024, 7, 5),), (D(2024, 7, 8),)], "d date").select(price_files.archive_name(F.col("d")).alias("a")).collect()
     assert names[0].a != names[1].a and "2024" in names[0].a + names[1].a
+
+
+def test_quarters_derived_in_order(spark):
+    figures = ("revenue", "profit_before_tax", "net_income", "eps", "ebit", "ebitda", "operating_cash_flow", "capital_expenditure", "free_cash_flow")
+    ytd = ("revenue", "profit_before_tax", "net_income", "finance_costs", "depreciation", "operating_cash_flow", "capital_expenditure")
+    schema = "raw_filing_id long, company_id long, statement_scope string, submission_type string, period_type string, period_end date, pnl_context string, pnl_start date, ytd_start date, ytd_end date, cash_flow_start date, cash_flow_end date, period_start date, extra string, "
+    schema += ", ".join(f"{c} double" for c in (*figures, *(f"ytd_{c}" for c in ytd)))
+    year, ends = D(2024, 4, 1), {1: D(2024, 6, 30), 2: D(2024, 9, 30), 3: D(2024, 12, 31), 4: D(2025, 3, 31)}
+
+    def row(i, quarter, context, company=1, scope="Consolidated", kind="quarterly", dates=(None,) * 5, own=None, to_date=None):
+        own, to_date = own or {}, to_date or {}
+        return (i, company, scope, "Original", kind, ends[quarter], context, *dates, year, "x", *(own.get(c) for c in figures), *(to_date.get(c) for c in ytd))
+
+    def values(revenue, ocf=None, capex=None):
+        return {"revenue": revenue, "profit_before_tax": revenue / 5, "net_income": None, "eps": 1.0, "operating_cash_flow": ocf, "capital_expenditure": capex}
+
+    def sums(revenue, ocf=None, capex=None, **more):
+        return {"revenue": revenue, "profit_before_tax": revenue / 5, "operating_cash_flow": ocf, "capital_expenditure": capex, **more}
+
+    direct = (year, None, None, year, ends[1])
+    upto = lambda q: (year, year, ends[q], year, ends[q])
+    rows = [
+        # the first quarter is direct and lends the half year its base; nine months lack a figure; the annual gives the fourth
+        row(1, 1, "quarter", dates=direct, own=values(100.0, 10.0, -4.0)),
+        row(2, 2, "ytd", dates=upto(2), own=values(240.0), to_date=sums(240.0, 26.0, -9.0)),
+        row(3, 3, "ytd", dates=upto(3), own=values(390.0), to_date=sums(390.0, 40.0, None, finance_costs=6.0)),
+        row(4, 4, "ytd", dates=(None, year, None, None, None), own=values(560.0), to_date=sums(560.0, finance_costs=9.0)),
+        row(5, 4, "ytd", kind="annual", dates=upto(4)[:1] + (None, None) + upto(4)[3:], own=values(560.0, 66.0, -20.0)),
+        # no base: another scope, and a null company
+        row(6, 2, "ytd", scope="Standalone", dates=upto(2), own=values(240.0), to_date=sums(240.0, 26.0, -9.0)),
+        row(7, 1, "quarter", company=None, dates=direct, own=values(1.0, 1.0, 1.0)),
+        row(8, 2, "ytd", company=None, dates=upto(2), own=values(3.0), to_date=sums(3.0, 3.0, 3.0)),
+        # 74 days are not a quarter, so the half year has no cash flow base
+        row(9, 1, "quarter", company=2, dates=(year, None, None, D(2024, 4, 17), ends[1]), own=values(100.0, 10.0, -4.0)),
+        row(10, 2, "ytd", company=2, dates=upto(2), own=values(240.0), to_date=sums(240.0, 26.0, -9.0)),
+    ]
+    made = quarters.derive_quarterly_financials(spark.createDataFrame(rows, schema))
+    assert made.columns[13] == "extra" and made.columns[-1] == "derivation_sources"
+    got = {r.raw_filing_id: (r.revenue, r.eps, r.ebit, r.operating_cash_flow, r.capital_expenditure, r.free_cash_flow) for r in made.collect()}
+    assert got == {
+        1: (100.0, 1.0, None, 10.0, -4.0, 6.0), 2: (140.0, None, None, 16.0, -5.0, 11.0), 3: (150.0, None, None, 14.0, None, None),
+        4: (170.0, None, 37.0, 26.0, None, None), 5: (560.0, 1.0, None, 66.0, -20.0, None),
+        6: (None, None, None, None, None, None), 7: (1.0, 1.0, None, 1.0, 1.0, 0.0), 8: (None, None, None, None, None, None),
+        9: (100.0, 1.0, None, 10.0, -4.0, None), 10: (140.0, None, None, None, None, None),
+    }
+    told = {r.raw_filing_id: [(s.source_filing_id, s.component, s.source_role) for s in r.derivation_sources] for r in made.collect()}
+    assert told[1] == told[6] == [] and told[2] == [(2, "PNL", "CURRENT_CUMULATIVE"), (1, "PNL", "PREVIOUS_CUMULATIVE"), (2, "CASH_FLOW", "CURRENT_CUMULATIVE"), (1, "CASH_FLOW", "PREVIOUS_CUMULATIVE")]
+    assert told[4] == [(4, "PNL", "CURRENT_CUMULATIVE"), (3, "PNL", "PREVIOUS_CUMULATIVE"), (5, "CASH_FLOW", "ANNUAL_TOTAL"), (3, "CASH_FLOW", "PREVIOUS_CUMULATIVE")]
+    assert quarters.derive_quarterly_financials(spark.createDataFrame([], schema)).count() == 0

@@ -133,6 +133,20 @@ def technical_indicators(prices: DataFrame, benchmark: DataFrame | None = None)
     return out
 
 
+def indicators_for_date(prices: DataFrame, companies: DataFrame, target: str, benchmark: DataFrame | None = None, lookback: int = 550) -> DataFrame:
+    """One row per active company with a price by the target date: its indicators on its last day, dated the target.
+
+    Only a company's last `lookback` prices count, so exponential averages start at the first of those. Companies whose
+    prices all lack a high, low or close have no row.
+    """
+    active = companies.where("is_active").select(F.col("id").alias("company_id"))
+    known = prices.where(F.col("trade_date") <= F.lit(target).cast("date")).join(active, "company_id", "left_semi")
+    back = Window.partitionBy("company_id").orderBy(F.col("trade_date").desc())
+    recent = known.withColumn("_back", F.row_number().over(back)).where(F.col("_back") <= lookback).drop("_back")
+    last = technical_indicators(recent, benchmark).withColumn("_back", F.row_number().over(back)).where("_back = 1").drop("_back")
+    return last.withColumn("trade_date", F.lit(target).cast("date"))
+
+
 def carry_forward(indicators: DataFrame, companies: DataFrame, start: str, end: str) -> DataFrame:
     """For every active company and trading day from start to end, the latest indicator row not after it.
 

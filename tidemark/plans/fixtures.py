@@ -116,6 +116,25 @@ SELECT event_id AS id, CAST(ts AS DATE) AS trade_date, user_id AS company_id,
 FROM {events}""",
 }
 
+_YTD = ("revenue", "profit_before_tax", "net_income", "finance_costs", "depreciation", "operating_cash_flow", "capital_expenditure")
+#: Quarterly and annual filings in one table, with the periods that their figures are of.
+FIXTURES["filed_statements"] = f"""
+SELECT raw_filing_id, company_id, statement_scope, submission_type, period_type, period_end, pnl_context,
+       CASE WHEN pnl_context = 'quarter' THEN CAST(date_trunc('quarter', period_end) AS DATE) WHEN raw_filing_id % 23 = 0 THEN NULL ELSE fiscal_start END AS pnl_start,
+       CASE WHEN fq > 1 AND raw_filing_id % 13 <> 0 THEN fiscal_start END AS ytd_start,
+       CASE WHEN fq > 1 AND raw_filing_id % 13 <> 0 THEN CASE WHEN raw_filing_id % 17 = 0 THEN CAST(period_end - INTERVAL 1 DAY AS DATE) ELSE period_end END END AS ytd_end,
+       CASE WHEN fq = 1 OR raw_filing_id % 19 = 0 THEN CAST(date_trunc('quarter', period_end) AS DATE) ELSE fiscal_start END AS cash_flow_start, period_end AS cash_flow_end, fiscal_start AS period_start,
+       revenue, profit_before_tax, net_income, eps, ebit, ebitda,
+       CASE WHEN fq = 1 OR raw_filing_id % 19 = 0 THEN floor((revenue * 0.18) * 1e4 + 0.5) / 1e4 END AS operating_cash_flow,
+       CASE WHEN (fq = 1 OR raw_filing_id % 19 = 0) AND raw_filing_id % 7 <> 0 THEN floor((revenue * 0.05) * 1e4 + 0.5) / 1e4 END AS capital_expenditure,
+       CAST(NULL AS DOUBLE) AS free_cash_flow, {", ".join(f"ytd_{c}" for c in _YTD[:5])},
+       CASE WHEN fq > 1 THEN ytd_operating_cash_flow END AS ytd_operating_cash_flow, CASE WHEN fq > 1 THEN ytd_capital_expenditure END AS ytd_capital_expenditure
+FROM ({FIXTURES["cumulative_statements"]}) s
+UNION ALL
+SELECT raw_filing_id, company_id, statement_scope, submission_type, 'annual', period_end, 'ytd', CASE WHEN company_id % 5 = 0 THEN NULL ELSE fiscal_start END, NULL, NULL, fiscal_start, period_end, fiscal_start,
+       revenue, profit_before_tax, net_income, NULL, NULL, NULL, operating_cash_flow, capital_expenditure, NULL, {", ".join(["NULL"] * len(_YTD))}
+FROM ({FIXTURES["annual_statements"]}) y"""
+
 _NAME = re.compile(r"\{(\w+)\}")
 
 

@@ -204,6 +204,36 @@ SELECT a.raw_filing_id, a.company_id, a.statement_scope, a.submission_type, a.fi
        {', '.join(f"CASE WHEN b.period_end = last_day(CAST(a.period_end - INTERVAL 3 MONTH AS DATE)) THEN a.{c} - b.ytd_{c} END AS {c}" for c in ('operating_cash_flow', 'capital_expenditure'))}, b.raw_filing_id AS base_filing_id
 FROM annual_statements a LEFT JOIN LATERAL (SELECT * FROM cumulative_statements c WHERE c.company_id = a.company_id AND c.statement_scope = a.statement_scope AND c.submission_type = a.submission_type
   AND c.fiscal_start = a.fiscal_start AND c.period_end < a.period_end ORDER BY c.period_end DESC LIMIT 1) b ON TRUE""")
+_line = "b.company_id = s.company_id AND b.statement_scope IS NOT DISTINCT FROM s.statement_scope AND b.submission_type IS NOT DISTINCT FROM s.submission_type"
+_last = "QUALIFY row_number() OVER (PARTITION BY s.company_id, s.raw_filing_id ORDER BY b.period_end DESC, b.raw_filing_id DESC) = 1"
+_three = ("revenue", "profit_before_tax", "net_income")
+piece("filed_q", ("filed_statements",), f"""
+SELECT *, coalesce(ytd_start, pnl_start) AS s0, CASE WHEN ytd_start IS NOT NULL THEN ytd_start WHEN direct THEN cash_flow_start END AS cs, CASE WHEN ytd_start IS NOT NULL THEN ytd_end WHEN direct THEN cash_flow_end END AS ce,
+       {', '.join(f"CASE WHEN ytd_{c} IS NOT NULL THEN ytd_{c} WHEN pnl_context = 'quarter' THEN {c} END AS cum_{c}" for c in _three)},
+       row_number() OVER (PARTITION BY company_id, statement_scope, submission_type, period_end ORDER BY raw_filing_id) = 1 AS head
+FROM (SELECT *, coalesce(cash_flow_end = period_end AND cash_flow_end - cash_flow_start BETWEEN 75 AND 105 AND operating_cash_flow IS NOT NULL AND capital_expenditure IS NOT NULL, FALSE) AS direct FROM filed_statements WHERE period_type = 'quarterly')""")
+_base = f"s.company_id, s.raw_filing_id, b.raw_filing_id AS base_id, {', '.join(f's.cum_{c} - b.cum_{c} AS d_{c}' for c in _three)}, s.ytd_finance_costs - b.ytd_finance_costs AS d_fin, s.ytd_depreciation - b.ytd_depreciation AS d_dep"
+piece("filed_p", ("filed_q",), f"SELECT {_base} FROM filed_q s JOIN filed_q b ON {_line} AND b.s0 = s.pnl_start AND b.period_end < s.period_end WHERE s.pnl_context = 'ytd' {_last}")
+piece("filed_y", ("filed_q", "filed_statements"), f"""
+SELECT {_base} FROM (SELECT s.*, coalesce(a.pnl_start, a.period_start) AS year_start FROM filed_q s JOIN filed_statements a ON a.company_id = s.company_id AND a.period_end = s.period_end AND a.statement_scope = s.statement_scope
+  AND a.submission_type = s.submission_type AND a.period_type = 'annual' WHERE s.pnl_context = 'ytd' AND s.head) s JOIN filed_q b ON {_line} AND b.s0 = s.year_start AND b.period_end < s.period_end {_last}""")
+piece("filed_c", ("filed_q",), f"""
+SELECT s.company_id, s.raw_filing_id, b.raw_filing_id AS base_id, {', '.join(f's.ytd_{c} - coalesce(b.ytd_{c}, b.{c}) AS d_{c}' for c in CASH[:2])}
+FROM filed_q s JOIN filed_q b ON {_line} AND b.cs = s.ytd_start AND b.ce = b.period_end AND b.period_end < s.period_end WHERE NOT s.direct AND (s.ytd_operating_cash_flow IS NOT NULL OR s.ytd_capital_expenditure IS NOT NULL) {_last}""")
+piece("filed_m", ("filed_q", "filed_statements"), f"""
+SELECT s.company_id, s.raw_filing_id, b.raw_filing_id AS base_id, {', '.join(f'a.{c} - b.ytd_{c} AS d_{c}' for c in CASH[:2])}
+FROM filed_q s JOIN filed_statements a ON a.company_id = s.company_id AND a.period_end = s.period_end AND a.statement_scope = s.statement_scope AND a.submission_type = s.submission_type AND a.period_type = 'annual' AND a.cash_flow_end = a.period_end
+JOIN filed_q b ON {_line} AND b.ytd_start = a.cash_flow_start AND b.ytd_end = b.period_end AND b.period_end = last_day(CAST(a.period_end - INTERVAL 3 MONTH AS DATE)) WHERE s.head {_last}""")
+_made = {c: (f"p.d_{c}", f"y.d_{c}") for c in _three} | {"ebit": ("p.d_profit_before_tax + p.d_fin", "y.d_profit_before_tax + y.d_fin"), "ebitda": ("p.d_profit_before_tax + p.d_fin + p.d_dep", "y.d_profit_before_tax + y.d_fin + y.d_dep"), "eps": ("NULL", "NULL")}
+_flow = {c: f"coalesce(m.d_{c}, CASE WHEN s.direct THEN s.{c} ELSE coalesce(c.d_{c}, s.{c}) END)" for c in CASH[:2]}
+_any = {t: f"coalesce({', '.join(f'{t}.d_{c}' for c in cs)}) IS NOT NULL" for t, cs in (("p", _three), ("y", _three), ("c", CASH[:2]), ("m", CASH[:2]))}
+_profit = {c: f"coalesce({y}, CASE WHEN s.pnl_context <> 'ytd' THEN s.{c} WHEN p.base_id IS NULL THEN NULL ELSE coalesce({a}, {'NULL' if c == 'eps' else f's.{c}'}) END)" for c, (a, y) in _made.items()}
+piece("filed", ("filed_p", "filed_y", "filed_c", "filed_m"), f"""
+SELECT s.raw_filing_id, s.company_id, s.period_end, {', '.join(f'{e} AS {c}' for c, e in _profit.items())}, {', '.join(f'{e} AS {c}' for c, e in _flow.items())},
+       CASE WHEN s.direct OR s.ytd_operating_cash_flow IS NOT NULL OR s.ytd_capital_expenditure IS NOT NULL OR m.base_id IS NOT NULL THEN {_flow['operating_cash_flow']} - abs({_flow['capital_expenditure']}) ELSE s.free_cash_flow END AS free_cash_flow,
+       CASE WHEN {_any['p']} THEN 2 ELSE 0 END + CASE WHEN {_any['c']} THEN 2 ELSE 0 END + CASE WHEN {_any['m']} THEN 2 ELSE 0 END
+         + CASE WHEN {_any['y']} THEN CASE WHEN NOT {_any['p']} THEN 2 WHEN p.base_id <> y.base_id THEN 1 ELSE 0 END ELSE 0 END AS n_sources
+FROM filed_q s LEFT JOIN filed_p p USING (company_id, raw_filing_id) LEFT JOIN filed_y y USING (company_id, raw_filing_id) LEFT JOIN filed_c c USING (company_id, raw_filing_id) LEFT JOIN filed_m m USING (company_id, raw_filing_id)""")
 piece("active", ("daily_prices", "companies"), "SELECT company_id, trade_date FROM daily_prices WHERE company_id IN (SELECT id FROM companies WHERE is_active)")
 piece("capped", ("metrics",), "SELECT company_id, trade_date FROM metrics WHERE market_cap IS NOT NULL")
 piece("covered", ("active", "capped"), "SELECT a.trade_date, count(*) AS expected, count(*) FILTER (WHERE c.company_id IS NULL) AS missing FROM active a LEFT JOIN capped c USING (company_id, trade_date) GROUP BY 1")
@@ -275,6 +305,9 @@ SELECT company_id, trade_date, {', '.join(f'{change("close", n)} - {change("clos
     q["rsi"] = (("eg", "el"), f"SELECT company_id, trade_date, {r('CASE WHEN l = 0 THEN 100 ELSE 100 - 100 / (1 + g / l) END', 3, 'rsi14')} FROM eg JOIN el USING (company_id, trade_date)")
     q["atr"] = (("etr",), f"SELECT company_id, trade_date, {r('atr14', 3)} FROM etr")
     q["adx"] = (("adxs",), f"SELECT company_id, trade_date, {r('adx14', 3)} FROM adxs")
+    q["indicators_for_date"] = (("e50", "eg", "el", "etr"), f"""SELECT company_id, DATE '1998-06-30' AS trade_date, {r('sma200', 3)}, {r('ema50', 3)}, {r('CASE WHEN l = 0 THEN 100 ELSE 100 - 100 / (1 + g / l) END', 3, 'rsi14')}, {r('atr14', 3)}, {r('return_252d', 3)}
+FROM (SELECT company_id, trade_date, {full('avg(close)', 'close', 200)} AS sma200, {change('close', 252)} AS return_252d, row_number() OVER (PARTITION BY company_id ORDER BY trade_date DESC) AS back FROM daily_prices)
+JOIN e50 USING (company_id, trade_date) JOIN eg USING (company_id, trade_date) JOIN el USING (company_id, trade_date) JOIN etr USING (company_id, trade_date) WHERE back = 1""")
     closed = f"d.day NOT IN ({', '.join(f"DATE '{x}'" for x in SPECIAL_SESSIONS)}) AND (isodow(d.day) >= 6 OR d.day IN ({', '.join(f"DATE '{x}'" for x in HOLIDAYS)}))"
     q["carried_indicators"] = (("returns", "companies"), f"""SELECT c.id AS company_id, d.day AS trade_date, {r('x.return_5d', 8)} FROM companies c, (SELECT CAST(unnest(generate_series(DATE '2001-01-01', DATE '2001-01-31', INTERVAL 1 DAY)) AS DATE) AS day) d
 JOIN LATERAL (SELECT return_5d FROM returns z WHERE z.company_id = c.id AND z.trade_date <= d.day ORDER BY z.trade_date DESC LIMIT 1) x ON TRUE WHERE c.is_active AND NOT ({closed})""")
@@ -311,6 +344,7 @@ LEFT JOIN canon p ON p.company_id = c.company_id AND p.statement_scope = c.state
     cash = "CASE WHEN first THEN ytd_{0} ELSE d_{0} END"
     q["quarterly_cash_flow"] = (("based",), f"SELECT {key}, {r('o', 4, 'operating_cash_flow')}, {r('c', 4, 'capital_expenditure')}, {r('o - abs(c)', 4, 'free_cash_flow')}, base_filing_id FROM (SELECT *, {cash.format('operating_cash_flow')} AS o, {cash.format('capital_expenditure')} AS c, CASE WHEN NOT first THEN base_id END AS base_filing_id FROM based)")
     q["fourth_quarter"] = (("q4",), f"SELECT {key}, {', '.join(r(c, 4) for c in ('revenue', 'profit_before_tax', 'net_income', 'operating_cash_flow', 'capital_expenditure'))}, {r('operating_cash_flow - abs(capital_expenditure)', 4, 'free_cash_flow')}, base_filing_id FROM q4")
+    q["derived_quarters"] = (("filed",), f"SELECT raw_filing_id, company_id, period_end, {', '.join(r(c, 4) for c in (*_three, 'eps', 'ebit', 'ebitda', *CASH))}, CAST(n_sources AS BIGINT) AS n_sources FROM filed")
     lin = []
     for comp, cond, some in (("PNL", "pnl_context = 'ytd'", "coalesce(d_revenue, d_profit_before_tax, d_net_income)"), ("CASH_FLOW", "NOT first", "coalesce(d_operating_cash_flow, d_capital_expenditure)")):
         lin += [f"SELECT raw_filing_id, {src} AS source_filing_id, '{comp}' AS component, '{role}' AS source_role, 'YTD_DIFFERENCE' AS derivation_method FROM based WHERE base_id IS NOT NULL AND {cond} AND {some} IS NOT NULL" for role, src in (("CURRENT_CUMULATIVE", "raw_filing_id"), ("PREVIOUS_CUMULATIVE", "base_id"))]
@@ -351,7 +385,11 @@ per AS (SELECT company_id, period_end, effective_at, min(filing_id) AS smallest,
 best AS (SELECT t.company_id, t.filing_id AS target_id, t.period_end AS target_period, t.effective_at AS as_of, p.period_end, max(p.effective_at) AS effective_at FROM f t JOIN per p ON p.company_id = t.company_id AND p.effective_at <= t.effective_at GROUP BY 1, 2, 3, 4, 5)
 SELECT b.company_id, target_id, target_period, b.period_end, CASE WHEN list_contains(ids, target_id) THEN target_id ELSE smallest END AS version_id, b.effective_at
 FROM best b JOIN per p ON p.company_id = b.company_id AND p.period_end = b.period_end AND p.effective_at = b.effective_at WHERE contents = 1""")
-    return {k: (sql if not needs else with_pieces(needs, sql)) for k, (needs, sql) in q.items()}
+    made = {k: (sql if not needs else with_pieces(needs, sql)) for k, (needs, sql) in q.items()}
+    text = PIECES["daily_prices"][1]
+    recent = f"SELECT * FROM ({text}) WHERE trade_date <= DATE '1998-06-30' AND company_id IN (SELECT id FROM ({PIECES['companies'][1]}) WHERE is_active) QUALIFY row_number() OVER (PARTITION BY company_id ORDER BY trade_date DESC) <= 550"
+    made["indicators_for_date"] = made["indicators_for_date"].replace(f"daily_prices AS ({text})", f"daily_prices AS ({recent})")
+    return made
 
 
 SQL = _oracles()

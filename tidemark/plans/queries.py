@@ -106,6 +106,13 @@ def adx(spark, d):
     return _smoothed(spark, d, "adx14")
 
 
+@query
+def indicators_for_date(spark, d):
+    """Indicators of the last 550 prices of each active company by a date."""
+    rows = indicators.indicators_for_date(_prices(spark, d), load(spark, d, "companies"), "1998-06-30")
+    return rounded(rows.select("company_id", "trade_date", "sma200", "ema50", "rsi14", "atr14", "return_252d"), 3)
+
+
 @query
 def carried_indicators(spark, d):
     """Indicators carried to every trading day of a month, for active companies."""
@@ -321,6 +328,14 @@ def fourth_quarter(spark, d):
     return rounded(quarters.fourth_quarter(_cumulative(spark, d), load(spark, d, "annual_statements")), 4)
 
 
+@query
+def derived_quarters(spark, d):
+    """All filings through the four derivations; the quarterly rows."""
+    made = quarters.derive_quarterly_financials(load(spark, d, "filed_statements")).where("period_type = 'quarterly'")
+    figures = ("revenue", "profit_before_tax", "net_income", "eps", "ebit", "ebitda", "operating_cash_flow", "capital_expenditure", "free_cash_flow")
+    return rounded(made.select("raw_filing_id", "company_id", "period_end", *figures, F.size("derivation_sources").cast("bigint").alias("n_sources")), 4)
+
+
 @query
 def lineage(spark, d):
     return quarters.lineage(_cumulative(spark, d), load(spark, d, "annual_statements"))
