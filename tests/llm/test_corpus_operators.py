@@ -202,12 +202,15 @@ def test_lm_base_and_gain(spark):
 
 
 def test_lm_is_normalised():
-    v = lm.Vocabulary(np.array([3, 9, int(lm.END)], np.uint64), np.array([5, 2, 4]), 13, 5, 1024)
+    tail_n, tail_words = np.zeros((2, lm.TAILS), np.int64)
+    tail_n[:3], tail_words[:3] = [4, 7, 2], [1, 3, 1]
+    v = lm.Vocabulary(np.array([3, 9, int(lm.END)], np.uint64), np.array([1, 2, 0], np.int32), np.array([5, 2, 4]), tail_n, tail_words)
     m = lm.Model(v)
     a1, a2, z = m.tables()
     p = np.exp(a1[:, None, :] + a2[None, :, :] - z[:, :, None])
     assert np.allclose(p.sum(axis=2), 1, atol=1e-4)
-    assert v.other_total == 2 and v.other_distinct == 2
+    assert (v.total, v.distinct, v.own, v.size) == (13, 5, 3, 3 + lm.TAILS)
+    assert v.rest_n[1] == v.rest_n.sum() == 2 and v.rest_words[1] == v.rest_words.sum() == 2 and v.end == 1
 
 
 def test_lm_odd_rows(spark):
@@ -231,12 +234,19 @@ def test_lm_trains_on_all_texts_at_any_size(spark):
     assert whole.trained == v.total == lm.fit(df, large, rounds=1, held=100).trained == lm.fit(df, v, rounds=1, shard_visits=100).trained
 
 
+def classes_of(text, v):
+    """(word hash, class) of each token, the class of a word without its own by its last three bytes."""
+    place = {int(w): int(c) for w, c in zip(v.words, v.place, strict=True) if c < v.own}
+    words = lm.tokens(pa.RecordBatch.from_arrays([pa.array([text or ""])], ["text"]))[0]
+    plain = [w.translate({k: k + 32 for k in range(65, 91)}).encode() for w in re.findall(r"[^\x20\x09-\x0D]+", text or "")]
+    tails = [int(lm.mix(np.array([int.from_bytes(w[:-4:-1].ljust(3, b"\0"), "big")], np.uint64))[0]) % lm.TAILS for w in plain] + [0]
+    return [(int(w), place.get(int(w), v.own + t)) for w, t in zip(words, tails, strict=True)]
+
+
 def brute_triples(docs, v):
-    place = {int(w): int(c) for w, c in zip(v.words, v.place, strict=True)}
     seen = Counter()
     for d in docs:
-        batch = pa.RecordBatch.from_arrays([pa.array([d["text"] or ""])], ["text"])
-        ids = [place.get(int(w), v.other) for w in lm.tokens(batch)[0]]
+        ids = [c for _, c in classes_of(d["text"], v)]
         for two, one, here in zip([v.end, v.end, *ids], [v.end, *ids], ids, strict=False):
             seen[(two * v.size + one) * v.size + here] += 1
     return seen
@@ -245,21 +255,25 @@ def brute_triples(docs, v):
 def test_lm_triples_and_scores_match_brute_force(spark, sf_dir):
     df = table(spark, sf_dir, "documents")
     counts = lm.count_tokens(df)
-    v = lm.vocabulary(counts, classes=200)
+    v = lm.vocabulary(counts, own=200)
     assert {r["triple"]: r["n"] for r in lm.count_triples(df, v).collect()} == brute_triples(rows(df), v)
     model = lm.fit(df, v, rounds=1)
     got = {r["doc_id"]: r["score"] for r in lm.score(df.select("doc_id", "text", F.lit(False).alias("held_out")), counts, v, model).collect()}
     r, q, c1, c2, b = (x.astype(float) for x in model.parts)
     n_of = {x["word"] % (1 << 64): x["n"] for x in counts.collect()}
-    place = {int(w): int(c) for w, c in zip(v.words, v.place, strict=True)}
+    own = {w: c for d in rows(df) for w, c in classes_of(d["text"], v)}
+    assert len(own) == len(n_of) and v.size == 200 + lm.TAILS
+    sizes, distinct = Counter(), Counter()
+    for w, c in own.items():
+        sizes[c] += n_of[w]
+        distinct[c] += 1
     for d in rows(df)[:40]:
-        words = [int(w) for w in lm.tokens(pa.RecordBatch.from_arrays([pa.array([d["text"] or ""])], ["text"]))[0]]
-        ids, want, history = [place.get(w, v.other) for w in words], 0.0, [v.end, v.end]
-        for w, here in zip(words, ids, strict=True):
+        want, history = 0.0, [v.end, v.end]
+        for w, here in classes_of(d["text"], v):
             logits = (r[history[-1]] @ c1 + r[history[-2]] @ c2) @ q.T + b
             want += (logits[here] - np.log(np.exp(logits - logits.max()).sum()) - logits.max()) / np.log(10)
-            if here == v.other:
-                want += math.log10((n_of.get(w, 0) + 1) / (v.other_total + v.other_distinct + 1))
+            if here >= v.own:
+                want += math.log10((n_of.get(w, 0) + 1) / (sizes[here] + distinct[here] + 1))
             history.append(here)
         assert math.isclose(got[d["doc_id"]], want, rel_tol=1e-3)
 

@@ -1,8 +1,10 @@
 """Language-model scoring: a log-bilinear model trained with noise-contrastive estimation in numpy.
 
-The model predicts one of CLASSES classes - the most frequent words, the end token, and one class for all other words -
-from the two words before, and a word of the other class by its count. Counts cover all training texts. Since a context
-is two classes, every normaliser is an entry of one matrix product, so scores are exactly normalised and looked up.
+The model predicts a token's class from the classes of the two before. The OWN most frequent tokens are classes of their
+own; all other words, however many there are and known or not, share TAILS classes by their last three bytes, and in
+such a class a word has the share of its count, with one more for an unknown word. So every word takes part, as a target
+and as context. Counts cover all training texts. Since a context is two classes, every normaliser is an entry of one
+matrix product, so scores are exactly normalised and looked up.
 
 All training text counts: since the model sees of a token its class and the two before, Spark adds up the text to counts
 of such triples, and training runs over the triples with their counts as weights.
@@ -21,7 +23,8 @@ from pyspark.sql import functions as F
 from .common import hash_spans, mix, stage, text_bytes, text_slices, word_bounds
 from .langid import fold_of
 
-CLASSES = 1024
+#: Tokens that are classes of their own, and classes of all other words by their ending.
+OWN, TAILS = 512, 512
 DIMENSIONS = 32
 #: Words whose counts are broadcast (12 bytes each); the counts of all others reach the texts by a join.
 FREQUENT = 1 << 18
@@ -37,8 +40,17 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
-def tokens(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, row) of each token of the column text: the words with A-Z lowered, and END after each row's words."""
+def endings(raw: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """The class by ending, 0 to TAILS - 1, of each byte span: a hash of its last three bytes, or of all if it has fewer."""
+    packed = np.zeros(len(first), _U)
+    for back in range(3):
+        at = last - 1 - back
+        packed = packed * _U(256) + np.where(at >= first, raw[np.maximum(at, first)], 0).astype(_U)
+    return (mix(packed) % _U(TAILS)).astype(np.int32)
+
+
+def tokens(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, row, class by ending) of each token of the column text: the words with A-Z lowered, and END after each row's words, whose ending is 0."""
     raw, off = text_bytes(batch.column("text"))
     raw = _LOWER[raw]
     first, last, row = word_bounds(raw, off)
@@ -50,29 +62,34 @@ def tokens(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     inner = np.ones(len(out), bool)
     inner[ends] = False
     out[inner] = hash_spans(raw, first, last)
-    return out, out_row
+    tail = np.zeros(len(out), np.int32)
+    if len(first):
+        tail[inner] = endings(raw, first, last)
+    return out, out_row, tail
 
 
 def count_tokens(texts: DataFrame) -> DataFrame:
-    """word (64-bit hash), n: counts over all rows of texts. Each task adds up what it has read before the shuffle."""
+    """word (64-bit hash), tail (its class by ending), n: counts over all rows of texts. Each task adds up what it has read before the shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
 
-        def summed() -> tuple[np.ndarray, np.ndarray]:
-            words, n = np.concatenate([w for w, _ in held]), np.concatenate([n for _, n in held])
-            found, at = np.unique(words, return_inverse=True)
-            return found, np.bincount(at, weights=n).astype(np.int64)
+        def summed() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            words, tail, n = (np.concatenate([x[i] for x in held]) for i in range(3))
+            found, first, at = np.unique(words, return_index=True, return_inverse=True)
+            return found, tail[first], np.bincount(at, weights=n).astype(np.int64)
 
-        def out(words: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        def out(words: np.ndarray, tail: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
             for at in range(0, len(words), 1 << 16):
-                yield pa.RecordBatch.from_arrays([pa.array(words[at : at + (1 << 16)].view(np.int64)), pa.array(n[at : at + (1 << 16)])], ["word", "n"])
+                cut = slice(at, at + (1 << 16))
+                yield pa.RecordBatch.from_arrays([pa.array(words[cut].view(np.int64)), pa.array(tail[cut]), pa.array(n[cut])], ["word", "tail", "n"])
 
         for batch in batches:
             for part in text_slices(batch):
-                words, n = np.unique(tokens(part)[0], return_counts=True)
-                held.append((words, n))
-                size += len(words)
+                words, _, tail = tokens(part)
+                found, first, n = np.unique(words, return_index=True, return_counts=True)
+                held.append((found, tail[first], n))
+                size += len(found)
                 if size > 4_000_000:
                     merged = summed()
                     if len(merged[0]) > 2_000_000:
@@ -83,55 +100,59 @@ def count_tokens(texts: DataFrame) -> DataFrame:
         if held:
             yield from out(*summed())
 
-    return texts.select("text").mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return texts.select("text").mapInArrow(run, "word long, tail int, n long").groupBy("word").agg(F.max("tail").alias("tail"), F.sum("n").alias("n"))
 
 
 class Vocabulary:
-    """Counts of the most frequent words, and totals: what scoring needs besides the join. Pickled into a broadcast."""
+    """Counts of the most frequent words, and totals by ending: what scoring needs besides the join. Pickled into a broadcast.
 
-    def __init__(self, words: np.ndarray, n: np.ndarray, total: int, distinct: int, classes: int):
-        order = np.lexsort((words, -n))
-        ranked = words[order[: classes - 1]]
+    Classes 0 to own - 1 are words, the TAILS after them endings. tail_n and tail_words are the occurrences and the
+    distinct words of each ending in all of the training text.
+    """
+
+    def __init__(self, words: np.ndarray, tail: np.ndarray, n: np.ndarray, tail_n: np.ndarray, tail_words: np.ndarray, own: int = OWN):
+        ranked = np.lexsort((words, -n))[:own]
+        self.own, self.size = len(ranked), len(ranked) + TAILS
+        self.total, self.distinct = int(tail_n.sum()), int(tail_words.sum())
+        place = self.own + tail.astype(np.int32)
+        place[ranked] = np.arange(self.own)
         by_hash = np.argsort(words)
-        self.words, self.n = words[by_hash], n[by_hash]
-        self.total, self.distinct = total, distinct
-        place = np.full(len(words), len(ranked), np.int32)
-        place[np.searchsorted(self.words, ranked)] = np.arange(len(ranked))
-        self.place = place
-        self.other = len(ranked)
-        self.size = self.other + 1
-        class_n = n[order[: classes - 1]]
-        self.other_total, self.other_distinct = total - int(class_n.sum()), distinct - len(ranked)
-        p = np.append(class_n, self.other_total).astype(float) + 0.5
+        self.words, self.n, self.place = words[by_hash], n[by_hash], place[by_hash]
+        self.rest_n = tail_n - np.bincount(tail[ranked], weights=n[ranked], minlength=TAILS).astype(np.int64)
+        self.rest_words = tail_words - np.bincount(tail[ranked], minlength=TAILS)
+        p = np.append(n[ranked], self.rest_n).astype(float) + 0.5
         self.prior = p / p.sum()
-        found = np.searchsorted(self.words, END)
-        has_end = found < len(self.words) and self.words[found] == END
-        self.end = int(place[found]) if has_end else self.other
+        self.end = int(self.look_up(np.array([END], _U), np.zeros(1, np.int32))[0][0])
 
-    def look_up(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def look_up(self, words: np.ndarray, tail: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(class, count, whether the count is known here) of each word."""
         if not len(self.words):
-            return np.full(len(words), self.other), np.zeros(len(words), np.int64), np.zeros(len(words), bool)
+            return self.own + tail, np.zeros(len(words), np.int64), np.zeros(len(words), bool)
         at = np.minimum(np.searchsorted(self.words, words), len(self.words) - 1)
         hit = self.words[at] == words
-        return np.where(hit, self.place[at], self.other), np.where(hit, self.n[at], 0), hit
+        return np.where(hit, self.place[at], self.own + tail), np.where(hit, self.n[at], 0), hit
+
+    def rest_logs(self) -> np.ndarray:
+        """log10 of what the counts of each class are divided by, once one is added to each and to an unknown word; 0 for words of their own."""
+        return np.append(np.zeros(self.own), np.log10(self.rest_n + self.rest_words + 1.0))
 
 
-def vocabulary(counts: DataFrame, classes: int = CLASSES, frequent: int = FREQUENT) -> Vocabulary:
+def vocabulary(counts: DataFrame, own: int = OWN, frequent: int = FREQUENT) -> Vocabulary:
     """Totals of counts and its at most `frequent` most frequent words; the cut is where a histogram of 16ths of octaves says."""
+    tail_n, tail_words = np.zeros(TAILS, np.int64), np.zeros(TAILS, np.int64)
+    for r in counts.groupBy("tail").agg(F.count("*").alias("words"), F.sum("n").alias("tokens")).collect():
+        tail_n[r["tail"]], tail_words[r["tail"]] = r["tokens"], r["words"]
     octave = F.floor(F.log2("n") * 16)
-    steps = sorted(((r["step"], r["words"], r["tokens"]) for r in counts.groupBy(octave.alias("step")).agg(F.count("*").alias("words"), F.sum("n").alias("tokens")).collect()), reverse=True)
-    total, distinct = sum(t for _, _, t in steps), sum(w for _, w, _ in steps)
     kept, least = 0, None
-    for step, words, _ in steps:
+    for step, words in sorted(((r["step"], r["words"]) for r in counts.groupBy(octave.alias("step")).agg(F.count("*").alias("words")).collect()), reverse=True):
         if kept + words > frequent:
             break
         kept, least = kept + words, step
     if least is None:
-        return Vocabulary(np.zeros(0, _U), np.zeros(0, np.int64), total, distinct, classes)
-    top = counts.where(octave >= least).toArrow()
-    words = top.column("word").to_numpy().astype(np.int64).view(_U)
-    return Vocabulary(words, top.column("n").to_numpy().astype(np.int64), total, distinct, classes)
+        return Vocabulary(np.zeros(0, _U), np.zeros(0, np.int32), np.zeros(0, np.int64), tail_n, tail_words, own)
+    top = counts.where(octave >= least).select("word", "tail", "n").toArrow()
+    words, tail, n = (top.column(c).to_numpy() for c in ("word", "tail", "n"))
+    return Vocabulary(words.astype(np.int64).view(_U), tail.astype(np.int32), n.astype(np.int64), tail_n, tail_words, own)
 
 
 def contexts(ids: np.ndarray, end: int, fresh: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -231,8 +252,8 @@ def count_triples(texts: DataFrame, v: Vocabulary) -> DataFrame:
 
         for batch in batches:
             for part in text_slices(batch):
-                words, row = tokens(part)
-                ids = shared.value.look_up(words)[0].astype(np.int64)
+                words, row, tail = tokens(part)
+                ids = shared.value.look_up(words, tail)[0].astype(np.int64)
                 one, two = contexts(ids, shared.value.end, np.searchsorted(row, np.arange(part.num_rows)))
                 held.append(np.unique((two * shared.value.size + one) * shared.value.size + ids, return_counts=True))
                 size += len(held[-1][0])
@@ -253,7 +274,7 @@ def fit(texts: DataFrame, v: Vocabulary, rounds: int = ROUNDS, held: int = HELD,
     tokens each round saw.
     """
     model = Model(v)
-    if not v.total or v.size < 2:
+    if not v.total:
         return model
     spark = texts.sparkSession
     shared = spark.sparkContext.broadcast(v)
@@ -337,33 +358,32 @@ def score(docs: DataFrame, counts: DataFrame, v: Vocabulary, model: Model) -> Da
     """
     shared = docs.sparkSession.sparkContext.broadcast((v, model.flat))
     kind = dict(docs.dtypes)["doc_id"]
-    names = ["key", "doc_id", "held_out", "n_tokens", "n_known", "n_other", "base", "model", "word", "times"]
+    names = ["key", "doc_id", "held_out", "n_tokens", "n_known", "base", "model", "word", "times"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         voc, flat = shared.value
         if _CACHE.get("of") is not flat:
             m = Model(voc)
             m.set(flat)
-            _CACHE.update(of=flat, tables=m.tables())
-        a1, a2, z = _CACHE["tables"]
+            _CACHE.update(of=flat, tables=(*m.tables(), voc.rest_logs()))
+        a1, a2, z, rest = _CACHE["tables"]
         key = TaskContext.get().partitionId() << 40
         for batch in batches:
             for part in text_slices(batch):
-                words, row = tokens(part)
+                words, row, tail = tokens(part)
                 n = part.num_rows
-                ids, c, known = voc.look_up(words)
+                ids, c, known = voc.look_up(words, tail)
                 fresh = np.searchsorted(row, np.arange(n))
                 one, two = contexts(ids, voc.end, fresh)
-                logs = (a1[one, ids].astype(np.float64) + a2[two, ids] - z[one, two]) / np.log(10)
-                other = ids == voc.other
+                logs = (a1[one, ids].astype(np.float64) + a2[two, ids] - z[one, two]) / np.log(10) - rest[ids]
                 plus = np.where(known, np.log10(c + 1.0), 0.0)
                 keys = key + np.arange(n)
                 key += n
-                sums = [np.bincount(row, weights=x, minlength=n) for x in (known & (c > 0), other, plus, logs + np.where(other, plus, 0.0))]
+                sums = [np.bincount(row, weights=x, minlength=n) for x in (known & (c > 0), plus, logs + np.where(ids >= voc.own, plus, 0.0))]
                 size = np.bincount(row, minlength=n)
                 none = pa.nulls(n, pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys), part.column("doc_id"), part.column("held_out"), pa.array(size, pa.int64()), *(pa.array(s.astype(np.int64)) for s in sums[:2]), *map(pa.array, sums[2:]),
+                    [pa.array(keys), part.column("doc_id"), part.column("held_out"), pa.array(size, pa.int64()), pa.array(sums[0].astype(np.int64)), *map(pa.array, sums[1:]),
                      pa.array(mix(keys.astype(_U)).view(np.int64)), none],
                     names,
                 )
@@ -378,17 +398,17 @@ def score(docs: DataFrame, counts: DataFrame, v: Vocabulary, model: Model) -> Da
                         k = len(i)
                         times = np.diff(np.append(at, len(w)))[a : a + (1 << 16)]
                         yield pa.RecordBatch.from_arrays(
-                            [pa.array(keys[r[i]]), pa.nulls(k, part.column("doc_id").type), pa.nulls(k, pa.bool_()), *(pa.nulls(k, pa.int64()) for _ in range(3)), *(pa.nulls(k, pa.float64()) for _ in range(2)),
+                            [pa.array(keys[r[i]]), pa.nulls(k, part.column("doc_id").type), pa.nulls(k, pa.bool_()), *(pa.nulls(k, pa.int64()) for _ in range(2)), *(pa.nulls(k, pa.float64()) for _ in range(2)),
                              pa.array(w[i].view(np.int64)), pa.array(times, pa.int64())],
                             names,
                         )
 
-    schema = f"key long, doc_id {kind}, held_out boolean, n_tokens long, n_known long, n_other long, base double, model double, word long, times long"
+    schema = f"key long, doc_id {kind}, held_out boolean, n_tokens long, n_known long, base double, model double, word long, times long"
     marks = docs.select("doc_id", "text", "held_out").mapInArrow(run, schema)
     joined = marks.join(counts.select("word", "n"), "word", "left")
     plus = F.coalesce(F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + F.lit(1.0)), F.lit(0.0))
     total: dict[str, Column] = {
-        "doc_id": F.max("doc_id"), "held_out": F.max("held_out"), "n_tokens": F.max("n_tokens"), "n_other": F.max("n_other"),
+        "doc_id": F.max("doc_id"), "held_out": F.max("held_out"), "n_tokens": F.max("n_tokens"),
         "n_known": F.max("n_known") + F.coalesce(F.sum(F.when(F.col("n") > 0, F.col("times"))), F.lit(0)),
         "base": F.max("base"), "model": F.max("model"), "plus": F.sum(plus),
     }
@@ -396,7 +416,7 @@ def score(docs: DataFrame, counts: DataFrame, v: Vocabulary, model: Model) -> Da
     return per_text.select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(v.total).cast("long").alias("train_tokens"),
         (F.col("base") + F.col("plus") - F.col("n_tokens") * F.lit(float(np.log10(v.total + v.distinct + 1)))).alias("base_score"),
-        (F.col("model") + F.col("plus") - F.col("n_other") * F.lit(float(np.log10(max(1, v.other_total + v.other_distinct + 1))))).alias("score"),
+        (F.col("model") + F.col("plus")).alias("score"),
     )
 
 
