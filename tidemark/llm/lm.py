@@ -32,6 +32,8 @@ FREQUENT = 1 << 18
 HELD, VISIT = 1 << 20, 16
 #: A shard has about so many visits, however many there are in all.
 SHARD = 500_000
+#: Distinct triples that one task adds up, about, and that one packed row has at most.
+PART, BLOCK = 1 << 20, 1 << 16
 ROUNDS, BATCH, NOISE, NOISE_PER_TOKEN, RATE = 3, 512, 256, 16, 0.15
 PIECES = 64
 _U = np.uint64
@@ -190,20 +192,23 @@ class Model:
         edges = np.cumsum(prior)
         log_kq = np.log(NOISE_PER_TOKEN * prior).astype(np.float32)
 
-        def step(k: int, words: np.ndarray, g: np.ndarray, scale: float) -> None:
+        def step(words: np.ndarray, *moves: tuple[int, np.ndarray, float]) -> None:
             order = np.argsort(words, kind="stable")
             words = words[order]
             first = np.flatnonzero(np.append(True, words[1:] != words[:-1]))
-            at, g = words[first], np.add.reduceat(g[order], first, axis=0) / size
-            s = squares[k][at] + g * g
-            squares[k][at] = s
-            self.parts[k][at] += np.float32(rate * scale) * g / np.sqrt(s)
-
+            at = words[first]
+            for k, g, scale in moves:
+                g = np.add.reduceat(g[order], first, axis=0) / size
+                s = squares[k][at] + g * g
+                squares[k][at] = s
+                self.parts[k][at] += np.float32(rate * scale) * g / np.sqrt(s)
+
+        ids, one, two = (x.astype(np.int16 if len(prior) < 1 << 15 else np.int32) for x in (ids, one, two))
         order = rng.permutation(len(ids))
         for at in range(0, len(order), BATCH):
             i = order[at : at + BATCH]
             w, w1, w2 = ids[i], one[i], two[i]
-            noise = np.minimum(np.searchsorted(edges, rng.random(NOISE)), len(prior) - 1)
+            noise = np.minimum(np.searchsorted(edges, rng.random(NOISE)), len(prior) - 1).astype(ids.dtype)
             r1, r2, qw, qn = r[w1], r[w2], q[w], q[noise]
             h = r1 @ c1 + r2 @ c2
             good = 1 / (1 + np.exp(np.clip((h * qw).sum(1) + b[w] - log_kq[w], -30, 30)))
@@ -219,9 +224,8 @@ class Model:
             words, contexts_at = np.concatenate([w, noise]), np.concatenate([w1, w2])
             to_q, to_r = np.concatenate([good[:, None] * h, bad.T @ h]), np.concatenate([dh @ c1.T, dh @ c2.T])
             to_c1, to_c2 = r1.T @ dh / size, r2.T @ dh / size
-            step(0, contexts_at, to_r, 1.0)
-            step(1, words, to_q, 1.0)
-            step(4, words, np.concatenate([good, bad.sum(0)]), 0.3)
+            step(contexts_at, (0, to_r, 1.0))
+            step(words, (1, to_q, 1.0), (4, np.concatenate([good, bad.sum(0)]), 0.3))
             for k, g in ((2, to_c1), (3, to_c2)):
                 squares[k] += g * g
                 self.parts[k] += np.float32(rate * 0.1) * g / np.sqrt(squares[k])
@@ -238,32 +242,121 @@ class Model:
         return a1, a2, z.astype(np.float32)
 
 
-def count_triples(texts: DataFrame, v: Vocabulary) -> DataFrame:
-    """triple, n: how often each triple of classes (two back, one back, here) occurs in texts, packed to one number."""
+def packed(arrays: dict[str, np.ndarray], keys: dict[str, list]) -> pa.RecordBatch:
+    """One row for each range of `arrays`, which are cut at keys["at"]: the values of keys and the arrays' bytes."""
+    at = keys.pop("at")
+    columns = {k: pa.array(x) for k, x in keys.items()}
+    for name, x in arrays.items():
+        columns[name] = pa.array([x[i:j].tobytes() for i, j in zip(at[:-1], at[1:], strict=True)], pa.binary())
+    return pa.RecordBatch.from_pydict(columns)
+
+
+def unpacked(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.int64)
+
+
+def pack_triples(texts: DataFrame, v: Vocabulary, part_triples: int = PART) -> DataFrame:
+    """first, visits, triple, n: blocks of at most BLOCK distinct triples with their counts, each packed to bytes.
+
+    A triple of classes (two back, one back, here) is one number and lies in one block. Tasks combine what they have
+    read and send each part of the triples as one row; parts are as many as keep about part_triples in each.
+    """
     shared = texts.sparkSession.sparkContext.broadcast(v)
+    parts = max(1, -(-min(v.total, v.size**3) // part_triples))
 
     def triples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
 
         def out() -> pa.RecordBatch:
-            found, at = np.unique(np.concatenate([x for x, _ in held]), return_inverse=True)
-            n = np.bincount(at, weights=np.concatenate([n for _, n in held])).astype(np.int64)
-            return pa.RecordBatch.from_arrays([pa.array(found), pa.array(n)], ["triple", "n"])
+            found, n = np.unique(np.concatenate(held), return_counts=True)
+            part = (mix(found.view(_U)) % _U(parts)).astype(np.int32)
+            order = np.argsort(part, kind="stable")
+            part = part[order]
+            at = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
+            return packed({"triple": found[order], "n": n[order]}, {"at": np.append(at, len(part)), "part": part[at]})
 
         for batch in batches:
-            for part in text_slices(batch):
-                words, row, tail = tokens(part)
+            for slice_ in text_slices(batch):
+                words, row, tail = tokens(slice_)
                 ids = shared.value.look_up(words, tail)[0].astype(np.int64)
-                one, two = contexts(ids, shared.value.end, np.searchsorted(row, np.arange(part.num_rows)))
-                held.append(np.unique((two * shared.value.size + one) * shared.value.size + ids, return_counts=True))
-                size += len(held[-1][0])
-                if size > 1 << 20:
+                one, two = contexts(ids, shared.value.end, np.searchsorted(row, np.arange(slice_.num_rows)))
+                held.append((two * shared.value.size + one) * shared.value.size + ids)
+                size += len(ids)
+                if size > HELD * 2:
                     yield out()
                     held, size = [], 0
         if held:
             yield out()
 
-    return texts.select("text").mapInArrow(triples, "triple long, n long").groupBy("triple").agg(F.sum("n").alias("n"))
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def summed() -> tuple[np.ndarray, np.ndarray]:
+            triple, n = (np.concatenate([x[i] for x in held]) for i in (0, 1))
+            order = np.argsort(triple)
+            triple = triple[order]
+            at = np.flatnonzero(np.append(True, triple[1:] != triple[:-1]))
+            return triple[at], np.add.reduceat(n[order], at)
+
+        for batch in batches:
+            held.append((unpacked(batch.column("triple")), unpacked(batch.column("n"))))
+            size += len(held[-1][0])
+            if size > 4 * part_triples:
+                held = [summed()]
+                # what stays is distinct; twice as much again may come before the next merge
+                size = min(len(held[0][0]), 2 * part_triples)
+        if not held:
+            return
+        triple, n = summed()
+        # blocks are a fair draw of the part, alike at every run
+        order = np.random.default_rng(len(triple)).permutation(len(triple))
+        triple, n = triple[order], n[order]
+        for at in range(0, len(triple), BLOCK):
+            cut = slice(at, at + BLOCK)
+            visits = int((-(-n[cut] // VISIT)).sum())
+            yield packed({"triple": triple[cut], "n": n[cut]}, {"at": [0, len(triple[cut])], "first": [int(triple[at])], "visits": [visits]})
+
+    sent = texts.select("text").mapInArrow(triples, "part int, triple binary, n binary")
+    return sent.repartition(parts, "part").select("triple", "n").mapInArrow(merge, "first long, visits long, triple binary, n binary")
+
+
+def count_triples(texts: DataFrame, v: Vocabulary) -> DataFrame:
+    """triple, n: how often each triple of classes (two back, one back, here) occurs in texts, packed to one number."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(unpacked(batch.column(c))) for c in ("triple", "n")], ["triple", "n"])
+
+    return pack_triples(texts, v).select("triple", "n").mapInArrow(rows, "triple long, n long")
+
+
+def deal(blocks: DataFrame, shards: int) -> DataFrame:
+    """shard, first, triple, n: the blocks' triples dealt over shards, still packed.
+
+    A triple goes to as many shards as it has visits, its occurrences dealt evenly, from a hashed shard on.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                triple, n = (unpacked(batch.column(c).slice(row, 1)) for c in ("triple", "n"))
+                of = np.minimum(-(-n // VISIT), shards)
+                ends = np.cumsum(of)
+                # ranges of the block whose dealt rows are few enough to hold
+                cuts = np.unique(np.append(np.searchsorted(ends, np.arange(HELD, ends[-1], HELD), "left") + 1, [0, len(n)]))
+                for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                    t, m, o = triple[a:b], n[a:b], of[a:b]
+                    k = np.arange(o.sum()) - np.repeat(np.cumsum(o) - o, o)
+                    t, m, o = np.repeat(t, o), np.repeat(m, o), np.repeat(o, o)
+                    shard = ((mix(t.view(_U)) >> _U(3)) % _U(shards)).astype(np.int64) + k
+                    shard %= shards
+                    order = np.argsort(shard, kind="stable")
+                    shard = shard[order]
+                    at = np.flatnonzero(np.append(True, shard[1:] != shard[:-1]))
+                    share = m // o + (k < m % o)
+                    yield packed({"triple": t[order], "n": share[order]}, {"at": np.append(at, len(shard)), "shard": shard[at].astype(np.int32), "first": t[order][at]})
+
+    return blocks.select("triple", "n").mapInArrow(run, "shard int, first long, triple binary, n binary")
 
 
 def fit(texts: DataFrame, v: Vocabulary, rounds: int = ROUNDS, held: int = HELD, shard_visits: int = SHARD) -> Model:
@@ -278,15 +371,10 @@ def fit(texts: DataFrame, v: Vocabulary, rounds: int = ROUNDS, held: int = HELD,
         return model
     spark = texts.sparkSession
     shared = spark.sparkContext.broadcast(v)
-    counted = stage(count_triples(texts, v), "triples")
-    visits = F.ceil(F.col("n") / VISIT)
-    shards = max(1, -(-int(counted.agg(F.sum(visits)).first()[0] or 0) // shard_visits))
-    # a triple goes to as many shards as it has visits, its occurrences dealt evenly, from a hashed shard on
-    of = F.least(visits, F.lit(shards)).cast("long")
-    share = F.floor(F.col("n") / F.col("of")) + F.when(F.col("k") < F.col("n") % F.col("of"), 1).otherwise(0)
-    dealt = counted.withColumn("of", of).withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("of") - 1)))
-    dealt = dealt.select(F.pmod(F.xxhash64("triple") + F.col("k"), F.lit(shards)).cast("int").alias("shard"), "triple", share.cast("long").alias("n"))
-    sample = stage(dealt.repartition(shards, "shard").sortWithinPartitions("shard", F.xxhash64("triple", F.lit(3)), "triple"), "shards")
+    counted = stage(pack_triples(texts, v), "triples")
+    shards = max(1, -(-int(counted.agg(F.sum("visits")).first()[0] or 0) // shard_visits))
+    dealt = deal(counted, shards)
+    sample = stage(dealt.repartition(shards, "shard").sortWithinPartitions("shard", F.xxhash64("first", F.lit(3)), "first"), "shards")
     edges = np.linspace(0, len(model.flat), PIECES + 1).astype(int)
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -294,19 +382,21 @@ def fit(texts: DataFrame, v: Vocabulary, rounds: int = ROUNDS, held: int = HELD,
         of, kept, size = None, [], 0
 
         def made() -> tuple[int, np.ndarray, np.ndarray]:
-            return of, np.concatenate([x for x, _ in kept]), np.concatenate([w for _, w in kept])
+            triple, weight = np.concatenate([x for x, _ in kept]), np.concatenate([w for _, w in kept])
+            # one order, however the triples were cut to blocks
+            order = np.argsort(triple, kind="stable")
+            return of, triple[order], weight[order]
 
         for batch in batches:
-            shard, triple, n = (batch.column(c).to_numpy() for c in ("shard", "triple", "n"))
-            for at in range(0, len(shard), 1 << 14):
-                for s in np.unique(shard[at : at + (1 << 14)]):
-                    mine = np.flatnonzero(shard[at : at + (1 << 14)] == s) + at
-                    if kept and (s != of or size >= held):
-                        yield made()
-                        kept, size = [], 0
-                    times = -(-n[mine] // VISIT)
-                    kept.append((np.repeat(triple[mine], times), np.repeat(n[mine] / times, times)))
-                    of, size = int(s), size + int(times.sum())
+            for row in range(batch.num_rows):
+                s = batch.column("shard")[row].as_py()
+                triple, n = (unpacked(batch.column(c).slice(row, 1)) for c in ("triple", "n"))
+                if kept and (s != of or size >= held):
+                    yield made()
+                    kept, size = [], 0
+                times = -(-n // VISIT)
+                kept.append((np.repeat(triple, times), np.repeat(n / times, times)))
+                of, size = s, size + int(times.sum())
         if kept:
             yield made()
 
