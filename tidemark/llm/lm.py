@@ -262,7 +262,8 @@ def pack_triples(texts: DataFrame, v: Vocabulary, part_triples: int = PART) -> D
     read and send each part of the triples as one row; parts are as many as keep about part_triples in each.
     """
     shared = texts.sparkSession.sparkContext.broadcast(v)
-    parts = max(1, -(-min(v.total, v.size**3) // part_triples))
+    # about part_triples distinct triples in a part, and at most 16 times as many occurrences read for it
+    parts = max(1, -(-min(v.total, v.size**3) // part_triples), -(-v.total // (16 * part_triples)))
 
     def triples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
