@@ -1,12 +1,13 @@
 """Small cases with results worked out by hand."""
 
 import datetime as dt
+import json
 
 import pytest
 from pyspark.sql import functions as F
 from tidemark.functions import core
 from tidemark.operators import fundamentals, indicators, loop, quarters, verify
-from tidemark.sources import calendar, price_files
+from tidemark.sources import calendar, listings, price_files
 
 D = dt.date
 
@@ -129,3 +130,35 @@ def test_quarters_derived_in_order(spark):
     assert told[1] == told[6] == [] and told[2] == [(2, "PNL", "CURRENT_CUMULATIVE"), (1, "PNL", "PREVIOUS_CUMULATIVE"), (2, "CASH_FLOW", "CURRENT_CUMULATIVE"), (1, "CASH_FLOW", "PREVIOUS_CUMULATIVE")]
     assert told[4] == [(4, "PNL", "CURRENT_CUMULATIVE"), (3, "PNL", "PREVIOUS_CUMULATIVE"), (5, "CASH_FLOW", "ANNUAL_TOTAL"), (3, "CASH_FLOW", "PREVIOUS_CUMULATIVE")]
     assert quarters.derive_quarterly_financials(spark.createDataFrame([], schema)).count() == 0
+
+
+def test_filing_list_and_index_history(spark):
+    body = json.dumps({"data": [
+        {"symbol": "", "cmName": None, "smName": "Short", "qe_Date": "31-Mar-2024", "type_Sub": "", "consolidated": "Standalone", "seq_Id": 7, "extra": "x"},
+        {"symbol": "B", "cmName": "Bee", "qe_Date": "30-Jun-2024", "type_Sub": "Revision"},
+        {"symbol": "C", "qe_Date": ""}, {"symbol": "D"},
+    ]})
+    got = listings.filing_list(spark.createDataFrame([("a", body), ("b", None), ("c", '{"data": []}'), ("d", "no JSON")], "symbol string, body string")).collect()
+    rows = {(r.symbol, r.company_name, r.period_end, r.submission_type, r.statement_scope, r.source_reference) for r in got}
+    assert rows == {("A", "Short", D(2024, 3, 31), "Unknown", "Standalone", "7"), ("B", "Bee", D(2024, 6, 30), "Revision", "Unknown", None)}
+    assert {r.raw.get("extra") for r in got} == {"x", None}
+    days = [{"CLOSE": "1.5"}, {"CLOSE": "2"}]
+    bodies = spark.createDataFrame([(json.dumps({"d": json.dumps(days)}),), (json.dumps({"d": days}),), (None,), ('{"d": []}',)], "body string")
+    assert sorted(r.row["CLOSE"] for r in listings.index_history(bodies).collect()) == ["1.5", "1.5", "2", "2"]
+
+
+def test_pending_outcomes_are_resolved(spark):
+    day = D(2024, 1, 1)
+    outcomes = spark.createDataFrame(
+        [(1, day, 20, None, None, None, "pending"), (2, day, 5, 0.5, None, None, "pending"), (3, day, 5, 0.1, 0.2, -0.1, "verified"), (4, day, 20, None, None, None, "pending")],
+        "company_id long, trade_date date, horizon int, expected_return double, actual_return double, deviation double, status string",
+    )
+    holds = spark.createDataFrame([(1, day, D(2024, 1, 21)), (2, day, D(2024, 1, 4))], "company_id long, trade_date date, hold_until date")
+    ranked = spark.createDataFrame([(c, day, 1, 0.95) for c in (1, 2, 4)], "company_id long, trade_date date, overall_rank int, overall_percentile double")
+    decile = ranked.select(loop.decile_of("overall_rank", "overall_percentile")).first()[0]
+    stats = spark.createDataFrame([(day, decile, 0.25, 0.75, 1.0)], "trade_date date, decile int, avg_5d double, avg_20d double, avg_60d double")
+    returns = spark.createDataFrame([(1, day, 0.0, 0.5, 0.0), (2, day, 0.25, 0.0, 0.0)], "company_id long, trade_date date, forward_5d_return double, forward_20d_return double, forward_60d_return double")
+    got = {r.company_id: (r.expected_return, r.actual_return, r.deviation, r.status) for r in loop.resolve_pending(outcomes, holds, ranked, returns, stats).collect()}
+    assert got[1] == (0.75, 0.5, 0.25, "verified") and got[2] == (0.5, 0.25, 0.25, "verified") and got[3] == (0.1, 0.2, -0.1, "verified")
+    assert got[4][1:] == (None, None, "pending") and len(got) == 4
+    assert loop.resolve_pending(outcomes.where("false"), holds, ranked, returns, stats).count() == 0

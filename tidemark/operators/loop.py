@@ -108,25 +108,47 @@ def outcome(expected: str | Column, actual: str | Column) -> dict[str, Column]:
     return {"deviation": col(expected) - col(actual), "status": F.when(both, "verified").otherwise("pending")}
 
 
+def _returns_of(rows: DataFrame, ranked: DataFrame, returns: DataFrame, stats: DataFrame) -> DataFrame:
+    """rows (company_id, trade_date, horizon, more) with the expected return of their decile and the actual forward return."""
+    own = ranked.select("company_id", "trade_date", decile_of("overall_rank", "overall_percentile").alias("decile"))
+    pick = lambda form: F.coalesce(*[F.when(F.col("horizon") == h, F.col(form.format(h))) for h in HORIZONS])
+    return (
+        rows.join(own, ["company_id", "trade_date"], "left")
+        .join(stats.select("trade_date", "decile", *[f"avg_{h}d" for h in HORIZONS]), ["trade_date", "decile"], "left")
+        .join(returns.select("company_id", "trade_date", *[f"forward_{h}d_return" for h in HORIZONS]), ["company_id", "trade_date"], "left")
+        .select(*rows.columns, pick("avg_{}d").alias("expected_return"), pick("forward_{}d_return").alias("actual_return"))
+    )
+
+
+def _horizon() -> Column:
+    return horizon_bucket(F.greatest(F.lit(1), F.coalesce(F.datediff("hold_until", "trade_date"), F.lit(HOLD_DAYS)))).alias("horizon")
+
+
 def verify_stage(holds: DataFrame, ranked: DataFrame, returns: DataFrame, stats: DataFrame) -> DataFrame:
     """Stage 3: for green holds, the expected return of their decile on their date against the actual forward return.
 
     stats is the backtest by date and decile. The bucket is that of the days held. Where neither is known nothing is
     said of a hold yet.
     """
-    green = holds.where("action = 'hold' AND red_green = 'green'").select("company_id", "trade_date", horizon_bucket(F.greatest(F.lit(1), F.coalesce(F.datediff("hold_until", "trade_date"), F.lit(HOLD_DAYS)))).alias("horizon"))
-    own = ranked.select("company_id", "trade_date", decile_of("overall_rank", "overall_percentile").alias("decile"))
-    pick = lambda form: F.coalesce(*[F.when(F.col("horizon") == h, F.col(form.format(h))) for h in HORIZONS])
-    rows = (
-        green.join(own, ["company_id", "trade_date"], "left")
-        .join(stats.select("trade_date", "decile", *[f"avg_{h}d" for h in HORIZONS]), ["trade_date", "decile"], "left")
-        .join(returns.select("company_id", "trade_date", *[f"forward_{h}d_return" for h in HORIZONS]), ["company_id", "trade_date"], "left")
-        .select("company_id", "trade_date", "horizon", pick("avg_{}d").alias("expected_return"), pick("forward_{}d_return").alias("actual_return"))
-    )
-    said = rows.where("expected_return IS NOT NULL OR actual_return IS NOT NULL")
+    green = holds.where("action = 'hold' AND red_green = 'green'").select("company_id", "trade_date", _horizon())
+    said = _returns_of(green, ranked, returns, stats).where("expected_return IS NOT NULL OR actual_return IS NOT NULL")
     return said.select("*", *[c.alias(n) for n, c in outcome("expected_return", "actual_return").items()])
 
 
+def resolve_pending(outcomes: DataFrame, holds: DataFrame, ranked: DataFrame, returns: DataFrame, stats: DataFrame) -> DataFrame:
+    """All outcomes, the pending ones with what is known by now of their own date: the decision's days, decile and returns.
+
+    An expected return that is there stays; a decision that is gone or holds nothing counts as the usual days. A pending
+    outcome of which the actual return is still unknown stays pending.
+    """
+    columns = outcomes.columns
+    open_ = outcomes.where("status = 'pending'").select("company_id", "trade_date", F.col("expected_return").alias("_expected"))
+    dated = open_.join(holds.select("company_id", "trade_date", "hold_until"), ["company_id", "trade_date"], "left").select("company_id", "trade_date", "_expected", _horizon())
+    found = _returns_of(dated, ranked, returns, stats).withColumn("expected_return", F.coalesce("_expected", "expected_return")).drop("_expected")
+    done = found.select("*", *[c.alias(n) for n, c in outcome("expected_return", "actual_return").items()])
+    return outcomes.where("status <> 'pending'").unionByName(done.select(*columns))
+
+
 def refine_stage(outcomes: DataFrame, ranked: DataFrame) -> DataFrame:
     """Stage 4: the deviation dealt to the valid categories by weight, added and clamped; the overall score made anew.
 
