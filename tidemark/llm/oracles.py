@@ -80,4 +80,81 @@ SELECT doc_id, size, source_size, target, (t0 + t1)::BIGINT AS taken,
 FROM halves
 """
 
-SQL = {"op5_decontamination": OP5, "op9_source_mixing": OP9}
+OP11 = r"""
+WITH docs AS (
+  SELECT doc_id, coalesce(lang, '') AS part, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w
+  FROM (SELECT doc_id, lang, coalesce(text, '') AS text FROM documents)),
+failed AS (
+  SELECT doc_id, part, (len(w) < 200)::INT + 2 * (100 * len(list_distinct(w)) < 50 * len(w))::INT
+         + 4 * (100 * len(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * len(text))::INT + 8 * regexp_matches(text, '[#$%&*|]')::INT
+         + 16 * coalesce(doc_id > min(doc_id) OVER same, min(doc_id) OVER same IS NOT NULL)::INT AS mask
+  FROM docs WINDOW same AS (PARTITION BY text)),
+marks AS (SELECT doc_id, bool_or(coalesce(quality = 1, FALSE)) AS good, bool_or(coalesce(toxic = 1, FALSE)) AS toxic FROM labels GROUP BY 1),
+cells AS (
+  SELECT part, mask, count(*) AS n, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE toxic) AS toxic
+  FROM failed LEFT JOIN marks USING (doc_id) GROUP BY 1, 2),
+letters AS (SELECT substr('ABCDE', i::INT, 1) AS f, (1 << (i - 1))::INT AS bit FROM range(1, 6) r(i)),
+orders AS (
+  SELECT a.f || b.f || c.f || d.f || e.f AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM letters a, letters b, letters c, letters d, letters e WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+steps AS (
+  SELECT filter_order, step::INT AS step, substr(filter_order, step::INT, 1) AS filter, bits[step] AS bit, coalesce(list_sum(bits[1 : step - 1]), 0)::INT AS before
+  FROM orders, range(1, 6) r(step)),
+counted AS (
+  SELECT part, filter_order, step, filter,
+         coalesce(sum(n) FILTER (WHERE mask & (before | bit) = 0), 0)::BIGINT AS kept,
+         coalesce(sum(n) FILTER (WHERE mask & before = 0 AND mask & bit > 0), 0)::BIGINT AS removed,
+         coalesce(sum(n) FILTER (WHERE mask & before > 0 AND mask & bit > 0), 0)::BIGINT AS redundant,
+         coalesce(sum(n) FILTER (WHERE mask = bit), 0)::BIGINT AS unique_fails,
+         coalesce(sum(good) FILTER (WHERE mask & before = 0 AND mask & bit > 0), 0)::BIGINT AS good_lost,
+         coalesce(sum(toxic) FILTER (WHERE mask & before = 0 AND mask & bit > 0), 0)::BIGINT AS toxic_lost
+  FROM steps, cells GROUP BY ALL)
+SELECT *, (sum(removed) OVER (PARTITION BY part, filter))::BIGINT AS shapley FROM counted
+"""
+
+
+OP12 = r"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+lines AS (
+  SELECT r, doc_id, i, lines[i] AS line,
+         translate(trim(lines[i], ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM (SELECT *, unnest(range(1, len(lines) + 1)) AS i FROM docs)),
+held AS (
+  SELECT key, max(doc_id) AS last, count(DISTINCT doc_id) + max((doc_id IS NULL)::INT) AS n FROM lines WHERE len(key) >= 20 GROUP BY 1),
+judged AS (
+  SELECT r, i, line, coalesce(n >= 3 AND l.doc_id IS DISTINCT FROM last, FALSE) AS gone FROM lines l LEFT JOIN held USING (key))
+SELECT doc_id, len(lines)::BIGINT AS n_lines, n_dropped, sha256(coalesce(kept, '')) AS kept_sha256
+FROM docs JOIN (SELECT r, count(*) FILTER (WHERE gone) AS n_dropped, string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone) AS kept FROM judged GROUP BY 1) USING (r)
+"""
+
+
+OP13 = r"""
+WITH docs AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
+words AS (
+  SELECT r, lang, source, translate(unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term
+  FROM docs),
+terms AS (SELECT lang, term, count(*) AS n FROM words GROUP BY 1, 2 HAVING count(DISTINCT r) >= 3),
+posted AS (SELECT lang, source, term, count(*) AS n FROM words JOIN terms USING (lang, term) GROUP BY 1, 2, 3),
+vocabulary AS (SELECT lang, count(*) AS v, sum(n) AS total FROM terms GROUP BY 1),
+sized AS (
+  SELECT g.lang, g.source, coalesce(sum(p.n), 0)::HUGEINT + any_value(v.v) AS size, any_value(v.total)::HUGEINT + any_value(v.v) AS lang_size
+  FROM (SELECT DISTINCT lang, source FROM docs) g LEFT JOIN vocabulary v USING (lang) LEFT JOIN posted p ON p.lang = g.lang AND p.source = g.source GROUP BY 1, 2),
+dense AS (
+  SELECT s.lang, s.source, term, coalesce(p.n, 0) AS n, 1 + (1000000000::HUGEINT * (coalesce(p.n, 0) + 1)) // size AS p,
+         1 + (1000000000::HUGEINT * (t.n + 1)) // lang_size AS q
+  FROM sized s JOIN terms t USING (lang) LEFT JOIN posted p USING (lang, source, term)),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(sum(((a.p - b.p) * (a.p - b.p)) // b.p), 0)::BIGINT AS value
+  FROM dense a JOIN dense b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY 1, 2, 3),
+lone AS (
+  SELECT a.lang, a.source, b.source AS item, 0::BIGINT AS value FROM sized a JOIN sized b ON a.lang = b.lang AND a.source <> b.source
+  WHERE a.lang NOT IN (SELECT lang FROM vocabulary)),
+named AS (SELECT lang, source, term AS item, (((p - q) * (p - q)) // q)::BIGINT AS value FROM dense WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value, rank::INT AS rank
+FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item COLLATE C ASC) AS rank
+  FROM (SELECT *, 'pair' AS part FROM pairs UNION ALL SELECT *, 'pair' FROM lone UNION ALL SELECT *, 'term' FROM named))
+WHERE part = 'pair' OR rank <= 200
+"""
+
+SQL = {"op5_decontamination": OP5, "op9_source_mixing": OP9, "op11_filter_audit": OP11, "op12_line_dedup": OP12, "op13_source_divergence": OP13}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontam, jaccard, langid, licenses, lm, media, mixing, oracles, recompress, warc
+from . import chat, decontam, divergence, filters, jaccard, langid, licenses, linededup, lm, media, mixing, oracles, recompress, warc
 from .common import table
 
 
@@ -55,6 +55,19 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.warc_roundtrip(table(spark, sf_dir, "pages"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filters.interaction_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = linededup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_dropped", "kept_sha256")
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence_audit(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {k: f for k, f in globals().items() if k.startswith("op") and k[2].isdigit()}
     return {**found, "pipeline": corpus_pipeline.run}
