@@ -24,6 +24,8 @@ CONTROL = ("<s>", "</s>", "[INST]", "[/INST]", "[ROLE]", "[/ROLE]", "[ASST]", "[
 VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 #: Fixed value: the byte-pair split pattern that the vocabulary was made with.
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: The split pattern can't match runs of white space of a million characters, so longer ones are cut out beforehand.
+_LONG_BLANK = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{100000,}")
 _ESCAPED = re.compile("|".join(re.escape(x) for x in ("\\", *CONTROL)))
 _UNESCAPE = re.compile(r"\\(.)", re.S)
 
@@ -50,7 +52,19 @@ class Codec:
         self.ids = {c: self.first + i for i, c in enumerate(CONTROL)}
 
     def encode(self, text: str) -> list[int]:
-        return self.plain.encode_ordinary(text)
+        """The ids of text. No piece of the split pattern begins before a run of white space and ends in it, and of a run
+        followed by other text all but its last character are a piece: there the text may be cut, with the same ids."""
+        out, at = [], 0
+        for run in _LONG_BLANK.finditer(text):
+            end = run.end() - (run.end() < len(text))
+            out += self.plain.encode_ordinary(text[at : run.start()])
+            out += self._blank(text[run.start() : end])
+            at = end
+        return out + self.plain.encode_ordinary(text[at:])
+
+    def _blank(self, run: str) -> list[int]:
+        """The ids of one long piece of white space, which pair merging alone would take very long for."""
+        return self.plain._encode_single_piece(run)
 
     def decode(self, ids: list[int]) -> str:
         """Text of a segment without reserved ids."""
@@ -183,7 +197,7 @@ class _Digest:
     """Reads formatted turns back: digests of turns and of the text under the loss mask, kept as running states."""
 
     def __init__(self, c: Codec):
-        self.c, self.n, self.loss_chars, self.chars = c, 0, 0, len(CONTROL[0])
+        self.c, self.n, self.loss_chars, self.chars = c, 0, 0, 0
         self.turns, self.loss = hashlib.sha256(), hashlib.sha256()
 
     def add(self, ids: np.ndarray, mask: np.ndarray) -> None:
@@ -206,7 +220,8 @@ def read_back(formatted: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
 
     One shuffle by conv_id. A conversation's turns stream through one task in order, as its digests demand; the task
     keeps only running states, so a conversation that holds a third of all rows needs no more memory than any other.
-    Turns with equal numbers are ordered by their ids; null conv_id is a conversation of its own.
+    Turns with equal numbers are ordered by their ids; null conv_id is a conversation of its own. formatted_chars is the
+    length of the turns as rendered, without the <s> that conversations() puts first.
     """
     kind = dict(formatted.dtypes)["conv_id"]
     shared = formatted.sparkSession.sparkContext.broadcast(read_vocabulary(formatted.sparkSession, vocabulary))
