@@ -10,6 +10,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql.pandas.types import to_arrow_type
 
 WINDOW = 10
 #: Windows in one broadcast automaton (about 0.5 kB each). A larger benchmark is scanned for in blocks of this many.
@@ -50,19 +51,20 @@ def scan(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, block_window
 
     Columns of docs with these names are replaced.
 
-    benchmark has item_id and text; an item without words (null, empty) and one with a null id have no windows. The
+    benchmark has item_id, of any type that sorts, and text; an item without words (null, empty) and one with a null id have no windows. The
     benchmark is streamed to the driver in order of nothing in particular and cut in blocks of at most block_windows
     windows; each block is an automaton of its own and one map-only pass, so a benchmark of any size works and what is
     broadcast stays bounded. A document with null text has no words. No shuffle of documents.
     """
     names = [c for c in docs.columns if c not in ("n_words", "hits", "items")]
+    listed = pa.list_(to_arrow_type(benchmark.schema["item_id"].dataType))
     kind = dict(benchmark.dtypes)["item_id"]
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*names).schema)
     out, none_yet = docs.select(*names), True
     block: dict[str, list] = defaultdict(list)
 
     def one_pass(df: DataFrame, patterns: dict[str, list], fresh: bool) -> DataFrame:
-        return df.mapInArrow(_scanner(df.sparkSession.sparkContext.broadcast(dict(patterns)), names, fresh), f"{fields}, n_words long, {_HITS}, items array<{kind}>")
+        return df.mapInArrow(_scanner(df.sparkSession.sparkContext.broadcast(dict(patterns)), names, fresh, listed), f"{fields}, n_words long, {_HITS}, items array<{kind}>")
 
     for item in benchmark.select("item_id", "text").toLocalIterator():
         if item["text"] is None or item["item_id"] is None:
@@ -85,7 +87,7 @@ def _machine(patterns: dict[str, list]):
     return _CACHE["machine"]
 
 
-def _scanner(patterns, names: list[str], fresh: bool):
+def _scanner(patterns, names: list[str], fresh: bool, listed: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = _machine(patterns.value)
         for batch in batches:
@@ -111,18 +113,13 @@ def _scanner(patterns, names: list[str], fresh: bool):
                     hits.append([{"first": a, "last": b} for a, b in _union(spans)])
                     items.append(sorted(ids))
                 yield pa.RecordBatch.from_arrays(
-                    [*(part.column(c) for c in names), pa.array(counts, pa.int64()), pa.array(hits, _HIT_TYPE), pa.array(items, pa.list_(_item_type(patterns.value)))],
+                    [*(part.column(c) for c in names), pa.array(counts, pa.int64()), pa.array(hits, _HIT_TYPE), pa.array(items, listed)],
                     [*names, "n_words", "hits", "items"],
                 )
 
     return run
 
 
-def _item_type(patterns: dict[str, list]) -> pa.DataType:
-    first = next((ids[0] for ids in patterns.values()), 0)
-    return pa.string() if isinstance(first, str) else pa.int64()
-
-
 def _union(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     out: list[tuple[int, int]] = []
     for a, b in sorted(spans):
