@@ -38,7 +38,7 @@ _EMPTY_MEMBER = _member(b"").decode("latin-1")
 _PAGE_COLUMNS = "page_id string, url string, html string, capture long, refers_to long, refers_uri string"
 RECORD_SCHEMA = (
     "record_id string, warc_type string, concurrent_to string, refers_to string, target_uri string, warc_date string,"
-    " declared_digest string, page_id string, payload binary, payload_bytes long, payload_digest string"
+    " declared_digest string, page_id string, payload binary, payload_bytes long, payload_digest string, error string"
 )
 
 
@@ -120,7 +120,9 @@ def with_revisits(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataF
         .select("_digest", "refers_uri", F.col("best.order").alias("_best"), (-F.col("best.minus")).alias("refers_to"))
     )
     revisit = F.col("refers_to").isNotNull() & ~F.col("_order").eqNullSafe(F.col("_best"))
-    return own.join(kept, "_digest", "left").select(
+    # short pages have no digest: under a key of its own each, or they would all meet in one task
+    key = F.coalesce("_digest", F.concat(F.lit("-"), F.col("capture").cast("string")))
+    return own.withColumn("_key", key).drop("_digest").join(kept, F.col("_key") == F.col("_digest"), "left").select(
         "page_id",
         "url",
         "html",
@@ -144,47 +146,60 @@ def _headers(head: bytes) -> dict[str, str]:
     return {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in head.decode("utf-8", "replace").split("\r\n")[1:])}
 
 
-def _split(data: bytes) -> Iterator[bytes]:
-    """gzip members, or the plain file as it is."""
+def _split(data: bytes) -> Iterator[tuple[bytes, str | None]]:
+    """gzip members, or the plain file as it is; what is left where a member is broken, with an error."""
     if data[:2] != b"\x1f\x8b":
-        yield data
+        yield data, None
         return
     # unused_data copies the rest at each member; in windows the copies stay small
     view, at = memoryview(data), 0
     while at < len(view):
         z, parts, step = zlib.decompressobj(31), [], 1 << 16
         while not z.eof:
-            if at >= len(view):
-                raise ValueError("a WARC file ends inside a record")
             piece = view[at : at + step]
-            parts.append(z.decompress(piece))
+            if not piece:
+                yield b"".join(parts), "the file ends inside a gzip member"
+                return
+            try:
+                parts.append(z.decompress(piece))
+            except zlib.error as e:
+                yield b"".join(parts), f"broken gzip member: {e}"
+                return
             at += len(piece) - len(z.unused_data)
         if any(parts):
-            yield b"".join(parts)
+            yield b"".join(parts), None
 
 
 def _parse(data: bytes, keep: bool) -> Iterator[tuple]:
-    for chunk in _split(data):
+    for chunk, error in _split(data):
         at = 0
         while at < len(chunk):
-            end = chunk.index(b"\r\n\r\n", at)
-            head = _headers(chunk[at:end])
-            size = int(head["content-length"])
-            block = chunk[end + 4 : end + 4 + size]
-            if len(block) < size:
-                raise ValueError("a WARC record is shorter than its Content-Length")
-            at = end + 4 + size + 4
+            end = chunk.find(b"\r\n\r\n", at)
+            head = _headers(chunk[at : end if end >= 0 else len(chunk)])
+            size = head.get("content-length", "")
+            wrong = "no end of the record's head" if end < 0 else None if size.isascii() and size.isdigit() else "no Content-Length"
+            block = b"" if wrong else chunk[end + 4 : end + 4 + int(size)]
+            if not wrong and len(block) < int(size):
+                wrong = "the record is shorter than its Content-Length"
+            # nothing says where the record after a broken one begins
+            at = len(chunk) if wrong else end + 4 + len(block) + 4
+            wrong = error if wrong and error else wrong or (None if "warc-record-id" in head else "no WARC-Record-ID")
             kind = head.get("warc-type")
             page_id = payload = length = digest = None
             if kind == "response":
-                payload = block[block.index(b"\r\n\r\n") + 4 :]
+                payload = block
+                if head.get("content-type", "application/http").lower().startswith("application/http"):
+                    _, ended, payload = block.partition(b"\r\n\r\n")
+                    wrong = wrong or (None if ended else "no end of the HTTP head")
                 length, digest = len(payload), hashlib.sha1(payload).hexdigest()
             elif kind == "metadata":
                 page_id = _headers(b"\r\n" + block).get("page-id")
             yield (
-                head["warc-record-id"], kind, head.get("warc-concurrent-to"), head.get("warc-refers-to"), head.get("warc-target-uri"),
-                head.get("warc-date"), head.get("warc-payload-digest"), page_id, payload if keep else None, length, digest,
+                head.get("warc-record-id"), kind, head.get("warc-concurrent-to"), head.get("warc-refers-to"), head.get("warc-target-uri"),
+                head.get("warc-date"), head.get("warc-payload-digest"), page_id, payload if keep else None, length, digest, wrong,
             )
+        if error and not chunk:
+            yield (*[None] * 11, error)
 
 
 _NAMES = [x.split()[0] for x in RECORD_SCHEMA.split(",")]
@@ -194,7 +209,10 @@ _TYPES = [{"string": pa.string(), "binary": pa.binary(), "long": pa.int64()}[x.s
 def read_warc(spark: SparkSession, path: str, payload: bool = True) -> DataFrame:
     """One row per WARC record under path (plain or gzip, any writer's).
 
-    payload_digest and payload_bytes are computed from the bytes that are stored; declared_digest is the header's.
+    payload_digest and payload_bytes are computed from the bytes that are stored; declared_digest is the header's. The
+    payload of a response is what follows its HTTP head, or its whole block where the block isn't HTTP. error says what is
+    wrong with a record: one without an id is kept as it is, one that is cut short with what is there, and what follows a
+    broken record in its gzip member (or plain file) can't be found.
     Files are read whole, one at a time, so an archive's size bounds the memory.
     """
 
@@ -219,7 +237,7 @@ def assemble(records: DataFrame) -> DataFrame:
 
     Columns: capture_id (the response's or revisit's record id), responses, requests and metadata, arrays of structs in
     order of record id and of their columns. An archive may hold several records of a kind under one id, or none: all are kept, an
-    absent kind is an empty array. One shuffle on the id.
+    absent kind is an empty array. Records without an id to tie them by are in no capture. One shuffle on the id.
     """
     kind = F.col("warc_type")
     main = F.struct("record_id", "warc_type", "refers_to", "target_uri", "warc_date", "declared_digest", "payload_bytes", "payload_digest", "payload")
@@ -229,7 +247,7 @@ def assemble(records: DataFrame) -> DataFrame:
         return F.sort_array(F.collect_list(F.when(when, of)))
 
     return (
-        records.where(kind.isin("request", "response", "revisit", "metadata"))
+        records.where(kind.isin("request", "response", "revisit", "metadata") & tie.isNotNull())
         .groupBy(tie.alias("capture_id"))
         .agg(
             every(main, kind.isin("response", "revisit")).alias("responses"),
