@@ -124,9 +124,10 @@ SELECT company_id, trade_date AS valuation_date, 'Consolidated' AS statement_sco
        'EXACT_MARKET_DATE_PIT_TTM' AS calculation_method
 FROM (SELECT *, market_cap + total_debt - cash_and_equivalents AS ev FROM known WHERE period_end IS NOT NULL)""")
 piece("returns", ("daily_prices",), f"SELECT company_id, trade_date, {', '.join(f'{change("close", n)} AS return_{n}d' for n in (1, 5, 20, 60, 120, 252))} FROM daily_prices")
+_MULTIPLES = ("pe", "price_to_sales", "ev_to_ebitda", "earnings_yield")
 piece("feats", ("known", "returns", "ratios", "vals"), f"""
 SELECT k.company_id, k.trade_date, 'Consolidated' AS statement_scope, k.close, k.period_end AS ttm_period_end, k.latest_filing_date AS ttm_filing_date,
-       {', '.join(r(f't.{c}', 6) for c in RETURNS)}, {', '.join(r(f'q.{c}', 6) for c in RATIOS)}, {', '.join(r(f'v.{c}', 6) for c in ('pe', 'price_to_sales', 'ev_to_ebitda', 'earnings_yield'))}
+       {', '.join(f't.{c}' for c in RETURNS)}, {', '.join(f'q.{c}' for c in RATIOS)}, {', '.join(f'v.{c}' for c in _MULTIPLES)}
 FROM known k LEFT JOIN returns t USING (company_id, trade_date)
 LEFT JOIN ratios q ON q.company_id = k.company_id AND q.period_end = k.period_end AND q.statement_scope = 'Consolidated'
 LEFT JOIN vals v ON v.company_id = k.company_id AND v.valuation_date = k.trade_date""")
@@ -327,7 +328,7 @@ LEFT JOIN canon p ON p.company_id = c.company_id AND p.statement_scope = c.state
     q["fundamental_history"] = (("canon", "companies"), f"SELECT {yoy} WHERE c.period_type = 'quarterly' AND c.statement_scope = 'Consolidated' AND c.company_id IN (SELECT id FROM companies WHERE upper(symbol) = 'SUPPLIER#000000002')")
     q["market_metrics_asof"] = (("metrics",), f"SELECT company_id, trade_date, {r('close', 2)}, {r('volume', 2)}, {r('shares_outstanding', 2)}, share_data_date, {r('market_cap', 2)}, calculation_method FROM metrics")
     q["valuation"] = (("vals",), f"SELECT company_id, valuation_date, statement_scope, {', '.join(r(c, 6) for c in ('market_cap', 'enterprise_value', 'pe', 'price_to_sales', 'price_to_fcf', 'ev_to_ebitda', 'ev_to_sales', 'earnings_yield', 'fcf_yield'))}, ttm_period_end, ttm_filing_date, calculation_method FROM vals")
-    q["pit_features"] = (("feats",), f"SELECT * REPLACE ({r('close', 6)}) FROM feats")
+    q["pit_features"] = (("feats",), f"SELECT * REPLACE ({', '.join(r(c, 6) for c in ('close', *RETURNS, *RATIOS, *_MULTIPLES))}) FROM feats")
     q["pit_leakage"] = (("feats",), "SELECT count(*) AS leaks FROM feats WHERE ttm_filing_date > trade_date")
     q["feature_scores"] = (("scores",), f"SELECT company_id, trade_date, statement_scope, {', '.join(r(f'{f}_score', 5) for f in FEATURES)} FROM scores")
     q["rankings"] = (("ranked",), f"SELECT company_id, trade_date, statement_scope, {', '.join(r(c, 5) for c in _overall)}, valid_feature_count, valid_category_count, {r('overall_score', 5)}, overall_rank, {r('overall_percentile', 5)} FROM ranked")

@@ -208,12 +208,8 @@ def pit_leakage(spark, d):
     return ranking.leaks(_features(spark, d)).agg(F.count("*").alias("leaks"))
 
 
-def _rounded_features(spark, d):
-    return rounded(_features(spark, d), 6)
-
-
 def _scores(spark, d):
-    return ranking.feature_scores(_rounded_features(spark, d))
+    return ranking.feature_scores(_features(spark, d))
 
 
 def _ranked(spark, d):
