@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -61,23 +62,42 @@ def red_green(score: str | Column) -> Column:
     return F.when(s.isNull(), F.lit("needs_data")).when(s < 50, F.lit("red")).otherwise(F.lit("green"))
 
 
-def asof_join(left: DataFrame, right: DataFrame, by: list[str], left_time: str, right_time: str, order: list[str], payload: list[str], prefix: str = "", strict: bool = False) -> DataFrame:
-    """left with the payload of one row of right: of the rows with right_time <= left_time (< if strict), the one that is
-    largest by order; nulls where there is none.
+@dataclass(frozen=True)
+class Known:
+    """One side of asof_joins: of the rows with time <= the left's (< if strict) that which is largest by order gives its
+    payload, each column named prefix and its own name."""
+
+    rows: DataFrame
+    time: str
+    order: list[str]
+    payload: list[str]
+    prefix: str = ""
+    strict: bool = False
+
+
+def asof_joins(left: DataFrame, by: list[str], left_time: str, sides: list[Known]) -> DataFrame:
+    """left with the payload of one row of each side, nulls where there is none.
 
-    One shuffle by the keys: both sides are tagged and united, and a running maximum of struct(order, payload) walks the
-    time line, so no pair of rows is ever formed. With order = [right_time] it is the plain as-of join; any other order
-    gives the best row known by then, which a later but worse row must not displace. Rows of right without right_time
-    are never known.
+    One shuffle by the keys for any number of sides: all rows are tagged and united, and running maxima of
+    struct(order, payload) walk the time line, so no pair of rows is ever formed. With order = [time] a side is the plain
+    as-of join; any other order gives the best row known by then, which a later but worse row must not displace. Rows of a
+    side without a time are never known.
     """
     keep = left.columns
-    pick = F.struct(*[F.col(c) for c in order], *[F.col(c).alias(f"_{c}") for c in payload])
-    rows = right.where(F.col(right_time).isNotNull()).select(*by, F.col(right_time).alias("_time"), F.lit(1 if strict else 0).alias("_side"), pick.alias("_pick"))
-    both = left.withColumn("_time", F.col(left_time)).withColumn("_side", F.lit(0 if strict else 1)).withColumn("_left", F.lit(True))
-    joined = both.unionByName(rows, allowMissingColumns=True)
-    line = Window.partitionBy(*by).orderBy(F.col("_time").asc_nulls_first(), "_side").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = joined.withColumn("_best", F.max("_pick").over(line)).where("_left")
-    return out.select(*keep, *[F.col(f"_best._{c}").alias(f"{prefix}{c}") for c in payload])
+    # at one time: what is known, then the left rows, then what is known only from the next time on
+    both = left.withColumns({"_time": F.col(left_time), "_turn": F.lit(1), "_left": F.lit(True)})
+    for i, s in enumerate(sides):
+        pick = F.struct(*[F.col(c) for c in s.order], *[F.col(c).alias(f"_{c}") for c in s.payload])
+        rows = s.rows.where(F.col(s.time).isNotNull()).select(*by, F.col(s.time).alias("_time"), F.lit(2 if s.strict else 0).alias("_turn"), pick.alias(f"_pick{i}"))
+        both = both.unionByName(rows, allowMissingColumns=True)
+    line = Window.partitionBy(*by).orderBy(F.col("_time").asc_nulls_first(), "_turn").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = both.withColumns({f"_best{i}": F.max(f"_pick{i}").over(line) for i in range(len(sides))}).where("_left")
+    return out.select(*keep, *[F.col(f"_best{i}._{c}").alias(f"{s.prefix}{c}") for i, s in enumerate(sides) for c in s.payload])
+
+
+def asof_join(left: DataFrame, right: DataFrame, by: list[str], left_time: str, right_time: str, order: list[str], payload: list[str], prefix: str = "", strict: bool = False) -> DataFrame:
+    """left with the payload of one row of right, as in asof_joins."""
+    return asof_joins(left, by, left_time, [Known(right, right_time, order, payload, prefix, strict)])
 
 
 def upsert(existing: DataFrame, incoming: DataFrame, keys: list[str], keep: dict[str, Column] | None = None) -> DataFrame:

@@ -62,8 +62,12 @@ def volatility(prices: DataFrame, spans: tuple[int, ...] = (20, 60)) -> DataFram
     return days.select("company_id", "trade_date", *[(full(F.stddev_samp("_r"), F.col("_r"), n) * math.sqrt(252)).alias(f"volatility{n}") for n in spans])
 
 
+def return_columns() -> list[Column]:
+    return [change("close", n).alias(f"return_{n}d") for n in RETURNS]
+
+
 def period_returns(prices: DataFrame) -> DataFrame:
-    return prices.select("company_id", "trade_date", *[change("close", n).alias(f"return_{n}d") for n in RETURNS])
+    return prices.select("company_id", "trade_date", *return_columns())
 
 
 def relative_volume(prices: DataFrame, n: int = 20) -> DataFrame:

@@ -2,21 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.core import asof_join, ratio
+from tidemark.functions.core import Known, asof_joins, ratio
 from tidemark.operators.fundamentals import BALANCES, CASH_FLOWS, FLOWS
 
 
+def known_shares(share_capital: DataFrame) -> Known:
+    """The equity shares last filed by a date, for asof_joins."""
+    shares = share_capital.where("share_type = 'EQUITY' AND shares_outstanding IS NOT NULL")
+    return Known(shares, "filing_date", ["filing_date", "effective_date"], ["shares_outstanding", "effective_date"])
+
+
 def market_metrics(prices: DataFrame, share_capital: DataFrame) -> DataFrame:
     """Close x the equity shares last filed by the trade date; a price without known shares keeps null shares and capitalisation.
 
     Of shares filed on one day those with the latest effective date count.
     """
-    shares = share_capital.where("share_type = 'EQUITY' AND shares_outstanding IS NOT NULL")
     rows = prices.select("company_id", "trade_date", "close", "volume")
-    known = asof_join(rows, shares, ["company_id"], "trade_date", "filing_date", ["filing_date", "effective_date"], ["shares_outstanding", "effective_date"])
+    known = asof_joins(rows, ["company_id"], "trade_date", [known_shares(share_capital)])
     return known.select(
         "company_id", "trade_date", "close", "volume", "shares_outstanding",
         F.col("effective_date").alias("share_data_date"),
@@ -28,10 +35,31 @@ def market_metrics(prices: DataFrame, share_capital: DataFrame) -> DataFrame:
 TTM_PAYLOAD = ["period_end", "latest_filing_date", *[f"{c}_ttm" for c in (*FLOWS, *CASH_FLOWS)], *BALANCES]
 
 
+def ttm_known(ttm_rows: DataFrame, scope: str = "Consolidated", prefix: str = "ttm_", more: tuple[str, ...] = ()) -> Known:
+    """The TTM row of the latest period that was filed by a date, for asof_joins; more: further columns of it to give."""
+    scoped = ttm_rows.where((F.col("statement_scope") == scope) & F.col("latest_filing_date").isNotNull())
+    return Known(scoped, "latest_filing_date", ["period_end", "latest_filing_date"], [*TTM_PAYLOAD, *more], prefix)
+
+
 def known_ttm(rows: DataFrame, ttm_rows: DataFrame, scope: str = "Consolidated", prefix: str = "ttm_") -> DataFrame:
     """rows (company_id, trade_date, ...) with the TTM row of the latest period that was filed by the trade date."""
-    scoped = ttm_rows.where((F.col("statement_scope") == scope) & F.col("latest_filing_date").isNotNull())
-    return asof_join(rows, scoped, ["company_id"], "trade_date", "latest_filing_date", ["period_end", "latest_filing_date"], TTM_PAYLOAD, prefix)
+    return asof_joins(rows, ["company_id"], "trade_date", [ttm_known(ttm_rows, scope, prefix)])
+
+
+def multiples(t: Callable[[str], Column] = lambda c: F.col(f"ttm_{c}")) -> dict[str, Column]:
+    """Multiples and yields of market_cap and enterprise_value over a TTM row, whose columns t gives by name."""
+    of = lambda c: t(f"{c}_ttm")
+    value = F.col("market_cap") + t("total_debt") - t("cash_and_equivalents")
+    return {
+        "enterprise_value": value,
+        "pe": ratio("market_cap", of("net_income")),
+        "price_to_sales": ratio("market_cap", of("revenue")),
+        "price_to_fcf": ratio("market_cap", of("free_cash_flow")),
+        "ev_to_ebitda": ratio(value, of("ebitda")),
+        "ev_to_sales": ratio(value, of("revenue")),
+        "earnings_yield": ratio(of("net_income"), "market_cap"),
+        "fcf_yield": ratio(of("free_cash_flow"), "market_cap"),
+    }
 
 
 def valuations(metrics: DataFrame, ttm_rows: DataFrame, scope: str = "Consolidated") -> DataFrame:
@@ -40,18 +68,10 @@ def valuations(metrics: DataFrame, ttm_rows: DataFrame, scope: str = "Consolidat
     Zero denominators and missing values give null, negative values stay.
     """
     r = known_ttm(metrics.select("company_id", "trade_date", "market_cap"), ttm_rows, scope).where("ttm_period_end IS NOT NULL")
-    t = lambda c: F.col(f"ttm_{c}_ttm")
-    r = r.withColumn("enterprise_value", F.col("market_cap") + F.col("ttm_total_debt") - F.col("ttm_cash_and_equivalents"))
     return r.select(
-        "company_id", F.col("trade_date").alias("valuation_date"), F.lit(scope).alias("statement_scope"), "market_cap", "enterprise_value",
+        "company_id", F.col("trade_date").alias("valuation_date"), F.lit(scope).alias("statement_scope"), "market_cap",
         F.col("ttm_period_end").alias("ttm_period_end"), F.col("ttm_latest_filing_date").alias("ttm_filing_date"),
-        ratio("market_cap", t("net_income")).alias("pe"),
-        ratio("market_cap", t("revenue")).alias("price_to_sales"),
-        ratio("market_cap", t("free_cash_flow")).alias("price_to_fcf"),
-        ratio("enterprise_value", t("ebitda")).alias("ev_to_ebitda"),
-        ratio("enterprise_value", t("revenue")).alias("ev_to_sales"),
-        ratio(t("net_income"), "market_cap").alias("earnings_yield"),
-        ratio(t("free_cash_flow"), "market_cap").alias("fcf_yield"),
+        *[e.alias(c) for c, e in multiples().items()],
         F.lit("EXACT_MARKET_DATE_PIT_TTM").alias("calculation_method"),
     )
 

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.core import valid, weighted_mean
-from tidemark.operators.market import HORIZONS, known_ttm
+from tidemark.functions.core import asof_joins, valid, weighted_mean
+from tidemark.functions.selection import exact_quantile
+from tidemark.functions.shared import stage
+from tidemark.operators.indicators import return_columns
+from tidemark.operators.market import HORIZONS, known_shares, known_ttm, multiples, ttm_known
 
 TECHNICAL = (
     "sma20", "sma50", "sma100", "sma200", "ema20", "ema50", "rsi14", "macd", "macd_signal", "macd_histogram", "atr14",
@@ -42,6 +45,26 @@ def features(metrics: DataFrame, indicators: DataFrame, ttm_rows: DataFrame, rat
     return rows.join(tech, ["company_id", "trade_date"], "left").join(ratio_side, ["company_id", "ttm_period_end"], "left").join(value_side, ["company_id", "trade_date"], "left")
 
 
+def pit_features(prices: DataFrame, share_capital: DataFrame, ttm_rows: DataFrame, ratio_rows: DataFrame, scope: str = "Consolidated", technical: DataFrame | None = None) -> DataFrame:
+    """The rows of features() straight from prices, shares and TTM rows, with nothing stored in between.
+
+    Returns are windows over a company's prices; then one walk over its time line finds the shares and the TTM row known
+    by each date. The ratios, which belong to a TTM row, are joined to it before and come along, so prices are shuffled
+    twice, both times by company. technical: more indicators by company and date to join.
+    """
+    scoped = ttm_rows.where(F.col("statement_scope") == scope)
+    with_ratios = scoped.join(ratio_rows.where(F.col("statement_scope") == scope).select("company_id", "period_end", *RATIOS), ["company_id", "period_end"], "left")
+    line = prices.select("company_id", "trade_date", "close", "volume", *return_columns())
+    known = asof_joins(line, ["company_id"], "trade_date", [known_shares(share_capital), ttm_known(with_ratios, scope, "ttm_", RATIOS)])
+    rows = known.withColumn("market_cap", F.col("close") * F.col("shares_outstanding"))
+    value = multiples()
+    out = rows.select(
+        "company_id", "trade_date", F.lit(scope).alias("statement_scope"), "close", "market_cap", "volume", "ttm_period_end", F.col("ttm_latest_filing_date").alias("ttm_filing_date"),
+        *RETURNS, *[F.col(f"ttm_{c}").alias(c) for c in RATIOS], *[value[c].alias(c) for c in MULTIPLES],
+    )
+    return out if technical is None else out.join(technical.select("company_id", "trade_date", *TECHNICAL), ["company_id", "trade_date"], "left")
+
+
 def leaks(feature_rows: DataFrame) -> DataFrame:
     """Feature rows that use a filing from after their date: there must be none."""
     return feature_rows.where("ttm_filing_date > trade_date")
@@ -57,18 +80,19 @@ def check_no_leaks(feature_rows: DataFrame) -> DataFrame:
 def feature_scores(feature_rows: DataFrame) -> DataFrame:
     """Percentile rank in [0, 1] of each feature among the valid values of its date, turned round where low is good.
 
-    The features are stacked to (date, feature, value), invalid ones as nulls, so that one window ranks them all, and
-    spread again: the feature rows are read once, with two shuffles in place of a window and a join for each feature. Rows
-    are unique by company, date and scope. A date's values of one feature meet in one task, which is the
-    number of companies.
+    One shuffle by date; each feature is then a sort and a rank within the date's rows, invalid values last, and the
+    percentile is (rank - 1) / (valid values - 1), 0 where there is but one. Rows are unique by company, date and scope. A
+    date's rows meet in one task, which is the number of companies.
     """
     floor = {**{f: F.col(f) > 0 for f in POSITIVE}, **{f: F.col(f) >= 0 for f in NOT_NEGATIVE}}
     usable = [F.when(valid(f) & floor.get(f, F.lit(True)), F.col(f)).alias(f) for f in FEATURES]
-    long = feature_rows.select("company_id", "trade_date", "statement_scope", *usable).unpivot(["company_id", "trade_date", "statement_scope"], list(FEATURES), "feature", "value")
-    by = Window.partitionBy("trade_date", "feature", F.col("value").isNotNull()).orderBy("value")
-    ranked = long.withColumn("_p", F.when(F.col("value").isNotNull(), F.percent_rank().over(by)))
-    score = F.when(F.col("feature").isin(*LOW_IS_GOOD), 1 - F.col("_p")).otherwise(F.col("_p"))
-    return ranked.groupBy("company_id", "trade_date", "statement_scope").agg(*[F.max(F.when(F.col("feature") == f, score)).alias(f"{f}_score") for f in FEATURES])
+    day = Window.partitionBy("trade_date")
+    rows = feature_rows.select("company_id", "trade_date", "statement_scope", *usable).repartition("trade_date")
+    rows = rows.withColumns({f"_n_{f}": F.count(f).over(day) for f in FEATURES})
+    rows = rows.withColumns({f"_r_{f}": F.rank().over(day.orderBy(F.col(f).asc_nulls_last())) for f in FEATURES})
+    part = lambda f: F.when(F.col(f"_n_{f}") > 1, (F.col(f"_r_{f}") - 1).cast("double") / (F.col(f"_n_{f}") - 1)).otherwise(0.0)
+    score = lambda f: F.when(F.col(f).isNotNull(), 1 - part(f) if f in LOW_IS_GOOD else part(f)).alias(f"{f}_score")
+    return rows.select("company_id", "trade_date", "statement_scope", *map(score, FEATURES))
 
 
 def rankings(scores: DataFrame) -> DataFrame:
@@ -92,20 +116,39 @@ def rankings(scores: DataFrame) -> DataFrame:
 def deciles(ranked: DataFrame) -> DataFrame:
     """Scored rows with their decile by date, 1 the best; equal scores are dealt by company."""
     by = Window.partitionBy("trade_date").orderBy(F.col("overall_score").desc(), "company_id", "statement_scope")
-    return ranked.where("overall_score IS NOT NULL").withColumn("decile", F.ntile(10).over(by))
+    # scored rows are those with a rank; asked that way, the filter isn't moved below the scores and computed twice
+    return ranked.where("overall_rank IS NOT NULL").withColumn("decile", F.ntile(10).over(by))
+
+
+def _means(r: Column) -> dict[str, Column]:
+    return {"observations_{}d": F.count(r), "avg_{}d": F.avg(r), "hit_rate_{}d": F.avg(F.when(r > 0, 1.0).when(r.isNotNull(), 0.0))}
 
 
 def decile_backtest(ranked: DataFrame, returns: DataFrame, start: str | None = None, end: str | None = None, by_date: bool = False) -> DataFrame:
-    """Per decile (and date, if by_date): observations, ranking dates, and for each horizon count, mean, median and hit rate."""
+    """Per decile (and date, if by_date): observations, ranking dates, and for each horizon count, mean, median and hit rate.
+
+    In order of date and decile. A date's decile is a tenth of the companies, whose median one task can take. A decile of
+    all dates is a tenth of all rows: its medians are selected by refining histograms (functions.selection), over the
+    joined rows, which are written once.
+    """
     rows = deciles(ranked).select("company_id", "trade_date", "decile")
     if start is not None:
         rows = rows.where(F.col("trade_date") >= F.lit(start).cast("date"))
     if end is not None:
         rows = rows.where(F.col("trade_date") <= F.lit(end).cast("date"))
-    joined = rows.join(returns.select("company_id", "trade_date", *[f"forward_{n}d_return" for n in HORIZONS]), ["company_id", "trade_date"])
-    aggs = [F.count("*").alias("observations"), F.count_distinct("trade_date").alias("ranking_dates")]
-    for n in HORIZONS:
-        r = F.col(f"forward_{n}d_return")
-        aggs += [F.count(r).alias(f"observations_{n}d"), F.avg(r).alias(f"avg_{n}d"), F.percentile(r, 0.5).alias(f"median_{n}d"), F.avg(F.when(r > 0, 1.0).when(r.isNotNull(), 0.0)).alias(f"hit_rate_{n}d")]
-    keys = ["trade_date", "decile"] if by_date else ["decile"]
-    return joined.groupBy(*keys).agg(*aggs)
+    each = {n: F.col(f"forward_{n}d_return") for n in HORIZONS}
+    joined = rows.join(returns.select("company_id", "trade_date", *each.values()), ["company_id", "trade_date"]).drop("company_id")
+    counts = [F.count("*").alias("observations"), F.count_distinct("trade_date").alias("ranking_dates")]
+    order = [f"{c}_{n}d" for n in HORIZONS for c in ("observations", "avg", "median", "hit_rate")]
+    if by_date:
+        aggs = [a.alias(c.format(n)) for n, r in each.items() for c, a in {**_means(r), "median_{}d": F.percentile(r, 0.5)}.items()]
+        found = joined.groupBy("trade_date", "decile").agg(*counts, *aggs)
+        return found.select("trade_date", "decile", "observations", "ranking_dates", *order).orderBy("trade_date", "decile")
+    held = stage(joined, "backtest")
+    # dates first, then deciles, so that no task holds the distinct dates of a decile
+    per_day = held.groupBy("decile", "trade_date").agg(F.count("*").alias("n")).groupBy("decile").agg(F.sum("n").alias("observations"), F.count("*").alias("ranking_dates"))
+    means = held.groupBy("decile").agg(*[a.alias(c.format(n)) for n, r in each.items() for c, a in _means(r).items()])
+    long = held.unpivot(["decile"], [f"forward_{n}d_return" for n in HORIZONS], "horizon", "value")
+    medians = exact_quantile(long, ["decile", "horizon"], "value").groupBy("decile").agg(*[F.max(F.when(F.col("horizon") == f"forward_{n}d_return", F.col("quantile"))).alias(f"median_{n}d") for n in HORIZONS])
+    found = per_day.join(means, "decile").join(medians, "decile", "left")
+    return found.select("decile", "observations", "ranking_dates", *order).orderBy("decile")
