@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.shared import stage
 
 #: A range of values is cut into so many bins; a range of at most LAST values is sorted in one task.
-BINS, LAST = 4096, 10_000
+BINS, LAST = 4096, 100_000
 
 
 def _share(v: Column, low: Column, high: Column) -> Column:

@@ -80,18 +80,16 @@ def check_no_leaks(feature_rows: DataFrame) -> DataFrame:
 def feature_scores(feature_rows: DataFrame) -> DataFrame:
     """Percentile rank in [0, 1] of each feature among the valid values of its date, turned round where low is good.
 
-    One shuffle by date; each feature is then a sort and a rank within the date's rows, invalid values last, and the
-    percentile is (rank - 1) / (valid values - 1), 0 where there is but one. Rows are unique by company, date and scope. A
-    date's rows meet in one task, which is the number of companies.
+    One shuffle by date; each feature is then a sort and a rank within the date's rows. Rows are unique by company, date
+    and scope. A date's rows meet in one task, which is the number of companies.
     """
     floor = {**{f: F.col(f) > 0 for f in POSITIVE}, **{f: F.col(f) >= 0 for f in NOT_NEGATIVE}}
     usable = [F.when(valid(f) & floor.get(f, F.lit(True)), F.col(f)).alias(f) for f in FEATURES]
-    day = Window.partitionBy("trade_date")
     rows = feature_rows.select("company_id", "trade_date", "statement_scope", *usable).repartition("trade_date")
-    rows = rows.withColumns({f"_n_{f}": F.count(f).over(day) for f in FEATURES})
-    rows = rows.withColumns({f"_r_{f}": F.rank().over(day.orderBy(F.col(f).asc_nulls_last())) for f in FEATURES})
-    part = lambda f: F.when(F.col(f"_n_{f}") > 1, (F.col(f"_r_{f}") - 1).cast("double") / (F.col(f"_n_{f}") - 1)).otherwise(0.0)
-    score = lambda f: F.when(F.col(f).isNotNull(), 1 - part(f) if f in LOW_IS_GOOD else part(f)).alias(f"{f}_score")
+    # dealt by date, rows need no further shuffle for windows by date and validity
+    place = {f: F.percent_rank().over(Window.partitionBy("trade_date", F.col(f).isNotNull()).orderBy(f)) for f in FEATURES}
+    rows = rows.withColumns({f"_p_{f}": p for f, p in place.items()})
+    score = lambda f: F.when(F.col(f).isNotNull(), 1 - F.col(f"_p_{f}") if f in LOW_IS_GOOD else F.col(f"_p_{f}")).alias(f"{f}_score")
     return rows.select("company_id", "trade_date", "statement_scope", *map(score, FEATURES))
 
 

@@ -184,9 +184,7 @@ def valuation(spark, d):
 
 def _features(spark, d):
     t = _ttm(spark, d)
-    metrics = _metrics(spark, d)
-    returns = indicators.period_returns(_prices(spark, d))
-    return ranking.features(metrics, returns, t, fundamentals.ratios(t), market.valuations(metrics, t))
+    return ranking.pit_features(_prices(spark, d), load(spark, d, "share_capital"), t, fundamentals.ratios(t))
 
 
 @query
