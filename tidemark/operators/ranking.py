@@ -80,17 +80,20 @@ def check_no_leaks(feature_rows: DataFrame) -> DataFrame:
 def feature_scores(feature_rows: DataFrame) -> DataFrame:
     """Percentile rank in [0, 1] of each feature among the valid values of its date, turned round where low is good.
 
-    One shuffle by date; each feature is then a sort and a rank within the date's rows. Rows are unique by company, date
-    and scope. A date's rows meet in one task, which is the number of companies.
+    One shuffle, of the feature rows by date; in each task they are stacked to (date, feature, value), so that one sort
+    ranks all features, and put side by side again. Rows are unique by company, date and scope. A date's rows meet in one
+    task, which is the number of companies.
     """
     floor = {**{f: F.col(f) > 0 for f in POSITIVE}, **{f: F.col(f) >= 0 for f in NOT_NEGATIVE}}
     usable = [F.when(valid(f) & floor.get(f, F.lit(True)), F.col(f)).alias(f) for f in FEATURES]
-    rows = feature_rows.select("company_id", "trade_date", "statement_scope", *usable).repartition("trade_date")
-    # dealt by date, rows need no further shuffle for windows by date and validity
-    place = {f: F.percent_rank().over(Window.partitionBy("trade_date", F.col(f).isNotNull()).orderBy(f)) for f in FEATURES}
-    rows = rows.withColumns({f"_p_{f}": p for f, p in place.items()})
-    score = lambda f: F.when(F.col(f).isNotNull(), 1 - F.col(f"_p_{f}") if f in LOW_IS_GOOD else F.col(f"_p_{f}")).alias(f"{f}_score")
-    return rows.select("company_id", "trade_date", "statement_scope", *map(score, FEATURES))
+    keys = ("company_id", "trade_date", "statement_scope")
+    dealt = feature_rows.select(*keys, F.array(*usable).alias("values")).repartition("trade_date")
+    # a generated row stays where its date is, so neither the window nor the regrouping shuffles again
+    long = dealt.select(*keys, F.posexplode("values").alias("feature", "value"))
+    by = Window.partitionBy("trade_date", "feature", F.col("value").isNotNull()).orderBy("value")
+    ranked = long.withColumn("_p", F.when(F.col("value").isNotNull(), F.percent_rank().over(by)))
+    score = F.when(F.col("feature").isin(*[i for i, f in enumerate(FEATURES) if f in LOW_IS_GOOD]), 1 - F.col("_p")).otherwise(F.col("_p"))
+    return ranked.groupBy(*keys).agg(*[F.max(F.when(F.col("feature") == i, score)).alias(f"{f}_score") for i, f in enumerate(FEATURES)])
 
 
 def rankings(scores: DataFrame) -> DataFrame:
