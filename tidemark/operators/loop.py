@@ -167,12 +167,13 @@ def override_stage(signals: DataFrame, scored: DataFrame, stats: DataFrame) -> D
     """Stage 5: news signals against the evidence of the company's own decile on the date.
 
     Confirmed if the sentiment is positive or negative, the adjustment is not zero and the decile has enough observations;
-    rejected otherwise. Applied if confirmed and the company has a score; then the score moves, clamped.
+    rejected otherwise, as are signals of companies without a ranking that day. Applied if confirmed and the company has a
+    score; then the score moves, clamped.
     """
     own = scored.select("company_id", "trade_date", "score", decile_of("overall_rank", "overall_percentile").alias("decile"))
     seen = stats.select("trade_date", "decile", "observations")
-    rows = signals.join(own, ["company_id", "trade_date"]).join(seen, ["trade_date", "decile"], "left")
-    sound = F.col("sentiment").isin("positive", "negative") & (F.abs(F.coalesce("score_adjustment", F.lit(0.0))) > 0) & (F.coalesce("observations", F.lit(0)) >= LEAST_OBSERVATIONS)
+    rows = signals.join(own, ["company_id", "trade_date"], "left").join(seen, ["trade_date", "decile"], "left")
+    sound = F.coalesce(F.col("sentiment").isin("positive", "negative"), F.lit(False)) & (F.abs(F.coalesce("score_adjustment", F.lit(0.0))) > 0) & (F.coalesce("observations", F.lit(0)) >= LEAST_OBSERVATIONS)
     applied = sound & F.col("score").isNotNull()
     moved = F.when(applied, clamp(F.col("score") + F.coalesce("score_adjustment", F.lit(0.0)))).otherwise(F.col("score"))
     return rows.select(

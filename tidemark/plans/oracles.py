@@ -194,8 +194,37 @@ piece("over", ("scored", "news_signals", "stats"), f"""
 SELECT company_id, trade_date, source, score AS original_score, CASE WHEN sound AND score IS NOT NULL THEN greatest(0.0, least(100.0, score + adj)) ELSE score END AS adjusted_score, adj AS score_adjustment,
        CASE WHEN sound THEN 'confirmed' ELSE 'rejected' END AS significance_status, sound AND score IS NOT NULL AS applied
 FROM (SELECT n.company_id, n.trade_date, n.source, k.score, coalesce(n.score_adjustment, 0) AS adj,
-             n.sentiment IN ('positive', 'negative') AND abs(coalesce(n.score_adjustment, 0)) > 0 AND coalesce(s.observations, 0) >= 10 AS sound
-      FROM news_signals n JOIN (SELECT *, {_decile} AS decile FROM scored) k USING (company_id, trade_date) LEFT JOIN stats s ON s.trade_date = n.trade_date AND s.decile = k.decile)""")
+             coalesce(n.sentiment IN ('positive', 'negative'), FALSE) AND abs(coalesce(n.score_adjustment, 0)) > 0 AND coalesce(s.observations, 0) >= 10 AS sound
+      FROM news_signals n LEFT JOIN (SELECT *, {_decile} AS decile FROM scored) k USING (company_id, trade_date) LEFT JOIN stats s ON s.trade_date = n.trade_date AND s.decile = k.decile)""")
+
+piece("loop_signals", ("news_signals", "ranked", "stats"), f"""
+SELECT n.*, k.overall_score * 100 AS raw, coalesce(n.sentiment IN ('positive', 'negative'), FALSE) AND abs(n.adj) > 0 AND coalesce(s.observations, 0) >= 10 AS sound
+FROM (SELECT company_id, trade_date, source, sentiment, coalesce(score_adjustment, 0) AS adj FROM news_signals WHERE trade_date IN (SELECT trade_date FROM ranked)
+      QUALIFY row_number() OVER (PARTITION BY company_id, trade_date, source ORDER BY signal_id DESC) = 1) n
+LEFT JOIN (SELECT company_id, trade_date, overall_score, {_decile} AS decile FROM ranked) k USING (company_id, trade_date) LEFT JOIN stats s ON s.trade_date = n.trade_date AND s.decile = k.decile""")
+piece("loop_moves", ("loop_signals",), "SELECT company_id, trade_date, sum(a) OVER (PARTITION BY company_id ORDER BY trade_date) AS delta FROM (SELECT company_id, trade_date, sum(adj) AS a FROM loop_signals WHERE sound AND raw IS NOT NULL GROUP BY 1, 2)")
+piece("loop_scored", ("ranked", "loop_moves"), """
+SELECT r.company_id, r.trade_date, CASE WHEN m.delta IS NULL THEN overall_score * 100 ELSE greatest(0.0, least(100.0, overall_score * 100 + m.delta)) END AS score
+FROM ranked r ASOF LEFT JOIN loop_moves m ON m.company_id = r.company_id AND r.trade_date > m.trade_date""")
+piece("loop_holds", ("loop_scored",), """
+SELECT company_id, trade_date, score, CASE WHEN score >= 50 THEN CAST(trade_date + INTERVAL 2 DAY AS DATE) END AS hold_until, u AS sell_target_date,
+       CASE WHEN score IS NULL THEN 'pending' WHEN score < 50 THEN 'hold' WHEN u IS NOT NULL AND trade_date + INTERVAL 2 DAY >= u THEN 'sell' ELSE 'hold' END AS action,
+       CASE WHEN score IS NULL THEN 'missing_score' WHEN score < 50 THEN 'red_score' WHEN u IS NOT NULL AND trade_date + INTERVAL 2 DAY >= u THEN 'time_to_target_reached' ELSE 'initial_hold' END AS reason
+FROM (SELECT *, CASE WHEN score >= 50 AND trade_date > min(CASE WHEN score >= 50 THEN trade_date END) OVER w THEN CAST(min(CASE WHEN score >= 50 THEN trade_date END) OVER w + INTERVAL 2 DAY AS DATE) END AS u
+      FROM (SELECT *, sum(CASE WHEN score >= 50 THEN 0 ELSE 1 END) OVER (PARTITION BY company_id ORDER BY trade_date) AS run FROM loop_scored) WINDOW w AS (PARTITION BY company_id, run))""")
+piece("loop_known", ("daily_prices", "ahead"), f"SELECT company_id, trade_date, forward_5d_return AS actual, known_on FROM ahead JOIN (SELECT company_id, trade_date, lead(trade_date, 5) OVER ({LINE}) AS known_on FROM daily_prices) USING (company_id, trade_date) WHERE forward_5d_return IS NOT NULL")
+piece("loop_expected", ("deciled", "loop_known"), """
+SELECT trade_date, decile, arg_min(e, known_on) AS expected, min(known_on) AS expected_on
+FROM (SELECT trade_date, decile, known_on, avg(actual) AS e FROM deciled JOIN loop_known USING (company_id, trade_date) GROUP BY 1, 2, 3) GROUP BY 1, 2""")
+piece("loop_outs", ("loop_holds", "ranked", "loop_expected", "loop_known"), f"""
+SELECT h.company_id, h.trade_date, e.expected AS expected_return, e.expected_on, a.actual AS actual_return, e.expected - a.actual AS deviation, CASE WHEN e.expected - a.actual IS NULL THEN 'pending' ELSE 'verified' END AS status,
+       CASE WHEN e.expected - a.actual IS NOT NULL THEN greatest(e.expected_on, a.known_on) END AS resolved_on
+FROM loop_holds h JOIN (SELECT company_id, trade_date, {_decile} AS decile FROM ranked) k USING (company_id, trade_date)
+LEFT JOIN loop_expected e ON e.trade_date = h.trade_date AND e.decile = k.decile LEFT JOIN loop_known a ON a.company_id = h.company_id AND a.trade_date = h.trade_date WHERE h.action = 'hold' AND h.score >= 50""")
+piece("loop_refined", ("loop_outs", "ranked"), f"""
+SELECT company_id, trade_date, resolved_on AS refined_on, coalesce({_mean(_overall, 1)}, old) AS refined_score
+FROM (SELECT o.company_id, o.trade_date, o.resolved_on, k.overall_score AS old, {', '.join(f'CASE WHEN k.{c} IS NOT NULL THEN greatest(0.0, least(100.0, k.{c} + o.deviation * {w}::DOUBLE / nullif({_total}, 0))) END AS {c}' for c, w in _overall.items())}
+      FROM loop_outs o JOIN ranked k USING (company_id, trade_date) WHERE o.deviation <> 0)""")
 
 _key = "PARTITION BY company_id, statement_scope, submission_type, fiscal_start ORDER BY period_end, raw_filing_id"
 _cum = ("revenue", "profit_before_tax", "net_income", "finance_costs", "depreciation", "operating_cash_flow", "capital_expenditure")
@@ -329,6 +358,10 @@ LEFT JOIN canon p ON p.company_id = c.company_id AND p.statement_scope = c.state
     q["market_metrics_asof"] = (("metrics",), f"SELECT company_id, trade_date, {r('close', 2)}, {r('volume', 2)}, {r('shares_outstanding', 2)}, share_data_date, {r('market_cap', 2)}, calculation_method FROM metrics")
     q["valuation"] = (("vals",), f"SELECT company_id, valuation_date, statement_scope, {', '.join(r(c, 6) for c in ('market_cap', 'enterprise_value', 'pe', 'price_to_sales', 'price_to_fcf', 'ev_to_ebitda', 'ev_to_sales', 'earnings_yield', 'fcf_yield'))}, ttm_period_end, ttm_filing_date, calculation_method FROM vals")
     q["pit_features"] = (("feats",), f"SELECT * REPLACE ({', '.join(r(c, 6) for c in ('close', *RETURNS, *RATIOS, *_MULTIPLES))}) FROM feats")
+    q["closed_loop_decisions"] = (("loop_holds", "loop_outs", "loop_refined"), f"""SELECT h.company_id, h.trade_date, action, {r('score', 6)}, reason, hold_until, sell_target_date, {', '.join(r(c, 6) for c in ('expected_return', 'actual_return', 'deviation', 'refined_score'))},
+expected_on, status, resolved_on, refined_on FROM loop_holds h LEFT JOIN loop_outs USING (company_id, trade_date) LEFT JOIN loop_refined USING (company_id, trade_date)""")
+    q["closed_loop_overrides"] = (("loop_signals", "loop_scored"), f"""SELECT n.company_id, n.trade_date, source, sentiment, {r('s.score', 4, 'original_score')}, {r('CASE WHEN sound AND s.score IS NOT NULL THEN greatest(0.0, least(100.0, s.score + adj)) ELSE s.score END', 4, 'adjusted_score')},
+{r('adj', 4, 'score_adjustment')}, CASE WHEN sound THEN 'confirmed' ELSE 'rejected' END AS significance_status, sound AND s.score IS NOT NULL AS applied FROM loop_signals n LEFT JOIN loop_scored s USING (company_id, trade_date)""")
     q["pit_leakage"] = (("feats",), "SELECT count(*) AS leaks FROM feats WHERE ttm_filing_date > trade_date")
     q["feature_scores"] = (("scores",), f"SELECT company_id, trade_date, statement_scope, {', '.join(r(f'{f}_score', 5) for f in FEATURES)} FROM scores")
     q["rankings"] = (("ranked",), f"SELECT company_id, trade_date, statement_scope, {', '.join(r(c, 5) for c in _overall)}, valid_feature_count, valid_category_count, {r('overall_score', 5)}, overall_rank, {r('overall_percentile', 5)} FROM ranked")

@@ -11,8 +11,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.core import red_green, upsert
-from tidemark.operators import audit, fundamentals, indicators, loop, market, quarters, ranking, verify
+from tidemark.functions.shared import scratch, stage
+from tidemark.operators import audit, closed_loop, fundamentals, indicators, loop, market, quarters, ranking, verify
 from tidemark.plans.fixtures import load
+from tidemark.sinks import tables
+from tidemark.sinks.store import Store
 from tidemark.sources import calendar, filings, price_files, shareholding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -230,7 +233,8 @@ def decile_backtest(spark, d):
 
 
 def _loop_inputs(spark, d):
-    ranked, returns = _ranked(spark, d), market.forward_returns(_prices(spark, d))
+    # written once: four branches read the rankings
+    ranked, returns = stage(_ranked(spark, d), "ranked"), market.forward_returns(_prices(spark, d))
     stats = ranking.decile_backtest(ranked, returns, by_date=True)
     # the rankings stand in for earlier decisions: of companies that are well in the green two weeks later
     prior = ranked.where("overall_score >= 0.6").select("company_id", F.date_add("trade_date", -14).alias("trade_date"), F.lit(None).cast("double").alias("sell_target_price"), F.lit(None).cast("date").alias("sell_target_date"), F.date_add("trade_date", -12).alias("hold_until"))
@@ -303,6 +307,40 @@ def overlay(spark, d):
     return rounded(loop.apply_overlay(_ranked(spark, d), done, as_of="1998-12-31", score_scale=100.0).select("company_id", "trade_date", "score", "red_green"), 4)
 
 
+def _in_two_runs(spark, d):
+    """A store that the closed loop has filled in two runs, the second from what the first left."""
+    ranked = stage(_ranked(spark, d), "ranked")
+    prices, signals = stage(_prices(spark, d), "prices"), load(spark, d, "news_signals")
+    store = Store(spark, scratch(spark, "loop"))
+    for start, end in ((None, "1996-12-31"), ("1997-01-01", None)):
+        stored = closed_loop.Stored(**{n: store.read(n) for n in LOOP_TABLES}) if start else None
+        made = closed_loop.closed_loop(ranked, prices, signals, stored, start, end, score_scale=100.0)
+        change = store.change()
+        for n in LOOP_TABLES:
+            change.merge(n, getattr(made, n), tables.SINKS[n].keys, "trade_date/year")
+        change.commit(until=end)
+    return store
+
+
+LOOP_TABLES = ("hold_decisions", "outcomes", "refinements", "overrides")
+
+
+@query
+def closed_loop_decisions(spark, d):
+    """Every decision of the closed loop over all dates, with how its outcome stands at the end and what that did to its ranking."""
+    store = _in_two_runs(spark, d)
+    key = ["company_id", "trade_date"]
+    holds = store.read("hold_decisions").select(*key, "action", "score", "reason", "hold_until", "sell_target_date")
+    outs = store.read("outcomes").select(*key, "expected_return", "expected_on", "actual_return", "deviation", "status", "resolved_on")
+    refined = store.read("refinements").select(*key, F.col("overall_score").alias("refined_score"), "refined_on")
+    return rounded(holds.join(outs, key, "left").join(refined, key, "left"), 6)
+
+
+@query
+def closed_loop_overrides(spark, d):
+    return rounded(_in_two_runs(spark, d).read("overrides"), 4)
+
+
 def _cumulative(spark, d):
     return load(spark, d, "cumulative_statements")
 
@@ -421,7 +459,9 @@ def upsert_merge(spark, d):
 
 @query
 def trading_calendar(spark, d):
-    days = spark.sql("SELECT explode(sequence(DATE'2023-10-01', DATE'2024-12-31')) AS day")
+    """The days of all trades and orders, moved to the calendar's years."""
+    days = _prices(spark, d).select(F.col("trade_date").alias("day")).union(load(spark, d, "news_signals").select("trade_date")).distinct()
+    days = days.select(F.date_add("day", 10000).alias("day"))
     return days.select("day", calendar.classify(F.col("day")).alias("kind"), calendar.is_trading_day(F.col("day")).alias("open"))
 
 
@@ -433,8 +473,10 @@ def archive_names(spark, d):
 
 @query
 def decile_and_horizon(spark, d):
-    n = spark.range(0, 130).select(F.col("id").alias("n"))
-    return n.select("n", loop.decile_of(F.when(F.col("n") % 5 != 0, F.col("n")), F.when(F.col("n") % 3 == 0, F.col("n") / 130)).alias("decile"), loop.horizon_bucket("n").alias("bucket"), red_green(F.when(F.col("n") % 7 != 0, F.col("n"))).alias("label"))
+    """Deciles, horizon buckets and labels of runs' numbers, as if they were ranks, percentiles, days and scores."""
+    n = load(spark, d, "runs").select("id", F.pmod("records_written", F.lit(130)).alias("n"), F.col("company_id").alias("k"))
+    decile = loop.decile_of(F.when(F.col("k") % 5 != 0, F.col("n")), F.when(F.col("k") % 3 == 0, F.col("n") / 130))
+    return n.select("id", decile.alias("decile"), loop.horizon_bucket("n").alias("bucket"), red_green(F.when(F.col("k") % 7 != 0, F.col("n"))).alias("label"))
 
 
 @query

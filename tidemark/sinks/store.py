@@ -193,7 +193,11 @@ class Change:
 
     @staticmethod
     def _part(by: str | int, keys: Sequence[str]) -> Column:
-        value = F.pmod(F.xxhash64(*keys), F.lit(by)) if isinstance(by, int) else F.col(by)
+        if isinstance(by, int):
+            value = F.pmod(F.xxhash64(*keys), F.lit(by))
+        else:
+            column, _, unit = by.partition("/")
+            value = F.date_format(column, {"month": "yyyy-MM", "year": "yyyy"}[unit]) if unit else F.col(column)
         return F.coalesce(value.cast("string"), F.lit(NULL_PART))
 
     def _apply(self, table: str, entry: dict, parts: list[str], make: Callable[[DataFrame], DataFrame]) -> None:
@@ -212,12 +216,13 @@ class Change:
 
     def merge(self, table: str, incoming: DataFrame, keys: Sequence[str], by: str | int = 16, keep: dict[str, Column] | None = None) -> None:
         """Upsert incoming (each key once) by keys. A table's first merge fixes its columns and its partitions: by the
-        column `by`, which must be one of the keys, or by so many buckets of the keys. keep: as in functions.core.upsert,
+        column `by`, which must be one of the keys ("date/month" and "date/year" take its month or year), or by so many
+        buckets of the keys. keep: as in functions.core.upsert,
         expressions over the old row o.* and the new one n.*.
 
         incoming is computed once. Of a partition in which no row differs from what is there, nothing is written.
         """
-        if isinstance(by, str) and by not in keys:
+        if isinstance(by, str) and by.partition("/")[0] not in keys:
             raise ValueError("a key must lie in one partition: `by` must be one of the keys")
         entry, rows = self._entry(table, incoming, by, keys)
         new = self._staged(rows.withColumn(PART, self._part(entry["by"], entry["keys"])))

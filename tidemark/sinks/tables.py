@@ -35,25 +35,26 @@ def _old_first(c: str) -> Callable[[], Column]:
 STATEMENT = ("company_id", "period_type", "period_end", "statement_scope", "submission_type", "source")
 DAY = ("company_id", "trade_date")
 SCOPED = (*DAY, "statement_scope")
-#: Daily tables are partitioned by date, so that a day's update rewrites one partition; others by buckets of their keys.
+#: Daily tables are partitioned by month, so that a day's update rewrites one partition; others by buckets of their keys.
 SINKS = {
-    "daily_prices": Sink(DAY, "trade_date"),
+    "daily_prices": Sink(DAY, "trade_date/month"),
     "financial_statements": Sink(STATEMENT, 16, {"filing_date": lambda: F.coalesce("n.filing_date", "o.filing_date"), "source_reference": _old_first("source_reference")}),
     "share_capital": Sink(("company_id", "effective_date", "share_type")),
     "shareholding_snapshots": Sink(("company_id", "effective_date")),
     "shareholding_metrics": Sink(("company_id", "effective_date")),
-    "market_metrics": Sink(DAY, "trade_date"),
+    "market_metrics": Sink(DAY, "trade_date/month"),
     "ttm_financials": Sink(("company_id", "period_end", "statement_scope")),
     "financial_ratios": Sink(("company_id", "period_end", "statement_scope")),
-    "valuations": Sink(("company_id", "valuation_date", "statement_scope"), "valuation_date"),
-    "technical_indicators": Sink(DAY, "trade_date"),
-    "historical_features": Sink(SCOPED, "trade_date"),
-    "feature_scores": Sink(SCOPED, "trade_date"),
-    "stock_rankings": Sink(SCOPED, "trade_date"),
-    "future_returns": Sink(DAY, "trade_date"),
-    "hold_decisions": Sink(DAY, "trade_date"),
-    "outcomes": Sink(DAY, "trade_date"),
-    "overrides": Sink((*DAY, "source"), "trade_date"),
+    "valuations": Sink(("company_id", "valuation_date", "statement_scope"), "valuation_date/month"),
+    "technical_indicators": Sink(DAY, "trade_date/month"),
+    "historical_features": Sink(SCOPED, "trade_date/month"),
+    "feature_scores": Sink(SCOPED, "trade_date/month"),
+    "stock_rankings": Sink(SCOPED, "trade_date/month"),
+    "future_returns": Sink(DAY, "trade_date/month"),
+    "hold_decisions": Sink(DAY, "trade_date/month"),
+    "refinements": Sink(DAY, "trade_date/month"),
+    "outcomes": Sink(DAY, "trade_date/month"),
+    "overrides": Sink((*DAY, "source"), "trade_date/month"),
     "ingestion_runs": Sink(("id",)),
     "raw_filings": Sink(("id",)),
     "verification_runs": Sink(("id",)),
