@@ -362,6 +362,11 @@ LEFT JOIN canon p ON p.company_id = c.company_id AND p.statement_scope = c.state
 expected_on, status, resolved_on, refined_on FROM loop_holds h LEFT JOIN loop_outs USING (company_id, trade_date) LEFT JOIN loop_refined USING (company_id, trade_date)""")
     q["closed_loop_overrides"] = (("loop_signals", "loop_scored"), f"""SELECT n.company_id, n.trade_date, source, sentiment, {r('s.score', 4, 'original_score')}, {r('CASE WHEN sound AND s.score IS NOT NULL THEN greatest(0.0, least(100.0, s.score + adj)) ELSE s.score END', 4, 'adjusted_score')},
 {r('adj', 4, 'score_adjustment')}, CASE WHEN sound THEN 'confirmed' ELSE 'rejected' END AS significance_status, sound AND s.score IS NOT NULL AS applied FROM loop_signals n LEFT JOIN loop_scored s USING (company_id, trade_date)""")
+    q["statement_upsert"] = (("statements",), f"SELECT company_id, period_type, period_end, statement_scope, submission_type, CASE WHEN company_id % 4 = 0 OR company_id % 2 = 1 THEN filing_date ELSE coalesce(CAST(filing_date + INTERVAL 1 DAY AS DATE), filing_date) END AS filing_date, source_reference, {r('CASE WHEN company_id % 2 = 0 THEN revenue * 2 ELSE revenue END', 4, 'revenue')} FROM statements")
+    q["ranking_update"] = (("ranked",), f"SELECT company_id, trade_date, {', '.join(r(f'CASE WHEN company_id % 2 = 0 THEN {c} / 2 ELSE {c} END', 5, c) for c in (*_overall, 'overall_score'))}, overall_rank, {r('overall_percentile', 5)} FROM ranked")
+    q["verification_details"] = (("covered",), f"""SELECT 'second/' || CAST(trade_date AS VARCHAR) AS run_id, trade_date, 'market_metrics coverage' AS check_name, {_status} AS status, expected, expected - missing AS actual, missing,
+CASE WHEN {_status} = 'FAIL' THEN 'FAIL' ELSE 'PASS' END AS run_status, 1::BIGINT AS checks FROM covered""")
+    q["claimed_filings"] = (("cumulative_statements",), "SELECT raw_filing_id AS id, CASE WHEN n <= 250 THEN CASE WHEN raw_filing_id % 7 = 0 THEN 'FAILED' ELSE 'PROCESSED' END WHEN n <= 500 THEN 'PROCESSING' ELSE 'PENDING' END AS processing_status, CASE WHEN n <= 250 THEN 'a' WHEN n <= 500 THEN 'b' END AS claimed_by FROM (SELECT *, row_number() OVER (ORDER BY period_end, raw_filing_id) AS n FROM cumulative_statements)")
     q["pit_leakage"] = (("feats",), "SELECT count(*) AS leaks FROM feats WHERE ttm_filing_date > trade_date")
     q["feature_scores"] = (("scores",), f"SELECT company_id, trade_date, statement_scope, {', '.join(r(f'{f}_score', 5) for f in FEATURES)} FROM scores")
     q["rankings"] = (("ranked",), f"SELECT company_id, trade_date, statement_scope, {', '.join(r(c, 5) for c in _overall)}, valid_feature_count, valid_category_count, {r('overall_score', 5)}, overall_rank, {r('overall_percentile', 5)} FROM ranked")
@@ -404,9 +409,9 @@ FROM ({side.format('1998-03-01', '1998-03-27')}) o FULL OUTER JOIN ({side.format
     base = "SELECT company_id, period_end, filing_date, revenue FROM canon WHERE period_type = 'quarterly' AND statement_scope = 'Consolidated'"
     q["upsert_merge"] = (("canon",), f"SELECT company_id, period_end, filing_date, {r('CASE WHEN company_id % 2 = 0 THEN revenue * 2 ELSE revenue END', 4, 'revenue')} FROM ({base}) UNION ALL SELECT company_id + 1000000, period_end, filing_date, {r('revenue', 4)} FROM ({base}) WHERE company_id = 3")
     kind = f"CASE WHEN day IN ({', '.join(f"DATE '{x}'" for x in SPECIAL_SESSIONS)}) THEN 'SPECIAL_TRADING_DAY' WHEN isodow(day) >= 6 THEN 'WEEKEND' WHEN day IN ({', '.join(f"DATE '{x}'" for x in HOLIDAYS)}) THEN 'HOLIDAY' ELSE 'TRADING_DAY' END"
-    q["trading_calendar"] = ((), f"SELECT day, kind, kind LIKE '%TRADING_DAY' AS open FROM (SELECT day, {kind} AS kind FROM (SELECT CAST(unnest(generate_series(DATE '2023-10-01', DATE '2024-12-31', INTERVAL 1 DAY)) AS DATE) AS day))")
+    q["trading_calendar"] = (("daily_prices", "news_signals"), f"SELECT day, kind, kind LIKE '%TRADING_DAY' AS open FROM (SELECT day, {kind} AS kind FROM (SELECT CAST(trade_date + INTERVAL 10000 DAY AS DATE) AS day FROM daily_prices UNION SELECT CAST(trade_date + INTERVAL 10000 DAY AS DATE) FROM news_signals))")
     q["archive_names"] = (prices, "SELECT day, CASE WHEN day < DATE '2024-07-08' THEN 'cm' || upper(strftime(day, '%d%b%Y')) || 'bhav.csv.zip' ELSE 'BhavCopy_CM_0_0_0_' || strftime(day, '%Y%m%d') || '_F_0000.csv.zip' END AS archive FROM (SELECT DISTINCT CAST(trade_date + INTERVAL 10000 DAY AS DATE) AS day FROM daily_prices)")
-    q["decile_and_horizon"] = ((), "SELECT n, CASE WHEN n % 3 = 0 THEN greatest(1, 10 - CAST(floor(n / 130::DOUBLE * 10) AS INT)) WHEN n % 5 <> 0 THEN least(10, greatest(1, CAST(ceil(n / 10::DOUBLE) AS INT))) END AS decile, CASE WHEN n <= 5 THEN 5 WHEN n <= 20 THEN 20 ELSE 60 END AS bucket, CASE WHEN n % 7 = 0 THEN 'needs_data' WHEN n < 50 THEN 'red' ELSE 'green' END AS label FROM (SELECT unnest(range(0, 130)) AS n)")
+    q["decile_and_horizon"] = (("runs",), "SELECT id, CASE WHEN k % 3 = 0 THEN greatest(1, 10 - CAST(floor(n / 130::DOUBLE * 10) AS INT)) WHEN k % 5 <> 0 THEN least(10, greatest(1, CAST(ceil(n / 10::DOUBLE) AS INT))) END AS decile, CASE WHEN n <= 5 THEN 5 WHEN n <= 20 THEN 20 ELSE 60 END AS bucket, CASE WHEN k % 7 = 0 THEN 'needs_data' WHEN n < 50 THEN 'red' ELSE 'green' END AS label FROM (SELECT id, (records_written % 130 + 130) % 130 AS n, company_id AS k FROM runs)")
     q["normalize_prices"] = (("daily_prices", "companies"), "SELECT symbol, close, CASE WHEN company_id % 5 <> 0 THEN high END AS high, CASE WHEN company_id % 7 <> 0 THEN low END AS low, volume, CAST(trade_date AS VARCHAR) AS trade_day FROM daily_prices JOIN companies ON company_id = id WHERE series = 'EQ'")
     numbers = [f"{'ytd_' if y else ''}{k}" for y, ks in ((0, (*_XBRL_QUARTER, "total_assets", "total_equity", "cash_and_equivalents", "total_debt", "ebit", "ebitda", "free_cash_flow")), (1, [k for k in _XBRL_YEAR if k != "eps"])) for k in ks]
     q["xbrl_statements"] = (("xbrl",), f"SELECT filing_id, company_id, period_end, period_type, pnl_context, fiscal_start, error, {', '.join(r(c, 2) for c in numbers)} FROM xbrl")
@@ -419,6 +424,8 @@ per AS (SELECT company_id, period_end, effective_at, min(filing_id) AS smallest,
 best AS (SELECT t.company_id, t.filing_id AS target_id, t.period_end AS target_period, t.effective_at AS as_of, p.period_end, max(p.effective_at) AS effective_at FROM f t JOIN per p ON p.company_id = t.company_id AND p.effective_at <= t.effective_at GROUP BY 1, 2, 3, 4, 5)
 SELECT b.company_id, target_id, target_period, b.period_end, CASE WHEN list_contains(ids, target_id) THEN target_id ELSE smallest END AS version_id, b.effective_at
 FROM best b JOIN per p ON p.company_id = b.company_id AND p.period_end = b.period_end AND p.effective_at = b.effective_at WHERE contents = 1""")
+    needs, text = q["lineage"]
+    q["statement_versions"] = ((*needs, "cumulative_statements"), f"SELECT raw_filing_id, source_filing_id, component, source_role, derivation_method FROM ({text}) WHERE raw_filing_id IN (SELECT raw_filing_id FROM cumulative_statements) AND NOT (raw_filing_id % 3 = 0 AND component = 'CASH_FLOW')")
     made = {k: (sql if not needs else with_pieces(needs, sql)) for k, (needs, sql) in q.items()}
     text = PIECES["daily_prices"][1]
     recent = f"SELECT * FROM ({text}) WHERE trade_date <= DATE '1998-06-30' AND company_id IN (SELECT id FROM ({PIECES['companies'][1]}) WHERE is_active) QUALIFY row_number() OVER (PARTITION BY company_id ORDER BY trade_date DESC) <= 550"

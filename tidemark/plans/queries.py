@@ -373,6 +373,73 @@ def lineage(spark, d):
     return quarters.lineage(_cumulative(spark, d), load(spark, d, "annual_statements"))
 
 
+@query
+def statement_versions(spark, d):
+    """Where derived figures come from, after every third filing was processed again and derived less than before."""
+    rows = _cumulative(spark, d)
+    versions = rows.select("raw_filing_id", "period_type", "period_end", "statement_scope", "revenue", F.to_json(F.struct("revenue", "ytd_revenue")).alias("reported_values"))
+    sources = quarters.lineage(rows, load(spark, d, "annual_statements")).join(versions.select(*tables.VERSION), "raw_filing_id")
+    store = Store(spark, scratch(spark, "versions"))
+    again = F.col("raw_filing_id") % 3 == 0
+    for v, s in ((versions, sources), (versions.where(again), sources.where(again & (F.col("component") == "PNL")))):
+        change = store.change()
+        tables.save_versions(change, v, s)
+        change.commit()
+    return store.read("version_sources").select("raw_filing_id", *tables.SOURCE)
+
+
+@query
+def statement_upsert(spark, d):
+    """Statements, and then those of half the companies once more: figures win, a missing filing date and references don't."""
+    rows = load(spark, d, "statements").withColumn("source", F.lit("filings"))
+    later = F.when(F.col("company_id") % 4 != 0, F.date_add("filing_date", 1))
+    again = rows.where("company_id % 2 = 0").withColumns({"filing_date": later, "source_reference": F.lit("other"), "revenue": F.col("revenue") * 2})
+    store = Store(spark, scratch(spark, "statements"))
+    for part in (rows, again):
+        tables.publish(store, {"financial_statements": part})
+    return rounded(store.read("financial_statements").select("company_id", "period_type", "period_end", "statement_scope", "submission_type", "filing_date", "source_reference", "revenue"), 4)
+
+
+@query
+def ranking_update(spark, d):
+    """Rankings after new scores for half of the companies, and for one that has none: ranks and percentiles stay."""
+    ranked = stage(_ranked(spark, d), "ranked")
+    store = Store(spark, scratch(spark, "rankings"))
+    change = store.change()
+    change.merge("stock_rankings", ranked, tables.SCOPED, "trade_date/year")
+    change.commit()
+    half = ranked.where("company_id % 2 = 0").withColumns({c: F.col(c) / 2 for c in (*loop.WEIGHTS, "overall_score")})
+    store.update(lambda c: tables.update_rankings(c, half.unionByName(half.limit(1).withColumn("company_id", F.lit(-1).cast("long")))))
+    return rounded(store.read("stock_rankings").select("company_id", "trade_date", *loop.WEIGHTS, "overall_score", "overall_rank", "overall_percentile"), 5)
+
+
+@query
+def verification_details(spark, d):
+    """Coverage checks of all dates kept as runs, twice; the results of the second, with what their runs say."""
+    wanted = verify.active_prices(_prices(spark, d), load(spark, d, "companies"))
+    checks = verify.coverage(wanted, _metrics(spark, d).where("market_cap IS NOT NULL"), "market_metrics coverage")
+    store = Store(spark, scratch(spark, "verification"))
+    for i, run in enumerate(("first", "second", "second")):
+        change = store.change()
+        tables.save_verification(change, checks, run, "verify", f"2024-01-0{i // 2 + 1} 12:00:00")
+        if change.pending:
+            change.commit()
+    runs = store.read("verification_runs").where("started_at >= '2024-01-01'").select(F.col("id").alias("run_id"), F.col("status").alias("run_status"), "checks")
+    return store.read("verification_results").join(runs, "run_id").where("run_id LIKE 'second/%'")
+
+
+@query
+def claimed_filings(spark, d):
+    """All filings after two workers have claimed a batch each, of which one is done."""
+    filings_ = _cumulative(spark, d).select(F.col("raw_filing_id").alias("id"), "period_end", F.lit("PENDING").alias("processing_status"), F.lit(None).cast("string").alias("processing_error"), F.lit(None).cast("string").alias("claimed_by"))
+    store = Store(spark, scratch(spark, "filings"))
+    tables.publish(store, {"raw_filings": filings_})
+    batch = tables.claim_batch(store, "a")
+    tables.claim_batch(store, "b")
+    tables.finish_batch(store, "a", batch.select("id", (F.col("id") % 7 != 0).alias("ok"), F.lit("unreadable").alias("error")))
+    return store.read("raw_filings").select("id", "processing_status", "claimed_by")
+
+
 @query
 def shareholding_pct(spark, d):
     out = market.shareholding_percentages(load(spark, d, "shareholding_snapshots"))
