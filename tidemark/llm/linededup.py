@@ -83,7 +83,9 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
     digest = F.unhex(F.substring(F.sha2(F.coalesce("text", F.lit("")), 256), 1, 32)).alias("row")
     rows = docs.select("doc_id", "text", digest, *(F.col(f"`{c}`").alias(k) for c, k in other.items()))
     lines = stage(exploded(rows, min_chars).distinct(), "line-keys")
-    gone = lines.join(repeated_keys(lines, min_docs), "key").where(~F.col("doc_id").eqNullSafe(F.col("last")))
+    # written, so that both sides of the join are exchanges of their own, of which Spark can split a hot key's
+    repeated = stage(repeated_keys(lines, min_docs), "repeated-keys")
+    gone = lines.join(repeated, "key").where(~F.col("doc_id").eqNullSafe(F.col("last")))
     dropped = gone.groupBy(F.col("doc_id").alias("_of"), F.col("row").alias("_row")).agg(F.flatten(F.collect_list("places")).alias("places"))
     marked = rows.join(dropped, F.col("doc_id").eqNullSafe(F.col("_of")) & (F.col("row") == F.col("_row")), "left").drop("_of", "_row", "row")
 
