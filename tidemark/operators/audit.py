@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Concept names and name parts that tell a cash-flow fact.
@@ -43,19 +43,41 @@ def audit_summary(audited: DataFrame) -> DataFrame:
     return audited.groupBy("status").agg(F.count("*").alias("filings"), F.count_distinct("company_id").alias("companies"))
 
 
+def version_intervals(filings: DataFrame) -> DataFrame:
+    """For each period of a company, which filing counts from when to when: a row each time that this changes.
+
+    filings: company_id, period_end, effective_at, filing_id, content_hash. Columns: company_id, period_end, effective_at,
+    until (the time from which another counts, null for the last), slot and next_slot (the same as places in the company's
+    distinct times, from 1; next_slot of the last is one after them all), smallest and ids (of the filings of that time),
+    and ambiguous, where these differ in content. Filings without a time never count. One sweep over each period's and
+    one over each company's times, so the work grows with the filings; what a target changes is the rows of its slot.
+    """
+    known = filings.where("effective_at IS NOT NULL AND company_id IS NOT NULL")
+    per = known.groupBy("company_id", "period_end", "effective_at").agg(F.min("filing_id").alias("smallest"), F.collect_set("filing_id").alias("ids"), F.count_distinct("content_hash").alias("_contents"))
+    line = Window.partitionBy("company_id").orderBy("effective_at")
+    placed = per.withColumn("slot", F.dense_rank().over(line)).withColumn("_last", F.max("slot").over(Window.partitionBy("company_id")))
+    period = Window.partitionBy("company_id", "period_end").orderBy("effective_at")
+    return placed.select(
+        "company_id", "period_end", "effective_at", F.lead("effective_at").over(period).alias("until"), "slot",
+        F.coalesce(F.lead("slot").over(period), F.col("_last") + 1).alias("next_slot"), "smallest", "ids", (F.col("_contents") != 1).alias("ambiguous"),
+    )
+
+
 def point_in_time_versions(filings: DataFrame) -> DataFrame:
     """For each filing as target and each period of its company: the version of the period known when the target came.
 
-    filings: company_id, period_end, effective_at, filing_id, content_hash. Of the filings not after the target's time the
-    latest counts; if several share that time and differ in content the period is ambiguous and left out; if they agree the
-    target itself is taken, or else the smallest id.
+    Of the filings not after the target's time the latest counts; if several share that time and differ in content the
+    period is ambiguous and left out; if they agree the target itself is taken, or else the smallest id. Each interval is
+    laid out over the times that it spans and meets the targets of those times, so no pair is formed that isn't a row of
+    the result. Where only changes matter, version_intervals has them without that.
     """
-    known = filings.where("effective_at IS NOT NULL")
-    per = known.groupBy("company_id", "period_end", "effective_at").agg(F.min("filing_id").alias("smallest"), F.collect_set("filing_id").alias("ids"), F.count_distinct("content_hash").alias("contents"))
-    t = known.select("company_id", F.col("filing_id").alias("target_id"), F.col("effective_at").alias("as_of"), F.col("period_end").alias("target_period"))
-    best = t.join(per, "company_id").where("effective_at <= as_of").groupBy("company_id", "target_id", "as_of", "target_period", "period_end").agg(F.max(F.struct("effective_at", "contents", "smallest", "ids")).alias("b"))
-    chosen = F.when(F.array_contains("b.ids", F.col("target_id")), F.col("target_id")).otherwise(F.col("b.smallest"))
-    return best.where("b.contents = 1").select("company_id", "target_id", "target_period", "period_end", chosen.alias("version_id"), F.col("b.effective_at").alias("effective_at"))
+    intervals = version_intervals(filings)
+    times = intervals.select("company_id", F.col("effective_at").alias("as_of"), F.col("slot").alias("at")).distinct()
+    targets = filings.where("effective_at IS NOT NULL").select("company_id", F.col("filing_id").alias("target_id"), F.col("effective_at").alias("as_of"), F.col("period_end").alias("target_period")).distinct()
+    placed = targets.join(times, ["company_id", "as_of"])
+    spread = intervals.where("NOT ambiguous").withColumn("at", F.explode(F.sequence("slot", F.col("next_slot") - 1)))
+    chosen = F.when(F.array_contains("ids", F.col("target_id")), F.col("target_id")).otherwise(F.col("smallest"))
+    return spread.join(placed, ["company_id", "at"]).select("company_id", "target_id", "target_period", "period_end", chosen.alias("version_id"), "effective_at")
 
 
 def catalogue_issues(catalogue: DataFrame, sidecars: DataFrame) -> DataFrame:

@@ -424,6 +424,15 @@ per AS (SELECT company_id, period_end, effective_at, min(filing_id) AS smallest,
 best AS (SELECT t.company_id, t.filing_id AS target_id, t.period_end AS target_period, t.effective_at AS as_of, p.period_end, max(p.effective_at) AS effective_at FROM f t JOIN per p ON p.company_id = t.company_id AND p.effective_at <= t.effective_at GROUP BY 1, 2, 3, 4, 5)
 SELECT b.company_id, target_id, target_period, b.period_end, CASE WHEN list_contains(ids, target_id) THEN target_id ELSE smallest END AS version_id, b.effective_at
 FROM best b JOIN per p ON p.company_id = b.company_id AND p.period_end = b.period_end AND p.effective_at = b.effective_at WHERE contents = 1""")
+    q["version_intervals"] = (("statements",), """, f AS (SELECT company_id, period_end, filing_date AS effective_at, source_reference AS filing_id, md5(concat_ws('|', submission_type, CAST(period_end AS VARCHAR))) AS h FROM statements WHERE period_type = 'quarterly' AND statement_scope = 'Consolidated' AND filing_date IS NOT NULL),
+per AS (SELECT company_id, period_end, effective_at, min(filing_id) AS smallest, count(DISTINCT filing_id) AS filings, count(DISTINCT h) <> 1 AS ambiguous FROM f GROUP BY 1, 2, 3),
+times AS (SELECT company_id, effective_at, row_number() OVER (PARTITION BY company_id ORDER BY effective_at) AS slot FROM (SELECT DISTINCT company_id, effective_at FROM per))
+SELECT p.company_id, period_end, p.effective_at, lead(p.effective_at) OVER w AS until, slot::INT AS slot, coalesce(lead(slot) OVER w, max(slot) OVER (PARTITION BY p.company_id) + 1)::INT AS next_slot, smallest, filings, ambiguous
+FROM per p JOIN times t ON t.company_id = p.company_id AND t.effective_at = p.effective_at WINDOW w AS (PARTITION BY p.company_id, period_end ORDER BY p.effective_at)""")
+    q["shareholding_malformed"] = (("shareholding_snapshots",), f"""SELECT (company_id * 100000 + date_diff('day', DATE '1990-01-01', effective_date))::BIGINT AS filing_id, company_id, effective_date AS period_end,
+CASE WHEN company_id % 2 = 1 THEN greatest(total_shares, {', '.join(_held)}) ELSE total_shares END::BIGINT AS total_shares, company_id % 2 = 1 AS malformed FROM shareholding_snapshots""")
+    q["statement_metadata"] = (("xbrl",), """SELECT filing_id, period_type, CASE WHEN filing_id % 11 <> 0 THEN CAST(period_end + CASE WHEN filing_id % 3 = 1 THEN INTERVAL 40 DAY ELSE INTERVAL 45 DAY END AS DATE) END AS filing_date,
+CASE WHEN filing_id % 11 <> 0 AND filing_id % 2 = 0 THEN 'Ind AS' END AS reporting_standard FROM xbrl""")
     needs, text = q["lineage"]
     q["statement_versions"] = ((*needs, "cumulative_statements"), f"SELECT raw_filing_id, source_filing_id, component, source_role, derivation_method FROM ({text}) WHERE raw_filing_id IN (SELECT raw_filing_id FROM cumulative_statements) AND NOT (raw_filing_id % 3 = 0 AND component = 'CASH_FLOW')")
     made = {k: (sql if not needs else with_pieces(needs, sql)) for k, (needs, sql) in q.items()}

@@ -586,10 +586,40 @@ def shareholding_extract(spark, d):
     return shareholding.snapshots(filings.parse_facts(shareholding.sample_documents(load(spark, d, "shareholding_snapshots"))))
 
 
-def _versions(rows):
-    return audit.point_in_time_versions(rows.where("period_type = 'quarterly' AND statement_scope = 'Consolidated'").select(
+@query
+def shareholding_malformed(spark, d):
+    """Totals of all shareholding filings when those of every other company are cut short."""
+    documents = shareholding.sample_documents(load(spark, d, "shareholding_snapshots"))
+    cut = documents.withColumn("content", F.when(F.col("company_id") % 2 == 1, F.expr("substr(content, 1, length(content) - 7)")).otherwise(F.col("content")))
+    return shareholding.extract(cut).select("filing_id", "company_id", F.col("period_end"), "total_shares", F.col("error").isNotNull().alias("malformed"))
+
+
+@query
+def statement_metadata(spark, d):
+    """Filing dates and standards of parsed statements: broadcast if it can be read, else the cached date."""
+    rows = _cumulative(spark, d)
+    n = F.col("raw_filing_id")
+    said = F.when(n % 3 == 0, "soon").when(n % 3 == 1, F.date_format(F.date_add("period_end", 40).cast("timestamp"), "dd-MMM-yyyy HH:mm:ss"))
+    catalogue = rows.where(n % 11 != 0).select(n.alias("filing_id"), said.alias("broadcast"), F.date_add("period_end", 45).alias("effective_date"), F.concat(F.lit("https://filings/"), F.when(n % 2 == 0, "IndAs_").otherwise("gaap_"), n.cast("string")).alias("url"))
+    parsed = filings.statements(filings.parse_facts(filings.sample_documents(rows)))
+    return filings.dated(parsed, catalogue).select("filing_id", "period_type", "filing_date", "reporting_standard")
+
+
+def _quarterly(rows):
+    return rows.where("period_type = 'quarterly' AND statement_scope = 'Consolidated'").select(
         "company_id", "period_end", F.col("filing_date").alias("effective_at"), F.col("source_reference").alias("filing_id"), F.md5(F.concat_ws("|", "submission_type", F.col("period_end").cast("string"))).alias("content_hash")
-    ))
+    )
+
+
+@query
+def version_intervals(spark, d):
+    """From when to when each filing of a period was the one to use."""
+    found = audit.version_intervals(_quarterly(load(spark, d, "statements")))
+    return found.select("company_id", "period_end", "effective_at", "until", "slot", "next_slot", "smallest", F.size("ids").cast("bigint").alias("filings"), "ambiguous")
+
+
+def _versions(rows):
+    return audit.point_in_time_versions(_quarterly(rows))
 
 
 @query

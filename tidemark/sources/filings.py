@@ -155,6 +155,16 @@ def filing_date(broadcast: Column, cached: Column) -> Column:
     return F.coalesce(F.try_to_timestamp(broadcast, F.lit("dd-MMM-yyyy HH:mm:ss")).cast("date"), cached)
 
 
+def dated(rows: DataFrame, catalogue: DataFrame) -> DataFrame:
+    """Statements with filing_date and reporting_standard out of the catalogue (filing_id, broadcast, effective_date, url).
+
+    Both are null for filings that the catalogue lacks; of several entries of a filing the latest effective date counts.
+    """
+    last = F.max_by(F.struct("broadcast", "effective_date", "url"), F.struct("effective_date", "broadcast", "url"))
+    known = catalogue.groupBy("filing_id").agg(last.alias("_f"))
+    return rows.join(known, "filing_id", "left").select(*rows.columns, filing_date(F.col("_f.broadcast"), F.col("_f.effective_date")).alias("filing_date"), standard_of(F.col("_f.url")).alias("reporting_standard"))
+
+
 def sample_documents(cumulative: DataFrame) -> DataFrame:
     """XBRL documents that state the rows of cumulative.
 

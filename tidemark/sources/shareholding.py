@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.core import latest
+from tidemark.sources.filings import parse_facts
 
 #: Member names of the categories and the columns that hold their shares.
 MEMBERS = {
@@ -103,6 +104,19 @@ def total_by_pattern(content: Column) -> Column:
     return F.array_max(F.transform(found, lambda x: x.try_cast("double").cast("long")))
 
 
+def extract(documents: DataFrame) -> DataFrame:
+    """snapshots() of documents (filing_id, company_id, period_end, content), with error.
+
+    A document that can't be parsed has a row all the same: its total by pattern, null without a count, no categories, and
+    in error why.
+    """
+    facts = parse_facts(documents)
+    whole = snapshots(facts).withColumn("error", F.lit(None).cast("string"))
+    broken = facts.where("error IS NOT NULL").select("filing_id", "error")
+    found = documents.join(broken, "filing_id").select("filing_id", "company_id", "period_end", total_by_pattern(F.col("content").cast("string")).alias("total_shares"), "error")
+    return whole.unionByName(found, allowMissingColumns=True)
+
+
 def best_filings(filings: DataFrame, latest_only: bool = False) -> DataFrame:
     """Per company (and effective date, unless latest_only) the filing with the latest dates: effective, submission, revision."""
     order = [F.col(c).desc_nulls_last() for c in ("effective_date", "submission_date", "revision_date")]
