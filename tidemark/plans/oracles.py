@@ -433,6 +433,8 @@ FROM per p JOIN times t ON t.company_id = p.company_id AND t.effective_at = p.ef
 CASE WHEN company_id % 2 = 1 THEN greatest(total_shares, {', '.join(_held)}) ELSE total_shares END::BIGINT AS total_shares, company_id % 2 = 1 AS malformed FROM shareholding_snapshots""")
     q["statement_metadata"] = (("xbrl",), """SELECT filing_id, period_type, CASE WHEN filing_id % 11 <> 0 THEN CAST(period_end + CASE WHEN filing_id % 3 = 1 THEN INTERVAL 40 DAY ELSE INTERVAL 45 DAY END AS DATE) END AS filing_date,
 CASE WHEN filing_id % 11 <> 0 AND filing_id % 2 = 0 THEN 'Ind AS' END AS reporting_standard FROM xbrl""")
+    q["smoothed_from_state"] = (("e50", "eg", "el", "signals", "etr", "adxs"), f"""SELECT company_id, trade_date, {r('ema50', 3)}, {r('CASE WHEN l = 0 THEN 100 ELSE 100 - 100 / (1 + g / l) END', 3, 'rsi14')}, {r('macd_signal', 3)}, {r('atr14', 3)}, {r('adx14', 3)}
+FROM e50 JOIN eg USING (company_id, trade_date) JOIN el USING (company_id, trade_date) JOIN signals USING (company_id, trade_date) JOIN etr USING (company_id, trade_date) LEFT JOIN adxs USING (company_id, trade_date) WHERE trade_date > DATE '1998-06-30'""")
     needs, text = q["lineage"]
     q["statement_versions"] = ((*needs, "cumulative_statements"), f"SELECT raw_filing_id, source_filing_id, component, source_role, derivation_method FROM ({text}) WHERE raw_filing_id IN (SELECT raw_filing_id FROM cumulative_statements) AND NOT (raw_filing_id % 3 = 0 AND component = 'CASH_FLOW')")
     made = {k: (sql if not needs else with_pieces(needs, sql)) for k, (needs, sql) in q.items()}

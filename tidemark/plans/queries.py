@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.core import red_green, upsert
 from tidemark.functions.shared import scratch, stage
-from tidemark.operators import audit, closed_loop, fundamentals, indicators, loop, market, quarters, ranking, verify
+from tidemark.operators import audit, closed_loop, fundamentals, indicators, loop, market, quarters, ranking, smoothing, verify
 from tidemark.plans.fixtures import load
 from tidemark.sinks import tables
 from tidemark.sinks.store import Store
@@ -109,6 +109,15 @@ def adx(spark, d):
     return _smoothed(spark, d, "adx14")
 
 
+@query
+def smoothed_from_state(spark, d):
+    """Exponential indicators of the last days from the state that the days before have left."""
+    prices = _prices(spark, d)
+    _, state = smoothing.smooth_on(prices.where("trade_date <= DATE'1998-06-30'"))
+    rows, _ = smoothing.smooth_on(prices.where("trade_date > DATE'1998-06-30'"), state)
+    return rounded(rows.select("company_id", "trade_date", "ema50", "rsi14", "macd_signal", "atr14", "adx14"), 3)
+
+
 @query
 def indicators_for_date(spark, d):
     """Indicators of the last 550 prices of each active company by a date."""
