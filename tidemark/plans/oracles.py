@@ -435,6 +435,15 @@ CASE WHEN company_id % 2 = 1 THEN greatest(total_shares, {', '.join(_held)}) ELS
 CASE WHEN filing_id % 11 <> 0 AND filing_id % 2 = 0 THEN 'Ind AS' END AS reporting_standard FROM xbrl""")
     q["smoothed_from_state"] = (("e50", "eg", "el", "signals", "etr", "adxs"), f"""SELECT company_id, trade_date, {r('ema50', 3)}, {r('CASE WHEN l = 0 THEN 100 ELSE 100 - 100 / (1 + g / l) END', 3, 'rsi14')}, {r('macd_signal', 3)}, {r('atr14', 3)}, {r('adx14', 3)}
 FROM e50 JOIN eg USING (company_id, trade_date) JOIN el USING (company_id, trade_date) JOIN signals USING (company_id, trade_date) JOIN etr USING (company_id, trade_date) LEFT JOIN adxs USING (company_id, trade_date) WHERE trade_date > DATE '1998-06-30'""")
+    rolled = f"SELECT company_id, trade_date, {', '.join(f'{full("avg(close)", "close", n)} AS sma{n}' for n in (20, 50, 100, 200))}, {m} + 2 * {s} AS bb_upper, {m} - 2 * {s} AS bb_lower, {full('stddev_samp(x)', 'x', 20)} * sqrt(252) AS volatility20, {div('volume', full('avg(volume)', 'volume', 20))} AS relative_volume20 FROM (SELECT *, {change('close', 1)} AS x FROM daily_prices)"
+    own = {**{c: f"f.{c}" for c in ("close", *RETURNS, *RATIOS)}, **{c: f"k.{c}" for c in ("market_cap", "volume")}, **{c: f"v.{c}" for c in ("enterprise_value", "pe", "price_to_sales", "ev_to_ebitda", "price_to_fcf", "earnings_yield", "fcf_yield")}}
+    own |= {c: c for c in ("sma20", "sma50", "sma100", "sma200", "ema20", "ema50", "macd", "macd_signal", "atr14", "adx14", "bb_upper", "bb_lower", "volatility20", "relative_volume20")} | {"macd_histogram": "macd - macd_signal", "rsi14": "CASE WHEN l = 0 THEN 100 ELSE 100 - 100 / (1 + g / l) END"}
+    q["pit_features_all"] = (("feats", "e20", "e50", "eg", "el", "signals", "etr", "adxs"), f"""SELECT f.company_id, f.trade_date, f.statement_scope, f.ttm_period_end, f.ttm_filing_date, {', '.join(r(e, 6 if c.startswith('sma') else 3, c) for c, e in own.items())}
+FROM feats f JOIN known k ON k.company_id = f.company_id AND k.trade_date = f.trade_date LEFT JOIN vals v ON v.company_id = f.company_id AND v.valuation_date = f.trade_date
+{' '.join(f'LEFT JOIN {t} t{i} ON t{i}.company_id = f.company_id AND t{i}.trade_date = f.trade_date' for i, t in enumerate((f'({rolled})', 'e20', 'e50', 'eg', 'el', 'signals', 'etr', 'adxs')))}""")
+    named = lambda month: f"SELECT strftime({month}, '%Y-%m') || strftime(trade_date, '-%d') AS check_name, {_status} AS status, expected, expected - missing AS actual FROM covered"
+    q["verification_compare_all"] = (("covered",), f"""SELECT check_name, CASE WHEN o.expected IS NULL THEN 'added' WHEN n.expected IS NULL THEN 'removed' WHEN o.status = n.status AND o.expected = n.expected AND o.actual = n.actual THEN 'unchanged' ELSE 'changed' END AS change,
+{', '.join(f'{t}.{c} AS {k}_{c}' for t, k in (('o', 'old'), ('n', 'new')) for c in ('status', 'expected', 'actual'))} FROM ({named("date_trunc('month', trade_date) + INTERVAL 1 MONTH")}) o FULL JOIN ({named('trade_date')}) n USING (check_name)""")
     needs, text = q["lineage"]
     q["statement_versions"] = ((*needs, "cumulative_statements"), f"SELECT raw_filing_id, source_filing_id, component, source_role, derivation_method FROM ({text}) WHERE raw_filing_id IN (SELECT raw_filing_id FROM cumulative_statements) AND NOT (raw_filing_id % 3 = 0 AND component = 'CASH_FLOW')")
     made = {k: (sql if not needs else with_pieces(needs, sql)) for k, (needs, sql) in q.items()}
