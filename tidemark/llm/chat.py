@@ -197,7 +197,8 @@ class _Digest:
     """Reads formatted turns back: digests of turns and of the text under the loss mask, kept as running states."""
 
     def __init__(self, c: Codec):
-        self.c, self.n, self.loss_chars, self.chars = c, 0, 0, 0
+        self.c, self.n, self.loss_chars = c, 0, 0
+        self.chars = len(c.render(np.array([c.ids["<s>"]])))  # a conversation begins with it
         self.turns, self.loss = hashlib.sha256(), hashlib.sha256()
 
     def add(self, ids: np.ndarray, mask: np.ndarray) -> None:
@@ -221,7 +222,7 @@ def read_back(formatted: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     One shuffle by conv_id. A conversation's turns stream through one task in order, as its digests demand; the task
     keeps only running states, so a conversation that holds a third of all rows needs no more memory than any other.
     Turns with equal numbers are ordered by their ids; null conv_id is a conversation of its own. formatted_chars is the
-    length of the turns as rendered, without the <s> that conversations() puts first.
+    length of the whole conversation as rendered: what conversations() gives, from its <s> on.
     """
     kind = dict(formatted.dtypes)["conv_id"]
     shared = formatted.sparkSession.sparkContext.broadcast(read_vocabulary(formatted.sparkSession, vocabulary))
