@@ -38,8 +38,10 @@ _EMPTY_MEMBER = _member(b"").decode("latin-1")
 _PAGE_COLUMNS = "page_id string, url string, html string, capture long, refers_to long, refers_uri string"
 RECORD_SCHEMA = (
     "record_id string, warc_type string, concurrent_to string, refers_to string, target_uri string, warc_date string,"
-    " declared_digest string, page_id string, payload binary, payload_bytes long, payload_digest string, error string"
+    " declared_digest string, page_id string, payload binary, payload_bytes long, payload_digest string"
 )
+#: A record as read, with what is wrong with it.
+READ_SCHEMA = f"{RECORD_SCHEMA}, error string"
 
 
 def _urn(kind: str, capture: int) -> str:
@@ -202,8 +204,8 @@ def _parse(data: bytes, keep: bool) -> Iterator[tuple]:
             yield (*[None] * 11, error)
 
 
-_NAMES = [x.split()[0] for x in RECORD_SCHEMA.split(",")]
-_TYPES = [{"string": pa.string(), "binary": pa.binary(), "long": pa.int64()}[x.split()[1]] for x in RECORD_SCHEMA.split(",")]
+_NAMES = [x.split()[0] for x in READ_SCHEMA.split(",")]
+_TYPES = [{"string": pa.string(), "binary": pa.binary(), "long": pa.int64()}[x.split()[1]] for x in READ_SCHEMA.split(",")]
 
 
 def read_warc(spark: SparkSession, path: str, payload: bool = True) -> DataFrame:
@@ -229,7 +231,7 @@ def read_warc(spark: SparkSession, path: str, payload: bool = True) -> DataFrame
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _TYPES, strict=True)], _NAMES)
 
-    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(parse, RECORD_SCHEMA)
+    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(parse, READ_SCHEMA)
 
 
 def assemble(records: DataFrame) -> DataFrame:
