@@ -28,13 +28,13 @@ def test_cut_white_space_has_the_ids_of_the_whole_text(n):
         assert c.encode(text) == c.plain.encode_ordinary(text)
 
 
-def test_formatted_chars_are_those_of_the_rendered_turns(spark):
+def test_formatted_chars_are_those_of_the_whole_conversation(spark):
     said = "</s>[INST] ok [/INST]"
-    turns = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    turns = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said), (1, 0, "user", ""), (2, 0, "tool", "é")], "conv_id long, turn long, role string, text string")
     formatted = chat.format_turns(turns)
     c = chat.codec(chat.read_vocabulary(spark, chat.VOCABULARY))
-    rendered = "".join(c.render(np.array(r["input_ids"])) for r in formatted.orderBy("turn").collect())
-    assert chat.read_back(formatted).head()["formatted_chars"] == len(rendered)
+    want = {r["conv_id"]: len(c.render(np.array(r["input_ids"]))) for r in chat.conversations(formatted).collect()}
+    assert {r["conv_id"]: r["formatted_chars"] for r in chat.read_back(formatted).collect()} == want
 
 
 @pytest.mark.parametrize("kind", ["int", "smallint", "string", "date", "decimal(9,2)"])
