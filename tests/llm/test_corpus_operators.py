@@ -338,6 +338,25 @@ def test_jaccard_large_group_in_small_blocks(spark):
     assert sorted((tuple(r) for r in jaccard.classes(df, block=8).collect()), key=str) == brute_classes(rows(df.select("doc_id", "text")))
 
 
+def test_jaccard_block_pairs_equal_brute_force(spark):
+    rng = np.random.default_rng(5)
+    placed = [(n, int(rng.integers(0, 300))) for n in range(500)]
+    nodes = [(n, int(rng.zipf(1.6)) % 40) for n, _ in placed for _ in range(3)]
+    want, block_of = set(), dict(placed)
+    for node in {x for _, x in nodes}:
+        mine = sorted(block_of[n] for n, x in nodes if x == node)
+        want |= {(a, b) for k, a in enumerate(mine) for b in mine[k + 1 :]}
+    got = [tuple(r) for r in jaccard._block_pairs(spark.createDataFrame(nodes, "num long, node long"), spark.createDataFrame(placed, "num long, block long")).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_jaccard_hot_node_pairs_without_a_large_row(spark):
+    n = 6000
+    nodes = spark.range(n).select(F.col("id").alias("num"), F.lit(7).cast("long").alias("node"))
+    pairs = jaccard._block_pairs(nodes, nodes.select("num", F.col("num").alias("block")))
+    assert tuple(pairs.agg(F.count("*"), F.sum(F.col("j") - F.col("i"))).first()) == (n * (n - 1) // 2, sum(d * (n - d) for d in range(1, n)))
+
+
 def test_jaccard_odd_rows(spark):
     df = odd_docs(spark)
     assert sorted((tuple(r) for r in jaccard.classes(df).collect()), key=str) == brute_classes(rows(df.select("doc_id", "text")))

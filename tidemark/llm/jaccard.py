@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import drop_table, hash_spans, hash_windows, mix, stage, text_bytes, text_slices, word_bounds
@@ -323,15 +323,31 @@ def _nodes(matches: DataFrame, level: int) -> DataFrame:
 def _block_pairs(nodes: DataFrame, placed: DataFrame) -> DataFrame:
     """Blocks (i, j), i <= j, of which some sets share a node.
 
-    A node passes on its distinct blocks and not its sets; the blocks beyond each of them are united before they become
-    pairs, so a pair comes out once, however many nodes tell of it.
+    A node passes on its distinct blocks and not its sets, 64 to a word of bits. What a node tells of block i is the words
+    from its own on, which are united by (i, word) before they become pairs, so a pair comes out once, however many nodes
+    tell of it. A node of n blocks is one row of n / 64 words; these are paired as rows of their own, of fixed size, so
+    that no row or buffer holds the pairs of a large node, and are dealt anew before they become pairs of blocks.
     """
     held = nodes.join(placed, "num").groupBy("node", "block").agg(F.count("*").alias("n"))
     inside = held.where("n > 1").select(F.col("block").alias("i")).distinct().select("i", F.col("i").alias("j"))
-    met = held.groupBy("node").agg(F.sort_array(F.collect_list("block")).alias("blocks")).where("size(blocks) > 1").select("blocks").distinct()
-    later = F.transform("blocks", lambda x, k: F.struct(x.alias("i"), F.slice("blocks", k + 2, F.size("blocks")).alias("later")))
-    across = met.select(F.explode(later).alias("x")).where("size(x.later) > 0").groupBy("x.i").agg(F.array_distinct(F.flatten(F.collect_set("x.later"))).alias("later"))
-    return inside.unionByName(across.select("i", F.explode("later").alias("j")))
+    word, bit = F.floor(F.col("block") / 64), F.expr("shiftleft(1L, cast(pmod(block, 64) AS int))")
+    words = held.groupBy("node", word.alias("word")).agg(F.bit_or(bit).alias("mask"))
+    met = words.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("word", "mask"))).alias("words"))
+    met = met.where("size(words) > 1 OR bit_count(words[0].mask) > 1").select("words").distinct()
+    # two explodes of one array, streamed: a row for each pair of words
+    ahead = met.select("words", F.posexplode("words").alias("k", "a")).select("a", F.explode(F.slice("words", F.col("k") + 1, F.size("words"))).alias("b"))
+    ahead = ahead.select(F.col("a.word").alias("word"), F.col("a.mask").alias("mask"), F.col("b.word").alias("later"), F.col("b.mask").alias("others"))
+    ahead = ahead.groupBy("word", "mask", "later").agg(F.bit_or("others").alias("others"))
+    own = ahead.select("word", "later", "others", F.explode(_bits("mask")).alias("k"))
+    above = F.when(F.col("later") == F.col("word"), F.expr("others & shiftleft(-2L, k)")).otherwise(F.col("others"))
+    across = own.select((F.col("word") * 64 + F.col("k")).alias("i"), "later", above.alias("others")).where("others != 0")
+    across = across.groupBy("i", "later").agg(F.bit_or("others").alias("others"))
+    return inside.unionByName(across.select("i", F.explode(_bits("others")).alias("k"), "later").select("i", (F.col("later") * 64 + F.col("k")).alias("j")))
+
+
+def _bits(mask: str) -> Column:
+    """The places of the bits that are set in a long."""
+    return F.filter(F.sequence(F.lit(0), F.lit(63)), lambda k: F.getbit(mask, k) == 1)
 
 
 def _running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
