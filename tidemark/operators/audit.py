@@ -80,18 +80,6 @@ def point_in_time_versions(filings: DataFrame) -> DataFrame:
     return spread.join(placed, ["company_id", "at"]).select("company_id", "target_id", "target_period", "period_end", chosen.alias("version_id"), "effective_at")
 
 
-def catalogue_issues(catalogue: DataFrame, sidecars: DataFrame) -> DataFrame:
-    """Catalogue rows and sidecars by source_reference: an array of what disagrees, for those with any issue."""
-    names = ("symbol", "period_end", "statement_scope", "sha256", "file_size", "submission_type")
-    both = catalogue.alias("c").join(sidecars.alias("s"), F.col("c.source_reference") == F.col("s.source_reference"), "full_outer")
-    missing = [F.when(F.col("s.source_reference").isNull(), F.lit("MISSING_SIDECAR")), F.when(F.col("c.source_reference").isNull(), F.lit("MISSING_CATALOGUE_ROW"))]
-    here = F.col("s.source_reference").isNotNull() & F.col("c.source_reference").isNotNull()
-    differ = [F.when(here & ~F.col(f"c.{n}").cast("string").eqNullSafe(F.col(f"s.{n}").cast("string")), F.lit(f"{n.upper()}_MISMATCH")) for n in names]
-    empty = [F.when(here & F.col(f"s.{n}").isNull(), F.lit(f"{n.upper()}_MISSING")) for n in names]
-    found = F.array_compact(F.array(*missing, *differ, *empty))
-    return both.select(F.coalesce("c.source_reference", "s.source_reference").alias("source_reference"), found.alias("issues")).where(F.size("issues") > 0)
-
-
 def new_catalogue_rows(catalogue: DataFrame, incoming: DataFrame, companies: DataFrame, renamed: dict[str, str] | None = None) -> DataFrame:
     """Incoming filings of known companies that the catalogue lacks by company, reference and digest; renamed maps old symbols."""
     symbol = F.col("symbol")

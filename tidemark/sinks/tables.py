@@ -38,6 +38,7 @@ SCOPED = (*DAY, "statement_scope")
 #: Daily tables are partitioned by month, so that a day's update rewrites one partition; others by buckets of their keys.
 SINKS = {
     "daily_prices": Sink(DAY, "trade_date/month"),
+    "benchmark_prices": Sink(("benchmark", "trade_date"), "trade_date/month"),
     "financial_statements": Sink(STATEMENT, 16, {"filing_date": lambda: F.coalesce("n.filing_date", "o.filing_date"), "source_reference": _old_first("source_reference")}),
     "share_capital": Sink(("company_id", "effective_date", "share_type")),
     "shareholding_snapshots": Sink(("company_id", "effective_date")),

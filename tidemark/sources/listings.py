@@ -1,7 +1,9 @@
-"""Rows out of the JSON bodies of listing services, landed as text: filing lists and index histories."""
+"""Rows out of what listing services gave, landed as files: filing lists, index histories, benchmark histories."""
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,3 +35,24 @@ def index_history(bodies: DataFrame) -> DataFrame:
     Null or unreadable bodies and empty lists give no rows.
     """
     return bodies.select(F.from_json(F.from_json("body", "d string")["d"], "array<map<string,string>>").alias("days")).select(F.explode("days").alias("row"))
+
+
+def benchmark_history(landed: DataFrame, benchmark: str = "NIFTY50", reference: str = "^NSEI", source: str = "YAHOO_FINANCE") -> DataFrame:
+    """Rows of benchmark_prices from a landed download, as text or typed: a date and open, high, low and close.
+
+    A column goes by the first word of its name in any case, so that two-level names such as ('Close', '^NSEI') count as
+    well; adjusted closes and others are left alone. NaN, empty and unreadable cells are null; rows without a readable date
+    leave. Of several rows of a date the one with the largest close, then open, high and low counts. A missing column
+    raises.
+    """
+    words = {c: re.search(r"[A-Za-z]+", c) for c in landed.columns}
+    of = {m.group().lower(): c for c, m in reversed(words.items()) if m}
+    if absent := {"date", "open", "high", "low", "close"} - of.keys():
+        raise ValueError(f"the landed file lacks {', '.join(sorted(absent))}")
+    cell = lambda name: F.col(f"`{of[name]}`")
+    number = lambda name: F.nanvl(F.trim(cell(name).cast("string")).try_cast("double"), F.lit(None))
+    day = F.substring(F.trim(cell("date").cast("string")), 1, 10).try_cast("date")
+    rows = landed.select(day.alias("trade_date"), *[number(c).alias(f"{c}_price") for c in ("open", "high", "low", "close")]).where("trade_date IS NOT NULL")
+    names = ("close_price", "open_price", "high_price", "low_price")
+    one = rows.groupBy("trade_date").agg(F.max(F.struct(*names)).alias("_p"))
+    return one.select(F.lit(benchmark).alias("benchmark"), "trade_date", *[F.col(f"_p.{c}").alias(c) for c in ("open_price", "high_price", "low_price", "close_price")], F.lit(source).alias("source"), F.lit(reference).alias("source_reference"))
