@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tidemark.operators.ranking import CATEGORIES, FEATURES, LOW_IS_GOOD, NOT_NEGATIVE, POSITIVE, RATIOS, RETURNS
 from tidemark.plans.fixtures import FIXTURES, duck
+from tidemark.sources.artifacts import ISSUES
 from tidemark.sources.calendar import HOLIDAYS, SPECIAL_SESSIONS
 from tidemark.sources.shareholding import MEMBERS
 
@@ -433,6 +434,20 @@ FROM per p JOIN times t ON t.company_id = p.company_id AND t.effective_at = p.ef
 CASE WHEN company_id % 2 = 1 THEN greatest(total_shares, {', '.join(_held)}) ELSE total_shares END::BIGINT AS total_shares, company_id % 2 = 1 AS malformed FROM shareholding_snapshots""")
     q["statement_metadata"] = (("xbrl",), """SELECT filing_id, period_type, CASE WHEN filing_id % 11 <> 0 THEN CAST(period_end + CASE WHEN filing_id % 3 = 1 THEN INTERVAL 40 DAY ELSE INTERVAL 45 DAY END AS DATE) END AS filing_date,
 CASE WHEN filing_id % 11 <> 0 AND filing_id % 2 = 0 THEN 'Ind AS' END AS reporting_standard FROM xbrl""")
+    filed = ("cumulative_statements",)
+    q["artifact_paths"] = (filed, "SELECT raw_filing_id AS id, 'C' || company_id || '/' || CAST(period_end AS VARCHAR) || '/Consolidated/' || raw_filing_id || '.xml' AS path, true AS sized FROM cumulative_statements")
+    q["artifact_integrity"] = (filed, "SELECT raw_filing_id AS id, raw_filing_id % 7 <> 0 AS file_exists, raw_filing_id % 7 <> 0 AND raw_filing_id % 5 <> 0 AS size_matches, raw_filing_id % 7 <> 0 AND raw_filing_id % 3 <> 0 AS sha256_matches FROM cumulative_statements")
+    q["artifact_issues"] = (filed, f"SELECT raw_filing_id AS id, CASE raw_filing_id % 16 {' '.join(f"WHEN {i} THEN '{x}'" for i, x in enumerate(ISSUES, 1))} END AS issues FROM cumulative_statements WHERE raw_filing_id % 16 <> 0")
+    q["artifact_changes"] = (filed, """SELECT 'C' || company_id || '/' || CAST(period_end AS VARCHAR) || '/' || raw_filing_id || '.xml' AS path, CASE WHEN raw_filing_id % 9 = 0 THEN 'added' WHEN raw_filing_id % 11 = 0 THEN 'removed' ELSE 'changed' END AS change
+FROM cumulative_statements WHERE company_id % 4 = 1 AND raw_filing_id % 99 <> 0 AND (raw_filing_id % 9 = 0 OR raw_filing_id % 11 = 0 OR raw_filing_id % 10 = 3)""")
+    q["concept_diagnosis"] = (filed, """SELECT id, CASE WHEN broken THEN 'INVALID_XML' WHEN ocf AND capex THEN 'BOTH_FOUND' WHEN ocf THEN 'OCF_ONLY' WHEN capex THEN 'CAPEX_ONLY' ELSE 'OTHER_CASH_CONCEPTS' END AS classification, CASE WHEN broken THEN 0 ELSE 1 + ocf::BIGINT END AS cash_concepts
+FROM (SELECT raw_filing_id AS id, raw_filing_id % 97 = 0 AS broken, pnl_context = 'quarter' OR (fq > 1 AND ytd_operating_cash_flow IS NOT NULL) AS ocf, pnl_context = 'quarter' OR (fq > 1 AND ytd_capital_expenditure IS NOT NULL) AS capex FROM cumulative_statements)""")
+    q["filing_list"] = (filed, """SELECT 'C' || company_id AS symbol, CASE WHEN raw_filing_id % 4 = 0 THEN 'first' ELSE 'second' END AS company_name, period_end, 'Unknown' AS submission_type,
+CASE WHEN raw_filing_id % 2 = 0 THEN 'Consolidated' ELSE 'Unknown' END AS statement_scope, CAST(raw_filing_id AS VARCHAR) AS source_reference FROM cumulative_statements WHERE raw_filing_id % 5 <> 0""")
+    q["index_history"] = (("benchmark_prices",), "SELECT trade_date, close_price FROM benchmark_prices")
+    q["benchmark_history"] = (("benchmark_prices",), """SELECT 'NIFTY50' AS benchmark, trade_date, CASE WHEN trade_date < DATE '1996-01-01' THEN 1 WHEN day(trade_date) % 5 <> 0 THEN close_price END AS open_price,
+CASE WHEN trade_date < DATE '1996-01-01' THEN 1 ELSE close_price END AS high_price, CASE WHEN trade_date < DATE '1996-01-01' THEN 1 WHEN day(trade_date) % 7 <> 0 THEN close_price END AS close_price, 'YAHOO_FINANCE' AS source FROM benchmark_prices""")
+    q["valuation_by_company"] = q["valuation"]
     q["smoothed_from_state"] = (("e50", "eg", "el", "signals", "etr", "adxs"), f"""SELECT company_id, trade_date, {r('ema50', 3)}, {r('CASE WHEN l = 0 THEN 100 ELSE 100 - 100 / (1 + g / l) END', 3, 'rsi14')}, {r('macd_signal', 3)}, {r('atr14', 3)}, {r('adx14', 3)}
 FROM e50 JOIN eg USING (company_id, trade_date) JOIN el USING (company_id, trade_date) JOIN signals USING (company_id, trade_date) JOIN etr USING (company_id, trade_date) LEFT JOIN adxs USING (company_id, trade_date) WHERE trade_date > DATE '1998-06-30'""")
     rolled = f"SELECT company_id, trade_date, {', '.join(f'{full("avg(close)", "close", n)} AS sma{n}' for n in (20, 50, 100, 200))}, {m} + 2 * {s} AS bb_upper, {m} - 2 * {s} AS bb_lower, {full('stddev_samp(x)', 'x', 20)} * sqrt(252) AS volatility20, {div('volume', full('avg(volume)', 'volume', 20))} AS relative_volume20 FROM (SELECT *, {change('close', 1)} AS x FROM daily_prices)"

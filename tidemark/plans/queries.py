@@ -14,9 +14,9 @@ from tidemark.functions.core import red_green, upsert
 from tidemark.functions.shared import scratch, stage
 from tidemark.operators import audit, closed_loop, fundamentals, indicators, loop, market, quarters, ranking, smoothing, verify
 from tidemark.plans.fixtures import load
-from tidemark.sinks import tables
+from tidemark.sinks import layout, tables
 from tidemark.sinks.store import Store
-from tidemark.sources import calendar, filings, price_files, shareholding
+from tidemark.sources import artifacts, calendar, filings, listings, price_files, shareholding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -616,6 +616,115 @@ def statement_metadata(spark, d):
     return filings.dated(parsed, catalogue).select("filing_id", "period_type", "filing_date", "reporting_standard")
 
 
+def _artifacts(spark, d):
+    """Generated filings as artifacts, by filing id."""
+    documents = filings.sample_documents(_cumulative(spark, d))
+    named = documents.select(
+        "filing_id", F.concat(F.lit("C"), "company_id").alias("symbol"), "period_end", F.lit("Consolidated").alias("statement_scope"), F.concat(F.lit("https://host/corporate/"), "filing_id", F.lit(".xml?x=1")).alias("url"),
+        F.col("filing_id").cast("string").alias("source_reference"), "content",
+    )
+    return artifacts.artifacts(named).withColumnRenamed("filing_id", "id")
+
+
+@query
+def artifact_paths(spark, d):
+    """Names of generated filings, without the digest."""
+    return _artifacts(spark, d).select("id", F.regexp_replace("raw_relative_path", "__[0-9a-f]{16}", "").alias("path"), (F.get_json_object("sidecar", "$.file_size").cast("long") == F.col("file_size")).alias("sized"))
+
+
+@query
+def artifact_integrity(spark, d):
+    """Generated filings, some gone, of another length or another content, against their catalogue."""
+    made, n = _artifacts(spark, d), F.col("id")
+    files = made.where(n % 7 != 0).select(F.col("raw_relative_path").alias("path"), (F.col("file_size") + (n % 5 == 0).cast("long")).alias("length"), F.when(n % 3 == 0, F.sha2(F.lit("?"), 256)).otherwise(F.col("sha256")).alias("sha256"))
+    found = artifacts.integrity(made.withColumn("sha256", F.upper("sha256")), files)
+    return found.select("id", "file_exists", "size_matches", "sha256_matches")
+
+
+@query
+def artifact_issues(spark, d):
+    """Catalogue rows against sidecars of which 15 of 16 disagree in something, each in one way."""
+    made, n = _artifacts(spark, d), F.col("id") % (len(artifacts.ISSUES) + 1) - 1
+    wrong = {
+        "symbol_mismatch": ("symbol", "NOBODY"), "period_mismatch": ("period_end", "1990-01-01"), "invalid_period": ("period_end", "soon"), "scope_mismatch": ("statement_scope", "Standalone"), "reference_mismatch": ("source_reference", "none"),
+        "sha256_mismatch": ("sha256", "00"), "file_size_mismatch": ("file_size", "-1"), "invalid_file_size": ("file_size", "many"), "missing_json_xml_path": ("raw_xml_path", ""), "xml_path_mismatch": ("raw_xml_path", "elsewhere.xml"),
+        "invalid_broadcast_datetime": ("broadcast_datetime", "yesterday"), "invalid_revised_datetime": ("revised_datetime", "31-Foo-2024 00:00:00"),
+    }
+    cells, said = F.from_json("sidecar", "map<string,string>"), F.col("sidecar")
+    without = lambda name: F.map_filter(cells, lambda k, _: k != name)
+    for kind, (name, value) in wrong.items():
+        said = F.when(n == artifacts.ISSUES.index(kind), F.to_json(F.map_concat(without(name), F.create_map(F.lit(name), F.lit(value))))).otherwise(said)
+    said = F.when(n == artifacts.ISSUES.index("invalid_json"), F.substring("sidecar", 2, 1 << 30)).otherwise(said)
+    files = made.where(n != artifacts.ISSUES.index("missing_xml")).select(F.col("raw_relative_path").alias("path"))
+    sidecars = made.where(n != artifacts.ISSUES.index("missing_json")).select(F.col("raw_relative_path").alias("path"), said.alias("content"))
+    return artifacts.sidecar_issues(made, files, sidecars).select("id", F.array_join("issues", ",").alias("issues"))
+
+
+@query
+def artifact_changes(spark, d):
+    """Files that came, went or changed between two looks, in the folders of every fourth company."""
+    rows, n = _cumulative(spark, d), F.col("raw_filing_id")
+    table = rows.select("company_id", n, F.concat_ws("/", F.concat(F.lit("C"), "company_id"), "period_end", F.concat(n.cast("string"), F.lit(".xml"))).alias("path"), F.sha2(F.col("revenue").cast("string"), 256).alias("sha256"))
+    touched = F.col("company_id") % 4 == 1
+    old = table.where(~(touched & (n % 9 == 0)))
+    new = table.where(~(touched & (n % 11 == 0))).withColumn("sha256", F.when(touched & (n % 10 == 3), "other").otherwise(F.col("sha256")))
+    return artifacts.changed_files(old, new)
+
+
+@query
+def concept_diagnosis(spark, d):
+    """Which cash-flow elements each generated filing has."""
+    documents = filings.sample_documents(_cumulative(spark, d)).select(F.col("filing_id").cast("string").alias("path"), "content")
+    return artifacts.diagnosis(artifacts.inspected_documents(documents)).select(F.col("path").cast("long").alias("id"), "classification", F.col("cash_concepts").cast("long").alias("cash_concepts"))
+
+
+@query
+def filing_list(spark, d):
+    """Filings out of list bodies, one body a company."""
+    n, code = F.col("raw_filing_id"), F.concat(F.lit("C"), "company_id")
+    cells = F.struct(
+        F.when(n % 5 != 0, F.date_format("period_end", "dd-MMM-yyyy")).alias("qe_Date"), F.when(n % 3 != 0, code).alias("symbol"), F.when(n % 4 == 0, "first").alias("cmName"), F.lit("second").alias("smName"),
+        F.when(n % 2 == 0, "Consolidated").alias("consolidated"), n.cast("string").alias("seq_Id"),
+    )
+    bodies = _cumulative(spark, d).groupBy(F.lower(code).alias("symbol")).agg(F.to_json(F.struct(F.collect_list(cells).alias("data"))).alias("body"))
+    return listings.filing_list(bodies).select("symbol", "company_name", "period_end", "submission_type", "statement_scope", "source_reference")
+
+
+@query
+def index_history(spark, d):
+    """Days of an index out of bodies of a month each, of which every other is encoded twice."""
+    days = load(spark, d, "benchmark_prices").groupBy(F.trunc("trade_date", "month").alias("month")).agg(F.collect_list(F.struct(F.date_format("trade_date", "dd MMM yyyy").alias("HistoricalDate"), F.col("close_price").cast("decimal(18,2)").cast("string").alias("CLOSE"))).alias("l"))
+    inner = F.to_json("l")
+    twice = F.to_json(F.struct(inner.alias("d")))
+    bodies = days.select(F.when(F.month("month") % 2 == 0, twice).otherwise(F.concat(F.lit('{"d":'), inner, F.lit("}"))).alias("body"))
+    row = F.col("row")
+    return listings.index_history(bodies).select(F.to_date(row["HistoricalDate"], "dd MMM yyyy").alias("trade_date"), row["CLOSE"].cast("double").alias("close_price"))
+
+
+@query
+def benchmark_history(spark, d):
+    """A landed benchmark file saved over what is stored; of the file's cells some are NaN."""
+    prices, close = load(spark, d, "benchmark_prices"), F.col("close_price").cast("decimal(18,2)").cast("string")
+    landed = prices.where("trade_date >= DATE'1996-01-01'").select(
+        F.col("trade_date").cast("string").alias("Date"), F.when(F.dayofmonth("trade_date") % 7 == 0, "NaN").otherwise(close).alias("('Close', '^NSEI')"), F.when(F.dayofmonth("trade_date") % 5 == 0, "").otherwise(close).alias("('Open', '^NSEI')"),
+        close.alias("('High', '^NSEI')"), close.alias("('Low', '^NSEI')"), F.lit("1").alias("('Adj Close', '^NSEI')"),
+    )
+    store = Store(spark, scratch(spark, "benchmark"))
+    before = listings.benchmark_history(prices.where("trade_date < DATE'1997-01-01'").select(F.col("trade_date").alias("date"), *[F.lit("1").alias(c) for c in ("open", "high", "low", "close")]))
+    tables.publish(store, {"benchmark_prices": before})
+    tables.publish(store, {"benchmark_prices": listings.benchmark_history(landed)})
+    return store.read("benchmark_prices").select("benchmark", "trade_date", "open_price", "high_price", "close_price", "source")
+
+
+@query
+def valuation_by_company(spark, d):
+    """Valuations from prices, share capital and TTM rows that lie bucketed by company."""
+    made = {"prices": (_prices(spark, d), ("trade_date",)), "capital": (load(spark, d, "share_capital"), ("filing_date",)), "ttm": (_ttm(spark, d), ("period_end",))}
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    prices, capital, ttm_rows = (layout.write_by_company(df, f"tidemark_{name}", scratch(spark, name), buckets, order) for name, (df, order) in made.items())
+    return rounded(market.valuations(market.market_metrics(prices, capital), ttm_rows), 6)
+
+
 def _quarterly(rows):
     return rows.where("period_type = 'quarterly' AND statement_scope = 'Consolidated'").select(
         "company_id", "period_end", F.col("filing_date").alias("effective_at"), F.col("source_reference").alias("filing_id"), F.md5(F.concat_ws("|", "submission_type", F.col("period_end").cast("string"))).alias("content_hash")
