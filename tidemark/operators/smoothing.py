@@ -3,70 +3,168 @@
 Smoothing is an affine recurrence, so all that earlier prices say of later ones is the last price and, for each average,
 its value, the weight that has faded since its last observation, and how many observations it has had. That state is a row
 a company. A new day costs a row a company, and any cut of the history gives what one pass over all of it gives.
+
+Many companies take a step at once: a task gets its companies one after the other, each in order of its days, and moves
+the first days of some hundred thousand rows' companies, then the second days, and so on, as numpy columns.
 """
 
 from __future__ import annotations
 
-import math
-import pandas as pd
-from pyspark.sql import DataFrame
+from collections.abc import Iterable, Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.shared import stage
-from tidemark.operators.indicators import SMOOTHED
 
+SMOOTHED = ("ema20", "ema50", "rsi14", "macd", "macd_signal", "macd_histogram", "atr14", "adx14")
 #: Weight of a new value and least observations of each average.
 AVERAGES = {
     "ema20": (2 / 21, 20), "ema50": (2 / 51, 50), "ema12": (2 / 13, 12), "ema26": (2 / 27, 26), "signal": (0.2, 9),
     "gain": (1 / 14, 14), "loss": (1 / 14, 14), "range": (1 / 14, 14), "plus": (1 / 14, 14), "minus": (1 / 14, 14), "dx": (1 / 14, 14),
 }
-NAN = math.nan
+#: A task smooths so many rows at once, or one company's if those are more.
+ROWS = 200_000
+#: The averages of prices, and those of other averages.
+_FIRST = [i for i, c in enumerate(AVERAGES) if c not in ("signal", "dx")]
+_ALPHA = np.array([[a] for a, _ in AVERAGES.values()])
+_LEAST = np.array([[n] for _, n in AVERAGES.values()])
 
 
 class Smoother:
-    """A company's averages. The state is a flat list: last high, low and close, then three numbers for each average."""
-
-    def __init__(self, state: list[float] | None = None):
-        state = list(state) if state is not None else [NAN] * 3 + [NAN, 1.0, 0.0] * len(AVERAGES)
-        self.last = state[:3]
-        self.held = {name: state[3 + 3 * i : 6 + 3 * i] for i, name in enumerate(AVERAGES)}
-
-    def state(self) -> list[float]:
-        return [*self.last, *(x for held in self.held.values() for x in held)]
-
-    def average(self, name: str, x: float) -> float:
-        """The average after x; NaN is no observation, but the weight of what is there fades."""
-        alpha, least = AVERAGES[name]
-        value, weight, n = self.held[name]
-        there = not math.isnan(x)
-        if not math.isnan(value):
-            weight *= 1 - alpha
-            if there:
-                value, weight = (weight * value + alpha * x) / (weight + alpha) if value != x else value, 1.0
-        elif there:
-            value = x
-        self.held[name] = [value, weight, n + there]
-        return value if n + there >= least else NAN
-
-    def step(self, high: float, low: float, close: float) -> tuple[float, ...]:
-        """The indicators SMOOTHED after a day's prices."""
-        was_high, was_low, was = self.last
-        self.last = [high, low, close]
-        over = lambda a, b: a / b if b else NAN if a == 0 or math.isnan(a) else math.inf
+    """The averages of companies, a column each. A company's state is a flat list: last high, low and close, then three
+    numbers for each average, which are its value, the weight that has faded since its last observation, and how many it had."""
+
+    def __init__(self, companies: int):
+        self.last = np.full((3, companies), np.nan)
+        self.value = np.full((len(AVERAGES), companies), np.nan)
+        self.weight = np.ones((len(AVERAGES), companies))
+        self.n = np.zeros((len(AVERAGES), companies))
+
+    def load(self, company: int, state: list[float]) -> None:
+        self.last[:, company] = state[:3]
+        self.value[:, company], self.weight[:, company], self.n[:, company] = state[3::3], state[4::3], state[5::3]
+
+    def state(self, companies: np.ndarray) -> np.ndarray:
+        """A row for each of some companies."""
+        averages = np.stack([self.value[:, companies], self.weight[:, companies], self.n[:, companies]], axis=1)
+        return np.concatenate([self.last[:, companies], averages.reshape(-1, len(companies))]).T
+
+    def average(self, which: list[int], x: np.ndarray) -> np.ndarray:
+        """Some averages of the first companies after x; NaN is no observation, but the weight of what is there fades."""
+        k, alpha = x.shape[1], _ALPHA[which]
+        value, weight = self.value[which, :k], self.weight[which, :k]
+        there, had = x == x, value == value
+        faded = np.where(had, weight * (1 - alpha), weight)
+        moved = np.where(value != x, (faded * value + alpha * x) / (faded + alpha), value)
+        value = np.where(there, np.where(had, moved, x), value)
+        n = self.n[which, :k] + there
+        self.value[which, :k], self.weight[which, :k], self.n[which, :k] = value, np.where(there & had, 1.0, faded), n
+        return np.where(n >= _LEAST[which], value, np.nan)
+
+    def step(self, high: np.ndarray, low: np.ndarray, close: np.ndarray) -> np.ndarray:
+        """The indicators SMOOTHED of the first companies after a day's prices."""
+        k = len(close)
+        was_high, was_low, was = self.last[:, :k].copy()
+        self.last[:, :k] = high, low, close
         move = close - was
-        gain, loss = self.average("gain", max(move, 0.0) if move == move else NAN), self.average("loss", max(-move, 0.0) if move == move else NAN)
-        rsi = 100.0 if loss == 0 else 100 - 100 / (1 + over(gain, loss))
-        macd = self.average("ema12", close) - self.average("ema26", close)
-        signal = self.average("signal", macd)
-        spans = [x for x in (high - low, abs(high - was), abs(low - was)) if x == x]
-        atr = self.average("range", max(spans) if spans else NAN)
         up, down = high - was_high, was_low - low
-        plus = 100 * over(self.average("plus", up if up > down and up > 0 else 0.0), atr)
-        minus = 100 * over(self.average("minus", down if down > up and down > 0 else 0.0), atr)
+        spans = np.fmax(np.fmax(high - low, np.abs(high - was)), np.abs(low - was))
+        plus_move, minus_move = np.where((up > down) & (up > 0), up, 0.0), np.where((down > up) & (down > 0), down, 0.0)
+        ema20, ema50, ema12, ema26, gain, loss, atr, plus, minus = self.average(_FIRST, np.array([close, close, close, close, np.maximum(move, 0.0), np.maximum(-move, 0.0), spans, plus_move, minus_move]))
+        macd, plus, minus = ema12 - ema26, 100 * plus / atr, 100 * minus / atr
         both = plus + minus
-        adx = self.average("dx", 100 * abs(plus - minus) / both if both else NAN)
-        found = (self.average("ema20", close), self.average("ema50", close), rsi, macd, signal, macd - signal, atr, adx)
-        return tuple(NAN if math.isinf(x) else x for x in found)
+        signal, adx = self.average(_SECOND, np.array([macd, 100 * np.abs(plus - minus) / np.where(both != 0, both, np.nan)]))
+        found = np.array([ema20, ema50, np.where(loss == 0, 100.0, 100 - 100 / (1 + gain / loss)), macd, signal, macd - signal, atr, adx])
+        found[np.isinf(found)] = np.nan
+        return found
+
+
+_SECOND = [i for i in range(len(AVERAGES)) if i not in _FIRST]
+
+
+def _whole_companies(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows in order, in tables of about ROWS rows that cut no company in two; _n is a row's number in its company."""
+    held: list[pa.RecordBatch] = []
+    rows, full = 0, ROWS
+    for b in batches:
+        held.append(b)
+        rows += b.num_rows
+        if rows >= full:
+            both = pa.Table.from_batches(held)
+            cut = int(np.flatnonzero(both.column("_n").to_numpy() == 1)[-1])
+            if cut:
+                yield both.slice(0, cut)
+            held, rows = both.slice(cut).to_batches(), both.num_rows - cut
+            full = max(ROWS, 2 * rows)
+    if rows:
+        yield pa.Table.from_batches(held)
+
+
+def _smooth(rows: pa.Table, with_state: bool) -> pa.Table:
+    """The rows' indicators; with_state: rows may begin with a state, and a company's last row gets its state."""
+    number = rows.column("_n").to_numpy()
+    starts = np.flatnonzero(number == 1)
+    lengths = np.diff(np.append(starts, len(number)))
+    assert starts[0] == 0 and (number == np.arange(len(number)) - np.repeat(starts, lengths) + 1).all(), "rows of a company must follow each other"
+    # the longest first, so that those with a row left are always the first ones
+    order = np.argsort(-lengths, kind="stable")
+    starts, lengths = starts[order], lengths[order]
+    smoother = Smoother(len(starts))
+    prices = np.array([rows.column(c).to_numpy() for c in ("high", "low", "close")])
+    found = np.full((len(SMOOTHED), len(number)), np.nan)
+    told = np.zeros(len(number), dtype=bool)
+    if with_state:
+        told = ~rows.column("state").combine_chunks().is_null().to_numpy(zero_copy_only=False)
+        for company in np.flatnonzero(told[starts]):
+            smoother.load(company, rows.column("state")[int(starts[company])].as_py())
+    with np.errstate(all="ignore"):
+        # days from 1 on, or from the row after the state: a company with a state starts a step later
+        skip = told[starts].astype(np.int64)
+        for t in range(int(lengths[0])):
+            k = int(np.searchsorted(-lengths, -t, side="left"))
+            at = starts[:k] + t
+            if t == 0 and skip.any():
+                kept = smoother.last.copy(), smoother.value.copy(), smoother.weight.copy(), smoother.n.copy()
+            found[:, at] = smoother.step(*prices[:, at])
+            if t == 0 and skip.any():
+                for now, before in zip((smoother.last, smoother.value, smoother.weight, smoother.n), kept):
+                    now[:, skip == 1] = before[:, skip == 1]
+                found[:, at[skip == 1]] = np.nan
+    out = {"company_id": rows.column("company_id"), "trade_date": rows.column("trade_date"), **{c: pa.array(x, from_pandas=True) for c, x in zip(SMOOTHED, found)}}
+    if not with_state:
+        return pa.table(out)
+    last = starts + lengths - 1
+    offsets = np.zeros(len(number) + 1, dtype=np.int32)
+    width = 3 + 3 * len(AVERAGES)
+    offsets[last + 1] = width
+    absent = np.ones(len(number), dtype=bool)
+    absent[last] = False
+    states = smoother.state(np.arange(len(starts)))[np.argsort(last)]
+    made = pa.ListArray.from_arrays(pa.array(np.cumsum(offsets, dtype=np.int32)), pa.array(states.ravel()), mask=pa.array(absent))
+    # a state that nothing follows is kept, as a row that is no day
+    return pa.table({**out, "state": made, "_new": pa.array(~told)}).filter(pa.array(~told | ~absent))
+
+
+_SCHEMA = "company_id long, trade_date date, " + ", ".join(f"{c} double" for c in SMOOTHED)
+
+
+def _line(rows: DataFrame, *order: str) -> DataFrame:
+    """rows with their number in their company, by whose window they lie company by company and in order."""
+    return rows.withColumn("_n", F.row_number().over(Window.partitionBy("company_id").orderBy(*order)))
+
+
+def smoothed(prices: DataFrame) -> DataFrame:
+    """Exponential averages, RSI, MACD with signal and histogram, ATR and ADX, after Wilder where he smooths."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _whole_companies(batches):
+            yield from _smooth(rows, False).to_batches()
+
+    double = [F.col(c).cast("double").alias(c) for c in ("high", "low", "close")]
+    return _line(prices.select("company_id", "trade_date", *double), "trade_date").mapInArrow(run, _SCHEMA)
 
 
 def smooth_on(prices: DataFrame, state: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
@@ -75,23 +173,16 @@ def smooth_on(prices: DataFrame, state: DataFrame | None = None) -> tuple[DataFr
     prices are days after those that state (company_id, state) tells of; without a state they are all there is. A company
     without new prices keeps its state, with the date that it had. Only the new days are read.
     """
-    names = ("company_id", "trade_date", "high", "low", "close")
-    new = prices.select(*names)
-    kept = None if state is None else state.select("company_id", "trade_date", "state")
-    schema = "company_id long, trade_date date, " + ", ".join(f"{c} double" for c in SMOOTHED) + ", state array<double>"
-
-    def run(key: tuple, days: pd.DataFrame, before: pd.DataFrame) -> pd.DataFrame:
-        smoother = Smoother(before["state"].iloc[0] if len(before) else None)
-        out = [[key[0], d, *smoother.step(float(h), float(low), float(c)), None] for _, d, h, low, c in days.sort_values("trade_date").itertuples(index=False)]
-        if out:
-            out[-1][-1] = smoother.state()
-        elif len(before):
-            out = [[key[0], before["trade_date"].iloc[0], *[NAN] * len(SMOOTHED), smoother.state()]]
-        return pd.DataFrame(out, columns=["company_id", "trade_date", *SMOOTHED, "state"])
-
-    kept = kept if kept is not None else new.sparkSession.createDataFrame([], "company_id long, trade_date date, state array<double>")
-    made = new.groupBy("company_id").cogroup(kept.groupBy("company_id")).applyInPandas(run, schema)
-    whole = stage(made, "smoothed")
-    plain = [F.when(~F.isnan(c), F.col(c)).alias(c) for c in SMOOTHED]
-    rows = whole.join(new.select("company_id", "trade_date"), ["company_id", "trade_date"], "left_semi") if state is not None else whole
-    return rows.select("company_id", "trade_date", *plain), whole.where("state IS NOT NULL").select("company_id", "trade_date", "state")
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _whole_companies(batches):
+            yield from _smooth(rows, True).to_batches()
+
+    double = [F.col(c).cast("double").alias(c) for c in ("high", "low", "close")]
+    days = prices.select("company_id", "trade_date", *double, F.lit(None).cast("array<double>").alias("state"))
+    if state is not None:
+        days = days.unionByName(state.select("company_id", "trade_date", "state"), allowMissingColumns=True)
+    # a state comes before the days
+    line = _line(days.withColumn("_day", F.col("state").isNull()), "_day", "trade_date").drop("_day")
+    whole = stage(line.mapInArrow(run, f"{_SCHEMA}, state array<double>, _new boolean"), "smoothed")
+    return whole.where("_new").select("company_id", "trade_date", *SMOOTHED), whole.where("state IS NOT NULL").select("company_id", "trade_date", "state")
