@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from tidemark.functions.shared import stage
 
@@ -151,9 +152,24 @@ def _smooth(rows: pa.Table, with_state: bool) -> pa.Table:
 _SCHEMA = "company_id long, trade_date date, " + ", ".join(f"{c} double" for c in SMOOTHED)
 
 
-def _line(rows: DataFrame, *order: str) -> DataFrame:
+def _line(rows: DataFrame, *order: str, by: tuple[str, ...] = ("company_id",)) -> DataFrame:
     """rows with their number in their company, by whose window they lie company by company and in order."""
-    return rows.withColumn("_n", F.row_number().over(Window.partitionBy("company_id").orderBy(*order)))
+    return rows.withColumn("_n", F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
+
+
+def smoothed_beside(prices: DataFrame, by: tuple[str, ...] = ("company_id",)) -> DataFrame:
+    """prices, with all their columns, and the columns SMOOTHED; a line of days is of one value of `by`."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _whole_companies(batches):
+            found = _smooth(rows, False)
+            for c in SMOOTHED:
+                rows = rows.append_column(c, found.column(c))
+            yield from rows.drop_columns(["_n"]).to_batches()
+
+    double = {c: F.col(c).cast("double") for c in ("high", "low", "close")}
+    schema = StructType([*prices.withColumns(double).schema.fields, *[StructField(c, DoubleType()) for c in SMOOTHED]])
+    return _line(prices.withColumns(double), "trade_date", by=by).mapInArrow(run, schema)
 
 
 def smoothed(prices: DataFrame) -> DataFrame:
