@@ -4,6 +4,8 @@ import re
 from collections import Counter
 
 from tidemark.plans import fixtures, queries
+from tidemark.sinks import tables
+from tidemark.sinks.store import Store
 
 
 def _plan(df):
@@ -28,3 +30,26 @@ def test_features_read_line_items_once_and_shuffle_prices_once_by_company(spark,
     plan = _plan(rows)
     # the grouping of prices, the ratios beside their TTM rows, and one walk along a company's days
     assert len(re.findall(r"Exchange hashpartitioning\(company_id#\d+L, \d+\)", plan)) == 1, plan
+
+
+def _counted(rows):
+    """rows, and an accumulator of how many of them were ever computed."""
+    seen = rows.sparkSession.sparkContext.accumulator(0)
+
+    def run(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    return rows.mapInArrow(run, rows.schema), seen
+
+
+def test_saved_checks_are_computed_once(spark, tmp_path):
+    checks = spark.sql("SELECT DATE'2026-01-01' + CAST(id AS INT) AS trade_date, concat('c', id) AS check_name, 'PASS' AS status, 1L AS expected, 1L AS actual, 0L AS missing FROM range(5)")
+    rows, seen = _counted(checks)
+    store = Store(spark, f"file://{tmp_path}/checks")
+    change = store.change()
+    tables.save_verification(change, rows, "a", "verify", "2026-01-02 00:00:00")
+    change.commit()
+    assert seen.value == 5
+    assert store.read("verification_results").count() == 5 and store.read("verification_runs").count() == 5
