@@ -53,3 +53,15 @@ def test_saved_checks_are_computed_once(spark, tmp_path):
     change.commit()
     assert seen.value == 5
     assert store.read("verification_results").count() == 5 and store.read("verification_runs").count() == 5
+
+
+def test_saved_versions_are_computed_once(spark, tmp_path):
+    versions = spark.sql("SELECT id AS raw_filing_id, 'quarterly' AS period_type, DATE'2026-03-31' AS period_end, 'Consolidated' AS statement_scope, '{}' AS reported_values FROM range(4)")
+    sources = versions.drop("reported_values").selectExpr("*", "raw_filing_id + 10 AS source_filing_id", "'PNL' AS component", "'YTD' AS source_role", "'D' AS derivation_method")
+    (v, seen_v), (s, seen_s) = _counted(versions), _counted(sources)
+    store = Store(spark, f"file://{tmp_path}/versions")
+    change = store.change()
+    tables.save_versions(change, v, s)
+    change.commit()
+    assert (seen_v.value, seen_s.value) == (4, 4)
+    assert store.read("version_sources").count() == 4
