@@ -6,6 +6,7 @@ from collections import Counter
 from tidemark.plans import fixtures, queries
 from tidemark.sinks import tables
 from tidemark.sinks.store import Store
+from tidemark.sources import filings
 
 
 def _plan(df):
@@ -65,3 +66,11 @@ def test_saved_versions_are_computed_once(spark, tmp_path):
     change.commit()
     assert (seen_v.value, seen_s.value) == (4, 4)
     assert store.read("version_sources").count() == 4
+
+
+def test_documents_are_parsed_once(spark):
+    xml = "<xbrl><context id='Q'><period><startDate>2026-01-01</startDate><endDate>2026-03-31</endDate></period></context><Income contextRef='Q'>7</Income></xbrl>"
+    documents, seen = _counted(spark.sql("SELECT id AS filing_id, id AS company_id, DATE'2026-03-31' AS period_end, '<open>' AS content FROM range(3)").replace("<open>", xml, ["content"]).unionByName(spark.sql("SELECT 9L AS filing_id, 9L AS company_id, DATE'2026-03-31' AS period_end, '<open>' AS content")))
+    rows = {r.filing_id: (r.revenue, r.error is None) for r in filings.statements(filings.parse_facts(documents)).collect()}
+    assert rows == {0: (7.0, True), 1: (7.0, True), 2: (7.0, True), 9: (None, False)}
+    assert seen.value == 4

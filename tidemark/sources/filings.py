@@ -13,6 +13,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.shared import stage
+
 FACT_SCHEMA = (
     "filing_id long, company_id long, period_end date, concept string, context string, start_date date, end_date date, instant date,"
     " dimensioned boolean, members array<string>, value string, unit string, decimals string, pos int, error string"
@@ -96,6 +98,8 @@ def statements(facts: DataFrame) -> DataFrame:
     concept's facts in a context the first that is a number counts. The balance date's context is the one with most
     balance concepts. Free cash flow is operating cash flow less the absolute capital expenditure.
     """
+    # three branches read the facts, whose documents are parsed once, and two the statements
+    facts = stage(facts.select("filing_id", "company_id", "period_end", "concept", "context", "start_date", "end_date", "instant", "dimensioned", "value", "pos", "error"), "facts")
     good = facts.where("error IS NULL AND NOT dimensioned AND (end_date = period_end OR instant = period_end)")
     numbers = good.withColumn("number", F.col("value").try_cast("double")).where("number IS NOT NULL")
     per = numbers.groupBy("filing_id", "company_id", "period_end", "context", "concept").agg(F.min_by("number", "pos").alias("number"), F.min("pos").alias("pos"), F.first("start_date").alias("start_date"), F.first("instant").alias("instant"))
@@ -141,6 +145,7 @@ def statements(facts: DataFrame) -> DataFrame:
         .withColumn("free_cash_flow", F.col("operating_cash_flow") - F.abs("capital_expenditure"))
         .drop("debt_current", "debt_noncurrent")
     )
+    out = stage(out, "statements")
     seen = out.select("filing_id").distinct()
     failed = facts.groupBy("filing_id", "company_id", "period_end").agg(F.first("error", ignorenulls=True).alias("error")).join(seen, "filing_id", "left_anti")
     return out.unionByName(failed.withColumn("error", F.coalesce("error", F.lit("NO_TARGET_PERIOD_CONTEXT"))), allowMissingColumns=True)
