@@ -74,3 +74,38 @@ def test_documents_are_parsed_once(spark):
     rows = {r.filing_id: (r.revenue, r.error is None) for r in filings.statements(filings.parse_facts(documents)).collect()}
     assert rows == {0: (7.0, True), 1: (7.0, True), 2: (7.0, True), 9: (None, False)}
     assert seen.value == 4
+
+
+def _ranked_store(spark, path):
+    store = Store(spark, f"file://{path}/amended")
+    rows = spark.sql("SELECT id AS company_id, make_date(2020 + CAST(id % 3 AS INT), 1, 1) AS trade_date, CAST(id AS DOUBLE) AS score, CAST(id AS INT) AS rank FROM range(30)")
+    counted, seen = _counted(rows)
+    change = store.change()
+    change.merge("r", counted, ("company_id", "trade_date"), "trade_date/year")
+    change.commit()
+    return store, rows, seen
+
+
+def test_a_first_merge_computes_its_rows_once_and_stages_nothing(spark, tmp_path):
+    store, rows, seen = _ranked_store(spark, tmp_path)
+    assert seen.value == 30 and not (tmp_path / "amended/data/_staged").exists()
+    assert sorted(store.read("r").collect()) == sorted(rows.collect())
+
+
+def test_amended_columns(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("tidemark.sinks.store.ROWS", 4)
+    store, rows, _ = _ranked_store(spark, tmp_path)
+    old = store.snapshot().tables["r"]["parts"]
+    # some of 2020 move, one to null; 2021 says what is there; 2022 isn't named, and neither key of 2023 and of company 99 is stored
+    new = rows.selectExpr("company_id", "trade_date", "CASE WHEN company_id % 3 = 1 THEN score WHEN company_id > 3 THEN score + 100 END AS score").where("company_id % 3 < 2 AND company_id < 20")
+    more = spark.sql("SELECT 99L AS company_id, DATE'2020-01-01' AS trade_date, 1.0D AS score UNION ALL SELECT 1L, DATE'2023-01-01', 2.0D")
+    change = store.change()
+    change.amend("r", new.unionByName(more), ["score"])
+    change.commit()
+    parts = store.snapshot().tables["r"]["parts"]
+    assert {p for p in old if parts[p] != old[p]} == {"2020"} and parts.keys() == old.keys()
+    moved = {i: None if i <= 3 else i + 100.0 for i in range(0, 20, 3)}
+    assert {r.company_id: (r.score, r.rank) for r in store.read("r").collect()} == {i: (moved.get(i, float(i)), i) for i in range(30)}
+    change = store.change()
+    change.amend("r", new, ["score"])
+    assert not change.pending
