@@ -57,6 +57,12 @@ def test_outcomes_join_nothing_to_the_rankings(spark, sf_dir):
     assert "Join" not in plan and "lineitem" not in plan and plan.count("Exchange hashpartitioning") == 1
 
 
+def test_overlay_shuffles_no_ranking(spark, sf_dir):
+    plan = _plan(queries.QUERIES["overlay"](spark, sf_dir))
+    above = plan[: plan.index("FlatMapGroupsInArrow")]
+    assert "Exchange" not in above and "Join" not in above
+
+
 def test_features_ahead_are_forward_returns(spark, sf_dir):
     prices, t = load(spark, sf_dir, "daily_prices"), fundamentals.ttm(fundamentals.canonical(load(spark, sf_dir, "statements")))
     rows = ranking.pit_features(prices, load(spark, sf_dir, "share_capital"), t, fundamentals.ratios(t), ahead=market.HORIZONS)
