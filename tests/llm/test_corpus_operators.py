@@ -213,6 +213,65 @@ def test_lm_is_normalised():
     assert v.rest_n[1] == v.rest_n.sum() == 2 and v.rest_words[1] == v.rest_words.sum() == 2 and v.end == 1
 
 
+class FixedNoise:
+    """A generator that leaves visits in their order and draws the same noise at each step, which it counts."""
+
+    def __init__(self, noise):
+        self.noise, self.steps = noise, 0
+
+    def permutation(self, n):
+        return np.arange(n)
+
+    def random(self, n):
+        self.steps += 1
+        return self.noise[:n]
+
+
+def lm_of(own, size):
+    tail_n = np.zeros(lm.TAILS, np.int64)
+    tail_n[:own] = np.arange(2, own + 2)
+    v = lm.Vocabulary(np.arange(1, own + 1).astype(np.uint64), np.arange(own).astype(np.int32), tail_n[:own], tail_n, (tail_n > 0).astype(np.int64), own)
+    rng = np.random.default_rng(8)
+    m = lm.Model(v)
+    m.set(m.flat + rng.normal(0, 0.3, len(m.flat)).astype(np.float32))
+    return m, v, (*rng.integers(0, own, (3, size)), rng.integers(1, 17, size).astype(float)), FixedNoise(rng.random(lm.NOISE))
+
+
+def test_lm_step_matches_brute_force():
+    m, v, (ids, one, two, weight), draws = lm_of(6, 400)
+    r, q, c1, c2, b = (x.astype(float) for x in m.parts)
+    log_kq = np.log(lm.NOISE_PER_TOKEN * v.prior)
+    noise = np.searchsorted(np.cumsum(v.prior), draws.noise)
+    g = [np.zeros_like(x) for x in (r, q, c1, c2, b)]
+    for w, w1, w2, n in zip(ids, one, two, weight, strict=True):
+        h = r[w1] @ c1 + r[w2] @ c2
+        shares = [(w, n / (1 + math.exp(h @ q[w] + b[w] - log_kq[w])))]
+        shares += [(x, -n * lm.NOISE_PER_TOKEN / lm.NOISE / (1 + math.exp(log_kq[x] - h @ q[x] - b[x]))) for x in noise]
+        dh = sum(s * q[x] for x, s in shares)
+        for x, s in shares:
+            g[1][x] += s * h
+            g[4][x] += s
+        g[0][w1] += c1 @ dh
+        g[0][w2] += c2 @ dh
+        g[2] += np.outer(r[w1], dh)
+        g[3] += np.outer(r[w2], dh)
+    m.train(ids, one, two, weight, v.prior, 0.1, draws, m.fresh_squares())
+    assert draws.steps == 1
+    for part, old, x, scale in zip(m.parts, (r, q, c1, c2, b), g, (1, 1, 0.1, 0.1, 0.3), strict=True):
+        x = x / math.sqrt(weight.sum())
+        assert np.allclose(part, old + 0.1 * scale * x / np.sqrt(0.01 + x * x), atol=2e-4)
+
+
+def test_lm_visits_of_one_context_share_their_noise():
+    m, v, (ids, one, two, weight), draws = lm_of(4, 4096)
+    m.train(ids, one, two, weight, v.prior, 0.1, draws, m.fresh_squares())
+    # 16 contexts, each with a group that may be short
+    assert draws.steps <= -(-(4096 // 2 + 16) // lm.BATCH)
+    order, begin, length = lm.groups(two * v.size + one, np.random.default_rng(1))
+    assert np.array_equal(np.sort(order), np.arange(4096)) and np.array_equal(begin, np.cumsum(length) - length) and length.sum() == 4096
+    assert all(len({(one[x], two[x]) for x in order[a : a + n]}) == 1 for a, n in zip(begin, length, strict=True))
+
+
 def test_lm_odd_rows(spark):
     df = odd_docs(spark)
     got = lm.score_documents(df).collect()

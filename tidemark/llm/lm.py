@@ -34,7 +34,8 @@ HELD, VISIT = 1 << 20, 16
 SHARD = 500_000
 #: Distinct triples that one task adds up, about, and that one packed row has at most.
 PART, BLOCK = 1 << 20, 1 << 16
-ROUNDS, BATCH, NOISE, NOISE_PER_TOKEN, RATE = 3, 512, 256, 16, 0.15
+#: A batch is BATCH groups of at most GROUP visits; RATE goes with that.
+ROUNDS, BATCH, GROUP, NOISE, NOISE_PER_TOKEN, RATE = 3, 512, 2, 256, 16, 0.2
 PIECES = 64
 _U = np.uint64
 END = np.frombuffer(np.array([0x5D8A1C0FB3E17A29], _U).tobytes(), _U)[0]
@@ -169,6 +170,22 @@ def contexts(ids: np.ndarray, end: int, fresh: np.ndarray) -> tuple[np.ndarray,
     return one, two
 
 
+def groups(context: np.ndarray, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(order, begin, length): visits in an order that has each group, at most GROUP visits of one context, side by side; random otherwise."""
+    n = len(context)
+    order = rng.permutation(n)
+    order = order[np.argsort(context[order], kind="stable")]
+    context = context[order]
+    first = np.flatnonzero(np.append(True, context[1:] != context[:-1]))
+    place = np.arange(n) - np.repeat(first, np.diff(np.append(first, n)))
+    first = np.flatnonzero(place % GROUP == 0)
+    length = np.diff(np.append(first, n))
+    turn = rng.permutation(len(first))
+    first, length = first[turn], length[turn]
+    begin = np.cumsum(length) - length
+    return order[np.repeat(first - begin, length) + np.arange(n)], begin, length
+
+
 class Model:
     def __init__(self, v: Vocabulary, dimensions: int = DIMENSIONS, seed: int = 5):
         rng, k, self.trained = np.random.default_rng(seed), v.size, 0
@@ -177,7 +194,9 @@ class Model:
         self.set(np.concatenate([x.ravel() for x in (rng.normal(0, 0.1, self.shapes[0]), rng.normal(0, 0.1, self.shapes[1]), eye, eye * 0.6, np.log(v.prior))]).astype(np.float32))
 
     def set(self, flat: np.ndarray) -> None:
-        self.flat, at, self.parts = flat.copy(), 0, []
+        # filled, not copied: np.add.at is slow on the type object of an unpickled array
+        self.flat, at, self.parts = np.empty(len(flat), np.float32), 0, []
+        self.flat[:] = flat
         for shape in self.shapes:
             n = int(np.prod(shape))
             self.parts.append(self.flat[at : at + n].reshape(shape))
@@ -186,49 +205,60 @@ class Model:
     def train(self, ids: np.ndarray, one: np.ndarray, two: np.ndarray, weight: np.ndarray, prior: np.ndarray, rate: float, rng: np.random.Generator, squares: list[np.ndarray]) -> None:
         """One pass of noise-contrastive estimation over weighted triples, Adagrad steps; a batch shares its noise words.
 
-        squares, from fresh_squares(), go on from call to call. A step touches only the rows of words that the batch or its noise names.
+        Visits of one context go in groups of at most GROUP, and a batch is BATCH groups: what the noise words add depends
+        on the context alone, so a group computes it once, times its weight. squares, from fresh_squares(), go on from
+        call to call. Rows that neither the batch nor its noise names have no gradient and stay.
         """
         r, q, c1, c2, b = self.parts
+        k, d = q.shape
         edges = np.cumsum(prior)
         log_kq = np.log(NOISE_PER_TOKEN * prior).astype(np.float32)
-
-        def step(words: np.ndarray, *moves: tuple[int, np.ndarray, float]) -> None:
-            order = np.argsort(words, kind="stable")
-            words = words[order]
-            first = np.flatnonzero(np.append(True, words[1:] != words[:-1]))
-            at = words[first]
-            for k, g, scale in moves:
-                g = np.add.reduceat(g[order], first, axis=0) / size
-                s = squares[k][at] + g * g
-                squares[k][at] = s
-                self.parts[k][at] += np.float32(rate * scale) * g / np.sqrt(s)
-
-        ids, one, two = (x.astype(np.int16 if len(prior) < 1 << 15 else np.int32) for x in (ids, one, two))
-        order = rng.permutation(len(ids))
-        for at in range(0, len(order), BATCH):
-            i = order[at : at + BATCH]
-            w, w1, w2 = ids[i], one[i], two[i]
-            noise = np.minimum(np.searchsorted(edges, rng.random(NOISE)), len(prior) - 1).astype(ids.dtype)
-            r1, r2, qw, qn = r[w1], r[w2], q[w], q[noise]
+        cell = np.arange(max(k, BATCH) * d).reshape(-1, d)
+        terms = np.empty((BATCH, NOISE), np.float32)
+
+        def added(rows: np.ndarray, g: np.ndarray, n: int) -> np.ndarray:
+            """g's rows added up by number, n rows."""
+            out = np.zeros(n * d, np.float32)
+            np.add.at(out, cell.take(rows, axis=0).ravel(), g.ravel())
+            return out.reshape(n, d)
+
+        def step(part: int, g: np.ndarray, scale: float) -> None:
+            squares[part] += g * g
+            g *= np.float32(rate * scale)
+            g /= np.sqrt(squares[part])
+            self.parts[part] += g
+
+        order, begin, length = groups(two * k + one, rng)
+        ids, weight = ids[order], weight[order].astype(np.float32)
+        one, two, end = one[order[begin]], two[order[begin]], begin + length
+        for at in range(0, len(begin), BATCH):
+            to = min(at + BATCH, len(begin))
+            n, i, j = to - at, begin[at], end[to - 1]
+            w, times, w1, w2 = ids[i:j], weight[i:j], one[at:to], two[at:to]
+            of = np.repeat(np.arange(n), length[at:to])
+            noise = np.minimum(np.searchsorted(edges, rng.random(NOISE)), k - 1)
+            r1, r2, qw, qn = r.take(w1, axis=0), r.take(w2, axis=0), q.take(w, axis=0), q.take(noise, axis=0)
             h = r1 @ c1 + r2 @ c2
-            good = 1 / (1 + np.exp(np.clip((h * qw).sum(1) + b[w] - log_kq[w], -30, 30)))
-            times = weight[i].astype(np.float32)
-            good *= times
-            bad = h @ qn.T
-            np.subtract(log_kq[noise] - b[noise], bad, out=bad)
-            np.exp(np.clip(bad, -30, 30, out=bad), out=bad)
-            bad += 1
-            np.divide((np.float32(-NOISE_PER_TOKEN / NOISE) * times)[:, None], bad, out=bad)
-            dh = good[:, None] * qw + bad @ qn
+            hw, less = h.take(of, axis=0), log_kq - b
             size = np.sqrt(times.sum())
-            words, contexts_at = np.concatenate([w, noise]), np.concatenate([w1, w2])
-            to_q, to_r = np.concatenate([good[:, None] * h, bad.T @ h]), np.concatenate([dh @ c1.T, dh @ c2.T])
-            to_c1, to_c2 = r1.T @ dh / size, r2.T @ dh / size
-            step(contexts_at, (0, to_r, 1.0))
-            step(words, (1, to_q, 1.0), (4, np.concatenate([good, bad.sum(0)]), 0.3))
-            for k, g in ((2, to_c1), (3, to_c2)):
-                squares[k] += g * g
-                self.parts[k] += np.float32(rate * 0.1) * g / np.sqrt(squares[k])
+            # exp may overflow to infinity, which is a share of 0
+            with np.errstate(over="ignore"):
+                good = times / size / (1 + np.exp(np.einsum("ij,ij->i", hw, qw) - less[w]))
+                bad = np.matmul(h, -qn.T, out=terms[:n])
+                bad += less[noise]
+                np.exp(bad, out=bad)
+            bad += 1
+            np.reciprocal(bad, out=bad)
+            total = (np.bincount(of, weights=times, minlength=n) * NOISE_PER_TOKEN / NOISE / size).astype(np.float32)
+            hw *= good[:, None]
+            qw *= good[:, None]
+            dh = added(of, qw, n) - total[:, None] * (bad @ qn)
+            to_q = added(w, hw, k) - added(noise, bad.T @ (total[:, None] * h), k)
+            to_b = (np.bincount(w, weights=good, minlength=k) - np.bincount(noise, weights=total @ bad, minlength=k)).astype(np.float32)
+            to_r = added(np.concatenate([w1, w2]), np.concatenate([dh @ c1.T, dh @ c2.T]), k)
+            to_c1, to_c2 = r1.T @ dh, r2.T @ dh
+            for part, g, scale in ((0, to_r, 1.0), (1, to_q, 1.0), (4, to_b, 0.3), (2, to_c1, 0.1), (3, to_c2, 0.1)):
+                step(part, g, scale)
 
     def fresh_squares(self) -> list[np.ndarray]:
         return [np.full(p.shape, 1e-2, np.float32) for p in self.parts]
