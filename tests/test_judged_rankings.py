@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.functions.shared import stage
 from tidemark.operators import fundamentals, loop, market, ranking
 from tidemark.plans import fixtures, queries
 from tidemark.plans.fixtures import load
@@ -89,3 +90,18 @@ def test_sums_in_units_are_the_sums_of_decimals(spark):
 
 def _by_id(df):
     return {r[0]: tuple(map(repr, r[1:])) for r in df.collect()}
+
+
+def test_refinement_moves_green_rows_of_one_horizon(spark, sf_dir, monkeypatch):
+    written = {}
+
+    def keep(df, name):
+        written[name] = df
+        return stage(df, name)
+
+    monkeypatch.setattr(queries, "stage", keep)
+    for name in ("refinement", "outcomes"):
+        queries.QUERIES[name](spark, sf_dir)
+        rows = written["judged"]
+        assert rows.count() > 0 and rows.where("overall_score IS NULL OR overall_score * 100 < 50").count() == 0
+        assert not {"overall_rank", "statement_scope", "avg_20d", "forward_60d_return"} & set(rows.columns)
