@@ -6,7 +6,10 @@ import random
 from collections import defaultdict
 
 import pytest
-from tidemark.operators import closed_loop, loop
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+from tidemark.functions.shared import stage
+from tidemark.operators import closed_loop, loop, market, ranking
 from tidemark.operators.closed_loop import Stored
 from tidemark.sinks import tables
 from tidemark.sinks.store import Store
@@ -167,3 +170,37 @@ def test_loop_equals_a_day_by_day_run_however_it_is_cut(spark, world, tmp_path,
 def test_loop_over_no_dates(spark, world):
     made = closed_loop.closed_loop(*world, start="2030-01-01")
     assert made.hold_decisions.count() == made.outcomes.count() == made.overrides.count() == 0
+
+
+def test_rankings_with_their_evidence_run_like_tables_and_in_no_python(spark, monkeypatch):
+    pick = random.Random(5)
+    draw = lambda: pick.choice([None, 0.5, -1.0, pick.random(), pick.random()])
+    rows = [(c, day(d), "Consolidated", pick.choice((0.0, 8.0, 10 + 5 * pick.random())) if pick.random() < 0.2 else 10 + 5 * pick.random(), *[draw() for _ in ranking.FEATURES]) for c in range(41) for d in range(20) if c % 5 or pick.random() < 0.7]
+    made = spark.createDataFrame(rows, "company_id long, trade_date date, statement_scope string, close double, " + ", ".join(f"{f} double" for f in ranking.FEATURES)).cache()
+    line = Window.partitionBy("company_id").orderBy("trade_date")
+    ahead = made.withColumns({"close_5d": F.lead("close", 5).over(line), "known_5d": F.lead("trade_date", 5).over(line)}).withColumn("forward_5d_return", market.gain_ahead(5))
+    signals = spark.createDataFrame(
+        [(pick.randrange(43), day(pick.randrange(20)), pick.choice(("positive", "negative", "neutral", None)), pick.choice((None, 0.0, pick.uniform(-30, 30))), pick.choice("xyz"), i) for i in range(400)],
+        "company_id long, trade_date date, sentiment string, score_adjustment double, source string, signal_id long",
+    )
+    monkeypatch.setattr(closed_loop, "LEAST_OBSERVATIONS", 2)
+    plans = []
+    monkeypatch.setattr(closed_loop, "stage", lambda df, name: (plans.append(df._jdf.queryExecution().executedPlan().toString()) if name == "closed-loop" else None, stage(df, name))[1])
+    ranked, judged = stage(ranking.ranked_features(made), "ranked"), stage(ranking.judged_cycles(ahead, 5), "judged")
+    cut = [(None, str(day(11))), (str(day(12)), None)]
+    stored = None
+    for start, end in cut:
+        want = closed_loop.closed_loop(ranked, made, signals, stored, start, end, score_scale=100.0)
+        got = closed_loop.closed_loop_judged(judged, signals, stored, start, end, score_scale=100.0)
+        for part in ("hold_decisions", "outcomes", "refinements", "overrides"):
+            a, b = getattr(got, part), getattr(want, part)
+            assert a.dtypes == b.dtypes
+            plain = lambda df: sorted(str(tuple(round(x, 9) if isinstance(x, float) else x for x in r)) for r in df.collect())
+            found = plain(a)
+            assert found and found == plain(b), part
+        stored = want
+    assert stored.outcomes.where(f"trade_date < DATE'{day(12)}' AND status = 'verified'").count() > 0
+    assert stored.overrides.where("applied").count() > 5
+    # a company's line is put together by one shuffle, and windows say all of it
+    assert len(plans) == 4 and all("Pandas" not in p and "Arrow" not in p for p in plans)
+    assert "hashpartitioning(company_id" in plans[1] and plans[1].count("Exchange hashpartitioning(company_id") == 1

@@ -70,6 +70,20 @@ def test_only_changed_partitions_are_written(spark, store):
     assert got == {i: i + (1.0 if i % 30 == 14 else 0.0) for i in range(90)}
 
 
+def test_rows_of_new_partitions_are_written_once(spark, store, monkeypatch):
+    tables.publish(store, {"daily_prices": prices(spark)})
+    again = []
+    monkeypatch.setattr(Change, "_apply", lambda self, table, entry, parts, make, apply=Change._apply: (again.extend(parts), apply(self, table, entry, parts, make)))
+    monkeypatch.setattr(Change, "_staged", lambda self, df: pytest.fail("rows were staged"))
+    change = store.change()
+    tables.save(change, "daily_prices", prices(spark, bump=1.0).where("company_id < 3").unionByName(prices(spark).withColumn("trade_date", F.date_add("trade_date", 366))))
+    change.commit()
+    assert again == ["2024-01"] and change.rewritten == {"daily_prices": ["2025-01", "2025-02", "2024-01"]}
+    want = [(i, d, i + (1.0 if i < 3 and d.year == 2024 else 0.0)) for i, d, _ in rows(prices(spark).unionByName(prices(spark).withColumn("trade_date", F.date_add("trade_date", 366))))]
+    assert rows(store.read("daily_prices")) == sorted(want, key=str)
+    assert store.vacuum(1) > 0 and rows(store.read("daily_prices")) == sorted(want, key=str)
+
+
 def test_null_keys_odd_names_and_empty_tables(spark, store):
     odd = spark.createDataFrame([(None, "a/b=c", 1.0), (1, None, None), (2, "é %", float("nan"))], "company_id long, source string, v double")
     change = store.change()
