@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.shared import stage
 from tidemark.operators import closed_loop, loop, market, ranking
 from tidemark.operators.closed_loop import Stored
+from tidemark.plans import queries
 from tidemark.sinks import tables
 from tidemark.sinks.store import Store
 
@@ -204,3 +205,27 @@ def test_rankings_with_their_evidence_run_like_tables_and_in_no_python(spark, mo
     # a company's line is put together by one shuffle, and windows say all of it
     assert len(plans) == 4 and all("Pandas" not in p and "Arrow" not in p for p in plans)
     assert "hashpartitioning(company_id" in plans[1] and plans[1].count("Exchange hashpartitioning(company_id") == 1
+
+
+def test_rows_that_no_override_turns_green_bring_less_and_decide_alike(spark, monkeypatch, sf_dir):
+    monkeypatch.setattr(closed_loop, "LEAST_OBSERVATIONS", 1)
+    scores = {1: 0.2, 2: 0.486, 3: 0.51, 4: None, 5: 0.484}
+    rows = [(c, day(d), *[x] * 4, x, 10.0 + d, 3, 0.01, day(d + 5), 0.02 * c, day(d + 5)) for c, x in scores.items() for d in range(12)]
+    judged = spark.createDataFrame(rows, f"company_id long, trade_date date, {', '.join(f'{c} double' for c in CATS)}, overall_score double, close double, observations long, expected double, expected_on date, actual double, known_on date")
+    signals = spark.createDataFrame([(c, day(2 + i), "positive", a, "x", 10 * c + i) for c in scores for i, a in enumerate((0.6, None, 0.9))], "company_id long, trade_date date, sentiment string, score_adjustment double, source string, signal_id long")
+    light = closed_loop.lightened(judged, signals, 100.0)
+    assert {(r.company_id, r.close is None, r.known_on is None, r[CATS[0]] is None) for r in light.collect()} == {(1, *[True] * 3), (2, *[False] * 3), (3, *[False] * 3), (4, *[True] * 3), (5, *[True] * 3)}
+    want, got = (closed_loop.closed_loop_judged(x, signals, score_scale=100.0) for x in (judged, light))
+    for part in ("hold_decisions", "outcomes", "refinements", "overrides"):
+        found = sorted(map(str, getattr(got, part).collect()))
+        assert found and found == sorted(map(str, getattr(want, part).collect())), part
+    # company 2 is green once both of its adjustments apply
+    assert want.hold_decisions.where("company_id = 2 AND red_green = 'green'").count() > 0
+    names = []
+    monkeypatch.setattr(closed_loop, "stage", lambda df, name: (names.append(name), stage(df, name))[1])
+    written = {}
+    monkeypatch.setattr(queries, "stage", lambda df, name: written.setdefault(name, stage(df, name)))
+    queries.QUERIES["closed_loop_overrides"](spark, sf_dir)
+    # rankings and signals are written once for both runs, prices and returns not at all
+    assert {"judged", "signals"} <= set(written) and not {"prices", "ranked"} & set(written) and names == ["closed-loop", "closed-loop", "pending"]
+    assert written["judged"].where("overall_score IS NULL AND close IS NOT NULL").count() == 0
